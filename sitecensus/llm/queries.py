@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, license_scan, mixing, packing, toxicity, url_filter
+from . import exact_dedup, html_extract, license_scan, mixing, packing, topk_search, toxicity, url_filter
 from .common import table
 
 
@@ -24,11 +25,19 @@ def op2_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_cover_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.schedule(docs, mixing.target_weights(docs))
@@ -70,6 +79,19 @@ WITH parts AS (
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/en/', 'example.net/de/8', 'org/es/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
 """
 
+OP5_SQL = """
+WITH fine AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM fine q JOIN fine c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 OP10_SQL = """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -78,4 +100,4 @@ FROM documents
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_cascade": OP4_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op4_url_cascade": OP4_SQL, "op5_cover_tree_topk": OP5_SQL, "op10_exact_dedup": OP10_SQL}
