@@ -1,8 +1,54 @@
-"""Corpus pipeline: toxicity filter, exact and near deduplication, mixing, packing."""
+"""Corpus pipeline: documents to packed training sequences.
 
-STAGES = []
+Each stage gets what the one before it has kept, as Parquet, and all but the last return the columns of documents:
+toxic documents go; of equal texts one stays; of near copies one stays; the rest is put in the order of a mixture of
+its sources; and that order is packed. Labels are read from sf_dir only to fit the toxicity model.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from sitecensus.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
+from sitecensus.llm.common import table, written
+from sitecensus.llm.queries import vocabulary
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.drop_near_copies(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.interleave(docs, mixing.target_weights(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, vocabulary())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("near duplicates", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+
+#: The model of the first stage and the packing of the last are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows: one for each piece of a packed document."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, license_scan, mixing, packing, quality, topk_search, toxicity, url_filter
+from . import exact_dedup, html_extract, jaccard_join, license_scan, mixing, packing, quality, topk_search, toxicity, url_filter
 from .common import table
 
 
@@ -42,6 +42,10 @@ def op6_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_count_vector_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.schedule(docs, mixing.target_weights(docs))
