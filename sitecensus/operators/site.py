@@ -28,10 +28,8 @@ MOST_PAGES = 8
 def _mapped(rows: DataFrame, made: Callable[[list], list[dict]], inputs: list[str], schema: str) -> DataFrame:
     """rows with the columns of schema, which ``made`` gives for a batch of the input columns' values."""
     kept = rows.columns
-    out_schema = rows.schema
     added = StructType.fromDDL(schema)
-    for field in added:
-        out_schema = out_schema.add(field)
+    out_schema = StructType([*rows.schema.fields, *added.fields])
     arrow = to_arrow_schema(out_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
