@@ -1,8 +1,8 @@
 """Exact top-k search by inner product with two cover trees.
 
 Queries and data are both indexed by cover trees: a node has a centre, which is one of its points, and a covering
-radius; its children's centres are farther apart than a level's radius, which falls from level to level, and a
-leaf holds a few dozen points. A pair of a query node (centre q, radius r) and a data node (centre p, radius s) can
+radius; its children's centres are a net of its points, at least as far apart as any point is from its own centre,
+with radii that fall from level to level, and a leaf holds some hundred points. A pair of a query node (centre q, radius r) and a data node (centre p, radius s) can
 reach at most q.p + |q| s + |p| r + r s. When that is less than the worst kth score of the node's queries, no pair
 below can matter and the node pair is pruned; otherwise the larger node is split, best children first. Leaves
 meet in one matrix product of integers, so scores are exact.
@@ -22,50 +22,64 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEAF = 64
+LEAF = 64  # queries
+DATA_LEAF = 512
+BRANCHES = 8
 EXACT = 2.0**52
 SLACK = 1e-9
 
 
 class CoverTree:
-    """points: n x d integers as floats. Nodes are arrays: centre (number of a point), radius, children or rows."""
+    """points: n x d integers as floats. Nodes are arrays: centre (number of a point), radius, children or rows.
 
-    def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points, self.leaf = points, leaf
+    A node's children are a net of its points: each next centre is the point farthest from those before, until every
+    point is within half the node's radius of one, or there are ``BRANCHES``. So centres are at least as far apart as any
+    point is from its own."""
+
+    def __init__(self, points: np.ndarray, leaf: int):
+        self.points = points
         self.norms = np.sqrt((points * points).sum(axis=1))
         self.centre: list[int] = []
         self.radius: list[float] = []
         self.children: list[list[int]] = []
         self.rows: list[np.ndarray] = []
-        if len(points):
-            rows = np.arange(len(points))
-            self._node(rows, 0, self._distances(rows, 0))
+        if not len(points):
+            return
+        every = np.arange(len(points))
+        self._add(0, every, self._distances(every, 0))
+        waiting = [(0, every, self._distances(every, 0))]
+        while waiting:
+            node, rows, far = waiting.pop()
+            if len(rows) <= leaf or far.max() == 0:
+                continue
+            self.rows[node] = rows[:0]
+            for part in self._net(rows, self.centre[node], far):
+                self.children[node].append(self._add(*part))
+                waiting.append((self.children[node][-1], part[1], part[2]))
 
     def _distances(self, rows: np.ndarray, centre: int) -> np.ndarray:
         d = self.points[rows] - self.points[centre]
         return np.sqrt((d * d).sum(axis=1))
 
-    def _node(self, rows: np.ndarray, centre: int, far: np.ndarray) -> int:
-        """A node over rows, whose distances from the centre are given."""
-        me = len(self.centre)
+    def _add(self, centre: int, rows: np.ndarray, far: np.ndarray) -> int:
         self.centre.append(centre)
         self.radius.append(float(far.max()))
         self.children.append([])
         self.rows.append(rows)
-        if len(rows) > self.leaf and far.max() > 0:
-            # centres of the next level: each row joins the first centre within the level's radius
-            within, left, parts = far.max() * 0.7, rows, []
-            distance = far
-            while len(left):
-                own = int(left[distance.argmin()]) if not parts else int(left[distance.argmax()])
-                d = self._distances(left, own)
-                near = d <= within
-                parts.append((left[near], own, d[near]))
-                left, distance = left[~near], distance[~near]
-            if len(parts) > 1:
-                self.children[me] = [self._node(*part) for part in parts]
-                self.rows[me] = rows[:0]
-        return me
+        return len(self.centre) - 1
+
+    def _net(self, rows: np.ndarray, centre: int, far: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(centre, rows, distances) of each child."""
+        centres, nearest, owner = [centre], far.copy(), np.zeros(len(rows), int)
+        while len(centres) < BRANCHES and nearest.max() > far.max() / 2:
+            centres.append(int(rows[nearest.argmax()]))
+            d = self._distances(rows, centres[-1])
+            closer = d < nearest
+            nearest[closer], owner[closer] = d[closer], len(centres) - 1
+        if len(centres) == 1:  # all within half: only if the radius has been rounded
+            centres.append(int(rows[far.argmax()]))
+            owner[far.argmax()], nearest[far.argmax()] = 1, 0
+        return [(c, rows[owner == i], nearest[owner == i]) for i, c in enumerate(centres) if (owner == i).any()]
 
 
 class Search:
@@ -191,7 +205,7 @@ def _search_block(data: DataFrame, queries: pa.Table, seeds: pa.Table, k: int, t
         scores[ids[:, None] == column(seeds, "vec_id").to_numpy(zero_copy_only=False)[None, :]] = -np.inf
         if scores.shape[1] >= k:
             floors = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-    shared = data.sparkSession.sparkContext.broadcast((CoverTree(points), ids, floors))
+    shared = data.sparkSession.sparkContext.broadcast((CoverTree(points, LEAF), ids, floors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, query_ids, low = shared.value
@@ -204,7 +218,7 @@ def _search_block(data: DataFrame, queries: pa.Table, seeds: pa.Table, k: int, t
                 points = np.vstack([p for p, _ in held])
                 if largest * np.abs(points).max(initial=0) >= EXACT:
                     raise ValueError("scores of 2**52 or more are not exact")
-                search.run(CoverTree(points), np.concatenate([i for _, i in held]))
+                search.run(CoverTree(points, DATA_LEAF), np.concatenate([i for _, i in held]))
                 held.clear()
 
         for batch in batches:
