@@ -3,11 +3,13 @@
 A document's set is its distinct k-word shingles. Documents link when the Jaccard similarity of their sets is
 ``percent`` or more; the result is the connected components. Nothing is approximate.
 
-1. Each document is read once, into its set's 64-bit identity, its size, its prefix and its count vector. The prefix
-   is the smallest floor((1 - t) n) + 1 hashes: sets of similarity t share a hash of their prefixes. Equal sets are one
-   node from here on, however many documents have them.
-2. A prefix hash that different sets share makes a block. Within it, each set is first paired with the block's smallest
-   one: near copies come together by a star instead of by all their pairs.
+1. Each document becomes its set's 64-bit identity, its size and its count vector. Equal sets are one node from here
+   on, however many documents have them.
+2. Sets of similarity t share a hash among the first floor((1 - t) n) + 1 of each, in whatever order all sets agree on.
+   The order here: hashes of a fixed share of all that only one set has, then the others, by value. Which they are is
+   counted over all documents and kept as a bitmap of bounded size (beyond the bound every hash counts as common). A
+   hash of these prefixes that different sets share makes a block; most documents are in none. Within a block, each set
+   is first paired with the smallest one: near copies come together by a star instead of by all their pairs.
 3. What is left are blocks whose sets lie in different components. Their sets' count vectors (hashes counted in
    ``GROUPS`` groups, a point for each set) are indexed in R-trees, of bounded size: large blocks are split and the
    parts meet in pairs. A node is skipped if the sum of the coordinate minima of the query and the node's upper corner,
@@ -30,6 +32,9 @@ from .common import bit_of, power_of_two, written
 GROUPS = 256
 MOST = 0xFFFF  # of a count; a set with a larger one has this in all groups, which bounds nothing too low
 CHUNK = 1 << 20
+#: Hashes below this are looked at for whether one set alone has them.
+SAMPLED = np.uint64(int(0.32 * 2**64))
+BLOCK_BITS = 32768
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -104,46 +109,84 @@ def _chunks(texts: list) -> Iterator[tuple[int, list[str]]]:
         yield first, held
 
 
-def _summaries(k: int, percent: int):
+def _sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, hash) of the texts' shingles; size, start and identity of each text's set."""
+    text, found = shingles(texts, k)
+    n = np.bincount(text, minlength=len(texts))
+    start = np.cumsum(n) - n
+    sums = np.zeros(len(texts), np.uint64)
+    if len(found):
+        sums[n > 0] = np.add.reduceat(_mix(found + np.uint64(0x632BE59BD9B4E019)), start[n > 0])
+    return text, found, n, start, _mix(sums + n.astype(np.uint64) * np.uint64(_BASE)).view(np.int64)
+
+
+def _summaries(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in _chunks(batch.column(1).to_pylist()):
-                text, found = shingles(texts, k)
-                n = np.bincount(text, minlength=len(texts))
-                start = np.cumsum(n) - n
-                own = n > 0
-                sums = np.zeros(len(texts), np.uint64)
-                sums[own] = np.add.reduceat(_mix(found + np.uint64(0x632BE59BD9B4E019)), start[own]) if len(found) else 0
-                sets = _mix(sums + n.astype(np.uint64) * np.uint64(_BASE)).view(np.int64)
+                text, found, n, _, sets = _sets(texts, k)
                 vectors = np.bincount(text * GROUPS + (found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=len(texts) * GROUPS).reshape(-1, GROUPS)
                 vectors[vectors.max(axis=1) > MOST] = MOST
-                prefix = np.where(own, n - -(-n * percent // 100) + 1, 0)
-                kept = np.arange(len(text)) - start[text] < prefix[text]
-                offsets = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, len(texts)),
-                        batch.column(2).slice(first, len(texts)),
-                        pa.array(sets),
-                        pa.array(n.astype(np.int64)),
-                        pa.array([v.tobytes() for v in vectors.astype("<u2")], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[kept].view(np.int64))),
-                    ],
-                    ["doc_id", "text_key", "set_id", "n", "vector", "prefix"],
-                )
+                columns = [batch.column(i).slice(first, len(texts)) for i in (0, 2)]
+                columns += [pa.array(sets), pa.array(n.astype(np.int64)), pa.array([v.tobytes() for v in vectors.astype("<u2")], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "set_id", "n", "vector"])
 
     return run
 
 
-def summaries(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """docs (doc_id, text) to doc_id, text_key (its hash), set_id, n, vector, prefix."""
+def summaries(docs: DataFrame, k: int) -> DataFrame:
+    """docs (doc_id, text) to doc_id, text_key (its hash), set_id, n, vector."""
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    return keyed.mapInArrow(_summaries(k, percent), "doc_id long, text_key long, set_id long, n long, vector binary, prefix array<long>")
+    return keyed.mapInArrow(_summaries(k), "doc_id long, text_key long, set_id long, n long, vector binary")
+
+
+def tokens(docs: DataFrame, k: int, percent: int, bitmap: np.ndarray | None = None) -> DataFrame:
+    """docs (text) to token, set_id. Without a bitmap: the sampled hashes of every set. With that of the hashes that
+    several sets have: those of them that are in the set's prefix."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            for _, texts in _chunks(batch.column(0).to_pylist()):
+                text, found, n, start, sets = _sets(texts, k)
+                if bits is None:
+                    kept = found < SAMPLED
+                else:
+                    # in the agreed order a text's own hashes come first; what they leave of its prefix is filled by value
+                    own = (found < SAMPLED) & ~_in_bitmap(bits, found)
+                    prefix = n - -(-n * percent // 100) + 1
+                    left = prefix - np.bincount(text, own, len(texts)).astype(np.int64)
+                    others = np.cumsum(~own)  # of all texts so far
+                    before = np.concatenate([[0], others])[start]
+                    kept = ~own & (others - before[text] <= left[text])
+                columns = [pa.array(found[kept].view(np.int64)), pa.array(sets[text[kept]])]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "set_id"])
+
+    return docs.select("text").mapInArrow(run, "token long, set_id long")
+
+
+def _in_bitmap(bits: np.ndarray, found: np.ndarray) -> np.ndarray:
+    at = ((found >> np.uint64(15)) & np.uint64(len(bits) * 8 // BLOCK_BITS - 1)) * np.uint64(BLOCK_BITS) + (found & np.uint64(BLOCK_BITS - 1))
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def common_bitmap(shared: DataFrame, n: int, max_mb: int) -> np.ndarray:
+    """Bitmap of the tokens (token: n distinct ones), 16 bits each; all ones if that is more than max_mb."""
+    blocks = power_of_two(n * 16 / BLOCK_BITS)
+    if blocks * (BLOCK_BITS // 8) > max_mb << 20:
+        return np.full(BLOCK_BITS // 8, 255, np.uint8)
+    block = F.shiftrightunsigned("token", 15).bitwiseAND(blocks - 1)
+    parts = shared.select(block.alias("block"), F.col("token").bitwiseAND(BLOCK_BITS - 1).alias("bit")).repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros((blocks, BLOCK_BITS // 8), np.uint8)
+    for part in parts.toLocalIterator():  # max_mb in all
+        out[part.block] = np.frombuffer(bytes(part.bits), np.uint8)
+    return out.ravel()
 
 
 def _slot(key: Column, bits: int) -> tuple[Column, Column]:
     slot = F.pmod(F.xxhash64(key), F.lit(bits))
-    return F.floor(slot / 32768), slot % 32768
+    return F.floor(slot / BLOCK_BITS), slot % BLOCK_BITS
 
 
 def with_known(rows: DataFrame, key: str, known: DataFrame, name: str, max_mb: int = 64) -> DataFrame:
@@ -151,13 +194,13 @@ def with_known(rows: DataFrame, key: str, known: DataFrame, name: str, max_mb: i
 
     A bitmap of 16 bits a known key, broadcast; above max_mb everything is true. It only saves shuffling: an exact join
     of the rows that it leaves follows."""
-    blocks = max(1, power_of_two(known.count() * 16 / 32768))
+    blocks = max(1, power_of_two(known.count() * 16 / BLOCK_BITS))
     if blocks * 4096 > max_mb << 20:
         return rows.withColumn(name, F.lit(True))
     column = known.columns[0]
-    block, bit = _slot(F.col(column), blocks * 32768)
+    block, bit = _slot(F.col(column), blocks * BLOCK_BITS)
     bitmap = known.select(block.alias("known_block"), bit.alias("bit")).repartition("known_block").groupBy("known_block").agg(F.bitmap_construct_agg("bit").alias("known_bits"))
-    at, own = _slot(F.col(key), blocks * 32768)
+    at, own = _slot(F.col(key), blocks * BLOCK_BITS)
     joined = rows.withColumn("known_block", at).join(F.broadcast(bitmap), "known_block", "left")
     return joined.select(*rows.columns, F.coalesce(bit_of(F.col("known_bits"), own), F.lit(False)).alias(name))
 
@@ -349,7 +392,7 @@ def _between_components(members: DataFrame, sets: DataFrame, labels: DataFrame,
     return found.distinct()
 
 
-def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, part_rows: int = 512) -> DataFrame:
+def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, part_rows: int = 512, max_bitmap_mb: int = 64) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, class_id, text_key.
 
     Documents with k-word shingle sets of a Jaccard similarity of percent / 100 or more link; component_id is the
@@ -359,13 +402,14 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has any, else component_id is null; repeated rows are in one component. Other columns are not read; no rows: none.
     """
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    read = written(summaries(slim, k, percent), "summaries")
+    read = written(summaries(slim, k), "summaries")
     linked = read.where("n > 0")
     sets = written(linked.groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("n", "vector", "text_key")), F.min("doc_id").alias("doc_id")), "sets")
-    keys = linked.select(F.explode("prefix").alias("token"), "set_id")
-    blocks = keys.groupBy("token").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot <> last").select("token", "pivot")
-    blocks = written(blocks, "blocks")
-    members = written(keep_known(keys, "token", blocks.select("token")).distinct().join(blocks, "token"), "members")
+    several = lambda t: t.groupBy("token").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot <> last")
+    common = written(several(tokens(slim, k, percent)).select("token"), "common")
+    keys = written(tokens(slim, k, percent, common_bitmap(common, common.count(), max_bitmap_mb)).distinct(), "keys")
+    blocks = written(several(keys).select("token", "pivot"), "blocks")
+    members = written(keep_known(keys, "token", blocks.select("token")).join(blocks, "token"), "members")
 
     stars = members.where("set_id <> pivot").select(F.col("pivot").alias("a"), F.col("set_id").alias("b")).distinct()
     edges = written(verified(stars, sets, slim, k, percent), "links")
