@@ -185,7 +185,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.inputs(features) @ self.weights, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 50) -> np.ndarray:
     """Weights of a logistic regression (Newton's method); the inputs are scaled within."""
     scale = np.maximum(x.std(axis=0), 1e-9)
     scale[0] = 1
