@@ -13,7 +13,8 @@ A document's set is its distinct k-word shingles. Documents link when the Jaccar
 3. What is left are blocks whose sets lie in different components. Their sets' count vectors (hashes counted in
    ``GROUPS`` groups, a point for each set) are indexed in R-trees, of bounded size: large blocks are split and the
    parts meet in pairs. A node is skipped if the sum of the coordinate minima of the query and the node's upper corner,
-   which bounds the overlap, is too small, or if all its sets are in the query's component.
+   which bounds the overlap, is too small, or if all its sets are in the query's component. A pair comes from the block
+   of its first common hash alone, whose places in the two orders bound the overlap once more.
 4. Pairs whose own minima allow the similarity are verified with the sets themselves; components are joined by large
    and small stars.
 """
@@ -141,8 +142,8 @@ def summaries(docs: DataFrame, k: int) -> DataFrame:
 
 
 def tokens(docs: DataFrame, k: int, percent: int, bitmap: np.ndarray | None = None) -> DataFrame:
-    """docs (text) to token, set_id. Without a bitmap: the sampled hashes of every set. With that of the hashes that
-    several sets have: those of them that are in the set's prefix."""
+    """docs (text) to token, set_id, place. Without a bitmap: the sampled hashes of every set. With that of the hashes that
+    several sets have: those of them that are in the set's prefix, with their place (from 0) in the agreed order."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,18 +153,19 @@ def tokens(docs: DataFrame, k: int, percent: int, bitmap: np.ndarray | None = No
                 text, found, n, start, sets = _sets(texts, k)
                 if bits is None:
                     kept = found < SAMPLED
+                    place = np.zeros(len(found), np.int64)
                 else:
                     # in the agreed order a text's own hashes come first; what they leave of its prefix is filled by value
                     own = (found < SAMPLED) & ~_in_bitmap(bits, found)
                     prefix = n - -(-n * percent // 100) + 1
-                    left = prefix - np.bincount(text, own, len(texts)).astype(np.int64)
+                    alone = np.bincount(text, own, len(texts)).astype(np.int64)
                     others = np.cumsum(~own)  # of all texts so far
-                    before = np.concatenate([[0], others])[start]
-                    kept = ~own & (others - before[text] <= left[text])
-                columns = [pa.array(found[kept].view(np.int64)), pa.array(sets[text[kept]])]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "set_id"])
+                    place = alone[text] + others - np.concatenate([[0], others])[start][text] - 1
+                    kept = ~own & (place < prefix[text])
+                columns = [pa.array(found[kept].view(np.int64)), pa.array(sets[text[kept]]), pa.array(place[kept])]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "set_id", "place"])
 
-    return docs.select("text").mapInArrow(run, "token long, set_id long")
+    return docs.select("text").mapInArrow(run, "token long, set_id long, place long")
 
 
 def _in_bitmap(bits: np.ndarray, found: np.ndarray) -> np.ndarray:
@@ -320,39 +322,42 @@ class CountTree:
 
 
 def _tree_join(percent: int):
-    """Rows (token, i, j, part, set_id, n, label, vector), sorted by token, i, j, to pairs a < b of candidates: part i
-    against part j, or one part (i = j) within itself."""
+    """Rows (token, i, j, part, set_id, n, label, place, earlier, vector), sorted by token, i, j, to pairs a < b of
+    candidates: part i against part j, or one part (i = j) within itself. earlier: the set's block tokens before this."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def join(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]:
-            i, j, part, ids, sizes, labels, vectors = (np.concatenate(c) for c in zip(*rows, strict=True))
-            one, two = np.flatnonzero(part == i[0]), np.flatnonzero(part == j[0])
-            if not len(one) or not len(two) or (labels == labels[0]).all():
-                return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        def candidates(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             if len(one) * len(two) <= 256:  # one leaf against another
                 minima = np.minimum(vectors[one][:, None], vectors[two][None]).sum(axis=2, dtype=np.int64)
-                able = _similar(minima, sizes[one][:, None] + sizes[two][None], percent) & (labels[one][:, None] != labels[two][None])
-                x, y = np.nonzero(able)
-                return ids[one[x]], ids[two[y]]
+                x, y = np.nonzero(_similar(minima, sizes[one][:, None] + sizes[two][None], percent) & (labels[one][:, None] != labels[two][None]))
+                return one[x], two[y]
             tree = CountTree(vectors[two], sizes[two], labels[two])
-            left, right = [], []
-            for q in one:
-                hits = two[tree.partners(vectors[q], int(sizes[q]), int(labels[q]), percent)]
-                left.append(np.full(len(hits), ids[q]))
-                right.append(ids[hits])
-            return np.concatenate(left), np.concatenate(right)
-
-        def batch_of(one: np.ndarray, two: np.ndarray) -> pa.RecordBatch:
-            pairs = np.unique(np.column_stack([np.minimum(one, two), np.maximum(one, two)]), axis=0)
+            hits = [two[tree.partners(vectors[q], int(sizes[q]), int(labels[q]), percent)] for q in one]
+            return np.repeat(one, [len(h) for h in hits]), np.concatenate(hits)
+
+        def join(rows: list[tuple]) -> np.ndarray:
+            i, j, part, ids, sizes, labels, places, vectors = (np.concatenate(c) for c in list(zip(*rows, strict=True))[:-1])
+            earlier = [set(tokens) for row in rows for tokens in row[-1]]
+            one, two = np.flatnonzero(part == i[0]), np.flatnonzero(part == j[0])
+            if not len(one) or not len(two) or (labels == labels[0]).all():
+                return np.zeros((0, 2), np.int64)
+            x, y = candidates(one, two, sizes, labels, vectors)
+            able = _similar(np.minimum(sizes[x] - places[x], sizes[y] - places[y]), sizes[x] + sizes[y], percent)
+            if i[0] == j[0]:
+                able &= ids[x] < ids[y]
+            pairs = [(ids[a], ids[b]) for a, b in zip(x[able].tolist(), y[able].tolist(), strict=True) if earlier[a].isdisjoint(earlier[b])]
+            return np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
+
+        def batch_of(out: list[np.ndarray]) -> pa.RecordBatch:
+            pairs = np.concatenate(out)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         key, rows = None, []
-        out: list[tuple[np.ndarray, np.ndarray]] = []
+        out: list[np.ndarray] = []
         for batch in batches:
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(7)]
-            vectors = np.frombuffer(b"".join(batch.column(7).to_pylist()), "<u2").reshape(-1, GROUPS)
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(8)]
+            vectors = np.frombuffer(b"".join(batch.column(9).to_pylist()), "<u2").reshape(-1, GROUPS)
+            earlier = batch.column(8).to_pylist()
             keys = np.column_stack(columns[:3])
             cuts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]])
             for start, end in zip(cuts[:-1], cuts[1:], strict=True):
@@ -362,34 +367,37 @@ def _tree_join(percent: int):
                     out.append(join(rows))
                     rows = []
                 key = tuple(keys[start])
-                rows.append((*(c[start:end] for c in columns[1:]), vectors[start:end]))
-            if sum(len(a) for a, _ in out) > 20_000:
-                yield batch_of(*(np.concatenate(c) for c in zip(*out, strict=True)))
+                rows.append((*(c[start:end] for c in columns[1:]), vectors[start:end], earlier[start:end]))
+            if sum(map(len, out)) > 20_000:
+                yield batch_of(out)
                 out = []
         if rows:
             out.append(join(rows))
         if out:
-            yield batch_of(*(np.concatenate(c) for c in zip(*out, strict=True)))
+            yield batch_of(out)
 
     return run
 
 
 def _between_components(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, part_rows: int) -> DataFrame:
-    """Candidate pairs of sets of different components that share a block. members: token, set_id."""
+    """Candidate pairs of sets of different components that share a block. members: token, set_id, place."""
     known = sets.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "n", "vector", F.coalesce("label", "set_id").alias("label"))
     known = written(known, "known")
-    labelled = written(members.join(known.select("set_id", "label"), "set_id").select("token", "set_id", "label"), "labelled")
+    labelled = written(members.join(known.select("set_id", "label"), "set_id").select("token", "set_id", "place", "label"), "labelled")
     same = [F.count("*").alias("size"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("set_id", F.lit(2))).alias("y")]
     mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), *same).where("low <> high")
-    # blocks of the same sets: one of them is enough
-    mixed = mixed.groupBy("size", "x", "y").agg(F.min("token").alias("token"))
+    # blocks of the same sets: the first of them is enough. Hashes are in the order of unsigned numbers
+    unsigned = lambda token: token.bitwiseXOR(F.lit(-(1 << 63)))
+    mixed = mixed.groupBy("size", "x", "y").agg(F.min_by("token", unsigned(F.col("token"))).alias("token"))
     parts = written(mixed.select("token", F.ceil(F.col("size") / part_rows).cast("int").alias("parts")), "mixed")
     rows = keep_known(labelled, "token", parts.select("token")).join(parts, "token").withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    dealt = rows.select("token", "set_id", "part", other).select("token", F.least("part", "other").cast("long").alias("i"), F.greatest("part", "other").cast("long").alias("j"), F.col("part").cast("long").alias("part"), "set_id")
-    full = dealt.join(known, "set_id").select("token", "i", "j", "part", "set_id", "n", "label", "vector")
-    found = full.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_tree_join(percent), "a long, b long")
-    return found.distinct()
+    dealt = rows.select("token", "set_id", "place", "part", other).select("token", F.least("part", "other").cast("long").alias("i"), F.greatest("part", "other").cast("long").alias("j"), F.col("part").cast("long").alias("part"), "set_id", "place")
+    blocks_of = written(labelled.groupBy("set_id").agg(F.collect_list("token").alias("tokens")), "blocks_of")
+    full = dealt.join(known, "set_id").join(blocks_of, "set_id")
+    earlier = F.filter("tokens", lambda t: unsigned(t) < unsigned(F.col("token")))
+    full = full.select("token", "i", "j", "part", "set_id", "n", "label", "place", earlier.alias("earlier"), "vector")
+    return full.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_tree_join(percent), "a long, b long")
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, part_rows: int = 512, max_bitmap_mb: int = 64) -> DataFrame:
@@ -414,7 +422,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = members.where("set_id <> pivot").select(F.col("pivot").alias("a"), F.col("set_id").alias("b")).distinct()
     edges = written(verified(stars, sets, slim, k, percent), "links")
     labels = components(edges)
-    others = _between_components(members.select("token", "set_id"), sets, labels, percent, part_rows)
+    others = _between_components(members.select("token", "set_id", "place"), sets, labels, percent, part_rows)
     more = written(verified(others, sets, slim, k, percent), "links")
     if more.limit(1).count():
         labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
