@@ -32,7 +32,7 @@ from .common import bit_of, power_of_two, written
 
 GROUPS = 256
 MOST = 0xFFFF  # of a count; a set with a larger one has this in all groups, which bounds nothing too low
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Hashes below this are looked at for whether one set alone has them.
 SAMPLED = np.uint64(int(0.32 * 2**64))
 BLOCK_BITS = 32768
@@ -98,10 +98,10 @@ def shingles(texts: list[str], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return text[new], found[new]
 
 
-def _chunks(texts: list) -> Iterator[tuple[int, list[str]]]:
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
     first, held, size = 0, [], 0
     for i, text in enumerate(texts):
-        held.append(text or "")
+        held.append(text.as_py() or "")
         size += len(held[-1])
         if size >= CHUNK:
             yield first, held
@@ -124,7 +124,7 @@ def _sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 def _summaries(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in _chunks(batch.column(1).to_pylist()):
+            for first, texts in _chunks(batch.column(1)):
                 text, found, n, _, sets = _sets(texts, k)
                 vectors = np.bincount(text * GROUPS + (found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=len(texts) * GROUPS).reshape(-1, GROUPS)
                 vectors[vectors.max(axis=1) > MOST] = MOST
@@ -149,7 +149,7 @@ def tokens(docs: DataFrame, k: int, percent: int, bitmap: np.ndarray | None = No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            for _, texts in _chunks(batch.column(0).to_pylist()):
+            for _, texts in _chunks(batch.column(0)):
                 text, found, n, start, sets = _sets(texts, k)
                 if bits is None:
                     kept = found < SAMPLED

@@ -36,7 +36,7 @@ class WordIds(dict):
     the tokenizer itself.
     """
 
-    MOST = 600_000
+    MOST = 250_000
 
     def __init__(self, path: str):
         import regex

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 ORDER = 7
 SLOTS_LOG2 = 20
 START, END = 1, 2
-CHUNK = 1 << 20  # characters of text handled at once
+CHUNK = 1 << 19  # characters of text handled at once
 TOP = 3
 COUNTS = ["n", "toxic0", "toxic1", "ordinary0", "ordinary1"]
 
@@ -39,11 +39,11 @@ def slots_of(codes: np.ndarray) -> np.ndarray:
     return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+def chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
     """(number of the first text, texts in lower case), about CHUNK characters at a time or one text."""
     first, held, size = 0, [], 0
     for i, text in enumerate(texts):
-        held.append((text or "").lower())
+        held.append((text.as_py() or "").lower())
         size += len(held[-1])
         if size >= CHUNK:
             yield first, held
@@ -79,7 +79,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, code_of = np.zeros((len(COUNTS), n), np.int64), np.zeros(n, np.int64)
     for batch in batches:
         kinds = np.array([-1 if k is None else k for k in batch.column(1).to_pylist()], np.int64)
-        for first, texts in chunks(batch.column(0).to_pylist()):
+        for first, texts in chunks(batch.column(0)):
             codes, _, text = ngrams(texts)
             slots = slots_of(codes)
             code_of[slots] = codes
@@ -223,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 100_000, max_cal
     def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kinds = np.array(batch.column(1).to_pylist(), np.int64)
-            for first, chunk in chunks(batch.column(0).to_pylist()):
+            for first, chunk in chunks(batch.column(0)):
                 kind = kinds[first : first + len(chunk)]
                 both = [m.features(chunk) for m in unseen]
                 features = np.where((kind % 2 == 0)[:, None], *both)
@@ -255,7 +255,7 @@ def score(docs: DataFrame, model: Model, columns: list[str] | None = None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            found = [own.features(chunk) for _, chunk in chunks(batch.column(batch.num_columns - 1).to_pylist())]
+            found = [own.features(chunk) for _, chunk in chunks(batch.column(batch.num_columns - 1))]
             features = np.vstack(found) if found else np.zeros((0, 2 + TOP))
             added = [pa.array(x) for x in (own.scores(features), features[:, 0], features[:, 1])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], [*columns, "score", "toxic_ll", "ordinary_ll"])
