@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_of, power_of_two, spare_name
+from .common import bit_of, power_of_two, spare_name, written
 
 BLOCK_BITS = 32768
 BITS_PER_ROW = 16
@@ -66,7 +66,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha
     )
     rows = tested.where(maybe).select("doc_id", sha).groupBy("text_sha256", "doc_id").agg(F.count("*").alias("rows"))
-    groups = rows.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("rows").alias("group_size"))
+    # as a table of its own, so that the join's large partitions (one text that very many rows have) can be split
+    groups = written(rows.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("rows").alias("group_size")), "groups")
     repeated = rows.join(groups, "text_sha256").select(
         "doc_id", "keep_id", "group_size", "text_sha256", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("copy")
     )
