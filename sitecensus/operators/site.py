@@ -304,6 +304,31 @@ def external_boards(sources: DataFrame, external: DataFrame) -> DataFrame:
     return theirs.join(own, "site").withColumn("accepted", F.arrays_overlap("own", "theirs")).drop("own", "theirs")
 
 
+def chosen_fetches(tries: DataFrame) -> DataFrame:
+    """The outcome of each URL (url, via, status, final_url, body, error, tries) from the tries that were made.
+
+    tries: url, seq, via (direct, plain, browser), status, final_url, body, error. Of the direct tries the first counts that
+    is not worth another one, else the last. A plain-http try replaces it after an https failure of the right kind, if it has
+    a status or no error; a browser's replaces that if it is an error, 202, 403, 429, 503 or blank, and the browser got anything."""
+    fields = ["via", "status", "final_url", "body", "error"]
+    one = F.struct(*fields)
+    retry = C.fetch_retry(F.col("error"))
+    of = lambda via, x: F.when(F.col("via") == via, x)
+    order = F.struct(retry, F.when(retry, -F.col("seq")).otherwise(F.col("seq")))
+    by_url = tries.groupBy("url").agg(
+        F.min_by(of("direct", one), of("direct", order)).alias("direct"),
+        F.max_by(of("plain", one), of("plain", F.col("seq"))).alias("plain"),
+        F.max_by(of("browser", one), of("browser", F.col("seq"))).alias("browser"),
+        F.count("*").alias("tries"),
+    )
+    got = F.coalesce(F.col("plain.status"), F.lit(0)) != 0
+    plain = C.http_downgrade(C.with_scheme(F.col("url")), F.col("direct.error")).isNotNull() & F.col("plain").isNotNull() & (got | F.col("plain.error").isNull())
+    first = by_url.select("url", "browser", "tries", F.when(plain, F.col("plain")).otherwise(F.col("direct")).alias("r"))
+    poor = F.col("r").isNull() | F.col("r.error").isNotNull() | F.coalesce(F.col("r.status"), F.lit(0)).isin(202, 403, 429, 503) | (F.trim(F.coalesce(F.col("r.body"), F.lit(""))) == "")
+    better = F.col("browser").isNotNull() & (F.col("browser.error").isNull() | (F.coalesce(F.col("browser.body"), F.lit("")) != ""))
+    return first.select("url", F.when(poor & better, F.col("browser")).otherwise(F.col("r")).alias("r"), "tries").select("url", *(f"r.{c}" for c in fields), "tries")
+
+
 def probe(domains: DataFrame, fetch: Callable[[str], dict], attempts: int = 2) -> DataFrame:
     """domains (domain) with the fields of a liveness result, by a function that fetches a URL (status, final_url, error,
     dns_active): https, then http; again if the first try says so. The function runs in the tasks."""

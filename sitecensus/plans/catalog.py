@@ -244,6 +244,10 @@ def board_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site.board_candidates(inline(spark, views.BOARD_PAGES, "site string, seq int, base string, body string, source_kind string"))
 
 
+def fetch_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site.chosen_fetches(inline(spark, views.TRIES, "url string, seq int, via string, status int, final_url string, body string, error string"))
+
+
 def _verified(spark: SparkSession) -> DataFrame:
     candidates = inline(spark, views.CANDIDATES, "site string, provider string, identifier string, url string, raw_url string, discovery string, source_kind string")
     return site.verified(candidates, inline(spark, views.FETCHED, "url string, status int, final_url string, body string"))
@@ -323,7 +327,7 @@ NAMES = (
     "split_contiguous split_balanced assign_zones queue_tail queue_head resume_anti_join resume_positional merge_active_list merge_inactive_list merge_summary merge_status_counts "
     "http_active_flags retry_candidates run_state_counters platform_histogram_zero_filled combined_rollup combined_status_counts throughput_eta shard_completion jsonl_permissive_counts "
     "jsonl_strict_decode extract_emails extract_phones extract_postcodes extract_company_numbers language_detect legal_form_names page_titles page_headings page_anchors footer_text "
-    "page_parse_full page_links_best social_links description_build hosting_detect content_active platform_scores website_platforms board_match board_candidates board_verify board_best "
+    "page_parse_full page_links_best social_links description_build hosting_detect content_active platform_scores website_platforms fetch_choice board_match board_candidates board_verify board_best "
     "structured_data identity_overlap crawl_bfs registry_upsert checksum_rows url_functions stream_state extract_record"
 ).split()
 

@@ -157,6 +157,23 @@ VERIFIED = f"""(SELECT c.*, coalesce(f.status, 0)::INTEGER AS http_status,
      WHEN 'ashby' THEN 'https://api.ashbyhq.com/posting-api/job-board/' || split_part(c.url, '/', -1)
      WHEN 'greenhouse' THEN 'https://boards-api.greenhouse.io/v1/boards/' || split_part(c.url, '/', -1) || '/jobs' ELSE c.url END)"""
 
+def _fetch_choice() -> str:
+    tries = values_sql(views.TRIES, "url, seq, via, status, final_url, body, error")
+    retry = f"coalesce({_any('lower(error)', fixed.RETRY_MARKERS)}, false)"
+    down = f"{_any('lower(d.error)', fixed.DOWNGRADE_MARKERS)} AND NOT {_any('lower(d.error)', fixed.NAME_ERROR_MARKERS)}"
+    fields = ["via", "status", "final_url", "body", "error"]
+    plain = f"coalesce({down} AND p.via IS NOT NULL AND (coalesce(p.status, 0) <> 0 OR p.error IS NULL), false)"
+    chosen = ", ".join(f"CASE WHEN {plain} THEN p.{c} ELSE d.{c} END AS {c}" for c in fields)
+    poor = "(r.error IS NOT NULL OR coalesce(r.status, 0) IN (202, 403, 429, 503) OR trim(coalesce(r.body, '')) = '')"
+    better = "(b.via IS NOT NULL AND (b.error IS NULL OR coalesce(b.body, '') <> ''))"
+    result = ", ".join(f"CASE WHEN {poor} AND {better} THEN b.{c} ELSE r.{c} END AS {c}" for c in fields)
+    return f"""WITH t AS (SELECT *, {retry} AS again FROM {tries} x),
+      d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY again, CASE WHEN again THEN -seq ELSE seq END) AS n FROM t WHERE via = 'direct') u WHERE n = 1),
+      p AS (SELECT * FROM t WHERE via = 'plain'), b AS (SELECT * FROM t WHERE via = 'browser'),
+      r AS (SELECT d.url, {chosen} FROM d LEFT JOIN p ON p.url = d.url)
+      SELECT r.url, {result}, (SELECT count(*) FROM t WHERE t.url = r.url) AS tries FROM r LEFT JOIN b ON b.url = r.url"""
+
+
 IDENTITY = "list_filter(regexp_extract_all(lower({0}), '[a-z0-9]+'), lambda x: len(x) >= 3 AND x NOT IN " + _listed(fixed.IDENTITY_STOP_WORDS) + ")"
 
 # a queue visited step by step: the state of a site is its visited pages, its queue and the kinds that it has
@@ -231,6 +248,7 @@ def oracle_sql() -> dict[str, str]:
         "board_verify": f"SELECT site, url, error IS NULL AS active, http_status, error FROM {VERIFIED} v",
         "board_best": f"""SELECT site, provider, identifier, url FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY (source_kind = 'website')::INTEGER, (discovery = 'raw')::INTEGER,
             len(list_filter(string_split({PATH}, '/'), lambda s: s <> '')), contains(raw_url, '?')::INTEGER, strlen(url), url) AS r FROM {VERIFIED} v WHERE error IS NULL) t WHERE r = 1""",
+        "fetch_choice": _fetch_choice(),
         "identity_overlap": f"""SELECT page_id, array_to_string(list_sort(list_distinct(own)), ' ') AS tokens, list_has_any(own, {IDENTITY.format(PATH)}) AS overlap
             FROM (SELECT page_id, url, {IDENTITY.format(HOST)} AS own FROM pages) p""",
         "crawl_bfs": CRAWL,
