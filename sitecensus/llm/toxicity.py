@@ -3,13 +3,15 @@
 For each class (toxic, ordinary) P(letter | the word so far, up to six letters back) is an interpolated
 Kneser-Ney estimate from that class's labelled rows. Its backoff distributions are shared: they come from the
 continuation counts of all documents, so that rare spellings of an expression are smoothed alike in both classes
-and only what a class has really seen tells them apart. Log-likelihoods are divided by length, for the document
+and only what a class has really seen tells them apart. Log-likelihoods are compared by length, for the document
 and for each word; a logistic function of the difference over the document and of the largest differences of
 its words gives the score. The function is fitted on rows that its language models have not seen (two folds).
 
-A letter or digit is one symbol of eight bits (rare letters share some). An n-gram of up to seven packs into 56
-bits and is counted in one of 2**20 slots, so the model's size is fixed: the counts of the whole corpus come together in Spark, a row a
-slot, and two tables of floats go to the executors. Counting and scoring each read every text, and no text moves.
+A letter or digit is one symbol of eight bits (rare letters share some), so an n-gram of up to seven packs into 56
+bits. The distinct n-grams of all documents, and of every shorter order, are tables that grow with the corpus and stay
+in Spark. A letter after a context that no class has seen has the same likelihood in both, which the comparison
+cancels; so executors get the n-grams of the other contexts alone, whose number the labelled sample bounds. Counting
+and scoring each read every text, and no text moves.
 """
 
 from __future__ import annotations
@@ -19,15 +21,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import power_of_two, written
+
 ORDER = 7
-SLOTS_LOG2 = 20
 START, END = 1, 2
 CHUNK = 1 << 19  # characters of text handled at once
+HELD = 1 << 20  # n-grams that a task counts before it passes them on
 TOP = 3
-COUNTS = ["n", "toxic0", "toxic1", "ordinary0", "ordinary1"]
+COUNTS = ["toxic0", "toxic1", "ordinary0", "ordinary1"]
 
 _letter = np.zeros(0x10000, np.uint8)
 for _b in range(0x10000):
@@ -35,10 +39,6 @@ for _b in range(0x10000):
         _letter[_b] = _b if _b < 256 else 16 + _b % 240
 
 
-def slots_of(codes: np.ndarray) -> np.ndarray:
-    return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
-
-
 def chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
     """(number of the first text, texts in lower case), about CHUNK characters at a time or one text."""
     first, held, size = 0, [], 0
@@ -73,24 +73,37 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, word[at], np.searchsorted(bounds, at, "right") - 1
 
 
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, which = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+    counts = np.concatenate([n for _, n in held], axis=1)
+    return codes, np.stack([np.bincount(which, n, len(codes)).astype(np.int64) for n in counts])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of (text, fold of its label or null: 0, 1 toxic, 2, 3 ordinary) to rows of slot, code and COUNTS."""
-    n = 1 << SLOTS_LOG2
-    counts, code_of = np.zeros((len(COUNTS), n), np.int64), np.zeros(n, np.int64)
+    """Batches of (text, fold of its label or null: 0, 1 toxic, 2, 3 ordinary) to rows of code and COUNTS: the distinct
+    n-grams of all texts, with their numbers in the labelled ones."""
+
+    def rows(codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in np.array_split(np.arange(len(codes)), max(1, len(codes) // 50_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (codes[at], *counts[:, at])], ["code", *COUNTS])
+
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
         kinds = np.array([-1 if k is None else k for k in batch.column(1).to_pylist()], np.int64)
         for first, texts in chunks(batch.column(0)):
             codes, _, text = ngrams(texts)
-            slots = slots_of(codes)
-            code_of[slots] = codes
-            counts[0] += np.bincount(slots, minlength=n)
-            kind = kinds[first + text]
-            for k in range(4):
-                if (own := kind == k).any():
-                    counts[1 + k] += np.bincount(slots[own], minlength=n)
-    seen = np.flatnonzero(counts[0])
-    for at in np.array_split(seen, max(1, len(seen) // 50_000)):
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, code_of[at], *counts[:, at])], ["slot", "code", *COUNTS])
+            found, kind = np.unique(codes), kinds[first + text]
+            counts = np.zeros((len(COUNTS), len(found)), np.int64)
+            for k in range(len(COUNTS)):
+                own, n = np.unique(codes[kind == k], return_counts=True)
+                counts[k, np.searchsorted(found, own)] = n
+            held.append((found, counts))
+            if sum(len(c) for c, _ in held) > HELD:
+                held = [_merged(held)]
+                if len(held[0][0]) > HELD // 2:
+                    yield from rows(*held.pop())
+    if held:
+        yield from rows(*_merged(held))
 
 
 def _drop_first(codes: np.ndarray) -> np.ndarray:
@@ -101,18 +114,15 @@ def _drop_first(codes: np.ndarray) -> np.ndarray:
     return codes & ((np.int64(1) << (8 * size)) - 1)
 
 
-def _by_context(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each code: its context's total, and number of different followers; with the discount for such counts."""
-    _, context = np.unique(codes >> 8, return_inverse=True)
-    total = np.bincount(context, counts)[context]
-    kinds = np.bincount(context, counts > 0)[context]
-    ones, twos = (counts == 1).sum(), (counts == 2).sum()
-    return total, kinds, np.float64(min(0.95, max(0.1, ones / (ones + 2 * twos)) if ones else 0.5))
+def discount(ones: int, twos: int) -> float:
+    """What is taken off counts of which so many are 1 and 2."""
+    return min(0.95, max(0.1, ones / (ones + 2 * twos)) if ones else 0.5)
 
 
-def kneser_ney(codes: np.ndarray, counts: np.ndarray, lower: np.ndarray | None = None) -> np.ndarray:
+def kneser_ney(codes: np.ndarray, counts: np.ndarray, lower: np.ndarray | None = None, off: float | None = None) -> np.ndarray:
     """Probability of each code's last symbol after the others; lower: that of the code without its first symbol,
-    else from the continuation counts of these codes. A context without counts gives ``lower``."""
+    else from the continuation counts of these codes. A context without counts gives ``lower``. off: the discount,
+    if more counts than these decide on it. All followers of a context must be among the codes."""
     if lower is None:
         rest = _drop_first(codes)
         shorter, which = np.unique(rest, return_inverse=True)
@@ -124,60 +134,117 @@ def kneser_ney(codes: np.ndarray, counts: np.ndarray, lower: np.ndarray | None =
             p = np.full(len(shorter), 1 / 256)
             p[own] = kneser_ney(shorter[own], continued[own])
             lower = np.where(single, lower, p[which])
-    total, kinds, discount = _by_context(codes, counts)
+    _, context = np.unique(codes >> 8, return_inverse=True)
+    total, kinds = np.bincount(context, counts)[context], np.bincount(context, counts > 0)[context]
+    off = discount((counts == 1).sum(), (counts == 2).sum()) if off is None else off
     seen = total > 0
     total = np.where(seen, total, 1)
-    return np.where(seen, np.maximum(counts - discount, 0) / total + discount * kinds / total * lower, lower)
+    return np.where(seen, np.maximum(counts - off, 0) / total + off * kinds / total * lower, lower)
+
+
+def _shorter(code: Column) -> Column:
+    """``_drop_first`` of a column."""
+    return F.coalesce(*(F.when(code >= F.lit(1 << 8 * k), code.bitwiseAND((1 << 8 * k) - 1)) for k in range(ORDER - 1, 0, -1)), F.lit(0).cast("long"))
+
+
+def backoff(types: DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """types: code and COUNTS of every distinct n-gram of the corpus. Of those whose context a labelled text has, which
+    are in order: code, shared backoff probability, and counts.
+
+    The continuation counts of each order are made from all n-grams of the next one; the driver gets those of contexts
+    that end a labelled one."""
+
+    def ending(rows: DataFrame, contexts: DataFrame) -> DataFrame:
+        return rows.join(contexts, F.shiftright("code", 8) == F.col("context"), "left_semi").orderBy("code")
+
+    found = sum(F.col(c) for c in COUNTS) > 0
+    contexts = written(types.where(found).select(F.shiftright("code", 8).alias("context")).distinct(), "contexts")
+    columns = ending(types, contexts).toArrow()
+    codes, counts = columns.column("code").to_numpy(), [columns.column(c).to_numpy() for c in COUNTS]
+    orders, longer, narrower = [], types, contexts
+    for _ in range(ORDER - 1):
+        longer = longer.where(F.col("code") > 255).groupBy(_shorter(F.col("code")).alias("code")).agg(F.count("*").alias("n"))
+        longer = written(longer, "orders")
+        narrower = written(narrower.select(_shorter(F.col("context")).alias("context")).distinct(), "contexts")
+        one, two = longer.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+        rows = ending(longer, narrower).toArrow()
+        orders.append((rows.column("code").to_numpy(), rows.column("n").to_numpy().astype(float), discount(one, two)))
+    known, p = np.zeros(0, np.int64), np.zeros(0)
+
+    def lower(longer: np.ndarray) -> np.ndarray:
+        out, several = np.full(len(longer), 1 / 256), longer > 255
+        out[several] = p[np.searchsorted(known, _drop_first(longer[several]))]
+        return out
+
+    for order, n, off in reversed(orders):
+        known, p = order, kneser_ney(order, n, lower(order), off)
+    return codes, lower(codes), counts
+
+
+class Lookup:
+    """Values by code, 0 for other codes: hashed tables, each with what had no place in the one before."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.tables = []
+        while len(codes):
+            size = power_of_two(2 * len(codes))
+            keys, held = np.full(size, -1, np.int64), np.zeros(size, np.float32)
+            at = self._slots(codes, size)
+            keys[at] = codes
+            here = keys[at] == codes
+            held[at[here]] = values[here]
+            self.tables.append((keys, held))
+            codes, values = codes[~here], values[~here]
+
+    def _slots(self, codes: np.ndarray, size: int, odd: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+        mixed = codes.astype(np.uint64) * np.uint64(odd)
+        return ((mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(65 - size.bit_length())).astype(np.int64) if size > 1 else np.zeros(len(codes), np.int64)
+
+    def __getitem__(self, codes: np.ndarray) -> np.ndarray:
+        out, left = np.zeros(len(codes), np.float32), np.arange(len(codes))
+        for keys, held in self.tables:
+            at = self._slots(codes[left], len(keys))
+            here = keys[at] == codes[left]
+            out[left[here]] = held[at[here]]
+            left = left[~here]
+        return out
 
 
 @dataclass
 class Model:
-    """Log-probabilities of every slot in both classes, and the logistic function of the features."""
+    """Log-likelihood ratio (toxic to ordinary) of every n-gram that has one, and the logistic function of the features."""
 
-    toxic: np.ndarray
-    ordinary: np.ndarray
+    ratio: Lookup
     weights: np.ndarray
     rate: float
 
     @classmethod
-    def of(cls, slots: np.ndarray, codes: np.ndarray, n: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> Model:
-        tables = []
-        if len(codes):
-            rest = _drop_first(codes)
-            shorter, which, continued = np.unique(rest, return_inverse=True, return_counts=True)
-            shared = kneser_ney(shorter, continued.astype(float))[which]
-        for counts in (toxic, ordinary):
-            table = np.zeros(1 << SLOTS_LOG2, np.float32)
-            if len(codes):
-                table[slots] = np.log(np.maximum(kneser_ney(codes, counts.astype(float), shared), 1e-12))
-            tables.append(table)
-        return cls(*tables, np.zeros(TOP + 2), 0.5)
+    def of(cls, codes: np.ndarray, shared: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> Model:
+        one, two = (np.log(np.maximum(kneser_ney(codes, n.astype(float), shared), 1e-12)) for n in (toxic, ordinary))
+        return cls(Lookup(codes[one != two], (one - two)[one != two]), np.zeros(TOP + 2), 0.5)
 
     def features(self, texts: list[str]) -> np.ndarray:
-        """(toxic and ordinary log-likelihood a letter; the largest differences of words, a letter each)."""
-        out = np.zeros((len(texts), 2 + TOP))
+        """(log-likelihood ratio a letter; the largest ratios of words, a letter each)."""
+        out = np.zeros((len(texts), 1 + TOP))
         codes, word, text = ngrams(texts)
         if not len(codes):
             return out
-        slots = slots_of(codes)
-        toxic, ordinary = self.toxic[slots], self.ordinary[slots]
-        letters = np.maximum(np.bincount(text, minlength=len(texts)), 1)
-        out[:, 0] = np.bincount(text, toxic, len(texts)) / letters
-        out[:, 1] = np.bincount(text, ordinary, len(texts)) / letters
-        # a word's difference is divided by the root of its length: its size counts beside its rate
+        ratio = self.ratio[codes]
+        out[:, 0] = np.bincount(text, ratio, len(texts)) / np.maximum(np.bincount(text, minlength=len(texts)), 1)
+        # a word's ratio is divided by the root of its length: its size counts beside its rate
         size = np.bincount(word)
-        words = np.bincount(word, toxic - ordinary) / np.sqrt(size)
+        words = np.bincount(word, ratio) / np.sqrt(size)
         text_of = text[np.concatenate([[0], np.cumsum(size)[:-1]])]
         order = np.lexsort((words, text_of))
         last = np.cumsum(np.bincount(text_of, minlength=len(texts)))
         first = last - np.bincount(text_of, minlength=len(texts))
         for k in range(TOP):
             there = last - 1 - k >= first
-            out[there, 2 + k] = words[order[last[there] - 1 - k]]
+            out[there, 1 + k] = words[order[last[there] - 1 - k]]
         return out
 
     def inputs(self, features: np.ndarray) -> np.ndarray:
-        return np.column_stack([np.ones(len(features)), features[:, 0] - features[:, 1], features[:, 2:]])
+        return np.column_stack([np.ones(len(features)), features])
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         if not self.weights.any():
@@ -213,52 +280,52 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 100_000, max_cal
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
     known = known.select("doc_id", (F.when(F.col("label") == 1, F.lit(0)).otherwise(2) + fold).alias("kind"))
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left").select("text", "kind")
-    counted = texts.mapInArrow(_count, "slot long, code long, " + ", ".join(f"{c} long" for c in COUNTS))
-    rows = counted.groupBy("slot").agg(F.max("code").alias("code"), *(F.sum(c).alias(c) for c in COUNTS)).toArrow()  # a row a slot at most
-    slots, codes, total, *parts = (rows.column(c).to_numpy() for c in ["slot", "code", *COUNTS])
-    t0, t1, o0, o1 = parts
-    model = Model.of(slots, codes, total, t0 + t1, o0 + o1)
-    unseen = [Model.of(slots, codes, total, t1, o1), Model.of(slots, codes, total, t0, o0)]  # by fold: from the other one
+    counted = texts.mapInArrow(_count, "code long, " + ", ".join(f"{c} long" for c in COUNTS))
+    types = written(counted.groupBy("code").agg(*(F.sum(c).alias(c) for c in COUNTS)), "types")
+    codes, shared, (t0, t1, o0, o1) = backoff(types)
+    model = Model.of(codes, shared, t0 + t1, o0 + o1)
+    unseen = [Model.of(codes, shared, t1, o1), Model.of(codes, shared, t0, o0)]  # by fold: from the other one
+    sent = docs.sparkSession.sparkContext.broadcast(unseen)
 
     def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kinds = np.array(batch.column(1).to_pylist(), np.int64)
             for first, chunk in chunks(batch.column(0)):
                 kind = kinds[first : first + len(chunk)]
-                both = [m.features(chunk) for m in unseen]
+                both = [m.features(chunk) for m in sent.value]
                 features = np.where((kind % 2 == 0)[:, None], *both)
-                yield pa.RecordBatch.from_arrays([pa.array(kind), *(pa.array(c) for c in features.T)], ["kind", *(f"f{i}" for i in range(TOP + 2))])
+                yield pa.RecordBatch.from_arrays([pa.array(kind), *(pa.array(c) for c in features.T)], ["kind", *(f"f{i}" for i in range(TOP + 1))])
 
     labelled = texts.where("kind is not null")
     share = min(1.0, max_calibration / max(1, min(n, max_labelled)))
     if share < 1:
         labelled = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1e6 * share))
-    seen = labelled.mapInArrow(calibrate, "kind long, " + ", ".join(f"f{i} double" for i in range(TOP + 2))).toArrow()
+    seen = labelled.mapInArrow(calibrate, "kind long, " + ", ".join(f"f{i} double" for i in range(TOP + 1))).toArrow()
     toxic = seen.column("kind").to_numpy() < 2
     model.rate = float((toxic.sum() + 0.5) / (len(toxic) + 1))
     if toxic.any() and not toxic.all():
-        features = np.column_stack([seen.column(f"f{i}").to_numpy() for i in range(TOP + 2)])
+        features = np.column_stack([seen.column(f"f{i}").to_numpy() for i in range(TOP + 1)])
         model.weights = logistic(model.inputs(features), toxic.astype(float))
     return model
 
 
 def score(docs: DataFrame, model: Model, columns: list[str] | None = None) -> DataFrame:
-    """columns of docs (as they are; default: all but the text) with score, toxic_ll and ordinary_ll (a letter).
+    """columns of docs (as they are; default: all but the text) with score and log_ratio (toxic to ordinary, a letter).
 
-    Null and empty texts have likelihoods 0 and the score of a text without words. docs needs a column text;
-    columns must not be called like the three added ones.
+    Null and empty texts have ratio 0 and the score of a text without words. docs needs a column text;
+    columns must not be called like the two added ones.
     """
     columns = [c for c in docs.columns if c != "text"] if columns is None else columns
-    shared = docs.sparkSession.sparkContext.broadcast((model.toxic, model.ordinary, model.weights, model.rate))
-    schema = docs.select(*(F.col(f"`{c}`") for c in columns)).schema.add("score", "double").add("toxic_ll", "double").add("ordinary_ll", "double")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = docs.select(*(F.col(f"`{c}`") for c in columns)).schema.add("score", "double").add("log_ratio", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
+        own = shared.value
         for batch in batches:
             found = [own.features(chunk) for _, chunk in chunks(batch.column(batch.num_columns - 1))]
-            features = np.vstack(found) if found else np.zeros((0, 2 + TOP))
-            added = [pa.array(x) for x in (own.scores(features), features[:, 0], features[:, 1])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], [*columns, "score", "toxic_ll", "ordinary_ll"])
+            features = np.vstack(found) if found else np.zeros((0, 1 + TOP))
+            added = [pa.array(x) for x in (own.scores(features), features[:, 0])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], [*columns, "score", "log_ratio"])
 
     return docs.select(*(F.col(f"`{c}`") for c in columns), F.col("text")).mapInArrow(run, schema)
 
@@ -269,14 +336,14 @@ def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1):
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **bounds: int) -> DataFrame:
-    """One row for each row of docs: doc_id, held_out, score, predicted, toxic_ll, ordinary_ll.
+    """One row for each row of docs: doc_id, held_out, score, predicted, log_ratio.
 
     docs: doc_id, text; labels: doc_id, toxic. Labels of held-out rows are not read. See ``fit`` for nulls,
     repeated rows and bounds. No rows: no rows.
     """
     model = fit(docs, labels.where(~held_out()).select("doc_id", F.col("toxic").alias("label")), **bounds)
     scored = score(docs.select("doc_id", "text"), model)
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "toxic_ll", "ordinary_ll")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "log_ratio")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **bounds: int) -> DataFrame:
@@ -284,4 +351,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **bou
     model = fit(docs, labels.where(~held_out()).select("doc_id", F.col("toxic").alias("label")), **bounds)
     renamed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))).withColumn("text", F.col(f"c{docs.columns.index('text')}"))
     scored = score(renamed, model, renamed.columns[:-1])
-    return scored.where(F.col("score") < threshold).drop("score", "toxic_ll", "ordinary_ll").toDF(*docs.columns)
+    return scored.where(F.col("score") < threshold).drop("score", "log_ratio").toDF(*docs.columns)

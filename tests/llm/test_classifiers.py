@@ -77,6 +77,29 @@ def test_probabilities_add_up_to_one():
         assert total <= 1 + 1e-9  # the rest is for letters not seen after it
 
 
+def test_backoff_equals_the_plain_recursion(spark):
+    texts = ["abba abc no", "cab a bad", "dab nab an", "abbacab cabbage zzz", None, ""]
+    kinds = [0, 2, None, 3, 1, None]
+    codes, _, text = toxicity.ngrams([t or "" for t in texts])
+    seen, which = np.unique(codes, return_inverse=True)
+    plain = [np.bincount(which, [kinds[t] == k for t in text], len(seen)) for k in range(4)]
+    shorter, rest, continued = np.unique(toxicity._drop_first(seen), return_inverse=True, return_counts=True)
+    shared = toxicity.kneser_ney(shorter, continued.astype(float))[rest]
+    labelled = np.isin(seen >> 8, (seen >> 8)[sum(plain) > 0])
+
+    frame = spark.createDataFrame(list(zip(texts, kinds, strict=True)), "text string, kind int")
+    counted = frame.mapInArrow(toxicity._count, "code long, " + ", ".join(f"{c} long" for c in toxicity.COUNTS))
+    types = counted.groupBy("code").agg(*(toxicity.F.sum(c).alias(c) for c in toxicity.COUNTS))
+    found, p, counts = toxicity.backoff(types)
+    assert types.count() == len(seen) and found.tolist() == seen[labelled].tolist() and len(found) < len(seen)
+    assert p == pytest.approx(shared[labelled])
+    assert all((a == b[labelled]).all() for a, b in zip(counts, plain, strict=True))
+    # contexts that no class has seen tell nothing
+    both = [np.log(toxicity.kneser_ney(seen, n.astype(float), shared)) for n in (plain[0] + plain[1], plain[2] + plain[3])]
+    model = toxicity.Model.of(found, p, counts[0] + counts[1], counts[2] + counts[3])
+    assert model.ratio[seen] == pytest.approx(both[0] - both[1], abs=1e-5)
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(0)
     size = quality.WORDS + quality.STATS
