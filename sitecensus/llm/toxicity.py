@@ -39,6 +39,13 @@ for _b in range(0x10000):
         _letter[_b] = _b if _b < 256 else 16 + _b % 240
 
 
+def hashed(codes: np.ndarray, size: int) -> np.ndarray:
+    """A slot of each code; size is a power of two."""
+    mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((mixed >> np.uint64(32)) & np.uint64(size - 1)).astype(np.int64)
+
+
 def chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
     """(number of the first text, texts in lower case), about CHUNK characters at a time or one text."""
     first, held, size = 0, [], 0
@@ -88,16 +95,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (codes[at], *counts[:, at])], ["code", *COUNTS])
 
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    passed = np.full(HELD, -1, np.int64)  # n-grams passed on, by hash: most are repeats, which need no sorting
     for batch in batches:
         kinds = np.array([-1 if k is None else k for k in batch.column(1).to_pylist()], np.int64)
         for first, texts in chunks(batch.column(0)):
             codes, _, text = ngrams(texts)
-            found, kind = np.unique(codes), kinds[first + text]
-            counts = np.zeros((len(COUNTS), len(found)), np.int64)
+            at = hashed(codes, HELD)
+            new = passed[at] != codes
+            passed[at[new]] = codes[new]
+            fresh, kind = np.unique(codes[new]), kinds[first + text]
+            held.append((fresh, np.zeros((len(COUNTS), len(fresh)), np.int64)))
             for k in range(len(COUNTS)):
                 own, n = np.unique(codes[kind == k], return_counts=True)
-                counts[k, np.searchsorted(found, own)] = n
-            held.append((found, counts))
+                counts = np.zeros((len(COUNTS), len(own)), np.int64)
+                counts[k] = n
+                held.append((own, counts))
             if sum(len(c) for c, _ in held) > HELD:
                 held = [_merged(held)]
                 if len(held[0][0]) > HELD // 2:
@@ -154,21 +166,22 @@ def backoff(types: DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]
     The continuation counts of each order are made from all n-grams of the next one; the driver gets those of contexts
     that end a labelled one."""
 
-    def ending(rows: DataFrame, contexts: DataFrame) -> DataFrame:
-        return rows.join(contexts, F.shiftright("code", 8) == F.col("context"), "left_semi").orderBy("code")
+    def ending(rows: DataFrame, contexts: DataFrame) -> list[np.ndarray]:
+        found = rows.join(contexts, F.shiftright("code", 8) == F.col("context"), "left_semi").toArrow()
+        order = np.argsort(found.column("code").to_numpy())
+        return [found.column(c).to_numpy()[order] for c in found.column_names]
 
     found = sum(F.col(c) for c in COUNTS) > 0
     contexts = written(types.where(found).select(F.shiftright("code", 8).alias("context")).distinct(), "contexts")
-    columns = ending(types, contexts).toArrow()
-    codes, counts = columns.column("code").to_numpy(), [columns.column(c).to_numpy() for c in COUNTS]
+    codes, *counts = ending(types.select("code", *(F.col(c).cast("int") for c in COUNTS)), contexts)
     orders, longer, narrower = [], types, contexts
     for _ in range(ORDER - 1):
         longer = longer.where(F.col("code") > 255).groupBy(_shorter(F.col("code")).alias("code")).agg(F.count("*").alias("n"))
         longer = written(longer, "orders")
         narrower = written(narrower.select(_shorter(F.col("context")).alias("context")).distinct(), "contexts")
         one, two = longer.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-        rows = ending(longer, narrower).toArrow()
-        orders.append((rows.column("code").to_numpy(), rows.column("n").to_numpy().astype(float), discount(one, two)))
+        order, n = ending(longer.select("code", F.col("n").cast("int")), narrower)
+        orders.append((order, n, discount(one, two)))
     known, p = np.zeros(0, np.int64), np.zeros(0)
 
     def lower(longer: np.ndarray) -> np.ndarray:
@@ -177,7 +190,7 @@ def backoff(types: DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]
         return out
 
     for order, n, off in reversed(orders):
-        known, p = order, kneser_ney(order, n, lower(order), off)
+        known, p = order, kneser_ney(order, n.astype(float), lower(order), off)
     return codes, lower(codes), counts
 
 
@@ -189,21 +202,17 @@ class Lookup:
         while len(codes):
             size = power_of_two(2 * len(codes))
             keys, held = np.full(size, -1, np.int64), np.zeros(size, np.float32)
-            at = self._slots(codes, size)
+            at = hashed(codes, size)
             keys[at] = codes
             here = keys[at] == codes
             held[at[here]] = values[here]
             self.tables.append((keys, held))
             codes, values = codes[~here], values[~here]
 
-    def _slots(self, codes: np.ndarray, size: int, odd: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-        mixed = codes.astype(np.uint64) * np.uint64(odd)
-        return ((mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(65 - size.bit_length())).astype(np.int64) if size > 1 else np.zeros(len(codes), np.int64)
-
     def __getitem__(self, codes: np.ndarray) -> np.ndarray:
         out, left = np.zeros(len(codes), np.float32), np.arange(len(codes))
         for keys, held in self.tables:
-            at = self._slots(codes[left], len(keys))
+            at = hashed(codes[left], len(keys))
             here = keys[at] == codes[left]
             out[left[here]] = held[at[here]]
             left = left[~here]
@@ -266,12 +275,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 50
     return w / scale
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 100_000, max_calibration: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_calibration: int = 20_000) -> Model:
     """docs: doc_id, text. labels: doc_id and label (0, 1), the rows to learn from.
 
     Rows that a doc_id repeats count once (label 1 wins); null ids and labels do not count. Above max_labelled
-    rows a fixed sample of about so many (by the hash of the id) is used, since they are broadcast; the shared
-    counts come from all docs in any case. Without rows of both classes scores are the same for all texts.
+    rows a fixed sample of about so many (by the hash of the id) is used: it bounds the model, which the driver and every
+    executor hold. The shared counts come from all docs in any case. Without rows of both classes scores are the same for all texts.
     """
     known = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
     n = known.count()
