@@ -1,28 +1,34 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 The documents of a source, in the order of their ids, form blocks of ``block_docs``. Block j (from 0) of a
-source of weight w is released at slot floor(j / w) and due by slot ceil((j + 1) / w); earliest-deadline-first
-gives each slot to the released block that is due first. Weights are rounded to shares of ``period`` slots
-(largest remainder), so the schedule repeats: only one period, a table of ``period`` rows, is scheduled, and
-block j of a source with s shares stands at slot (j div s) * period + pattern(source, j mod s). Every prefix of
-the slots then holds less than one block more or less of each source than its weight asks for.
-
-Ranks within a source come from counts by id range, added up, and a window within one range: no source has to
-pass through one task.
+source of weight w (a fraction of the sum of all weights) is released at slot floor(j / w) and due by slot
+ceil((j + 1) / w); earliest-deadline-first gives each slot to the released block that is due first. Weights
+are exact fractions, so every prefix of the slots holds less than one block more or less of each source than
+its weight asks for, however long the schedule is and however many sources it has, until the source runs out.
+
+The schedule is made in one task, which sees the sources' numbers of rows alone and holds one block a source;
+its rows, one a block, are spread again and joined to the ranges of ids. Ranks within a source come from counts
+by id range, added up, and a window within one range: no source has to pass through one task.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import spare_name
 
+#: Ids of a range whose rows are numbered in one task.
+ID_WIDTH = 1000
+
 
 def shares(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Slots of each source in a period: largest remainders, at least one each."""
+    """Weights rounded to a schedule that repeats: slots of each source in a period, largest remainders, at least one each."""
     if any(w <= 0 for w in weights.values()):
         raise ValueError("weights must be positive")
     if period < len(weights):
@@ -35,38 +41,87 @@ def shares(weights: dict[str, float], period: int) -> dict[str, int]:
     return out
 
 
-def pfair_pattern(share: dict[str, int]) -> list[str]:
-    """The source of each slot of one period; ties of deadlines go to the smaller name."""
-    period = sum(share.values())
-    released: list[list[tuple[int, str]]] = [[] for _ in range(period)]
-    for source, s in share.items():
-        for j in range(s):
-            released[j * period // s].append((-(-(j + 1) * period // s), source))
+def pfair(weights: dict[str, float], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of all blocks, by slot; ties of deadlines go to the smaller name.
+
+    A source's next block waits until the one before has its slot, which is due earlier in any case.
+    """
+    if any(w <= 0 for w in weights.values()):
+        raise ValueError("weights must be positive")
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    total = sum(exact.values())
+    gap = {s: (total / w).as_integer_ratio() for s, w in exact.items()}  # slots a block
+    waiting = [(0, s) for s in weights if blocks.get(s, 0) > 0]
+    heapq.heapify(waiting)
     ready: list[tuple[int, str]] = []
-    pattern = []
-    for slot in range(period):
-        for block in released[slot]:
-            heapq.heappush(ready, block)
+    at = dict.fromkeys(weights, 0)
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            source = heapq.heappop(waiting)[1]
+            p, q = gap[source]
+            heapq.heappush(ready, (-(-(at[source] + 1) * p // q), source))
         due, source = heapq.heappop(ready)
         if due <= slot:
             raise AssertionError("a block missed its deadline")
-        pattern.append(source)
-    return pattern
+        p, q = gap[source]
+        block = at[source]
+        yield source, block, block * p // q, due, slot
+        at[source] = block + 1
+        if block + 1 < blocks[source]:
+            heapq.heappush(waiting, ((block + 1) * p // q, source))
+        slot += 1
+
+
+def pfair_pattern(share: dict[str, int]) -> list[str]:
+    """The source of each slot of one period."""
+    return [source for source, *_ in pfair(share, share)]
 
 
-def _ranked(docs: DataFrame, id_col: str, source_col: str, width: int = 1000) -> DataFrame:
-    """docs with a column of structs: each row's source and number (from 0) within it, by id. Nulls come first."""
+def _slots(counts: DataFrame, weights: dict[str, float], block_docs: int, batch_rows: int) -> DataFrame:
+    """counts: source, n. (source, block, release, deadline, slot) of every block of the sources that have a weight."""
+    schema = "source string, block long, release long, deadline long, slot long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[str, int] = {}
+        for batch in batches:
+            blocks |= {s: -(-n // block_docs) for s, n in zip(*(c.to_pylist() for c in batch.columns), strict=True) if s in weights}
+        names, rows = [f.split(" ")[0] for f in schema.split(", ")], []
+        for row in pfair(weights, blocks):
+            rows.append(row)
+            if len(rows) == batch_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+                rows.clear()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+
+    return counts.select("source", "n").repartition(1).mapInArrow(run, schema)
+
+
+def _placed(docs: DataFrame, weights: dict[str, float], id_col: str, source_col: str, block_docs: int, period: int) -> DataFrame:
+    """docs with a struct ``mix``: each row's source, rank (from 0, by id; nulls first) within it, block, release, deadline, slot."""
     names = docs.columns
-    source, part, rank, before = (spare_name(names, n) for n in ("mix_source", "mix_part", "mix_rank", "mix_before"))
+    source, part, rank, before, rows, block, slots = (spare_name(names, f"mix_{n}") for n in ("source", "part", "rank", "before", "rows", "block", "slots"))
     # rows without an id are spread by all their columns: they may be many, and their order is free
     spread = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in names)), F.lit(1 << 20)) - F.lit(1 << 62)
-    keyed = docs.withColumns({source: F.coalesce(F.col(f"`{source_col}`"), F.lit("")), part: F.coalesce(F.floor(F.col(f"`{id_col}`") / width), spread)})
+    keyed = docs.withColumns({source: F.coalesce(F.col(f"`{source_col}`"), F.lit("")), part: F.coalesce(F.floor(F.col(f"`{id_col}`") / ID_WIDTH), spread)})
     earlier = Window.partitionBy(source).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    counts = keyed.groupBy(source, part).agg(F.count("*").alias(before))
-    counts = counts.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
+    counts = keyed.groupBy(source, part).agg(F.count("*").alias(rows))
+    placed = _slots(counts.groupBy(F.col(source).alias("source")).agg(F.sum(rows).alias("n")), weights, block_docs, period)
+    # the blocks that a range of ids has rows of, as a list beside its number of earlier rows: documents do not move for them
+    blocks = counts.withColumn(before, F.coalesce(F.sum(rows).over(earlier), F.lit(0)))
+    blocks = blocks.withColumn(block, F.explode(F.sequence(F.floor(F.col(before) / block_docs), F.floor((F.col(before) + F.col(rows) - 1) / block_docs))))
+    blocks = blocks.join(placed.withColumnsRenamed({"source": source, "block": block}), [source, block], "left")
+    ranges = blocks.groupBy(source, part, before).agg(F.array_sort(F.collect_list(F.struct(F.col(block).alias("block"), "release", "deadline", "slot"))).alias(slots))
     numbered = keyed.withColumn(rank, F.row_number().over(Window.partitionBy(source, part).orderBy(f"`{id_col}`")) - 1)
-    joined = numbered.join(counts, [source, part])  # has the window's partitioning: the rows do not move again
-    return joined.select(*(F.col(f"`{c}`") for c in names), F.struct(F.col(source).alias("source"), (F.col(rank) + F.col(before)).alias("rank")).alias("mix"))
+    joined = numbered.join(ranges, [source, part])  # has the window's partitioning: the rows do not move again
+    number = F.col(rank) + F.col(before)
+    own = F.get(F.col(slots), (F.floor(number / block_docs) - F.floor(F.col(before) / block_docs)).cast("int"))
+    slot = F.coalesce(own["slot"], F.raise_error(F.concat(F.lit("no weight for source "), F.col(source))).cast("long"))
+    mix = F.struct(F.col(source).alias("source"), number.cast("long").alias("rank"), *(own[k].alias(k) for k in ("block", "release", "deadline")), slot.alias("slot"))
+    return joined.select(*(F.col(f"`{c}`") for c in names), mix.alias("mix"))
 
 
 def target_weights(docs: DataFrame, source_col: str = "source", alpha: float = 0.5, max_sources: int = 10_000) -> dict[str, float]:
@@ -80,24 +135,6 @@ def target_weights(docs: DataFrame, source_col: str = "source", alpha: float = 0
     return {r.source: r.n**alpha for r in rows}
 
 
-def _placed(docs: DataFrame, weights: dict[str, float], id_col: str, source_col: str, block_docs: int, period: int) -> DataFrame:
-    """The rows of ``_ranked`` with block, release, deadline and slot added to the struct ``mix``."""
-    period = max(period, len(weights))
-    share = shares(weights, period) if weights else {}
-    pattern: dict[str, list[int]] = {s: [] for s in share}
-    for slot, source in enumerate(pfair_pattern(share)):
-        pattern[source].append(slot)
-    table = docs.sparkSession.createDataFrame([(s, p) for s, p in pattern.items()], "known string, pattern array<int>")
-    rows = _ranked(docs, id_col, source_col).join(F.broadcast(table), F.col("mix.source") == F.col("known"), "left")
-    share_of = F.when(F.col("known").isNull(), F.raise_error(F.concat(F.lit("no weight for source "), F.col("mix.source"))).cast("long")).otherwise(F.size("pattern").cast("long"))
-    block, n = F.floor(F.col("mix.rank") / block_docs), F.col("share")
-    slot = F.floor(block / n) * period + F.get(F.col("pattern"), (block % n).cast("int"))
-    fields = {"block": block, "release": F.floor(block * period / n), "deadline": F.ceil((block + 1) * period / n), "slot": slot}
-    mix = F.struct("mix.source", "mix.rank", *(x.cast("long").alias(k) for k, x in fields.items()))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return rows.select(*columns, "mix", share_of.alias("share"), "pattern").select(*columns, mix.alias("mix"))
-
-
 def schedule(
     docs: DataFrame, weights: dict[str, float], id_col: str = "doc_id", source_col: str = "source", block_docs: int = 16, period: int = 1000
 ) -> DataFrame:
@@ -106,6 +143,7 @@ def schedule(
     slot orders the blocks of all sources (release <= slot < deadline); within a slot rows follow source_rank.
     A source that runs out leaves its later slots empty, and no row is dropped or repeated. A null source
     counts as ''; a source without a weight is an error. Other columns are not read; no rows: no rows.
+    period: slots that the scheduling task gives out at a time; the schedule does not depend on it.
     """
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source_"))
     placed = _placed(slim, weights, "doc_id", "source_", block_docs, period)

@@ -48,3 +48,17 @@ def test_interleave_is_in_schedule_order(spark):
     slot = {r.doc_id: (r.slot, r.source_rank) for r in mixing.schedule(frame, weights, block_docs=4, period=50).collect()}
     order = [slot[r.doc_id] for r in mixing.interleave(frame, weights, block_docs=4, period=50).collect()]
     assert order == sorted(order)
+
+
+def test_schedule_follows_the_weights_themselves(spark):
+    few = {"hot": 7.0} | {f"s{i}": 2.0 for i in range(7)}  # a third, as the others' shares do not divide a period
+    many = {"hot": 500.0} | {f"s{i:04}": 1.0 for i in range(1000)}
+    for weights, blocks in ((few, 1500), (many, 600)):
+        names = ["hot"] * blocks + [s for s in weights if s != "hot"] * (-(-3 * blocks // (2 * len(weights))) + 1)
+        frame = spark.createDataFrame([(i, "t", "en", s, 1) for i, s in enumerate(names)], DOCS)
+        got = mixing.schedule(frame, weights, block_docs=1).collect()
+        assert len(got) == len(names) and len({r.slot for r in got}) == len(got)
+        total = sum(map(Fraction, weights.values()))
+        for r in got:  # the number of the source's blocks before and after its slot
+            asked = [Fraction(weights[r.source]) / total * t for t in (r.slot, r.slot + 1)]
+            assert abs(r.source_rank - asked[0]) < 1 and abs(r.source_rank + 1 - asked[1]) < 1
