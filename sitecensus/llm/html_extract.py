@@ -1,12 +1,13 @@
 """Main text of web pages, with site templates removed.
 
 Every page is parsed into a tree of elements, and each block element's subtree (tag and text, all the way down) is
-hashed. Spark counts the hashes per host over different pages; subtrees that recur on many pages of a host are its
-template. A second reading of the pages deletes them, as well as what a tag, class or role marks as a menu, header,
+hashed. Spark counts the hashes per host over different pages; subtrees that recur on a good share of a host's pages are
+its template. A second reading of the pages deletes them, as well as what a tag, class or role marks as a menu, header,
 footer, sidebar, notice, advert, form or reader comment, and gives the text of what is left of the article.
 
-Pages that are equal within a host count once, so copies of a page do not make it a template. Paragraphs, headings and
-quotations inside the article (or main) element stay even if they recur: an article may share them with others.
+Pages that are equal within a host count once, so copies of a page do not make it a template. Inside the article (or main)
+element only subtrees that recur on most pages of the host are deleted, lists and tables like any other, and paragraphs,
+headings and quotations stay even then: an article may share them with others.
 
 The template of all hosts is broadcast as a sorted array of 64-bit keys while it has at most ``max_broadcast`` keys;
 beyond that it is joined to the pages' hashes.
@@ -132,8 +133,10 @@ def subtree_keys(html: str) -> tuple[int, np.ndarray]:
     return root.key, np.fromiter(keys, np.uint64, len(keys)).view(np.int64)
 
 
-def main_text(html: str, is_template) -> str:
-    """Text of the article; is_template tells whether a subtree's key belongs to the host's template."""
+def main_text(html: str, is_template, is_common=None) -> str:
+    """Text of the article; is_template tells whether a subtree's key belongs to the host's template, is_common
+    (or else is_template) whether it is on most pages of the host, as it has to be inside the article."""
+    is_common = is_common or is_template
     root = Tree(html).root
     hash_subtrees(root)
 
@@ -142,7 +145,7 @@ def main_text(html: str, is_template) -> str:
             return True
         if not inside and (n.tag == "header" or n.marks & MARKED_OUTSIDE and n.tag != "body"):
             return True
-        return n.tag not in INLINE and not (n.tag in PROSE and (inside or n.tag in ("article", "main", "body"))) and is_template(n.key)
+        return n.tag not in INLINE and not (n.tag in PROSE and (inside or n.tag in ("article", "main", "body"))) and (is_common if inside else is_template)(n.key)
 
     def found(wanted) -> list[Node]:
         """Outermost elements that are wanted and not dropped."""
@@ -203,7 +206,8 @@ def _with_host(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
 
 def templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """pages: html, host. (key): of host and subtree, for those on min_pages different pages and min_share of the host's."""
+    """pages: html, host. (key, common): key of host and subtree, for those on min_pages different pages and min_share
+    of the host's; common: on more than half of the host's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,31 +224,32 @@ def templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
     # keys of equal pages are equal: any row of them will do
     parsed = pages.select("html", "host").mapInArrow(run, "host long, page long, keys array<long>").dropDuplicates(["host", "page"])
     counted = parsed.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    if min_share <= 0:
-        return counted.select("key")
     sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
-    return counted.join(sizes, "host").where(F.col("n") >= F.col("pages") * min_share).select("key")
+    return counted.join(sizes, "host").where(F.col("n") >= F.col("pages") * min_share).select("key", (F.col("n") * 2 > F.col("pages")).alias("common"))
 
 
 def extract_main_text(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 8, min_share: float = 0.0, max_broadcast: int = 1_000_000
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 3, min_share: float = 0.2, max_broadcast: int = 1_000_000
 ) -> DataFrame:
     """One row for each row of pages: page_id, url, text, n_chars.
 
     Blocks are joined by two line feeds, white space inside a block is one space; text is empty if there is none.
     A null html is an empty page; pages with a null url share the host ''. Null ids and repeated rows are rows of
     their own (copies of a page get the same text). Other columns are not read; no rows: no rows.
+    A host's template is what recurs on min_share of its different pages, and on min_pages of them.
     """
     slim = _with_host(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")), "url", "html")
     found = templates(slim, min_pages, min_share).persist()
     schema = "page_id long, url string, text string, n_chars long"
     if found.count() <= max_broadcast:
-        known = pages.sparkSession.sparkContext.broadcast(np.unique(found.toArrow().column("key").to_numpy()))
+        rows = found.toArrow()
+        keys, common = rows.column("key").to_numpy(), rows.column("common").to_numpy()
+        known = pages.sparkSession.sparkContext.broadcast((np.unique(keys), np.unique(keys[common])))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 hosts = _host_keys(batch.column(3).to_pylist())
-                yield _texts(batch, [_member(known.value, int(h)) for h in hosts])
+                yield _texts(batch, [[_member(k, int(h)) for k in known.value] for h in hosts])
 
         return slim.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "host").mapInArrow(run, schema)
 
@@ -257,13 +262,13 @@ def extract_main_text(
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts = _host_keys(batch.column(3).to_pylist())
-            own = [np.array(sorted(x.as_py() or []), np.int64) for x in batch.column(4)]
-            yield _texts(batch, [_member(k, int(h)) for k, h in zip(own, hosts, strict=True)])
+            own = [[np.array(sorted(x.as_py() or []), np.int64) for x in both] for both in zip(batch.column(4), batch.column(5), strict=True)]
+            yield _texts(batch, [[_member(k, int(h)) for k in both] for both, h in zip(own, hosts, strict=True)])
 
     page = F.xxhash64("url", "html")
-    hits = slim.select(page.alias("page"), "html", "host").mapInArrow(collect, "page long, key long").join(found, "key").groupBy("page").agg(F.collect_set("key").alias("keys"))
+    hits = slim.select(page.alias("page"), "html", "host").mapInArrow(collect, "page long, key long").join(found, "key").groupBy("page").agg(F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("common"), F.col("key"))).alias("common"))
     joined = slim.withColumn("page", page).join(hits, "page", "left")
-    return joined.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "host", "keys").mapInArrow(run_joined, schema)
+    return joined.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "host", "keys", "common").mapInArrow(run_joined, schema)
 
 
 def _member(known: np.ndarray, host: int):
@@ -278,5 +283,5 @@ def _member(known: np.ndarray, host: int):
 
 
 def _texts(batch: pa.RecordBatch, tests: list) -> pa.RecordBatch:
-    texts = [main_text(html.as_py(), test) for html, test in zip(batch.column(2), tests, strict=True)]
+    texts = [main_text(html.as_py(), *own) for html, own in zip(batch.column(2), tests, strict=True)]
     return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

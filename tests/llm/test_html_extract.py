@@ -24,6 +24,21 @@ def test_templates_of_a_host_are_deleted_where_no_tag_marks_them(spark):
         assert got[203] == "Great offers every day\n\nCall us\n\nStory number 1\n\ntells 1 things"
 
 
+def test_templates_are_relative_to_the_pages_of_the_host(spark):
+    rows = []
+    for i in range(60):  # on 10 of 60 pages by chance: a list item, a table row and a passage; on all: the line on top
+        chance = "<ul><li>Free parking</li></ul><table><tr><td>Open daily</td></tr></table>" if i < 10 else ""
+        rows.append((i, f"https://large.com/{i}", f"<body><div>On top</div><div>Own {i}</div>{chance}</body>"))
+        rows.append((100 + i, f"https://articles.com/{i}", f"<body><article><div>On top</div><p>Own {i}</p>{chance * (i < 10)}{'<ul><li>Often</li></ul>' * (i < 25)}</article></body>"))
+    rows += [(200 + i, f"https://small.com/{i}", f"<body><div>On top</div><div>Own {i}</div></body>") for i in range(4)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for options in ({}, {"max_broadcast": 0}):
+        got = {r.page_id: r.text for r in html_extract.extract_main_text(frame, **options).collect()}
+        assert got[3] == "Own 3\n\nFree parking\n\nOpen daily" and got[30] == "Own 30"
+        assert got[103] == "Own 3\n\nFree parking\n\nOpen daily\n\nOften" and got[120] == "Own 20\n\nOften" and got[130] == "Own 30"
+        assert got[202] == "Own 2"
+
+
 def test_edge_cases(spark):
     rows = [(1, None, None), (1, None, None), (2, "x", ""), (None, "u", "plain text"), (3, "u", "<p>un<b>closed &amp &nbsp; <i>tags"), (4, "u", "<" * 500), (5, "u", "<div>" * 3000 + "deep"), (6, "u", "<script>never closed"), (7, "u", "<!-- a -->b<![CDATA[c]]>")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
