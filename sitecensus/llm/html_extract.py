@@ -7,7 +7,8 @@ footer, sidebar, notice, advert, form or reader comment, and gives the text of w
 
 Pages that are equal within a host count once, so copies of a page do not make it a template. Inside the article (or main)
 element only subtrees that recur on most pages of the host are deleted, lists and tables like any other, and paragraphs,
-headings and quotations stay even then: an article may share them with others.
+headings and quotations stay even then: an article may share them with others. Marks count there only as whole class
+names of containers, and words with other meanings only on what recurs in the host.
 
 The template of all hosts is broadcast as a sorted array of 64-bit keys while it has at most ``max_broadcast`` keys;
 beyond that it is joined to the pages' hashes.
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -41,17 +43,41 @@ MARKED = frozenset(
     "sidebar nav navbar navigation menu breadcrumb breadcrumbs footer comment comments commentlist disqus reply replies respond related recommended share sharing social popup "
     "modal overlay toolbar pagination pager widget skip search login".split()
 )
+#: Those that an article's own parts may have, too: inside it, they count only for what recurs in the host.
+AMBIGUOUS = frozenset("promo promotion banner consent notice alert subscription menu comment reply replies respond recommended share social popup modal overlay toolbar widget skip search login".split())
 MARKED_OUTSIDE = frozenset("header masthead topbar".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 SPACE = re.compile(r"\s+")
 
 
+@lru_cache(8192)
+def marks_of(classes: str, name: str) -> frozenset:
+    """What an element's class and id say: "sure" or "maybe" by whole class names, "name" by a whole class name or id
+    (header words included), and "part" by a word inside a class name."""
+    whole = frozenset(classes.lower().split())
+    outside, sure = MARKED | MARKED_OUTSIDE, MARKED - AMBIGUOUS
+    words = frozenset(re.split(r"[^a-z0-9]+", classes.lower()))
+    found = {"sure": whole & sure, "maybe": whole & AMBIGUOUS, "name": (whole | {name.lower().strip()}) & outside, "part": words & (sure | MARKED_OUTSIDE)}
+    return frozenset(mark for mark, by in found.items() if by)
+
+
 class Node:
     __slots__ = ("children", "marks", "tag", "key")
 
     def __init__(self, tag: str, marks: frozenset = frozenset()):
         self.tag, self.marks, self.children, self.key = tag, marks, [], 0
 
+    def articles(self) -> tuple[int, int]:
+        """Numbers of main and of article elements, this one included."""
+        mains = articles = 0
+        stack = [self]
+        while stack:
+            n = stack.pop()
+            mains += n.tag == "main" or "role-main" in n.marks
+            articles += n.tag == "article"
+            stack += [c for c in n.children if isinstance(c, Node)]
+        return mains, articles
+
 
 class Tree(HTMLParser):
     """Builds the elements of a page; ends of elements that HTML lets authors leave out are put in."""
@@ -71,16 +97,20 @@ class Tree(HTMLParser):
         if tag in SIBLINGS:
             self.end(SIBLINGS[tag], SCOPE[tag])
         marks = set()
+        classes = own_id = ""
         for name, value in attrs:
-            if name in ("class", "id") and value:
-                marks.update(re.split(r"[^a-z0-9]+", value.lower()))
+            if name == "class":
+                classes = value or ""
+            elif name == "id":
+                own_id = value or ""
             elif name == "role" and value and value.lower() in ROLES:
-                marks.add("ad")
+                marks.add("unseen")
             elif name == "role" and value and value.lower() == "main":
                 marks.add("role-main")
             elif name == "hidden":
-                marks.add("ad")
-        node = Node(tag, frozenset(marks))
+                marks.add("unseen")
+        named = marks_of(classes, own_id) if classes or own_id else frozenset()
+        node = Node(tag, named | marks)
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -140,10 +170,29 @@ def main_text(html: str, is_template, is_common=None) -> str:
     root = Tree(html).root
     hash_subtrees(root)
 
+    def around_article(n: Node) -> bool:
+        """Whether n holds a main element or all articles of the page, as <div class="has-sidebar"> may."""
+        mains, articles = n.articles()
+        return mains > 0 or articles > 0 and articles == root.articles()[1]
+
+    def marked(n: Node, inside: bool) -> bool:
+        """Whether a role, class or id tells that n is no text of the article."""
+        if not n.marks or n.tag in ("body", "html", "main"):
+            return False
+        if "unseen" in n.marks:
+            return True
+        if inside:  # containers alone, and articles in the article: reader comments
+            if n.tag in INLINE or n.tag in SIBLINGS or n.tag in PROSE and n.tag != "article":
+                return False
+            return "sure" in n.marks or "maybe" in n.marks and is_template(n.key)
+        if n.tag in PROSE:
+            return n.tag != "article" and "sure" in n.marks
+        return "role-main" not in n.marks and ("name" in n.marks or "part" in n.marks and not around_article(n))
+
     def dropped(n: Node, inside: bool) -> bool:
-        if n.tag in UNSEEN or n.tag in ASIDE or n.marks & MARKED and n.tag not in ("body", "html", "main"):
+        if n.tag in UNSEEN or n.tag in ASIDE or marked(n, inside):
             return True
-        if not inside and (n.tag == "header" or n.marks & MARKED_OUTSIDE and n.tag != "body"):
+        if not inside and n.tag == "header":
             return True
         return n.tag not in INLINE and not (n.tag in PROSE and (inside or n.tag in ("article", "main", "body"))) and (is_common if inside else is_template)(n.key)
 

@@ -39,6 +39,25 @@ def test_templates_are_relative_to_the_pages_of_the_host(spark):
         assert got[202] == "Own 2"
 
 
+def test_words_of_class_and_id_do_not_delete_the_article():
+    body = """<h2 id="search-algorithms">Search</h2><p class="ad-hoc">Ad hoc</p><section id="related-work"><p>Related</p></section>
+<div class="elementor-widget elementor-widget-text-editor"><p>Widget</p></div><div class="alert"><p>Mind this</p></div><ul id="menu"><li class="menu">Soup</ul>"""
+    all_of_it = "Search\n\nAd hoc\n\nRelated\n\nWidget\n\nMind this\n\nSoup"
+    none = lambda key: False
+    for page in ('<body class="search"><article class="post comments-open">%s</article>', '<div class="has-sidebar"><main id="search">%s</main></div>', '<div role="main" class="widget">%s</div>'):
+        assert html_extract.main_text(page % body, none) == all_of_it
+    plain = """<h2 id="search-algorithms">Search</h2><p class="ad-hoc">Ad hoc</p><div class="elementor-widget-text-editor">Widget</div>"""
+    assert html_extract.main_text(plain, none) == "Search\n\nAd hoc\n\nWidget"
+    teaser = '<div class="has-sidebar"><article>Own</article></div><div class="related-posts"><article>Teaser</article></div>'
+    assert html_extract.main_text('<div class="no-header">' + teaser.replace("has-sidebar", "x") + "</div>", none) == "Own"
+    notice = '<article><p>Text</p><div class="notice">%s</div><div class="x ad">Buy</div><article class="comments">Hi</article></article>'
+    key = html_extract.Tree(notice % "Sale").root
+    html_extract.hash_subtrees(key)
+    recurring = key.children[0].children[1].key
+    for text, left in (("Sale", "Text"), ("Odd", "Text\n\nOdd")):
+        assert html_extract.main_text(notice % text, lambda k: k == recurring, none) == left
+
+
 def test_edge_cases(spark):
     rows = [(1, None, None), (1, None, None), (2, "x", ""), (None, "u", "plain text"), (3, "u", "<p>un<b>closed &amp &nbsp; <i>tags"), (4, "u", "<" * 500), (5, "u", "<div>" * 3000 + "deep"), (6, "u", "<script>never closed"), (7, "u", "<!-- a -->b<![CDATA[c]]>")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
