@@ -31,7 +31,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, vocabulary())
+    """Files do not keep the order of rows, so the mixture's order is made again: it follows from the rows alone."""
+    return packing.pack_documents(mixing.interleave(docs, mixing.target_weights(docs)), vocabulary())
 
 
 STAGES = [

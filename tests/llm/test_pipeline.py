@@ -56,3 +56,24 @@ def test_whole_run(spark, tmp_path):
     places = [order[r.doc_id] for r in mixed.collect()]
     assert places == sorted(places)
     assert packing.END_ID == 2
+
+
+def test_sequences_of_a_run_follow_the_mixture(spark, tmp_path):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(7))
+    rows = [(i, " ".join(word() for _ in range(30 + 300 * (i % 2))), "en", "hot" if i % 10 else "cold", 1) for i in range(1000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(0, 1000, 2)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or else so few rows are one partition
+    try:
+        result = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    kept = docs.where(docs.doc_id.isin(sorted({r.doc_id for r in result})))
+    place = {r.doc_id: (r.slot, r.source_rank) for r in mixing.schedule(kept, mixing.target_weights(kept)).collect()}
+    parts = {}
+    for r in result:
+        parts.setdefault(r.sequence_id >> 33, set()).add(place[r.doc_id])
+    order = [parts[k] for k in sorted(parts)]
+    assert len(order) > 1 and all(max(a) < min(b) for a, b in zip(order, order[1:]))
