@@ -1,14 +1,14 @@
 """License scans by diagonal voting.
 
-All k-grams of a document's words are joined to the k-grams of the license templates (a small fixed table,
-broadcast). A hit at word p of the document and word q of a template votes for the diagonal p - q. Votes are
-counted by (document, template, diagonal), before the shuffle already; diagonals at most ``gap`` words apart
-are merged, since inserted or missing words shift a passage to a neighbouring diagonal; and the merged span
-is verified: enough of the template's k-grams must be in it, and it may not be much longer than the template.
-The join compares the k-grams themselves beside their hashes, so no vote comes from a hash collision.
-
-Document, words and counts stay in one row set all along (documents without hits vote for no template), so
-texts are read once and never shuffled.
+The k-grams of a document that are a template's are joined to the k-grams of the license templates (a small fixed
+table, broadcast). A hit at word p of the document and word q of a template is on the diagonal p - q, and the words
+around it are compared with the template's along that diagonal. Diagonals at most ``gap`` words apart are merged,
+since inserted or missing words shift a passage to a neighbouring diagonal; and the merged span is verified: the
+different words of the template that it has must be a good share of the template and of the span. Of spans that
+overlap, the one with most of its template's words stays.
+
+Document and counts stay in one row set all along (documents without hits have a row without a template), so texts
+are read once and never shuffled.
 """
 
 from __future__ import annotations
@@ -21,19 +21,29 @@ from .common import ascii_lower
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Fixed phrases: words, label.
 BASE_PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
+#: Creative Commons licenses: label, and how notices spell its elements.
+CREATIVE_COMMONS = [
+    ("cc-by", ["attribution"]),
+    ("cc-by-sa", ["attribution sharealike", "attribution share alike"]),
+    ("cc-by-nd", ["attribution noderivatives", "attribution no derivatives", "attribution noderivs"]),
+    ("cc-by-nc", ["attribution noncommercial", "attribution non commercial"]),
+    ("cc-by-nc-sa", ["attribution noncommercial sharealike", "attribution non commercial share alike", "attribution noncommercial share alike"]),
+    ("cc-by-nc-nd", ["attribution noncommercial noderivatives", "attribution non commercial no derivatives", "attribution noncommercial no derivatives", "attribution noncommercial noderivs"]),
+]
 #: Fixed public license notices: label, words.
 TEMPLATES = [
+    *((label, f"licensed under a creative commons {spelt} 4 0 international license") for label, spellings in CREATIVE_COMMONS for spelt in spellings),
+    *((label, f"licensed under {label.replace('-', ' ')} 4 0") for label, _ in CREATIVE_COMMONS),
     ("apache", "licensed under the apache license version 2 0"),
     ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
     ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by", "licensed under cc by 4 0"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("lgpl", "this work is licensed under the gnu lesser general public license version 3"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("agpl", "this work is licensed under the gnu affero general public license version 3"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
@@ -58,14 +68,21 @@ def _phrase_starts(words: Column, phrase: list[str]) -> Column:
 
 
 def template_grams(docs: DataFrame, templates: list[tuple[str, str]], k: int) -> DataFrame:
-    """(gram, template_hash, template, at, size): every k-gram of every template, with the template's number of them."""
+    """(gram, template, at, template_words): every k-gram of every template."""
     rows = []
     for number, (_, text) in enumerate(templates):
         words = text.split(" ")
-        size = len(words) - k + 1
-        rows += [(" ".join(words[i : i + k]), number, i, size) for i in range(size)]
-    grams = docs.sparkSession.createDataFrame(rows, "gram string, template int, at int, size int")
-    return grams.withColumn("template_hash", F.xxhash64("gram"))
+        rows += [(" ".join(words[i : i + k]), number, i, words) for i in range(len(words) - k + 1)]
+    return docs.sparkSession.createDataFrame(rows, "gram string, template int, at int, template_words array<string>")
+
+
+def _disjoint(spans: Column) -> Column:
+    """Best spans first, those that do not share half of the shorter one with a better one."""
+    length = lambda s: s["last_word"] - s["first_word"] + 1
+    common = lambda a, b: F.least(a["last_word"], b["last_word"]) - F.greatest(a["first_word"], b["first_word"]) + 1
+    overlap = lambda a, b: common(a, b) * 2 >= F.least(length(a), length(b))
+    none = F.filter(spans, lambda s: F.lit(False))
+    return F.reduce(F.sort_array(spans, asc=False), none, lambda kept, s: F.when(F.exists(kept, lambda b: overlap(b, s)), kept).otherwise(F.array_append(kept, s)))
 
 
 def scan_licenses(
@@ -83,20 +100,20 @@ def scan_licenses(
     spans (array of label, first_word, last_word, coverage).
 
     Base labels are those of the phrases, wherever their words stand in sequence; the method adds those of
-    templates of which a span covers ``least_coverage`` of the k-grams. score: the best coverage, 1 with a
-    base label. Null and empty texts have no words: counts 0, positions null, labels empty, score 0. Repeated
+    templates of which a span has enough words: coverage, the template's words found of the template's words or (if
+    more) of the span's, is at least ``least_coverage``. score: the best coverage, 1 with a base label. Null and empty texts have no words: counts 0, positions null, labels empty, score 0. Repeated
     rows and null ids are rows of their own. Other columns are not read; an empty table gives no rows.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), words_of(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))
     starts = [_phrase_starts(F.col("words"), phrase.split(" ")) for phrase, _ in phrases]
-    found = F.array_compact(F.array(*(F.when(F.size(s) > 0, F.lit(label)) for s, (_, label) in zip(starts, phrases, strict=True))))
+    labelled = F.array_compact(F.array(*(F.when(F.size(s) > 0, F.lit(label)) for s, (_, label) in zip(starts, phrases, strict=True))))
     rows = rows.select(
         "row",
         "doc_id",
         "words",
         F.size("words").cast("long").alias("n_words"),
         F.concat(*starts).alias("starts"),
-        F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(labelled)), ",").alias("base_labels"),
     ).select(
         "row",
         "doc_id",
@@ -108,32 +125,47 @@ def scan_licenses(
         "words",
     )
     document = rows.columns[:-1]
-    grams = F.when(
-        F.size("words") >= k,
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - (k - 1), F.lit(1))), lambda i: F.array_join(F.slice("words", i, k), " ")),
-    )
-    table = template_grams(docs, templates, k)
+    gram = lambda i: F.array_join(F.slice("words", i, k), " ")
+    known = sorted({" ".join(w[i : i + k]) for w in (text.split(" ") for _, text in templates) for i in range(len(w) - k + 1)})
+    around = max(len(text.split(" ")) for _, text in templates)
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size("words") - (k - 1), F.lit(1))), lambda i: gram(i).isin(known))
+    context = lambda i: F.slice("words", F.greatest(i - around, F.lit(1)), 2 * around)
+    found = F.transform(places, lambda i: F.struct((i - 1).alias("word"), gram(i).alias("doc_gram"), F.greatest(i - around - 1, F.lit(0)).alias("start"), context(i).alias("context")))
+    at = lambda q: F.col("hit.word") - F.col("at") + q - F.col("hit.start")
+    agree = lambda q: F.get(F.col("hit.context"), at(q)) == F.get(F.col("template_words"), q)
     hits = (
-        rows.select(*document, F.posexplode_outer(grams).alias("word", "doc_gram"))
-        .withColumn("gram_hash", F.xxhash64("doc_gram"))
-        .join(F.broadcast(table), (F.col("doc_gram") == F.col("gram")) & (F.col("gram_hash") == F.col("template_hash")), "left")
-    )
-    diagonals = hits.groupBy(*document, "template", "size", (F.col("word") - F.col("at")).alias("diagonal")).agg(
-        F.count("template").alias("votes"), F.min("word").alias("first"), F.max("word").alias("last")
+        rows.select(*document, F.explode_outer(found).alias("hit"))
+        .join(F.broadcast(template_grams(docs, templates, k)), F.col("hit.doc_gram") == F.col("gram"), "left")
+        .select(
+            *document,
+            "template",
+            F.size("template_words").alias("size"),
+            (F.col("hit.word") - F.col("at")).alias("diagonal"),
+            F.when(F.col("template").isNotNull(), F.filter(F.sequence(F.lit(0), F.size("template_words") - 1), agree)).alias("same"),
+        )
     )
+    diagonals = hits.groupBy(*document, "template", "size", "diagonal").agg(F.first("same").alias("same"))
     by_template = Window.partitionBy("row", "template").orderBy("diagonal")
     far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by_template) > gap, F.lit(True))
     merged = (
         diagonals.withColumn("far", far.cast("int"))
         .withColumn("span", F.sum("far").over(by_template))
         .groupBy(*document, "template", "size", "span")
-        .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
-        .withColumn("coverage", F.least(F.lit(1.0), F.col("votes") / F.col("size")))
+        .agg(
+            F.size(F.array_distinct(F.flatten(F.collect_list("same")))).alias("covered"),
+            F.min(F.col("diagonal") + F.array_min("same")).alias("first"),
+            F.max(F.col("diagonal") + F.array_max("same")).alias("last"),
+        )
+        .withColumn("length", F.col("last") - F.col("first") + 1)
+        .withColumn("coverage", F.col("covered") / F.greatest("size", "length"))
     )
     label = F.element_at(F.array(*(F.lit(name) for name, _ in templates)), F.col("template") + 1)
-    verified = (F.col("coverage") >= least_coverage) & (F.col("last") - F.col("first") + 1 <= F.col("size") * slack + gap)
-    span = F.when(verified, F.struct(label.alias("label"), F.col("first").cast("long").alias("first_word"), (F.col("last") + k - 1).cast("long").alias("last_word"), "coverage"))
-    per_doc = merged.groupBy(*document).agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    verified = (F.col("coverage") >= least_coverage) & (F.col("length") <= F.col("size") * slack + gap)
+    fields = {"covered": F.col("covered"), "coverage": F.col("coverage"), "label": label, "first_word": F.col("first").cast("long"), "last_word": F.col("last").cast("long")}
+    span = F.when(verified, F.struct(*(x.alias(name) for name, x in fields.items())))
+    per_doc = merged.groupBy(*document).agg(F.collect_list(span).alias("spans")).withColumn("spans", _disjoint(F.col("spans")))
+    shown = lambda s: F.struct(s["label"].alias("label"), s["first_word"].alias("first_word"), s["last_word"].alias("last_word"), s["coverage"].alias("coverage"))
+    per_doc = per_doc.withColumn("spans", F.array_sort(F.transform("spans", shown)))
     base = F.when(F.col("base_labels") == "", F.array().cast("array<string>")).otherwise(F.split("base_labels", ","))
     labels = F.array_join(F.array_sort(F.array_distinct(F.concat(base, F.transform("spans", lambda s: s["label"])))), ",")
     best = F.array_max(F.transform("spans", lambda s: s["coverage"]))

@@ -37,3 +37,20 @@ def test_base_matches_brute_force_and_methods_labels(spark):
 
 def test_empty_table(no_docs):
     assert license_scan.scan_licenses(no_docs).count() == 0
+
+
+def test_labels_of_changed_and_overlapping_notices(spark):
+    texts = {
+        "licensed under the Creative Commons Attribution 4.0 International License": "cc-by",
+        "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+        "licensed under the Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License": "cc-by-nc-nd",
+        "Licensed under CC BY-NC-SA 4.0": "cc-by-nc-sa",
+        "Licensed under CC BY 3.0": "cc-by",
+        "This work is licensed under the GNU Lesser General Public License version 3": "gpl,lgpl",
+        "creative commons attribution creative commons attribution creative commons attribution creative commons attribution": "",
+        "released under the MIT licence. Then: licensed under CC BY-SA 4.0": "cc-by-sa,mit",
+    }
+    frame = spark.createDataFrame([(i, "x y z. " + t + ", and more words here") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
