@@ -171,7 +171,9 @@ def language_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def legal_form_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site.legal_form_names(inline(spark, views.LEGAL_TEXTS, "site string, text string"))
+    """Of all documents, each a site of its own, and the inline texts."""
+    documents = table(spark, sf_dir, "documents").selectExpr("concat('d', CAST(doc_id AS STRING)) AS site", "coalesce(text, '') AS text")
+    return site.legal_form_names(documents.unionByName(inline(spark, views.LEGAL_TEXTS, "site string, text string")))
 
 
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +264,8 @@ def board_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def structured_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = site.parsed(inline(spark, views.STRUCTURED_PAGES, "site string, html string"))
+    pages = table(spark, sf_dir, "pages").selectExpr("concat('p', CAST(page_id AS STRING)) AS site", "html")
+    page = site.parsed(pages.unionByName(inline(spark, views.STRUCTURED_PAGES, "site string, html string")))
     keys = ["names", "legal_names", "alternate_names", "postcodes", "towns", "addresses", "urls", "types"]
     each = F.array(*(F.struct(F.lit(k).alias("key"), F.col(f"structured.{k}").alias("vals")) for k in keys))
     return page.select("site", F.explode(each).alias("e")).select("site", "e.key", F.posexplode("e.vals").alias("n", "value"))

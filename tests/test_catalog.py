@@ -52,3 +52,12 @@ def test_entry(spark):
 
 def test_oracles_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_texts_and_pages_are_read_beside_the_inline_rows(spark, tmp_path):
+    spark.createDataFrame([(7, "Acme Widgets Limited is here"), (8, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    html = '<script type="application/ld+json">{"@type": "Organization", "name": "Acme"}</script>'
+    spark.createDataFrame([(9, "https://acme.uk/", html), (10, None, None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    for name, site in (("legal_form_names", "d7"), ("structured_data", "p9")):
+        sites = {r.site for r in entry.queries()[name](spark, str(tmp_path)).collect()}
+        assert {site, "a"} <= sites
