@@ -7,6 +7,9 @@ limits). When none fits whole, the best one is cut so that the sequence is full.
 loss limit leaves short, or that ends its partition, is cut back to a power of two, which needs no padding, and
 what was cut off waits for the next one.
 
+Documents are packed like instructions: the first ids of each, its prompt, bear no loss (a prefix language model),
+and all others do but a piece's first, which nothing precedes.
+
 Each task packs the rows it reads, in one pass, with a pool of bounded size; nothing is shuffled.
 """
 
@@ -32,8 +35,8 @@ class WordIds(dict):
 
     The vocabulary's merges are in the order of their ids, so the byte-pair engine that works by ranks gives
     the same ids; a byte that UTF-8 never uses stands for the end of a word. Texts with characters beyond
-    Latin letters and plain punctuation, whose case or white space libraries may treat differently, go through
-    the tokenizer itself.
+    Latin letters and plain punctuation, whose case or white space libraries may treat differently, and texts that
+    hold the beginning of a special token's string, which is one id there, go through the tokenizer itself.
     """
 
     MOST = 250_000
@@ -44,10 +47,10 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
         special = {token.content for token in self.tokenizer.get_added_tokens_decoder().values()}
+        self.marks = sorted({content[:2] for content in special})
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printable)}
         ranks = {}
@@ -67,7 +70,7 @@ class WordIds(dict):
         return found
 
     def of(self, text: str) -> bytes:
-        if self.odd(text):
+        if self.odd(text) or any(mark in text for mark in self.marks):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.__getitem__, text.split()))
 
@@ -79,8 +82,8 @@ def word_ids(path: str) -> WordIds:
 
 class Packer:
     """Packs the examples of one stream. ``add`` and ``finish`` yield full sequences: lists of (example, start,
-    length, loss). An example is (key, ids, loss sums or None): with None every id but a piece's first bears loss;
-    otherwise sums[i] is the number of loss-bearing ids before i."""
+    length, loss). An example is (key, ids, loss): if loss is a number, so many ids at the start bear none, and every
+    other id but a piece's first does; otherwise loss[i] is the number of loss-bearing ids before i."""
 
     def __init__(self, tokens: int, segments: int, loss: int, pool: int):
         self.limits = np.array([tokens, segments, loss], float)
@@ -91,8 +94,8 @@ class Packer:
 
     @staticmethod
     def losses(example: tuple, start: int, end: int) -> int:
-        sums = example[2]
-        return max(0, end - start - 1) if sums is None else int(sums[end] - sums[start])
+        bears = example[2]
+        return max(0, end - max(start + 1, bears)) if isinstance(bears, int) else int(bears[end] - bears[start])
 
     def wait(self, items: list[tuple[tuple, int, int]]) -> None:
         if items:
@@ -113,10 +116,10 @@ class Packer:
     def cut(self, item: tuple[tuple, int, int], most: int, loss: int) -> int:
         """Length of the longest head of at most ``most`` ids and ``loss`` loss-bearing ones."""
         example, start, end = item
-        most = min(most, end - start)
-        if example[2] is None:
-            return min(most, loss + 1)
-        return min(most, int(np.searchsorted(example[2], example[2][start] + loss, "right")) - 1 - start)
+        bears = example[2]
+        if isinstance(bears, int):
+            return min(most, end - start, max(start + 1, bears) + loss - start)
+        return min(most, end - start, int(np.searchsorted(bears, bears[start] + loss, "right")) - 1 - start)
 
     def fill(self) -> list[tuple[tuple, int, int, int]]:
         """One sequence, from what waits."""
@@ -201,18 +204,20 @@ def pack_documents(
     text_col: str = "text",
     max_tokens: int = 4096,
     max_segments: int = 256,
-    max_loss: int | None = None,
+    max_loss: int = 3840,
+    prompt_share: float = 0.125,
     pool_sequences: int = 64,
 ) -> DataFrame:
     """One row for each piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     loss_tokens.
 
-    A document's ids are those of its text and END_ID. tokenizer: path of the vocabulary, on every executor. A
+    A document's ids are those of its text and END_ID; the first prompt_share of them bear no loss. A sequence has at
+    most max_segments pieces and max_loss ids that bear loss. tokenizer: path of the vocabulary, on every executor. A
     null or empty text has END_ID alone. Null and repeated doc_ids are documents of their own. Other columns
     are not read; an empty table gives no rows. Sequences have max_tokens ids, or else a power of two.
     max_tokens must be a power of two. Memory: pool_sequences * max_tokens ids, and one batch of rows.
     """
-    limits = (max_tokens, max_segments, max_tokens if max_loss is None else max_loss, pool_sequences * max_tokens)
+    limits = (max_tokens, max_segments, max_loss, pool_sequences * max_tokens)
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +225,8 @@ def pack_documents(
 
         def examples(batch: pa.RecordBatch) -> Iterator[tuple]:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                yield key, ids.of(text.as_py() or "") + end, None
+                own = ids.of(text.as_py() or "") + end
+                yield key, own, int(len(own) // 4 * prompt_share)
 
         yield from _pack_stream(batches, examples, limits)
 

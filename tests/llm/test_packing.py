@@ -15,15 +15,13 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_are_those_of_the_tokenizer(tokenizer):
     random.seed(4)
-    syllables = ["the", "ing", "Qu", "é", "ß", "ž", "tion", "LL", "'s", "'re", "1", "42", "—", "“", "!!", "%%%", "&", ".", "Œ", "ﬁ", "ǆ", "İ", "Σ", "ς", "你", "\u200b", "\u0301", "\xa0", "\x1c", "<|endoftext|>"]
-    texts = ["", " ", "It's <|startoftext|> they'll", *("".join(random.choice([*syllables, " ", "\n", "\t"]) for _ in range(60)) for _ in range(1500))]
+    syllables = ["the", "ing", "Qu", "é", "ß", "ž", "tion", "LL", "'s", "'re", "1", "42", "—", "“", "!!", "%%%", "&", ".", "Œ", "ﬁ", "ǆ", "İ", "Σ", "ς", "你", "\u200b", "\u0301", "\xa0", "\x1c", "<|endoftext|>", "<|startoftext|>", "<|", "<|endoftext"]
+    texts = ["", " ", "It's <|startoftext|> they'll", "a <|endoftext|> b", "a<|EndOfText|>b", "plain<|endoftext|><|endoftext|>\n", "x < | y <|z", *("".join(random.choice([*syllables, " ", "\n", "\t"]) for _ in range(60)) for _ in range(1500))]
     ids = packing.WordIds(PATH)
     for text, wanted in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
         assert np.frombuffer(ids.of(text), "<u4").tolist() == wanted.ids, text
@@ -55,7 +53,6 @@ def test_every_id_is_in_one_piece(spark, tokenizer):
     wanted = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, packing.END_ID] for i, t in texts.items()}
     check(packing.pack_documents(frame, PATH).collect(), wanted, 256)
     check(packing.pack_documents(frame, PATH, max_segments=3, max_loss=2000).collect(), wanted, 3)
-    assert all(r.loss_tokens <= 4096 for r in packing.pack_documents(frame, PATH).collect())
 
 
 def test_edge_cases(docs, no_docs, tokenizer):
@@ -79,3 +76,25 @@ def test_limits_of_loss_bearing_tokens(spark):
     for c in range(60):
         own = sorted((r for r in rows if r.doc_id == c), key=lambda r: r.start)
         assert own[-1].start + own[-1].length == own[0].doc_tokens and own[0].start == 0
+
+
+def test_each_of_the_three_limits_binds(spark):
+    """With the defaults, on long documents, on many tiny ones, and on both: sequences that stop at each limit alone."""
+    random.seed(3)
+    long = [" ".join(random.choice(["river", "stone", "of"]) for _ in range(random.randrange(3000, 9000))) for _ in range(60)]
+    tiny = ["a b c"] * 9000  # 256 of them are 1024 ids
+    at = set()
+    for texts in (long, tiny, long[:20] + tiny):
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        by = {}
+        for r in packing.pack_documents(frame, PATH).collect():
+            n, own, loss = by.get(r.sequence_id, (0, 0, 0))
+            by[r.sequence_id] = n + r.length, own + 1, loss + r.loss_tokens
+            prompt = int(r.doc_tokens * 0.125)
+            assert r.loss_tokens == sum(i >= prompt for i in range(r.start + 1, r.start + r.length))
+        assert all(n <= 4096 and own <= 256 and loss <= 3840 for n, own, loss in by.values())
+        assert sum(n & (n - 1) > 0 for n, _, _ in by.values()) == 0  # nothing is padded
+        at |= {(n == 4096, own == 256, loss == 3840) for n, own, loss in by.values()}
+    assert (True, False, False) in at
+    assert any(segments and not tokens for tokens, segments, _ in at)
+    assert any(loss for _, _, loss in at)

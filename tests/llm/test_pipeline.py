@@ -43,7 +43,6 @@ def test_whole_run(spark, tmp_path):
     kept = set(label.values())
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     text = {i: t for i, t in single}
     result = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in result} == kept
