@@ -77,15 +77,30 @@ def test_probabilities_add_up_to_one():
         assert total <= 1 + 1e-9  # the rest is for letters not seen after it
 
 
-def test_backoff_equals_the_plain_recursion(spark):
-    texts = ["abba abc no", "cab a bad", "dab nab an", "abbacab cabbage zzz", None, ""]
-    kinds = [0, 2, None, 3, 1, None]
-    codes, _, text = toxicity.ngrams([t or "" for t in texts])
+def test_symbols_are_exact():
+    texts = ["né ña", "世界 世", "𝒳𝒴 a", "a\u3000b", ""]
+    codes, word, text = toxicity.ngrams(texts)
+    wanted = []
+    for i, t in enumerate(texts):
+        for w in t.split():
+            symbols = [*w.encode(), toxicity.END]
+            for k, x in enumerate(symbols):
+                back = ([toxicity.START, *symbols[:k]])[-(toxicity.ORDER - 1) :]
+                wanted.append((sum(b << (8 * j) for j, b in enumerate([x, *reversed(back)])), i))
+    assert list(zip(codes.tolist(), text.tolist(), strict=True)) == wanted
+    assert word.max() + 1 == 8
+    assert toxicity.ngrams(["世"])[0][-1] != toxicity.ngrams(["丗"])[0][-1]
+
+
+def test_backoff_and_scores_equal_the_plain_recursion(spark):
+    texts = ["abba abc no", "cab a bad", "dab nab an", "abbacab cabbage zzz", None, "", "ßé 世界 cab"]
+    kinds = [0, 2, None, 3, 1, None, None]
+    codes, word, text = toxicity.ngrams([t or "" for t in texts])
     seen, which = np.unique(codes, return_inverse=True)
     plain = [np.bincount(which, [kinds[t] == k for t in text], len(seen)) for k in range(4)]
     shorter, rest, continued = np.unique(toxicity._drop_first(seen), return_inverse=True, return_counts=True)
     shared = toxicity.kneser_ney(shorter, continued.astype(float))[rest]
-    labelled = np.isin(seen >> 8, (seen >> 8)[sum(plain) > 0])
+    labelled = sum(plain) > 0
 
     frame = spark.createDataFrame(list(zip(texts, kinds, strict=True)), "text string, kind int")
     counted = frame.mapInArrow(toxicity._count, "code long, " + ", ".join(f"{c} long" for c in toxicity.COUNTS))
@@ -94,10 +109,30 @@ def test_backoff_equals_the_plain_recursion(spark):
     assert types.count() == len(seen) and found.tolist() == seen[labelled].tolist() and len(found) < len(seen)
     assert p == pytest.approx(shared[labelled])
     assert all((a == b[labelled]).all() for a, b in zip(counts, plain, strict=True))
-    # contexts that no class has seen tell nothing
+    # every n-gram of the corpus, seen by a class or not, has the ratio of the plain models
     both = [np.log(toxicity.kneser_ney(seen, n.astype(float), shared)) for n in (plain[0] + plain[1], plain[2] + plain[3])]
+    ratio = both[0] - both[1]
     model = toxicity.Model.of(found, p, counts[0] + counts[1], counts[2] + counts[3])
-    assert model.ratio[seen] == pytest.approx(both[0] - both[1], abs=1e-5)
+    assert model.ratios(seen) == pytest.approx(ratio, abs=1e-5)
+    # and the features are the sums over texts and words
+    features = model.features([t or "" for t in texts])
+    for i, t in enumerate(texts):
+        own = ratio[which[text == i]]
+        assert features[i, 0] == pytest.approx(own.mean() if len(own) else 0, abs=1e-5)
+        words = [ratio[which[word == w]] for w in np.unique(word[text == i])]
+        top = sorted((w.sum() / len(w) ** 0.5 for w in words), reverse=True)[: toxicity.TOP]
+        assert features[i, 1:] == pytest.approx(top + [0] * (toxicity.TOP - len(top)), abs=1e-5)
+    model.weights = np.array([-1.0, 2.0, 0.5, 0.2, 0.1])
+    assert model.scores(features) == pytest.approx(1 / (1 + np.exp(1 - features @ model.weights[1:])))
+
+
+def test_bounds_of_the_labelled_sample(spark):
+    docs = spark.createDataFrame([(i, f"word{i} plain text of a row") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, label int")
+    for bounds in ({"max_labelled": 40}, {"max_labelled_chars": 1000}):
+        model = toxicity.fit(docs, labels, **bounds)
+        whole = toxicity.fit(docs, labels)
+        assert 0 < sum((k >= 0).sum() for k, _ in model.ratio.tables) < sum((k >= 0).sum() for k, _ in whole.ratio.tables) / 2
 
 
 def test_factorisation_identity():
