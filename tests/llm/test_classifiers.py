@@ -127,7 +127,7 @@ def test_backoff_and_scores_equal_the_plain_recursion(spark):
 
 
 def test_bounds_of_the_labelled_sample(spark):
-    docs = spark.createDataFrame([(i, f"word{i} plain text of a row") for i in range(400)], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(str((i + 1) * k * 7919) for k in (3, 11, 101, 1009))) for i in range(400)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, label int")
     for bounds in ({"max_labelled": 40}, {"max_labelled_chars": 1000}):
         model = toxicity.fit(docs, labels, **bounds)
