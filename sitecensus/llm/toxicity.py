@@ -317,8 +317,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_labe
     """
     known = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
     n = known.count()
-    chars = docs.select("doc_id", F.length("text").alias("n")).join(F.broadcast(_sampled(known, max_labelled / max(1, n))), "doc_id").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    known = _sampled(known, max_labelled / max(1, n) * min(1.0, max_labelled_chars / max(1, chars)))
+    share = min(1.0, max_labelled / max(1, n))
+    sizes = docs.select("doc_id", F.length("text").alias("n")).join(F.broadcast(_sampled(known, share)), "doc_id")
+    chars = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    known = _sampled(known, share * min(1.0, max_labelled_chars / max(1, chars)))
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
     known = known.select("doc_id", (F.when(F.col("label") == 1, F.lit(0)).otherwise(2) + fold).alias("kind"))
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left").select("text", "kind")
