@@ -12,6 +12,7 @@ characters, as occur in the rules are keys; so a URL has a bounded number of the
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -39,10 +40,8 @@ class Level:
     seed: int
 
     def holds(self, key: Column) -> Column:
-        found = F.lit(True)
-        for position in _positions(key, self.bits, self.hashes, self.seed):
-            found = found & bit_of(F.lit(self.bitmap), position)
-        return found
+        # one literal a level, however many hashes it has
+        return F.forall(F.array(*_positions(key, self.bits, self.hashes, self.seed)), lambda position: bit_of(F.lit(self.bitmap), position))
 
 
 @dataclass(frozen=True)
@@ -156,4 +155,4 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str
 
 
 def _keys(spark: SparkSession, keys: list[str]) -> DataFrame:
-    return spark.createDataFrame([(k,) for k in keys], "key string")
+    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(keys)), "array<string>")).alias("key"))
