@@ -1,6 +1,6 @@
 """License scans by diagonal voting.
 
-The k-grams of a document that are a template's are joined to the k-grams of the license templates (a small fixed
+The hashes of a document's k-grams that are a template's are joined to those of the license templates (a small fixed
 table, broadcast). A hit at word p of the document and word q of a template is on the diagonal p - q, and the words
 around it are compared with the template's along that diagonal. Diagonals at most ``gap`` words apart are merged,
 since inserted or missing words shift a passage to a neighbouring diagonal; and the merged span is verified: the
@@ -13,6 +13,8 @@ are read once and never shuffled.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,12 +70,12 @@ def _phrase_starts(words: Column, phrase: list[str]) -> Column:
 
 
 def template_grams(docs: DataFrame, templates: list[tuple[str, str]], k: int) -> DataFrame:
-    """(gram, template, at, template_words): every k-gram of every template."""
-    rows = []
-    for number, (_, text) in enumerate(templates):
-        words = text.split(" ")
-        rows += [(" ".join(words[i : i + k]), number, i, words) for i in range(len(words) - k + 1)]
-    return docs.sparkSession.createDataFrame(rows, "gram string, template int, at int, template_words array<string>")
+    """(gram, template, at, template_words): the hash of every k-gram of every template."""
+    rows = json.dumps([{"template": number, "template_words": text.split(" ")} for number, (_, text) in enumerate(templates)])
+    each = docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<template:int,template_words:array<string>>>")))
+    at = F.explode(F.sequence(F.lit(0), F.size("template_words") - k)).alias("at")
+    placed = each.where(F.size("template_words") >= k).select("template", at, "template_words")
+    return placed.select(F.xxhash64(F.slice("template_words", F.col("at") + 1, k)).alias("gram"), "template", "at", "template_words")
 
 
 def _disjoint(spans: Column) -> Column:
@@ -127,10 +129,12 @@ def scan_licenses(
     document = rows.columns[:-1]
     gram = lambda i: F.array_join(F.slice("words", i, k), " ")
     known = sorted({" ".join(w[i : i + k]) for w in (text.split(" ") for _, text in templates) for i in range(len(w) - k + 1)})
+    first = sorted({g.split(" ")[0] for g in known})
     around = max(len(text.split(" ")) for _, text in templates)
-    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size("words") - (k - 1), F.lit(1))), lambda i: gram(i).isin(known))
+    # most words begin no template's k-gram, and no k-gram is built for them
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size("words") - (k - 1), F.lit(1))), lambda i: F.get("words", i - 1).isin(first) & gram(i).isin(known))
     context = lambda i: F.slice("words", F.greatest(i - around, F.lit(1)), 2 * around)
-    found = F.transform(places, lambda i: F.struct((i - 1).alias("word"), gram(i).alias("doc_gram"), F.greatest(i - around - 1, F.lit(0)).alias("start"), context(i).alias("context")))
+    found = F.transform(places, lambda i: F.struct((i - 1).alias("word"), F.xxhash64(F.slice("words", i, k)).alias("doc_gram"), F.greatest(i - around - 1, F.lit(0)).alias("start"), context(i).alias("context")))
     at = lambda q: F.col("hit.word") - F.col("at") + q - F.col("hit.start")
     agree = lambda q: F.get(F.col("hit.context"), at(q)) == F.get(F.col("template_words"), q)
     hits = (

@@ -1,3 +1,4 @@
+import random
 import re
 
 from sitecensus.llm import license_scan
@@ -54,3 +55,52 @@ def test_labels_of_changed_and_overlapping_notices(spark):
     frame = spark.createDataFrame([(i, "x y z. " + t + ", and more words here") for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: r.labels for r in license_scan.scan_licenses(frame).collect()}
     assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
+def brute_force(text, least=0.75, k=3, gap=3, slack=1.5):
+    """(labels, score): every template laid on every diagonal that has one of its k-grams."""
+    words = re.findall(license_scan.WORD, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    spans = []
+    for label, notice in license_scan.TEMPLATES:
+        t = notice.split(" ")
+        diagonals = sorted({p - q for p in range(len(words) - k + 1) for q in range(len(t) - k + 1) if words[p : p + k] == t[q : q + k]})
+        runs = []
+        for d in diagonals:
+            if runs and d - runs[-1][-1] <= gap:
+                runs[-1].append(d)
+            else:
+                runs.append([d])
+        for run in runs:
+            same = [(d, q) for d in run for q in range(len(t)) if 0 <= d + q < len(words) and words[d + q] == t[q]]
+            # the span of a run goes from its first to its last agreeing word
+            first, last = min(d + q for d, q in same), max(d + q for d, q in same)
+            covered, length = len({q for _, q in same}), last - first + 1
+            coverage = covered / max(len(t), length)
+            if coverage >= least and length <= len(t) * slack + gap:
+                spans.append((covered, coverage, label, first, last))
+    kept = []
+    for s in sorted(spans, reverse=True):
+        if not any(2 * (min(s[4], b[4]) - max(s[3], b[3]) + 1) >= min(s[4] - s[3], b[4] - b[3]) + 1 for b in kept):
+            kept.append(s)
+    own = base(text)[4]
+    labels = sorted({s[2] for s in kept} | set(filter(None, own.split(","))))
+    return ",".join(labels), 1.0 if own else max((s[1] for s in kept), default=0.0)
+
+
+def test_labels_and_scores_match_brute_force(spark):
+    rng, texts = random.Random(12), ["licensed under cc licensed under cc by", "the mit license " * 3, None, ""]
+    for _ in range(250):
+        words = []
+        for _ in range(rng.randrange(4)):
+            words += [rng.choice(["the", "of", "software", "license", "x", "y"]) for _ in range(rng.randrange(12))]
+            notice = rng.choice(license_scan.TEMPLATES)[1].split(" ")
+            for _ in range(rng.choice([0, 0, 1, 2, 3, 5])):
+                at = rng.randrange(len(notice))
+                notice[at : at + rng.randrange(2)] = rng.choice([[], ["z"], ["free", "of"]])
+            words += notice[rng.choice([0, 0, 3]) :]
+        texts.append(" ".join(words))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in license_scan.scan_licenses(frame).collect()}
+    wanted = {i: (labels, round(score, 9)) for i, (labels, score) in enumerate(map(brute_force, texts))}
+    assert got == wanted
+    assert wanted[0] == ("", 0.0) and sum(bool(labels) for labels, _ in wanted.values()) > 100
