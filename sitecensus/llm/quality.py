@@ -66,6 +66,23 @@ def features(text: str, n_chars: int | None) -> tuple[np.ndarray, np.ndarray, li
     return numbers, weights, [float(x) for x in stats]
 
 
+@dataclass
+class Features:
+    """Of several texts, one after the other: numbers and weights of their words, how many each has, and statistics."""
+
+    numbers: np.ndarray
+    weights: np.ndarray
+    sizes: np.ndarray
+    stats: np.ndarray
+
+    @classmethod
+    def of(cls, texts: pa.Array, n_chars: pa.Array) -> Features:
+        found = [features(t.as_py() or "", c.as_py()) for t, c in zip(texts, n_chars, strict=True)]
+        sizes = np.array([len(numbers) for numbers, _, _ in found], np.int64)
+        joined = lambda k, kind: np.concatenate([np.zeros(0, kind), *(f[k] for f in found)])
+        return cls(joined(0, np.int64), joined(1, float), sizes, np.array([s for _, _, s in found], float).reshape(-1, STATS))
+
+
 @dataclass
 class Machine:
     mean: np.ndarray
@@ -74,46 +91,61 @@ class Machine:
     linear: np.ndarray  # of words, then of statistics
     factors: np.ndarray
 
-    def row(self, numbers: np.ndarray, weights: np.ndarray, stats: list[float]) -> tuple[np.ndarray, np.ndarray]:
-        """All features of a text: numbers and values."""
-        scaled = np.clip((np.array(stats) - self.mean) / self.scale, -5, 5) * 0.5
-        return np.concatenate([numbers, WORDS + np.arange(STATS)]), np.concatenate([weights, scaled])
-
-    def score(self, numbers: np.ndarray, values: np.ndarray) -> float:
+    def rows(self, texts: Features) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All features of the texts: numbers and values, and where each text's begin; statistics come after its words."""
+        scaled = np.clip((texts.stats - self.mean) / self.scale, -5, 5) * 0.5
+        n = len(texts.sizes)
+        starts = np.concatenate([[0], np.cumsum(texts.sizes + STATS)]).astype(np.int64)
+        numbers, values = np.empty(starts[-1], np.int64), np.empty(starts[-1])
+        at = np.repeat(starts[1:] - STATS, STATS) + np.tile(np.arange(STATS), n)
+        numbers[at], values[at] = np.tile(WORDS + np.arange(STATS), n), scaled.ravel()
+        of_words = np.ones(starts[-1], bool)
+        of_words[at] = False
+        numbers[of_words], values[of_words] = texts.numbers, texts.weights
+        return numbers, values, starts[:-1]
+
+    def raw(self, numbers: np.ndarray, values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the logistic function is taken of, for each text; and the features' vectors and the texts' sums of them."""
         v = self.factors[numbers] * values[:, None]
-        total = v.sum(axis=0)
-        raw = self.bias + self.linear[numbers] @ values + 0.5 * float((total * total).sum() - (v * v).sum())
-        return float(1 / (1 + np.exp(-np.clip(raw, -30, 30))))
+        total = np.add.reduceat(v, starts)
+        pairs = 0.5 * ((total * total).sum(axis=1) - np.add.reduceat((v * v).sum(axis=1), starts))
+        return self.bias + np.add.reduceat(self.linear[numbers] * values, starts) + pairs, v, total
+
+    def scores(self, texts: Features) -> np.ndarray:
+        if not len(texts.sizes):
+            return np.zeros(0)
+        return logistic(self.raw(*self.rows(texts))[0])
+
+
+def logistic(raw: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def fit_machine(rows: list[tuple[np.ndarray, np.ndarray, list[float]]], labels: np.ndarray, epochs: int = 8, rate: float = 0.1, ridge: float = 1e-5, seed: int = 1) -> Machine:
-    """AdaGrad over batches of 128 rows. Labels of one kind only, or none: the score is their smoothed rate for all."""
-    n, ones = len(rows), float(labels.sum())
+def fit_machine(texts: Features, labels: np.ndarray, epochs: int = 8, rate: float = 0.1, ridge: float = 1e-5, seed: int = 1) -> Machine:
+    """AdaGrad over batches of 128 texts. Labels of one kind only, or none: the score is their smoothed rate for all."""
+    n, ones = len(labels), float(labels.sum())
     prior = (ones + 0.5) / (n + 1)
-    stats = np.array([s for _, _, s in rows]).reshape(n, STATS)
-    mean, scale = (stats.mean(axis=0), np.maximum(stats.std(axis=0), 1e-6)) if n else (np.zeros(STATS), np.ones(STATS))
+    mean, scale = (texts.stats.mean(axis=0), np.maximum(texts.stats.std(axis=0), 1e-6)) if n else (np.zeros(STATS), np.ones(STATS))
     random = np.random.default_rng(seed)
     size = WORDS + STATS
     machine = Machine(mean, scale, float(np.log(prior / (1 - prior))), np.zeros(size), np.zeros((size, RANK)))
     if not 0 < ones < n:
         return machine
     machine.factors = random.normal(0, 0.05, (size, RANK))
-    own = [machine.row(*r) for r in rows]
+    all_numbers, all_values, all_starts = machine.rows(texts)
+    own_sizes = texts.sizes + STATS
     past_w, past_v, past_b = np.full(size, 1e-2), np.full((size, RANK), 1e-2), 1e-2
     for _ in range(epochs):
         order = random.permutation(n)
         for at in range(0, n, 128):
             batch = order[at : at + 128]
-            numbers = np.concatenate([own[i][0] for i in batch])
-            values = np.concatenate([own[i][1] for i in batch])
-            sizes = np.array([len(own[i][0]) for i in batch])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            sizes = own_sizes[batch]
+            starts = np.cumsum(sizes) - sizes
             of_row = np.repeat(np.arange(len(batch)), sizes)
-            v = machine.factors[numbers] * values[:, None]
-            total = np.add.reduceat(v, starts)
-            pairs = 0.5 * ((total * total).sum(axis=1) - np.add.reduceat((v * v).sum(axis=1), starts))
-            raw = machine.bias + np.add.reduceat(machine.linear[numbers] * values, starts) + pairs
-            error = 1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[batch]
+            places = np.arange(sizes.sum()) + (all_starts[batch] - starts)[of_row]
+            numbers, values = all_numbers[places], all_values[places]
+            raw, v, total = machine.raw(numbers, values, starts)
+            error = logistic(raw) - labels[batch]
             slope = error[of_row] * values
             kinds, which = np.unique(numbers, return_inverse=True)
             g = np.bincount(which, slope) / len(batch) + ridge * machine.linear[kinds]
@@ -147,15 +179,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = 8_000) -> Machine:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t.as_py() or "", c.as_py()) for t, c in zip(batch.column(0), batch.column(1), strict=True)]
-            columns = [pa.array([list(f[k]) for f in found], kind) for k, kind in enumerate((pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64())))]
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), *columns], ["doc_id", "label", "numbers", "weights", "stats"])
+            found = Features.of(batch.column(0), batch.column(1))
+            ends = pa.array(np.concatenate([[0], np.cumsum(found.sizes)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (found.numbers, found.weights)]
+            stats = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * STATS, pa.int32()), pa.array(found.stats.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), *lists, stats], ["doc_id", "label", "numbers", "weights", "stats"])
 
     sample = docs.select("doc_id", "text", F.col("n_chars").cast("long").alias("n_chars")).join(F.broadcast(known), "doc_id")
     rows = sample.select("text", "n_chars", F.col("doc_id").cast("long"), "label").mapInArrow(run, "doc_id long, label int, numbers array<long>, weights array<double>, stats array<double>").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending")])  # the order of tasks does not matter
-    own = [(np.array(a), np.array(b), c) for a, b, c in zip(rows.column("numbers").to_pylist(), rows.column("weights").to_pylist(), rows.column("stats").to_pylist(), strict=True)]
-    own = [(a.astype(np.int64), b.astype(float), c) for a, b, c in own]
+    rows = rows.sort_by([("doc_id", "ascending")]).combine_chunks()  # the order of tasks does not matter
+    if not rows.num_rows:
+        return fit_machine(Features(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros((0, STATS))), np.zeros(0))
+    numbers, weights, stats = (rows.column(c).chunk(0) for c in ("numbers", "weights", "stats"))
+    sizes = np.diff(numbers.offsets.to_numpy())
+    own = Features(numbers.flatten().to_numpy(), weights.flatten().to_numpy(), sizes, stats.flatten().to_numpy().reshape(-1, STATS))
     return fit_machine(own, rows.column("label").to_numpy().astype(float))
 
 
@@ -166,8 +203,9 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            scores = [own.score(*own.row(*features(t.as_py() or "", c.as_py()))) for t, c in zip(batch.column(1), batch.column(2), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            parts = [batch.slice(i, 256) for i in range(0, batch.num_rows, 256)]  # the features of so many texts at once
+            scores = np.concatenate([np.zeros(0), *(own.scores(Features.of(part.column(1), part.column(2))) for part in parts)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text", F.col("n_chars").cast("long")).mapInArrow(run, "doc_id long, score double")
 

@@ -139,9 +139,32 @@ def test_factorisation_identity():
     rng = np.random.default_rng(0)
     size = quality.WORDS + quality.STATS
     machine = quality.Machine(np.zeros(quality.STATS), np.ones(quality.STATS), 0.3, rng.normal(size=size), rng.normal(size=(size, quality.RANK)) * 0.1)
-    numbers, values = rng.choice(size, 40, replace=False), rng.normal(size=40)
-    raw = machine.bias + machine.linear[numbers] @ values
-    for i in range(40):
-        for j in range(i):
-            raw += machine.factors[numbers[i]] @ machine.factors[numbers[j]] * values[i] * values[j]
-    assert machine.score(numbers, values) == pytest.approx(1 / (1 + np.exp(-raw)))
+    starts = np.array([0, 40])
+    numbers, values = np.concatenate([rng.choice(size, 40, replace=False), rng.choice(size, 25, replace=False)]), rng.normal(size=65)
+    found, _, _ = machine.raw(numbers, values, starts)
+    for row, (start, end) in enumerate(((0, 40), (40, 65))):
+        raw = machine.bias + machine.linear[numbers[start:end]] @ values[start:end]
+        for i in range(start, end):
+            for j in range(start, i):
+                raw += machine.factors[numbers[i]] @ machine.factors[numbers[j]] * values[i] * values[j]
+        assert found[row] == pytest.approx(raw)
+
+
+def test_scores_of_whole_texts_match_the_plain_sum(spark, docs):
+    """Every row's score, recomputed feature by feature and pair by pair."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id long, label int")
+    machine = quality.fit(docs, labels)
+    got = {(r.doc_id, round(r.score, 9)) for r in quality.score(docs, machine).collect()}
+    wanted = set()
+    for r in docs.collect():
+        words = {}
+        for w in (r.text or "").lower().split():
+            words[w] = words.get(w, 0) + 1
+        length = sum(np.log1p(n) ** 2 for n in words.values()) ** 0.5
+        x = [(quality.zlib.crc32(w.encode()) % quality.WORDS, np.log1p(n) / length) for w, n in words.items()]
+        stats = np.clip((np.array(quality.features(r.text or "", r.n_chars)[2]) - machine.mean) / machine.scale, -5, 5) / 2
+        x += [(quality.WORDS + i, s) for i, s in enumerate(stats)]
+        raw = machine.bias + sum(machine.linear[i] * a for i, a in x)
+        raw += sum(machine.factors[i] @ machine.factors[j] * a * b for n, (i, a) in enumerate(x) for j, b in x[:n])
+        wanted.add((r.doc_id, round(float(1 / (1 + np.exp(-raw))), 9)))
+    assert got == wanted
