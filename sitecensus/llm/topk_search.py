@@ -1,40 +1,43 @@
 """Exact top-k search by inner product with two cover trees.
 
 Queries and data are both indexed by cover trees: a node has a centre, which is one of its points, and a covering
-radius; its children's centres are a net of its points, at least as far apart as any point is from its own centre,
-with radii that fall from level to level, and a leaf holds some hundred points. A pair of a query node (centre q, radius r) and a data node (centre p, radius s) can
-reach at most q.p + |q| s + |p| r + r s. When that is less than the worst kth score of the node's queries, no pair
-below can matter and the node pair is pruned; otherwise the larger node is split, best children first. Leaves
-meet in one matrix product of integers, so scores are exact.
+radius. The centres of a node's children are a net of its points: every point is within half the node's radius of its
+own centre, and the centres are farther than that from each other. Points that ``MOST_CHILDREN`` centres cannot cover
+at half the radius have no structure that a bound could use at that scale, and stay together in one leaf. A pair of a
+query node (centre q, radius r) and a data node (centre p, radius s) can reach at most q.p + |q| s + |p| r + r s. When
+that is less than the worst kth score of the node's queries, no pair below can matter and the node pair is pruned;
+otherwise the node with the larger radius is split, best children first. Leaves meet in matrix products of integers,
+so scores are exact.
 
 Data stays where it is read: each task indexes its rows in trees of bounded size and searches them with the
-broadcast query tree. Queries come in blocks of at most ``query_block`` rows, one pass over the data each. The
-kth scores among a block's first rows against a bounded sample start the pruning (any subset's kth score is a
-lower bound). A task returns k rows a query at most, and a window keeps the best k of those.
+broadcast query tree. Queries come in blocks of at most ``query_block`` rows, one pass over the data each; each block's
+result is written before the next one begins. The kth scores among a block's first rows against a bounded sample start
+the pruning (any subset's kth score is a lower bound). A task returns k rows a query at most, and a window keeps the
+best k of those.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 LEAF = 64  # queries
 DATA_LEAF = 512
-BRANCHES = 8
+MOST_CHILDREN = 64
+TILE = 1 << 20  # scores that are held at once
 EXACT = 2.0**52
 SLACK = 1e-9
 
 
 class CoverTree:
-    """points: n x d integers as floats. Nodes are arrays: centre (number of a point), radius, children or rows.
-
-    A node's children are a net of its points: each next centre is the point farthest from those before, until every
-    point is within half the node's radius of one, or there are ``BRANCHES``. So centres are at least as far apart as any
-    point is from its own."""
+    """points: n x d integers as floats. Nodes are arrays: centre (number of a point), radius, children or rows."""
 
     def __init__(self, points: np.ndarray, leaf: int):
         self.points = points
@@ -46,14 +49,15 @@ class CoverTree:
         if not len(points):
             return
         every = np.arange(len(points))
-        self._add(0, every, self._distances(every, 0))
-        waiting = [(0, every, self._distances(every, 0))]
+        far = self._distances(every, 0)
+        self._add(0, every, far)
+        waiting = [(0, every, far)]
         while waiting:
             node, rows, far = waiting.pop()
-            if len(rows) <= leaf or far.max() == 0:
+            if len(rows) <= leaf or far.max() == 0 or not (net := self._net(rows, self.centre[node], far)):
                 continue
             self.rows[node] = rows[:0]
-            for part in self._net(rows, self.centre[node], far):
+            for part in net:
                 self.children[node].append(self._add(*part))
                 waiting.append((self.children[node][-1], part[1], part[2]))
 
@@ -69,17 +73,17 @@ class CoverTree:
         return len(self.centre) - 1
 
     def _net(self, rows: np.ndarray, centre: int, far: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """(centre, rows, distances) of each child."""
-        centres, nearest, owner = [centre], far.copy(), np.zeros(len(rows), int)
-        while len(centres) < BRANCHES and nearest.max() > far.max() / 2:
+        """(centre, rows, distances) of each child; none if half the radius takes too many. Each next centre is the point
+        that is farthest from those before."""
+        centres, nearest, owner, half = [centre], far.copy(), np.zeros(len(rows), int), far.max() / 2
+        while nearest.max() > half:
+            if len(centres) == MOST_CHILDREN:
+                return []
             centres.append(int(rows[nearest.argmax()]))
             d = self._distances(rows, centres[-1])
             closer = d < nearest
             nearest[closer], owner[closer] = d[closer], len(centres) - 1
-        if len(centres) == 1:  # all within half: only if the radius has been rounded
-            centres.append(int(rows[far.argmax()]))
-            owner[far.argmax()], nearest[far.argmax()] = 1, 0
-        return [(c, rows[owner == i], nearest[owner == i]) for i, c in enumerate(centres) if (owner == i).any()]
+        return [(c, rows[owner == i], nearest[owner == i]) for i, c in enumerate(centres)]
 
 
 class Search:
@@ -122,7 +126,16 @@ class Search:
     def leaves(self, q: int, p: int, data: CoverTree, ids: np.ndarray) -> None:
         queries, rows = self.tree.rows[q], data.rows[p]
         self.pairs += len(queries) * len(rows)
+        step = max(1, TILE // len(rows))
+        for first in range(0, len(queries), step):
+            self.tile(queries[first : first + step], rows, data, ids)
+
+    def tile(self, queries: np.ndarray, rows: np.ndarray, data: CoverTree, ids: np.ndarray) -> None:
         scores = self.tree.points[queries] @ data.points[rows].T
+        if len(rows) > 4 * self.k and len(np.unique(ids[rows])) == len(rows):
+            # k rows but the query's own score no less than the (k + 1)th of these
+            kth = np.partition(scores, len(rows) - self.k - 1, axis=1)[:, len(rows) - self.k - 1]
+            self.floors[queries] = np.maximum(self.floors[queries], kth)
         wanted = scores >= self.floors[queries, None]
         for i in np.flatnonzero(wanted.any(axis=1)):
             query = queries[i]
@@ -180,11 +193,12 @@ def top_k(
     n_queries = queries.count()
     n_blocks = max(1, -(-n_queries // query_block))
     seeds = slim.select("vec_id", "v").limit(seed_rows).toArrow()  # bounded
-    found = None
+    parts = []
     for block in range(n_blocks):
         own = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == block) if n_blocks > 1 else queries
         part = _search_block(slim.select("vec_id", "v"), own.toArrow(), seeds, k, tree_rows, block)  # query_block rows, about
-        found = part if found is None else found.unionByName(part)
+        parts.append(written(part, "top") if n_blocks > 1 else part)
+    found = reduce(DataFrame.unionByName, parts)
     # one row a place: vectors that share an id are different candidates
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

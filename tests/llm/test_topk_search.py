@@ -40,6 +40,35 @@ def test_pruning_skips_pairs_of_clustered_data():
     assert search.pairs < 0.5 * 80 * 8000
 
 
+@pytest.mark.parametrize("spread", [0.5, 30.0])
+def test_covering_and_separation_of_every_node(spread):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(30, 6)) * 200
+    points = np.floor(centres[rng.integers(0, 30, 4000)] + spread * rng.normal(size=(4000, 6)))
+    tree = topk_search.CoverTree(points, 32)
+    inside, held = 0, []
+    for node, children in enumerate(tree.children):
+        held.append(tree.rows[node])
+        if children:
+            inside += 1
+            own = points[[tree.centre[c] for c in children]]
+            apart = np.sqrt(((own[:, None] - own[None]) ** 2).sum(axis=2)) + np.eye(len(own)) * 1e9
+            assert all(tree.radius[c] <= tree.radius[node] / 2 for c in children) and apart.min() > tree.radius[node] / 2
+            assert 1 < len(children) <= topk_search.MOST_CHILDREN
+        else:
+            d = np.sqrt(((points[tree.rows[node]] - points[tree.centre[node]]) ** 2).sum(axis=1))
+            assert d.max() == tree.radius[node]
+    assert inside > 10 and sorted(np.concatenate(held)) == list(range(4000))
+
+
+def test_repeated_ids_and_rows(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [2.0, 0.0])] + [(i, [0.0, 0.0]) for i in range(3, 60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = sorted(tuple(r) for r in topk_search.top_k(frame, F.col("vec_id") == 0, k=3).collect())
+    one, m = 1024 * 1024, "candidates of the query's own id take no part"
+    assert got == sorted([(0, 1, 2, 2 * one), (0, 2, 1, one), (0, 3, 1, one)] * 2 + [(0, 1, 1, one), (0, 2, 1, one), (0, 3, 2, 0)]), m
+
+
 def test_few_or_no_rows(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk_search.top_k(none, F.col("vec_id") % 100 == 0).count() == 0
