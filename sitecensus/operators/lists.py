@@ -5,20 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def numbered(rows: DataFrame, by: str, name: str = "pos", width: int = 50_000) -> DataFrame:
+from ..sources.writers import staged
+
+
+SEGMENTS = 64
+
+
+def key_ranges(rows: DataFrame, by: str, range_rows: int) -> Column:
+    """A number for each value of an integer column, in its order, that about ``range_rows`` rows of neighbouring values
+    share: the column's quantiles cut it into ``SEGMENTS``, and each of those is cut evenly. Nulls have none."""
+    points = [i / SEGMENTS for i in range(SEGMENTS + 1)]
+    n, cuts = rows.agg(F.count(by), F.percentile_approx(F.col(by).cast("long"), points, 10_000)).first()
+    cuts = sorted(set(cuts or [0]))
+    per = max(1, -(-n // (SEGMENTS * range_rows)))
+    low = cuts[:-1] or cuts
+    width = [max(1.0, (b - a) / per) for a, b in zip(low, [*cuts[1:], low[-1]], strict=False)]
+    array = lambda values: F.array(*map(F.lit, values))
+    segment = F.size(F.filter(array([F.lit(c).cast("long") for c in low[1:]]).cast("array<bigint>"), lambda c: c <= F.col(by)))
+    offset = (F.col(by).cast("double") - F.element_at(array(map(float, low)), segment + 1)) / F.element_at(array(width), segment + 1)
+    return F.when(F.col(by).isNotNull(), segment.cast("long") * (per + 1) + F.least(F.floor(offset), F.lit(per)))
+
+
+def rows_before(counts: DataFrame, part: str, n: str, name: str, *groups: str) -> DataFrame:
+    """counts (groups, part, n) with the sum of n over the group's smaller parts. Sums are made in two steps, of 1024 parts
+    and of those, so no task has to see all of them."""
+    large = f"{part}_large"
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    sum_of = lambda c, window: F.coalesce(F.sum(c).over(window), F.lit(0))
+    own = counts.withColumn(large, F.shiftright(F.col(part).cast("long"), 10))
+    upper = own.groupBy(*groups, large).agg(F.sum(n).alias("sum_"))
+    keys = [F.col(g).alias(f"upper_{i}") for i, g in enumerate((*groups, large))]
+    upper = upper.select(*keys, sum_of("sum_", before(*groups).orderBy(large)).alias("above_"))
+    same = [F.col(g) == F.col(f"upper_{i}") for i, g in enumerate((*groups, large))]
+    joined = own.join(upper, same).withColumn(name, F.col("above_") + sum_of(n, before(*groups, large).orderBy(part)))
+    return joined.select(*counts.columns, name)
+
+
+def numbered(rows: DataFrame, by: str, name: str = "pos", range_rows: int = 50_000) -> DataFrame:
     """rows with their number (from 0) in the order of ``by``.
 
-    Rows are cut into key ranges; the ranges' counts (a row a range) are added up, and rows are numbered within their
-    range. An integer key is cut by its value, any other by its sorted quantiles."""
+    Rows are cut into key ranges of about as many rows; the ranges' counts (a row a range) are added up, and rows are
+    numbered within their range. An integer key is cut by quantiles, any other by a sorted table in the shared folder."""
     if dict(rows.dtypes)[by] in ("int", "bigint", "smallint", "tinyint"):
-        ranged = rows.withColumn("range_", F.floor(F.col(by) / width))
+        ranged = rows.withColumn("range_", F.coalesce(key_ranges(rows, by, range_rows), F.lit(-(1 << 40))))
     else:
-        ranged = rows.repartitionByRange(by).withColumn("range_", F.spark_partition_id().cast("long")).persist()
+        ranged = staged(rows.repartitionByRange(by).withColumn("range_", F.spark_partition_id().cast("long")), "numbered")
     within = Window.partitionBy("range_").orderBy(by)
-    before = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy("range_").agg(F.count("*").alias("n")).select("range_", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before_"))
-    return ranged.withColumn("row_", F.row_number().over(within) - 1).join(F.broadcast(counts), "range_").withColumn(name, F.col("row_") + F.col("before_")).drop("range_", "row_", "before_")
+    counts = rows_before(ranged.groupBy("range_").agg(F.count("*").alias("n_")), "range_", "n_", "before_").drop("n_")
+    return ranged.withColumn("row_", F.row_number().over(within) - 1).join(counts, "range_").withColumn(name, F.col("row_") + F.col("before_")).drop("range_", "row_", "before_")
 
 
 def contiguous_part(pos: Column, total: int, parts: int) -> Column:

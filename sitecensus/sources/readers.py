@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType
 
 from ..functions.columns import strip
 
@@ -38,6 +38,10 @@ def domain_list(spark: SparkSession, path: str) -> DataFrame:
     return numbered(read.where("domain <> ''"), "place").drop("place")
 
 
+def _fields(schema: str) -> list[str]:
+    return [f"{f.name} {f.dataType.simpleString()}" for f in StructType.fromDDL(schema)]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path (or glob) has files, in any store that Spark reads."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -91,11 +95,20 @@ def completed_domains(spark: SparkSession, path: str) -> DataFrame:
 
 
 def json_document(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """The rows of a JSON document, or None if it cannot be read."""
-    try:
-        return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    except AnalysisException:
+    """The rows of a JSON document, or None if there is none or it cannot be read. The document is read and decoded here:
+    it is a small one."""
+    if not exists(spark, path):
+        return None
+    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("value"))
+    read, bad = text.agg(F.count("*"), F.count_if(F.try_parse_json("value").isNull())).first()
+    if bad or not read:
         return None
+    one = F.from_json("value", schema + ", _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    many = F.from_json("value", f"array<struct<{', '.join(x.strip().replace(' ', ':', 1) for x in _fields(schema))}>>")
+    rows = text.select(F.explode(F.when(F.col("value").startswith("["), many).otherwise(F.array(one.dropFields("_bad")))).alias("e"), one["_bad"].alias("_bad"))
+    rows = rows.where("e is not null")
+    broken = rows.where("_bad is not null and not startswith(_bad, '[')").limit(1).count()
+    return None if broken else rows.select("e.*")
 
 
 def registry(spark: SparkSession, path: str) -> DataFrame:

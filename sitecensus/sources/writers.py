@@ -3,16 +3,47 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or (unset, as in tests) one made here."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    return (found or "file://" + tempfile.mkdtemp(prefix="sitecensus-")).rstrip("/")
+
+
+def staged(rows: DataFrame, label: str) -> DataFrame:
+    """rows as a Parquet table in the shared folder, read back: every use sees the same ones, and a lost executor costs
+    nothing that was computed before."""
+    path = f"{shared_dir(rows.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def write_parts(parted: DataFrame, path: str, prefix: str, parts: int) -> None:
-    """One folder of text a part (part, pos, domain), in the order of pos; parts without rows are empty folders."""
-    for part in range(parts):  # as many jobs as shards, each a filter of the same rows
-        rows = parted.where(F.col("part") == part).orderBy("pos").select("domain")
-        rows.write.mode("overwrite").text(f"{path}/{prefix}-{part + 1}-of-{parts}.txt")
+    """One folder of text a part (part, pos, domain), in the order of pos; parts without rows are empty folders.
+
+    One job writes all rows, each part in one task, in order; the folders are then renamed."""
+    spark = parted.sparkSession
+    fresh = f"{path}/_{uuid.uuid4().hex}"
+    name = F.concat(F.lit(f"{prefix}-"), (F.col("part") + 1).cast("string"), F.lit(f"-of-{parts}.txt"))
+    rows = parted.where(F.col("part").between(0, parts - 1)).select(name.alias("name"), "pos", F.col("domain").cast("string").alias("value"))
+    ordered = rows.repartition(max(1, parts), "name").sortWithinPartitions("name", "pos").drop("pos")
+    ordered.write.option("maxRecordsPerFile", 0).partitionBy("name").text(fresh)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for part in range(parts):
+        made, done = at(f"{fresh}/name={prefix}-{part + 1}-of-{parts}.txt"), at(f"{path}/{prefix}-{part + 1}-of-{parts}.txt")
+        fs.delete(done, True)
+        if not fs.exists(made):
+            fs.mkdirs(done)
+        elif not fs.rename(made, done):
+            raise OSError(f"cannot make {done}")
+    fs.delete(at(fresh), True)
 
 
 def write_exact_parts(parted: DataFrame, path: str, prefix: str, sizes: list[int]) -> None:

@@ -39,6 +39,41 @@ def test_part_files(spark, tmp_path):
         writers.write_exact_parts(parted, str(tmp_path), "queue", [1, 2])
 
 
+def test_many_part_files_keep_their_order(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("CAST(pmod(id * 7919, 5000) AS long) AS pos", "cast(id as string) AS domain").withColumn("part", lists.contiguous_part(F.col("pos"), 5000, 7))
+    writers.write_parts(rows.repartition(9), str(tmp_path), "queue", 7)
+    wanted = {r.pos: r.domain for r in rows.collect()}
+    for part in range(7):
+        got = [r.value for r in spark.read.text(f"{tmp_path}/queue-{part + 1}-of-7.txt").collect()]
+        assert got == [wanted[pos] for pos in range(part * 715, min(5000, part * 715 + 715))]
+
+
+@pytest.mark.parametrize("make", [lambda i: i, lambda i: i * i * i * 1_000_003 - 2**62, lambda i: -(2**63) + i if i % 2 else 2**63 - 1 - i, lambda i: i // 900 * 10**12])
+def test_numbers_of_dense_sparse_extreme_and_repeated_keys(spark, make):
+    keys = [make(i) for i in range(3000)] + [None] * 5
+    frame = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
+    got = sorted((r.pos, r.k) for r in lists.numbered(frame, "k", range_rows=20).collect())
+    assert [p for p, _ in got] == list(range(3005))
+    assert [k for _, k in got] == [None] * 5 + sorted(k for k in keys if k is not None)
+    text = frame.selectExpr("cast(k as string) AS k")
+    assert [r.k for r in lists.numbered(text, "k").orderBy("pos").collect()] == [None] * 5 + sorted(str(k) for k in keys if k is not None)
+
+
+def test_ranges_of_sparse_keys_share_rows(spark):
+    frame = spark.range(20_000).selectExpr("xxhash64(id) AS k")
+    ranges = frame.select(lists.key_ranges(frame, "k", 100).alias("r")).groupBy("r").count().collect()
+    assert 100 < len(ranges) < 500 and max(r["count"] for r in ranges) < 500
+
+
+def test_json_documents(spark, tmp_path):
+    read = lambda: readers.json_document(spark, str(tmp_path / "x.json"), "a int, b string")
+    assert read() is None
+    for text, wanted in (('{"a": 1, "b": "x"}', [(1, "x")]), ('{\n "a": 1\n}', [(1, None)]), ('[{"a": 1}, {"b": "y"}]', [(1, None), (None, "y")]), ('{"a": ', None), ("", None), ("nothing", None), ('{"a": "word"}', None)):
+        (tmp_path / "x.json").write_text(text)
+        found = read()
+        assert (found if found is None else [tuple(r) for r in found.collect()]) == wanted
+
+
 def test_four_ways_to_read_bad_lines(spark):
     rows = spark.createDataFrame(views.RESULT_LINES, "line int, value string")
     assert [r.is_bad for r in readers.decode_permissive(rows).collect()].count(True) == 1
