@@ -8,7 +8,8 @@ its weight asks for, however long the schedule is and however many sources it ha
 
 The schedule is made in one task, which sees the sources' numbers of rows alone and holds one block a source;
 its rows, one a block, are spread again and joined to the ranges of ids. Ranks within a source come from counts
-by id range, added up, and a window within one range: no source has to pass through one task.
+by id range (ranges of about as many rows, however the ids lie), added up in two steps, and a window within one
+range: no source has to pass through one task.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.lists import key_ranges, rows_before
 from .common import spare_name
 
-#: Ids of a range whose rows are numbered in one task.
-ID_WIDTH = 1000
+#: Rows of a range of ids, about; they are numbered in one task.
+RANGE_ROWS = 1000
 
 
 def shares(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -106,12 +108,11 @@ def _placed(docs: DataFrame, weights: dict[str, float], id_col: str, source_col:
     source, part, rank, before, rows, block, slots = (spare_name(names, f"mix_{n}") for n in ("source", "part", "rank", "before", "rows", "block", "slots"))
     # rows without an id are spread by all their columns: they may be many, and their order is free
     spread = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in names)), F.lit(1 << 20)) - F.lit(1 << 62)
-    keyed = docs.withColumns({source: F.coalesce(F.col(f"`{source_col}`"), F.lit("")), part: F.coalesce(F.floor(F.col(f"`{id_col}`") / ID_WIDTH), spread)})
-    earlier = Window.partitionBy(source).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    keyed = docs.withColumns({source: F.coalesce(F.col(f"`{source_col}`"), F.lit("")), part: F.coalesce(key_ranges(docs, id_col, RANGE_ROWS), spread)})
     counts = keyed.groupBy(source, part).agg(F.count("*").alias(rows))
     placed = _slots(counts.groupBy(F.col(source).alias("source")).agg(F.sum(rows).alias("n")), weights, block_docs, period)
     # the blocks that a range of ids has rows of, as a list beside its number of earlier rows: documents do not move for them
-    blocks = counts.withColumn(before, F.coalesce(F.sum(rows).over(earlier), F.lit(0)))
+    blocks = rows_before(counts, part, rows, before, source)
     blocks = blocks.withColumn(block, F.explode(F.sequence(F.floor(F.col(before) / block_docs), F.floor((F.col(before) + F.col(rows) - 1) / block_docs))))
     blocks = blocks.join(placed.withColumnsRenamed({"source": source, "block": block}), [source, block], "left")
     ranges = blocks.groupBy(source, part, before).agg(F.array_sort(F.collect_list(F.struct(F.col(block).alias("block"), "release", "deadline", "slot"))).alias(slots))

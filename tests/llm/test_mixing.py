@@ -1,3 +1,5 @@
+import math
+import random
 from fractions import Fraction
 
 import pytest
@@ -62,3 +64,38 @@ def test_schedule_follows_the_weights_themselves(spark):
         for r in got:  # the number of the source's blocks before and after its slot
             asked = [Fraction(weights[r.source]) / total * t for t in (r.slot, r.slot + 1)]
             assert abs(r.source_rank - asked[0]) < 1 and abs(r.source_rank + 1 - asked[1]) < 1
+
+
+def test_whole_schedule_matches_a_plain_one_on_sparse_ids(spark):
+    """Every column of every row, against slots found by trying all sources one after the other."""
+    rng = random.Random(5)
+    weights = {"a": 2.0, "b": 1.0, "c": 1 / 3, "d": math.sqrt(2)}
+    ids = [rng.randrange(-(2**63), 2**63) for _ in range(700)] + list(range(300))
+    rows = [(i, "t", "en", rng.choice("aabcd"), 1) for i in ids]
+    got = {r.doc_id: tuple(r)[1:] for r in mixing.schedule(spark.createDataFrame(rows, DOCS).repartition(6), weights, block_docs=3).collect()}
+    total, wanted, slot = sum(map(Fraction, weights.values())), {}, 0
+    own = {s: sorted(i for i, _, _, source, _ in rows if source == s) for s in weights}
+    at = dict.fromkeys(weights, 0)
+    while any(3 * at[s] < len(own[s]) for s in weights):
+        gap = {s: total / Fraction(w) for s, w in weights.items()}
+        able = [(math.ceil((at[s] + 1) * gap[s]), s) for s in weights if 3 * at[s] < len(own[s]) and math.floor(at[s] * gap[s]) <= slot]
+        if able:
+            due, s = min(able)
+            for rank in range(3 * at[s], min(3 * at[s] + 3, len(own[s]))):
+                wanted[own[s][rank]] = s, rank, at[s], math.floor(at[s] * gap[s]), due, slot
+            at[s] += 1
+        slot += 1
+    assert got == wanted
+
+
+def test_deviation_stays_below_one_block_for_100_periods():
+    for weights in ({"a": 2.0, "b": 1.0}, {"a": 1 / 3, "b": 2 / 3}, {"a": math.pi, "b": math.sqrt(2), "c": 1e-3}):
+        total, had = sum(map(Fraction, weights.values())), dict.fromkeys(weights, 0)
+        blocks = {s: int(100_000 * w / float(total)) + 1 for s, w in weights.items()}
+        for source, block, _, _, slot in mixing.pfair(weights, blocks):
+            had[source] = block + 1
+            if all(had[s] < blocks[s] for s in weights):
+                assert all(abs(Fraction(w) / total * (slot + 1) - had[s]) < 1 for s, w in weights.items())
+            else:
+                break
+        assert sum(had.values()) > 90_000
