@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -11,7 +12,7 @@ from . import fixed
 
 #: White space of all of Unicode, which trim() does not know.
 UNICODE_SPACE = r"[\s\u0085   -     　]"
-EMAIL = r"(?i)[a-z0-9.!#$%&'*+/=?^_{|}~-]+@[a-z0-9-]+(\.[a-z0-9-]+)+"
+EMAIL = r"(?i)[a-z0-9.!#$%&'*+/=?^_{|}~-]++@[a-z0-9-]++(\.[a-z0-9-]++)+"
 POSTCODE = r"[A-Za-z]{1,2}[0-9][A-Za-z0-9]?[\t\n\f\r ]?[0-9][A-Za-z]{2}"
 POSTCODE_LABEL = r"(?i)post[\t\n\f\r ]*code[:\t\n\f\r ]*"
 COMPANY_NUMBER = (
@@ -21,6 +22,11 @@ COMPANY_NUMBER = (
 PHONE = r"(?:\+44|0)(?:[\t\n\f\r ]*[0-9]){9,10}"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def contains_any(text: Column, markers: list[str]) -> Column:
     return reduce(lambda a, b: a | b, (text.contains(m) for m in markers), F.lit(False))
 
@@ -70,6 +76,10 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.coalesce(authority, F.lit("")), r":[0-9]*$", ""))
 
 
+def same_host(a: Column, b: Column) -> Column:
+    return (host_of(a) != "") & (host_of(a) == host_of(b))
+
+
 def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
@@ -91,8 +101,8 @@ def in_domains(host: Column, domains: list[str]) -> Column:
 
 def distinct_fold(values: Column) -> Column:
     """Distinct without regard to case; the first spelling stays."""
-    folded = F.transform(values, F.lower)
-    return F.filter(values, lambda x, i: F.array_position(folded, F.lower(x)) == i + 1)
+    both = lambda v: F.struct(v.alias("all"), F.transform(v, F.lower).alias("folded"))
+    return once(once(values, both), lambda v: F.filter(v["all"], lambda x, i: F.array_position(v["folded"], F.lower(x)) == i + 1))
 
 
 def junk_email(email: Column) -> Column:
@@ -111,7 +121,7 @@ def clean_email(email: Column) -> Column:
 
 
 def emails(text: Column) -> Column:
-    found = F.regexp_extract_all(text, F.lit(f"({EMAIL})"), 1)
+    found = F.when(text.contains("@"), F.regexp_extract_all(text, F.lit(f"({EMAIL})"), 1)).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
     return distinct_fold(F.filter(F.transform(found, clean_email), lambda x: x.isNotNull()))
 
 
@@ -146,12 +156,15 @@ def company_numbers(text: Column, most: int = 25) -> Column:
 
 def language(text: Column) -> Column:
     """ZH, RU, AR or EN by the letters of the first 5000 bytes; null under 50 bytes or without letters."""
-    sample = _cut(text, 5000)
-    count = lambda pattern: F.regexp_count(sample, F.lit(pattern))
-    total = count(r"[A-Za-zЀ-ӿ一-鿿؀-ۿ]")
-    share = lambda pattern: count(pattern) / F.nullif(total, F.lit(0)) > 0.10
-    kind = F.when(share(r"[一-鿿]"), "ZH").when(share(r"[Ѐ-ӿ]"), "RU").when(share(r"[؀-ۿ]"), "AR").otherwise("EN")
-    return F.when((F.octet_length(text) >= 50) & (total > 0), kind)
+    letters = {"ZH": "一-鿿", "RU": "Ѐ-ӿ", "AR": "؀-ۿ"}
+    size = lambda s, kept: F.length(s) - F.length(F.regexp_replace(s, f"[{kept}]+", ""))
+    counts = lambda s: F.struct(size(s, "A-Za-z" + "".join(letters.values())).alias("all"), *(size(s, kept).alias(k) for k, kept in letters.items()))
+
+    def kind(n: Column) -> Column:
+        share = lambda k: n[k] / F.nullif(n["all"], F.lit(0)) > 0.10
+        return F.when(n["all"] > 0, F.when(share("ZH"), "ZH").when(share("RU"), "RU").when(share("AR"), "AR").otherwise("EN"))
+
+    return F.when(F.octet_length(text) >= 50, once(once(_cut(text, 5000), counts), kind))
 
 
 def _cut(text: Column, most: int) -> Column:
@@ -162,8 +175,11 @@ def _cut(text: Column, most: int) -> Column:
 
 def parked(body: Column, url: Column) -> Column:
     """Whether a page only holds or sells its domain. body: entities decoded."""
+    return once(F.lower(F.coalesce(body, F.lit(""))), lambda low: _parked(low, url))
+
+
+def _parked(low: Column, url: Column) -> Column:
     host = F.regexp_replace(host_of(url), r"\.$", "")
-    low = F.lower(F.coalesce(body, F.lit("")))
     lander = low.rlike(r"(window\.)?location(\.href)?[\t\n\f\r ]*=[\t\n\f\r ]*[\"']/?(lander|parking|domain([-_ ]for[-_ ]sale)?)([/\t\n\f\r '\"?]|$)")
     replaced = low.rlike(r"location\.replace\([\t\n\f\r ]*[\"']/?(lander|parking|domain)([/\t\n\f\r '\"?]|$)")
     registrar = low.contains("godaddy") & contains_any(low, ["lander", "parking", "expired", "renew"])
@@ -181,27 +197,27 @@ def parked(body: Column, url: Column) -> Column:
 
 def content_active(body: Column, has_parts: Column) -> Column:
     """Whether a page without a status looks alive. has_parts: it has an anchor, address or image."""
-    low, size = F.lower(body), F.octet_length(body)
-    dead = contains_any(low, fixed.SALE_MARKERS) | (low.contains("404 not found") & (size < 1500)) | (low.contains("403 forbidden") & (size < 200))
-    return ~dead & ((size > 500) | has_parts)
+    size = F.octet_length(body)
+    dead = lambda low: contains_any(low, fixed.SALE_MARKERS) | (low.contains("404 not found") & (size < 1500)) | (low.contains("403 forbidden") & (size < 200))
+    return ~once(F.lower(body), dead) & ((size > 500) | has_parts)
+
+
+def platform_scores(body: Column) -> Column:
+    """platform and score of every platform, in their fixed order. body: entities decoded."""
 
+    def points(low: Column) -> Column:
+        hits = [(platform, n, contains_any(low, markers)) for platform, n, markers in fixed.PLATFORM_MARKERS]
+        hits += [(platform, n, reduce(lambda a, b: a & b, (low.contains(m) for m in markers))) for platform, n, markers in fixed.PLATFORM_ALL_OF]
+        hits += [(platform, n, low.rlike(pattern)) for platform, n, pattern in fixed.PLATFORM_PATTERNS]
+        score = lambda p: sum((F.when(hit, n).otherwise(0) for platform, n, hit in hits if platform == p), F.lit(0))
+        return F.array(*(F.struct(F.lit(p).alias("platform"), score(p).alias("score")) for p in fixed.PLATFORMS))
 
-def platform_scores(body: Column) -> list[tuple[str, Column]]:
-    """Points of every platform. body: entities decoded."""
-    low = F.lower(body)
-    points: dict[str, Column] = {p: F.lit(0) for p in fixed.PLATFORMS}
-    for platform, n, markers in fixed.PLATFORM_MARKERS:
-        tests = [low.contains(m) for m in markers.replace("&", "|").split("|")]
-        hit = reduce((lambda a, b: a & b) if "&" in markers else (lambda a, b: a | b), tests)
-        points[platform] = points[platform] + F.when(hit, n).otherwise(0)
-    for platform, n, pattern in fixed.PLATFORM_PATTERNS:
-        points[platform] = points[platform] + F.when(low.rlike(pattern), n).otherwise(0)
-    return list(points.items())
+    return once(F.lower(body), points)
 
 
 def platforms(body: Column, least: int = 5) -> Column:
     """Platforms with enough points, most points first, else in their fixed order."""
-    ranked = F.array(*(F.struct((-score).alias("s"), F.lit(i).alias("i"), F.lit(p).alias("p")) for i, (p, score) in enumerate(platform_scores(body))))
+    ranked = F.transform(platform_scores(body), lambda x, i: F.struct((-x["score"]).alias("s"), i.alias("i"), x["platform"].alias("p")))
     return F.transform(F.array_sort(F.filter(ranked, lambda x: x.s <= -least)), lambda x: x.p)
 
 

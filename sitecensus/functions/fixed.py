@@ -52,34 +52,37 @@ SOCIAL_DOMAINS = {
 }
 
 PLATFORMS = "wordpress shopify webflow wix squarespace bigcommerce hubspot duda gohighlevel".split()
-#: Platform, points, and markers of which one is enough (| between them) or all are needed (& between them).
+#: Platform, points, and markers of which one is enough.
 PLATFORM_MARKERS = [
-    ("wordpress", 6, "wp-content|wp-includes"),
-    ("wordpress", 6, "<meta&generator&wordpress"),
-    ("wordpress", 5, "wp-json|rest_route|api.w.org"),
-    ("wordpress", 5, "wp-json/oembed|oembed/1.0|wp-embed.js"),
-    ("wordpress", 5, "wp-emoji|_wpemojisettings"),
-    ("wordpress", 4, "admin-ajax.php|ajaxurl"),
-    ("wordpress", 3, "wp-block-|wp-image-|wp-post-image"),
-    ("wordpress", 3, "wpapisettings|wp_var|wpdata|wp.hooks|wp.i18n"),
-    ("shopify", 7, "cdn.shopify.com|/cdn/shop|/cdn/shopifycloud"),
-    ("shopify", 6, ".myshopify.com|shopify.|shopifyanalytics|shopifypaymentbutton"),
-    ("shopify", 4, "shopify-section-|shopify-payment-button"),
-    ("webflow", 7, "data-wf-site|data-wf-page"),
-    ("webflow", 6, "webflow.js|webflow.css|webflow.push"),
-    ("webflow", 4, "w-webflow-badge|w-nav|w-slider|w-dyn-list"),
-    ("wix", 7, "static.parastorage.com|wixstatic.com"),
-    ("wix", 7, "wix-thunderbolt|thunderbolt|wixcodeapi|wixbisession"),
-    ("wix", 5, "_api/wix|x-wix-request-id"),
-    ("squarespace", 7, "static1.squarespace.com|static.squarespace.com|squarespace-cdn.com"),
-    ("squarespace", 5, "squarespace_context|squarespace-ui"),
-    ("bigcommerce", 7, "bigcommerce.com/s-|/images/stencil|/stencil/assets"),
-    ("bigcommerce", 6, "bcdata|stencil-utils|bigcommerce|bc_channel_id"),
-    ("hubspot", 7, "hs_cos_wrapper|data-hs-cos-"),
-    ("hubspot", 6, "hs-scripts.com|hsforms.com|hbspt.forms.create|_hsq|hs-analytics"),
-    ("gohighlevel", 7, "sites.ludicrous.cloud"),
-    ("gohighlevel", 7, "leadconnectorhq.com|msgsndr.com|gohighlevel.com|highlevel.com"),
-    ("gohighlevel", 5, "leadconnector|data-leadconnector|data-ghl"),
+    ("wordpress", 6, ["wp-content", "wp-includes"]),
+    ("wordpress", 5, ["wp-json", "rest_route", "api.w.org"]),
+    ("wordpress", 5, ["wp-json/oembed", "oembed/1.0", "wp-embed.js"]),
+    ("wordpress", 5, ["wp-emoji", "_wpemojisettings"]),
+    ("wordpress", 4, ["admin-ajax.php", "ajaxurl"]),
+    ("wordpress", 3, ["wp-block-", "wp-image-", "wp-post-image"]),
+    ("wordpress", 3, ["wpapisettings", "wp_var", "wpdata", "wp.hooks", "wp.i18n"]),
+    ("shopify", 7, ["cdn.shopify.com", "/cdn/shop", "/cdn/shopifycloud"]),
+    ("shopify", 6, [".myshopify.com", "shopify.", "shopifyanalytics", "shopifypaymentbutton"]),
+    ("shopify", 4, ["shopify-section-", "shopify-payment-button"]),
+    ("webflow", 7, ["data-wf-site", "data-wf-page"]),
+    ("webflow", 6, ["webflow.js", "webflow.css", "webflow.push"]),
+    ("webflow", 4, ["w-webflow-badge", "w-nav", "w-slider", "w-dyn-list"]),
+    ("wix", 7, ["static.parastorage.com", "wixstatic.com"]),
+    ("wix", 7, ["wix-thunderbolt", "thunderbolt", "wixcodeapi", "wixbisession"]),
+    ("wix", 5, ["_api/wix", "x-wix-request-id"]),
+    ("squarespace", 7, ["static1.squarespace.com", "static.squarespace.com", "squarespace-cdn.com"]),
+    ("squarespace", 5, ["squarespace_context", "squarespace-ui"]),
+    ("bigcommerce", 7, ["bigcommerce.com/s-", "/images/stencil", "/stencil/assets"]),
+    ("bigcommerce", 6, ["bcdata", "stencil-utils", "bigcommerce", "bc_channel_id"]),
+    ("hubspot", 7, ["hs_cos_wrapper", "data-hs-cos-"]),
+    ("hubspot", 6, ["hs-scripts.com", "hsforms.com", "hbspt.forms.create", "_hsq", "hs-analytics"]),
+    ("gohighlevel", 7, ["sites.ludicrous.cloud"]),
+    ("gohighlevel", 7, ["leadconnectorhq.com", "msgsndr.com", "gohighlevel.com", "highlevel.com"]),
+    ("gohighlevel", 5, ["leadconnector", "data-leadconnector", "data-ghl"]),
+]
+#: Platform, points, and markers that are needed together.
+PLATFORM_ALL_OF = [
+    ("wordpress", 6, ["<meta", "generator", "wordpress"]),
 ]
 #: Platform, points and a pattern (ASCII word borders are written out, since engines differ in theirs).
 PLATFORM_PATTERNS = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql.types import StringType, StructType
 
 from ..functions import boards, fixed, pages
 from ..functions import columns as C
+from ..sources.writers import staged
 
 PAGE = (
     "title string, description string, og_image string, text string, footer_text string, headings array<string>, anchors array<struct<href:string,text:string>>, "
@@ -23,6 +25,7 @@ PAGE = (
 )
 CANDIDATE = "provider string, identifier string, url string, raw_url string, discovery string, source_kind string"
 MOST_PAGES = 8
+MAPPED_ROWS = 256  # Python values of so many rows are held at once
 
 
 def _mapped(rows: DataFrame, made: Callable[[list], list[dict]], inputs: list[str], schema: str) -> DataFrame:
@@ -33,7 +36,7 @@ def _mapped(rows: DataFrame, made: Callable[[list], list[dict]], inputs: list[st
     arrow = to_arrow_schema(out_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, MAPPED_ROWS) for whole in batches for i in range(0, whole.num_rows, MAPPED_ROWS)):
             values = [batch.column(kept.index(c)).to_pylist() for c in inputs]
             found = made(list(zip(*values, strict=True)))
             columns = [pa.array([r[f.name] for r in found], arrow.field(f.name).type) for f in added]
@@ -57,6 +60,12 @@ def absolute_url(url: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([pages.absolute(u, b) for u, b in zip(url, base, strict=True)])
 
 
+def page_links(pages_: DataFrame) -> DataFrame:
+    """pages_ (site, base, anchors): site, pos, url of their links as seen from base."""
+    each = pages_.select("site", "base", F.posexplode("anchors").alias("pos", "a"))
+    return each.select("site", "pos", absolute_url(F.col("a.href"), F.col("base")).alias("url"))
+
+
 def link_score(path: Column, keywords: list[str]) -> Column:
     """Points of a link for a kind of page, or null: 10 for a path that ends in a keyword, 2 for one that holds it; less
     for depth, and 100 less for an archive."""
@@ -74,17 +83,16 @@ def best_links(links: DataFrame) -> DataFrame:
     """links (site, pos, url: absolute): the best of each site and kind (site, kind, url); most points, then the shortest
     URL, then the first."""
     path = F.regexp_replace(F.lower(C.path_of(F.col("url"))), "/+$", "")
-    scored = F.array(*(F.struct(F.lit(kind).alias("kind"), link_score(path, words.split()).alias("score")) for kind, words in fixed.PAGE_LINKS.items()))
-    ranked = links.select("site", "pos", "url", F.explode(scored).alias("s")).where("s.score is not null")
+    scores = lambda p: F.array(*(F.struct(F.lit(kind).alias("kind"), link_score(p, words.split()).alias("score")) for kind, words in fixed.PAGE_LINKS.items()))
+    ranked = links.select("site", "pos", "url", F.explode(C.once(path, scores)).alias("s")).where("s.score is not null")
     best = F.min_by("url", F.struct(-F.col("s.score"), F.octet_length("url"), "pos"))
     return ranked.groupBy("site", F.col("s.kind").alias("kind")).agg(best.alias("url"))
 
 
 def social_links(links: DataFrame) -> DataFrame:
     """links (site, pos, url): the first of each site and network (site, network, url)."""
-    host = C.host_of(F.col("url"))
-    hit = F.array_compact(F.array(*(F.when(C.in_domains(host, domains), F.lit(name)) for name, domains in fixed.SOCIAL_DOMAINS.items())))
-    return links.select("site", "pos", "url", F.explode(hit).alias("network")).groupBy("site", "network").agg(F.min_by("url", "pos").alias("url"))
+    hits = lambda host: F.array_compact(F.array(*(F.when(C.in_domains(host, domains), F.lit(name)) for name, domains in fixed.SOCIAL_DOMAINS.items())))
+    return links.select("site", "pos", "url", F.explode(C.once(C.host_of(F.col("url")), hits)).alias("network")).groupBy("site", "network").agg(F.min_by("url", "pos").alias("url"))
 
 
 def legal_form_names(texts: DataFrame, most: int = 25) -> DataFrame:
@@ -101,41 +109,56 @@ def identity_overlap(a: Column, b: Column) -> Column:
 
 
 def crawl(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES) -> DataFrame:
-    """site, url, label, visit: pages in the order of a bounded breadth-first visit.
+    """site, url, label, visit: pages in the order of a bounded breadth-first visit, see ``crawl_states``."""
+    return crawl_states(roots, links, most).select("site", F.posexplode("visited").alias("visit", "v")).select("site", "v.url", "v.label", "visit")
+
 
-    roots: site, url. links: url, kind_order, kind, target: the best link of each kind of each page, on the same host. A
-    site's kinds are fixed by the first page that has them; a page is visited once, and at most ``most`` pages are. One
-    join of the frontier to the links a step, ``most`` - 1 steps at most; a site's state is one row."""
+def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES) -> DataFrame:
+    """site; visited: pages (url, label) in the order of a bounded breadth-first visit; found: kinds and their links.
+
+    roots: site, url. links: url, kind_order, kind, target, and optionally follow: the best link of each kind of each page;
+    those without follow (to another host) are found on the root, but not visited. A site's kinds are fixed by the first page
+    that has them; a page is visited once, and at most ``most`` pages are. One join of the frontier to the links a step,
+    ``most`` steps at most; a site's state is one row."""
+    found, queue = "array<struct<kind:string,target:string,follow:boolean>>", "array<struct<url:string,label:string>>"
     state = roots.select(
         "site",
         F.array(F.struct(F.col("url").alias("url"), F.lit("website").alias("label"))).alias("visited"),
-        F.array().cast("array<struct<url:string,label:string>>").alias("queue"),
-        F.array().cast("array<string>").alias("kinds"),
+        F.array().cast(queue).alias("queue"),
+        F.array().cast(found).alias("found"),
         F.col("url").alias("at"),
     )
-    by_page = links.groupBy("url").agg(F.array_sort(F.collect_list(F.struct("kind_order", "kind", "target"))).alias("out")).withColumnRenamed("url", "at")
-    for _ in range(most):
-        grown = state.join(by_page, "at", "left").withColumn("out", F.filter(F.coalesce("out", F.array().cast(by_page.schema["out"].dataType)), lambda x: ~F.array_contains("kinds", x["kind"])))
-        queue = F.concat("queue", F.transform("out", lambda x: F.struct(x["target"].alias("url"), x["kind"].alias("label"))))
-        unseen = F.filter(queue, lambda x: ~F.array_contains(F.transform("visited", lambda v: v["url"]), x["url"]))
-        state = grown.select("site", "visited", unseen.alias("queue"), F.concat("kinds", F.transform("out", lambda x: x["kind"])).alias("kinds"))
+    links = links if "follow" in links.columns else links.withColumn("follow", F.lit(True))
+    ordered = F.array_sort(F.collect_list(F.struct("kind_order", "kind", "target", "follow")))
+    by_page = links.groupBy("url").agg(F.transform(ordered, lambda x: F.struct(x["kind"].alias("kind"), x["target"].alias("target"), x["follow"].alias("follow"))).alias("out"))
+    by_page = by_page.withColumnRenamed("url", "at")
+    for step in range(most):
+        is_new = lambda x: ~F.exists("found", lambda f: f["kind"] == x["kind"]) & (x["follow"] | F.lit(step == 0))  # noqa: E731, B023
+        grown = state.join(by_page, "at", "left").withColumn("out", F.filter(F.coalesce("out", F.array().cast(found)), is_new))
+        fresh = F.transform(F.filter("out", lambda x: x["follow"]), lambda x: F.struct(x["target"].alias("url"), x["kind"].alias("label")))
+        unseen = F.filter(F.concat("queue", fresh), lambda x: ~F.exists("visited", lambda v: v["url"] == x["url"]))
+        state = grown.select("site", "visited", unseen.alias("queue"), F.concat("found", "out").alias("found"))
         next_ = F.when(F.size("visited") < most, F.get("queue", F.lit(0)))
         state = state.withColumn("next", next_).select(
             "site",
             F.when(F.col("next").isNotNull(), F.concat("visited", F.array("next"))).otherwise(F.col("visited")).alias("visited"),
             "queue",
-            "kinds",
+            "found",
             F.col("next.url").alias("at"),
         )
-    return state.select("site", F.posexplode("visited").alias("visit", "v")).select("site", "v.url", "v.label", "visit")
+    return state.select("site", "visited", "found")
 
 
 def board_candidates(fetched: DataFrame) -> DataFrame:
     """fetched (site, seq, base, body, source_kind): one row a candidate (site, seq, pos and CANDIDATE), each URL once a site."""
     found = _mapped(fetched, lambda rows: [{"found": boards.board_candidates(*r)} for r in rows], ["body", "base", "source_kind"], f"found array<struct<{CANDIDATE.replace(' string', ':string')}>>")
-    each = found.select("site", "seq", F.posexplode("found").alias("pos", "c")).select("site", "seq", "pos", "c.*")
+    return distinct_boards(found.select("site", "seq", F.posexplode("found").alias("pos", "c")).select("site", "seq", "pos", "c.*"))
+
+
+def distinct_boards(candidates: DataFrame) -> DataFrame:
+    """candidates (site, seq, pos, url, ..): the first of each URL of a site."""
     first = Window.partitionBy("site", F.lower("url")).orderBy("seq", "pos")
-    return each.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
+    return candidates.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
 
 
 def with_board(urls: DataFrame, column: str = "url") -> DataFrame:
@@ -222,34 +245,53 @@ def _contact(found: DataFrame) -> tuple[Column, Column]:
 def extract_records(sites: DataFrame) -> DataFrame:
     """One extraction record a fetched site. sites: site, input_url, status, final_url, body, error.
 
-    The page itself is read, not its further pages: ``crawl`` gives those, and ``merge_pages`` adds them."""
-    page = with_unescaped(parsed(sites.withColumn("final_url", C.without_default_port(F.coalesce(F.nullif("final_url", F.lit("")), "input_url"))), "body"), "body")
-    url, host = F.col("final_url"), C.host_of(F.col("final_url"))
-    mails, numbers = _contact(page)
-    hosting = C.parked(F.col("decoded"), url)
-    parts = (F.size("anchors") > 0) | (F.size("emails") > 0) | (F.size("images") > 0)
-    active = F.when(F.col("status") != 0, C.site_active(F.col("status"))).otherwise(F.col("error").isNull() & C.content_active(F.coalesce("body", F.lit("")), parts))
-    links = page.select("site", "final_url", F.posexplode("anchors").alias("pos", "a")).withColumn("url", absolute_url(F.col("a.href"), F.col("final_url"))).select("site", "pos", "url")
+    The page itself is read, not its further pages, and its boards are not verified: ``extract_sites`` does both."""
+    located = sites.withColumn("final_url", C.without_default_port(F.coalesce(F.nullif("final_url", F.lit("")), "input_url")))
+    page = staged(with_unescaped(parsed(located, "body"), "body"), "pages")
+    boards_ = board_candidates(page.select("site", F.lit(0).alias("seq"), F.col("final_url").alias("base"), "body", F.lit("website").alias("source_kind")))
+    best = best_board(boards_.withColumns({"availability_checked": F.lit(False), "active": F.lit(False)}))
+    links = page_links(page.select("site", F.col("final_url").alias("base"), "anchors"))
     by_kind = best_links(links).groupBy("site").agg(F.map_from_entries(F.collect_list(F.struct("kind", "url"))).alias("page_links"))
+    merged = page.withColumns({c: F.col(f"structured.{c}") for c in STRUCTURED} | {"logo_link": _logo(), "n_pages": F.lit(1)})
+    return _records(merged.join(by_kind, "site", "left"), links, best)
+
+
+def _logo() -> Column:
+    """The first image that can be reached, icons included."""
+    candidates = F.transform("images", lambda x: F.trim(x["href"]))
+    return F.try_element_at(F.filter(candidates, lambda x: (x != "") & ~x.startswith("data:")), F.lit(1))
+
+
+def _records(full: DataFrame, links: DataFrame, best: DataFrame) -> DataFrame:
+    """full: the fields of a site's root and what its pages say together; links: site, pos, url; best: each site's board."""
+    legal = legal_form_names(full.select("site", "text")).groupBy("site").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "name"))), lambda x: x["name"]).alias("legal"))
     social = social_links(links).groupBy("site").agg(F.map_from_entries(F.collect_list(F.struct("network", "url"))).alias("social"))
-    fetched = sites.select("site", F.lit(0).alias("seq"), F.col("final_url").alias("base"), "body", F.lit("website").alias("source_kind"))
-    board = best_board(board_candidates(fetched).withColumns({"availability_checked": F.lit(False), "active": F.lit(False)}))
-    board = board.select("site", F.col("provider").alias("ats_provider"), F.col("identifier").alias("ats_identifier"), F.col("url").alias("ats_page"))
-    legal = legal_form_names(page.select("site", "text")).groupBy("site").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "name"))), lambda x: x["name"]).alias("legal"))
-    full = page.join(by_kind, "site", "left").join(social, "site", "left").join(board, "site", "left").join(legal, "site", "left")
+    board = best.select("site", F.col("provider").alias("ats_provider"), F.col("identifier").alias("ats_identifier"), F.col("url").alias("ats_page"))
+    full = full.join(social, "site", "left").join(board, "site", "left").join(legal, "site", "left")
+    mails, numbers = _contact(full)
+    low, url = F.lower("text"), F.col("final_url")
+    parts = (F.size("anchors") > 0) | (F.size("emails") > 0) | (F.size("images") > 0)
+    active = F.when(F.col("status") != 0, C.site_active(F.col("status"))).otherwise(F.col("error").isNull() & C.content_active(F.coalesce("body", F.lit("")), parts))
+    # in steps: each value is computed once, and no projection becomes too large to compile
+    full = full.select("*", C.host_of(url).alias("host"), C.path_of(url).alias("path"), low.contains("[email protected]").alias("email_protected"), F.lower("footer_text").contains("copyright").alias("footer_evidence"))
+    full = full.select("*", C.parked(F.col("decoded"), url).alias("is_hosting"), active.alias("is_alive"), absolute_url(F.col("logo_link"), url).alias("logo"))
+    full = full.select("*", C.platforms(F.col("decoded")).alias("website_platforms"), C.language(F.col("text")).alias("website_language"))
+    full = full.select("*", mails.alias("all_emails"), numbers.alias("all_phones"))
+    full = full.select("*", C.company_numbers(F.col("text")).alias("numbers"), C.postcodes(F.col("text")).alias("codes"))
     network = lambda n: F.try_element_at("social", F.lit(n)).alias(n)
     link = lambda k, name: F.try_element_at("page_links", F.lit(k)).alias(name)
-    platforms = C.platforms(F.col("decoded"))
-    extra = F.to_json(F.struct(C.company_numbers(F.col("text")).alias("company_number"), C.postcodes(F.col("text")).alias("post_code")))
+    codes = F.slice(F.array_distinct(F.concat("codes", "postcodes")), 1, 25)
+    extra = F.to_json(F.struct(F.col("numbers").alias("company_number"), codes.alias("post_code")))
     return full.select(
         "site",
         "input_url",
         F.col("final_url").alias("website"),
         F.nullif("status", F.lit(0)).alias("http_status"),
-        (active & ~hosting).alias("active"),
-        hosting.alias("hosting"),
-        F.when(host.endswith(".uk"), "GB").alias("location"),
-        C.language(F.col("text")).alias("website_language"),
+        (F.col("is_alive") & ~F.col("is_hosting")).alias("active"),
+        F.col("is_hosting").alias("hosting"),
+        F.when(F.col("host").endswith(".uk"), "GB").alias("location"),
+        "website_language",
+        F.when(F.col("logo_link").isNotNull(), F.nullif("logo", F.lit(""))).alias("logo_link"),
         *(network(n) for n in sorted(fixed.SOCIAL_DOMAINS)),
         link("contact_page", "contact_page"),
         link("careers_page", "careers_page"),
@@ -259,38 +301,117 @@ def extract_records(sites: DataFrame) -> DataFrame:
         "ats_provider",
         "ats_identifier",
         "ats_page",
-        C.first_non_empty(F.col("structured.legal_names"), F.col("structured.names"), F.col("structured.alternate_names"), F.col("legal")).alias("company_name"),
-        C.description(F.col("title"), F.col("description"), C.path_of(url)).alias("company_description"),
-        C.join_fold(mails).alias("email"),
-        F.lower("text").contains("[email protected]").alias("email_protected"),
-        F.array_join(numbers, ", ").alias("phone"),
+        C.first_non_empty(F.col("legal_names"), F.col("names"), F.col("alternate_names"), F.col("legal")).alias("company_name"),
+        C.description(F.col("title"), F.col("description"), F.col("path")).alias("company_description"),
+        C.join_fold(F.col("all_emails")).alias("email"),
+        "email_protected",
+        F.array_join("all_phones", ", ").alias("phone"),
         extra.alias("extra_info"),
         F.when(F.col("status") == 200, F.col("ats_page").isNotNull()).alias("ats_traceable"),
-        F.try_element_at(platforms, F.lit(1)).alias("website_platform"),
-        platforms.alias("website_platforms"),
+        F.try_element_at("website_platforms", F.lit(1)).alias("website_platform"),
+        "website_platforms",
         F.get("legal", F.lit(0)).alias("limited_company"),
-        F.lower("footer_text").contains("copyright").alias("footer_evidence"),
+        "footer_evidence",
+        F.array_join("towns", "; ").alias("towns"),
+        F.array_join("addresses", "; ").alias("addresses"),
         F.size("headings").alias("n_headings"),
         F.size("anchors").alias("n_anchors"),
+        "n_pages",
         F.col("error").alias("error"),
         F.lit(11).alias("job_category_hint"),
     )
 
 
+def extract_sites(sites: DataFrame, fetched: DataFrame) -> DataFrame:
+    """One extraction record a site, from the pages that its crawl reaches, with its boards verified: the columns of
+    ``extract_records``, ats_candidates (all, in the order of discovery) and ats_rejections (boards of career pages on other
+    hosts, whose words are not those of the site).
+
+    sites: site, input_url. fetched: url, status, final_url, body, error of everything that was fetched, boards' lists of jobs
+    included; what is not among it could not be reached. A page that only holds or sells its domain is not crawled."""
+    outcome = fetched.withColumns({"status": F.coalesce("status", F.lit(0)), "landed": C.without_default_port(F.coalesce(F.nullif("final_url", F.lit("")), "url"))})
+    both = F.explode(F.array_distinct(F.array("url", "landed"))).alias("key")
+    first = F.min_by(F.struct("landed", "body"), F.struct(F.col("url") != F.col("key"), F.col("url"))).alias("p")
+    bodies = outcome.where("body <> ''").select("*", both).groupBy("key").agg(first).select("key", F.col("p.landed").alias("base"), "p.body")
+    read = staged(parsed(bodies, "body"), "pages")
+
+    answers = outcome.groupBy(F.col("url").alias("asked")).agg(F.min_by(F.struct("status", "landed", "error"), F.struct(F.col("status") == 0, "status")).alias("a"))
+    root = sites.withColumn("asked", C.with_scheme(F.col("input_url"))).join(answers, "asked", "left")
+    missing = F.when(F.col("a").isNull(), "not fetched").otherwise(F.col("a.error"))
+    root = root.select("site", "input_url", F.coalesce("a.landed", "asked").alias("final_url"), F.coalesce("a.status", F.lit(0)).alias("status"), missing.alias("error"))
+    root = root.join(read.select(F.col("key").alias("final_url"), "body", "title", "description", "images"), "final_url", "left")
+    root = staged(with_unescaped(root, "body").withColumn("gated", C.parked(F.col("decoded"), F.col("final_url"))), "roots")
+
+    order = {kind: i for i, kind in enumerate(fixed.PAGE_LINKS)}
+    links = best_links(page_links(read.select(F.col("key").alias("site"), "base", "anchors")))
+    number = F.element_at(F.create_map(*(F.lit(x) for pair in order.items() for x in pair)), F.col("kind"))
+    links = staged(links.select(F.col("site").alias("url"), number.alias("kind_order"), "kind", F.col("url").alias("target"), C.same_host(F.col("url"), F.col("site")).alias("follow")), "links")
+    start = lambda gated: root.where(gated).select("site", F.col("final_url").alias("url"))
+    state = staged(crawl_states(start("not gated"), links).unionByName(crawl_states(start("gated"), links, most=1)), "crawl")
+    visits = state.select("site", F.posexplode("visited").alias("visit", "v")).select("site", "visit", F.col("v.label").alias("label"), F.col("v.url").alias("key")).join(read, "key")
+    merged = staged(merge_pages(visits), "merged")
+
+    career = [F.lit("careers_page"), F.lit("vacancies_page")]
+    careers = state.select("site", F.explode("found").alias("f")).where(F.col("f.kind").isin("careers_page", "vacancies_page")).select("site", F.col("f.kind").alias("kind"), F.col("f.target").alias("url"))
+    careers = staged(with_board(careers), "careers")
+    on_page = board_candidates(visits.select("site", F.col("visit").alias("seq"), "base", "body", F.col("label").alias("source_kind")))
+    by_link = careers.where("board is not null").select("site", F.when(F.col("kind") == career[0], 1000).otherwise(1001).alias("seq"), F.lit(0).alias("pos"), "board.*", F.lit("href").alias("discovery"), F.lit("page_link").alias("source_kind"))
+
+    # career pages on other hosts, and the same host's pages one step on
+    own = root.where("not gated").select("site", F.col("final_url").alias("own_url"))
+    outside = careers.where("board is null").join(own, "site").where(~C.same_host(F.col("url"), F.col("own_url")))
+    outside = outside.groupBy("site", "url").agg(F.min(F.when(F.col("kind") == career[0], 100).otherwise(110)).alias("seq"))
+    beyond = links.where(F.col("kind").isin("careers_page", "vacancies_page")).withColumnRenamed("url", "from").join(outside.select("site", F.col("url").alias("from"), "seq"), "from")
+    landed = read.select(F.col("key").alias("from"), F.col("base").alias("from_base"))
+    beyond = beyond.join(landed, "from").where(C.same_host(F.col("target"), F.col("from_base"))).groupBy("site", F.col("target").alias("url")).agg(F.min(F.col("seq") + 1 + F.when(F.col("kind") == career[1], 1).otherwise(0)).alias("seq"))
+    hops = outside.unionByName(beyond).groupBy("site", "url").agg(F.min("seq").alias("seq"))
+    hops = hops.join(read.withColumnRenamed("key", "url"), "url").select("site", "seq", F.col("url").alias("page_url"), "base", "body", "title", "headings")
+    hops = staged(hops, "hops")
+    words = merged.join(root.select("site", F.col("final_url").alias("url"), "title"), "site").select("site", "url", "title", "headings")
+    judged = external_boards(words, hops.select("site", "seq", "page_url", "title", "headings")).select("site", "seq", "page_url", "accepted")
+    found = board_candidates(hops.withColumn("source_kind", F.lit("external_careers"))).join(judged, ["site", "seq"])
+    refused = found.where("not accepted").groupBy("site", "page_url").agg(F.min("seq").alias("seq"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "url"))), lambda x: x["url"]).alias("ats"))
+    refused = refused.groupBy("site").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.col("page_url").alias("page"), "ats"))), lambda x: F.struct(x["page"].alias("page"), x["ats"].alias("ats"))).alias("ats_rejections"))
+
+    candidates = on_page.unionByName(found.where("accepted").drop("page_url", "accepted")).unionByName(by_link)
+    candidates = staged(verified(staged(distinct_boards(candidates), "candidates"), fetched), "candidates")
+    fields = ["provider", "identifier", "url", "raw_url", "discovery", "source_kind", "availability_checked", "active", "http_status", "error"]
+    listed = candidates.groupBy("site").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "pos", *fields))), lambda x: F.struct(*(x[c].alias(c) for c in fields))).alias("ats_candidates"))
+
+    moved = careers.groupBy("site").agg(F.collect_set(F.when(F.col("board").isNotNull(), F.col("kind"))).alias("moved"))
+    kept = F.filter("found", lambda f: ~F.array_contains(F.coalesce("moved", F.array().cast("array<string>")), f["kind"]))
+    by_kind = state.join(moved, "site", "left").select("site", F.map_from_entries(F.transform(kept, lambda f: F.struct(f["kind"], f["target"]))).alias("page_links"))
+    nothing = {c: F.coalesce(F.col(c), F.array().cast(merged.schema[c].dataType)) for c in ("headings", "anchors", "emails", "phones", *STRUCTURED)}
+    full = root.drop("gated").withColumn("logo_link", _logo()).join(merged, "site", "left").withColumns(nothing)
+    full = full.withColumns({"text": F.coalesce("text", F.lit("")), "footer_text": F.coalesce("footer_text", F.lit("")), "n_pages": F.coalesce("n_pages", F.lit(0)), "images": F.coalesce("images", F.array().cast(root.schema["images"].dataType))})
+    records = _records(full.join(by_kind, "site", "left"), _visited_links(visits), best_board(candidates))
+    return records.join(listed, "site", "left").join(refused, "site", "left")
+
+
+def _visited_links(visits: DataFrame) -> DataFrame:
+    """site, pos, url of the links of all visited pages, in the order of visits."""
+    each = visits.select("site", "visit", "base", F.posexplode("anchors").alias("place", "a"))
+    return each.select("site", F.struct("visit", "place").alias("pos"), absolute_url(F.col("a.href"), F.col("base")).alias("url"))
+
+
+STRUCTURED = ["names", "legal_names", "alternate_names", "postcodes", "towns", "addresses", "urls"]
+
+
 def merge_pages(read: DataFrame) -> DataFrame:
     """read (site, visit and PAGE): one row a site with its pages' texts and lists in the order of visits. Headings are
     distinct, 25 at most; structured lists are only put together."""
-    ordered = F.array_sort(F.collect_list(F.struct("visit", "text", "footer_text", "headings", "anchors", "emails", "phones", "structured.names", "structured.legal_names")))
+    ordered = F.array_sort(F.collect_list(F.struct("visit", "text", "footer_text", "headings", "anchors", "emails", "phones", *(F.col(f"structured.{c}").alias(c) for c in STRUCTURED))))
     joined = lambda c: F.transform("p", lambda x: x[c])
     return (
         read.groupBy("site")
         .agg(ordered.alias("p"))
         .select(
             "site",
+            F.size("p").alias("n_pages"),
             C.clean_text(F.array_join(joined("text"), " ")).alias("text"),
             C.clean_text(F.array_join(joined("footer_text"), " ")).alias("footer_text"),
             F.slice(F.array_distinct(F.flatten(joined("headings"))), 1, 25).alias("headings"),
-            *(F.flatten(joined(c)).alias(c) for c in ("anchors", "emails", "phones", "names", "legal_names")),
+            *(F.flatten(joined(c)).alias(c) for c in ("anchors", "emails", "phones", *STRUCTURED)),
         )
     )
 
@@ -329,23 +450,27 @@ def chosen_fetches(tries: DataFrame) -> DataFrame:
     return first.select("url", F.when(poor & better, F.col("browser")).otherwise(F.col("r")).alias("r"), "tries").select("url", *(f"r.{c}" for c in fields), "tries")
 
 
+LIVENESS = "dns_active boolean, http_active boolean, http_status int, final_url string, redirect_count int, redirect_chain array<string>, checked_at string, response_ms double, error string, attempts int"
+
+
 def probe(domains: DataFrame, fetch: Callable[[str], dict], attempts: int = 2) -> DataFrame:
     """domains (domain) with the fields of a liveness result, by a function that fetches a URL (status, final_url, error,
-    dns_active): https, then http; again if the first try says so. The function runs in the tasks."""
-
-    def made(rows: list) -> list[dict]:
-        out = []
-        for (domain,) in rows:
-            for attempt in range(1, attempts + 1):
-                got = fetch(f"https://{domain}")
-                error = got.get("error")
-                if got.get("dns_active", True) and not got.get("status"):
-                    got = fetch(f"http://{domain}")
-                status = got.get("status")
-                if got.get("dns_active", True) and status and status not in (408, 425, 429) and status < 500:
-                    break
-            active = bool(status) and (200 <= status < 400 or status in (401, 403))
-            out.append({"dns_active": bool(got.get("dns_active", True)), "http_active": active, "http_status": status, "final_url": got.get("final_url"), "error": error, "attempts": attempt})
-        return out
-
-    return _mapped(domains, made, ["domain"], "dns_active boolean, http_active boolean, http_status int, final_url string, error string, attempts int")
+    dns_active, redirect_chain: all URLs asked, the first included): https, then http; again if the first try says so. The
+    function runs in the tasks, for one domain after the other. An error of https stays, even if http has an answer."""
+
+    def one(domain: str) -> dict:
+        began, checked = time.perf_counter(), time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
+        for attempt in range(1, attempts + 1):
+            got = fetch(f"https://{domain}")
+            error = got.get("error")
+            if got.get("dns_active", True) and not got.get("status"):
+                got = fetch(f"http://{domain}")
+            status = got.get("status")
+            if got.get("dns_active", True) and status and status not in (408, 425, 429) and status < 500:
+                break
+        chain = got.get("redirect_chain") or []
+        active = bool(status) and (200 <= status < 400 or status in (401, 403))
+        found = {"dns_active": bool(got.get("dns_active", True)), "http_active": active, "http_status": status, "final_url": got.get("final_url"), "error": error, "attempts": attempt}
+        return found | {"redirect_count": max(0, len(chain) - 1), "redirect_chain": chain or None, "checked_at": checked, "response_ms": round((time.perf_counter() - began) * 1000, 3)}
+
+    return _mapped(domains, lambda rows: [one(domain) for (domain,) in rows], ["domain"], LIVENESS)

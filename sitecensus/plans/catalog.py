@@ -138,8 +138,8 @@ def _lines(spark: SparkSession) -> DataFrame:
 
 
 def jsonl_permissive_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A bad line is an error, but nothing processed."""
-    read = readers.decode_permissive(_lines(spark))
+    """A bad line is an error, but nothing processed: the lines of a result file and the properties of all events."""
+    read = readers.decode_permissive(_lines(spark).select("value").unionByName(table(spark, sf_dir, "events").select(F.col("props").alias("value"))))
     return read.agg(F.count_if(~F.col("is_bad")).alias("processed"), F.count_if("is_bad").alias("errors"))
 
 
@@ -147,7 +147,7 @@ def jsonl_strict_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The properties of all events, each of which has to be sound."""
     values = table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
     item = F.from_json("value", "k string, n bigint", {"mode": "FAILFAST"})
-    return values.select("event_id", F.col("value").isNotNull().alias("present"), item.isNotNull().alias("decoded"))
+    return values.select("event_id", item.alias("item")).select("event_id", "item.k", "item.n")
 
 
 def extract_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,16 +198,18 @@ def page_parse_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page.select("page_id", "title", "description", "og_image", F.length("text").alias("n_text"), "footer_text", *sizes)
 
 
-def _links(spark: SparkSession) -> DataFrame:
-    return inline(spark, views.LINKS, "site string, pos int, url string")
+def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of all pages, each a site of its own, and the inline ones."""
+    pages = site.parsed(table(spark, sf_dir, "pages").selectExpr("concat('p', CAST(page_id AS STRING)) AS site", "url AS base", "html"))
+    return site.page_links(pages).unionByName(inline(spark, views.LINKS, "site string, pos int, url string"))
 
 
 def page_links_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site.best_links(_links(spark))
+    return site.best_links(_links(spark, sf_dir))
 
 
 def social_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site.social_links(_links(spark))
+    return site.social_links(_links(spark, sf_dir))
 
 
 def description_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,8 +230,7 @@ def content_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def platform_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = site.with_unescaped(sites(spark, sf_dir))
-    scores = F.array(*(F.struct(F.lit(p).alias("platform"), s.alias("score")) for p, s in C.platform_scores(F.col("decoded"))))
-    return page.select("page_id", F.explode(scores).alias("s")).select("page_id", "s.platform", "s.score").where("score > 0")
+    return page.select("page_id", F.explode(C.platform_scores(F.col("decoded"))).alias("s")).select("page_id", "s.platform", "s.score").where("score > 0")
 
 
 def website_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +239,7 @@ def website_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def board_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urls = inline(spark, list(enumerate(views.BOARD_URLS)), "n int, link string")
+    urls = inline(spark, [(i, link) for i, (link, *_) in enumerate(views.BOARDS)], "n int, link string")
     return site.with_board(urls, "link").select("n", "link", "board.provider", "board.identifier", "board.url")
 
 
@@ -272,15 +273,22 @@ def structured_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def identity_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = table(spark, sf_dir, "pages").withColumn("host", C.host_of(F.col("url")))
-    own = C.identity_tokens(F.col("host"))
-    return page.select("page_id", F.array_join(F.array_sort(F.array_distinct(own)), " ").alias("tokens"), F.arrays_overlap(own, C.identity_tokens(C.path_of(F.col("url")))).alias("overlap"))
+    """Whether host and path, and whether URL and what the page says of itself (title, first headings), share words."""
+    page = site.parsed(table(spark, sf_dir, "pages").withColumn("host", C.host_of(F.col("url"))))
+    own, path = C.identity_tokens(F.col("host")), C.path_of(F.col("url"))
+    said = C.identity_tokens(F.col("title"), F.array_join(F.slice("headings", 1, 3), " "))
+    return page.select(
+        "page_id",
+        F.array_join(F.array_sort(F.array_distinct(own)), " ").alias("tokens"),
+        F.arrays_overlap(own, C.identity_tokens(path)).alias("overlap"),
+        F.arrays_overlap(C.identity_tokens(F.col("host"), path), said).alias("overlap_of_texts"),
+    )
 
 
 def _page_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Pages linked by id: page p points to 3 p + 1 and 3 p + 2 as its kinds k0 to k4, in one site for each ten roots."""
+    """Pages linked by id: page p points to 3 p + 1, 3 p + 2 and 3 p + 3 as three of the kinds k0 to k6; each is a site's root."""
     ids = table(spark, sf_dir, "pages").select("page_id")
-    roots = ids.where("page_id % 10 = 0").selectExpr("page_id AS site", "concat('p', CAST(page_id AS STRING)) AS url")
+    roots = ids.selectExpr("page_id AS site", "concat('p', CAST(page_id AS STRING)) AS url")
     links = ids.select("page_id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("k")).selectExpr(
         "concat('p', CAST(page_id AS STRING)) AS url", "k AS kind_order", "concat('k', CAST((page_id + k) % 7 AS STRING)) AS kind", "concat('p', CAST(page_id * 3 + k AS STRING)) AS target"
     )
@@ -293,7 +301,7 @@ def crawl_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS key", "s_name AS label")
-    new = table(spark, sf_dir, "supplier").where("s_suppkey % 5 = 0").selectExpr("s_suppkey * 2 AS key", "concat(s_name, ' (new)') AS label")
+    new = table(spark, sf_dir, "supplier").selectExpr("s_suppkey * 2 AS key", "concat(s_name, ' (new)') AS label")
     return lists.upsert(old, new)
 
 
@@ -307,18 +315,11 @@ def url_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The counters of the results so far, by a stream that has read all of them: same rows as the batch."""
-    import uuid
-
+    """The counters of the results so far, by a stream that has read all of them: same rows as the batch. The stream's
+    result is a table in the shared folder, as its checkpoint is."""
     stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
     read = stream.selectExpr(*(f"{x} AS {c}" for c, x in views.SCAN_COLUMNS.items()))
-    name = f"liveness_{uuid.uuid4().hex}"
-    query = liveness.counters(read).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True)
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        query = query.option("checkpointLocation", f"{shared.rstrip('/')}/{name}")
-    query.start().awaitTermination()
-    return spark.table(name)
+    return liveness.counted_by_stream(read)
 
 
 def extract_record(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,12 +327,21 @@ def extract_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site.extract_records(fetched)
 
 
+def extract_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole sites: all pages, each a site's root, and the inline sites of several pages."""
+    own = inline(spark, views.SITE_PAGES, "url string, status int, final_url string, body string, error string")
+    roots = inline(spark, views.SITE_ROOTS, "site string, input_url string")
+    pages = sites(spark, sf_dir).selectExpr("concat('p', CAST(page_id AS STRING)) AS site", "url AS input_url", "html AS body")
+    fetched = own.unionByName(pages.selectExpr("input_url AS url", "200 AS status", "CAST(NULL AS STRING) AS final_url", "body", "CAST(NULL AS STRING) AS error"))
+    return site.extract_sites(roots.unionByName(pages.select("site", "input_url")), fetched)
+
+
 NAMES = (
     "split_contiguous split_balanced assign_zones queue_tail queue_head resume_anti_join resume_positional merge_active_list merge_inactive_list merge_summary merge_status_counts "
     "http_active_flags retry_candidates run_state_counters platform_histogram_zero_filled combined_rollup combined_status_counts throughput_eta shard_completion jsonl_permissive_counts "
     "jsonl_strict_decode extract_emails extract_phones extract_postcodes extract_company_numbers language_detect legal_form_names page_titles page_headings page_anchors footer_text "
     "page_parse_full page_links_best social_links description_build hosting_detect content_active platform_scores website_platforms fetch_choice board_match board_candidates board_verify board_best "
-    "structured_data identity_overlap crawl_bfs registry_upsert checksum_rows url_functions stream_state extract_record"
+    "structured_data identity_overlap crawl_bfs registry_upsert checksum_rows url_functions stream_state extract_record extract_site"
 ).split()
 
 

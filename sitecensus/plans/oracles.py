@@ -9,7 +9,11 @@ from .views import SCAN_SQL, SITES_SQL, TEXTS_SQL, values_sql
 QUEUE = "(SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, lower(c_name) AS domain, count(*) OVER () AS total FROM customer)"
 SCAN = f"({SCAN_SQL})"
 LINES = values_sql(views.RESULT_LINES, "line, value")
-LINKS = values_sql(views.LINKS, "site, pos, url")
+#: The links of all pages, as seen from them, and the inline ones.
+PAGE_HREFS = """(SELECT page_id, url, regexp_extract_all(html, '(?s)<a href="([^"]*)">', 1) AS hrefs FROM pages)"""
+LINKS = f"""(SELECT 'p' || page_id AS site, (i - 1)::INTEGER AS pos, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || href ELSE href END AS url
+  FROM (SELECT page_id, url, i, hrefs[i] AS href FROM (SELECT *, unnest(range(1, len(hrefs) + 1)) AS i FROM {PAGE_HREFS} a) b) c
+  UNION ALL SELECT * FROM {values_sql(views.LINKS, "site, pos, url")} i)"""
 CANDIDATES = values_sql(views.CANDIDATES, "site, provider, identifier, url, raw_url, discovery, source_kind")
 FETCHED = values_sql(views.FETCHED, "url, status, final_url, body")
 
@@ -99,6 +103,7 @@ def _squeezed(text: str) -> str:
 
 TITLE = "trim(" + _decoded("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)") + ")"
 FOOTER = _squeezed(_decoded("regexp_replace(regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1), '<[^>]*>', ' ', 'g')"))
+HEADING = _squeezed(_decoded("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"))
 HOST = "lower(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)', 1), ':[0-9]*$', ''))"
 PATH = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 
@@ -119,8 +124,10 @@ def _platform_scores() -> str:
         points = []
         for name, n, markers in fixed.PLATFORM_MARKERS:
             if name == platform:
-                joint = " AND " if "&" in markers else " OR "
-                points.append(f"CASE WHEN {joint.join(f'contains(low, {chr(39)}{m}{chr(39)})' for m in markers.replace('&', '|').split('|'))} THEN {n} ELSE 0 END")
+                points.append(f"CASE WHEN {_any('low', markers)} THEN {n} ELSE 0 END")
+        for name, n, markers in fixed.PLATFORM_ALL_OF:
+            if name == platform:
+                points.append(f"CASE WHEN {_any('low', markers).replace(' OR ', ' AND ')} THEN {n} ELSE 0 END")
         for name, n, pattern in fixed.PLATFORM_PATTERNS:
             if name == platform:
                 points.append(f"CASE WHEN regexp_matches(low, '{pattern.replace(chr(39), chr(39) * 2)}') THEN {n} ELSE 0 END")
@@ -146,6 +153,10 @@ def _social() -> str:
     return f"WITH l AS (SELECT site, pos, url, {HOST} AS host FROM {LINKS} x), h AS ({hits}) SELECT site, network, min_by(url, pos) AS url FROM h GROUP BY site, network"
 
 
+def _page_kind() -> str:
+    return "CASE " + " ".join(f"WHEN {_any('lower(url)', words.split())} THEN '{kind}'" for kind, words in fixed.PAGE_KINDS.items()) + " ELSE 'website' END"
+
+
 VERIFIED = f"""(SELECT c.*, coalesce(f.status, 0)::INTEGER AS http_status,
    CASE c.provider
      WHEN 'bamboohr' THEN CASE WHEN NOT (f.status BETWEEN 200 AND 399 AND {HOST.replace('url', 'f.final_url')} = {HOST.replace('url', 'c.url')}) OR f.status IS NULL THEN 'BambooHR careers endpoint unavailable or redirected' END
@@ -181,7 +192,7 @@ CRAWL = """
 WITH RECURSIVE links AS (SELECT page_id AS src, k, 'k' || ((page_id + k) % 7) AS kind, 'p' || (page_id * 3 + k) AS target FROM pages, (SELECT unnest([1, 2, 3]) AS k)),
 outs AS (SELECT 'p' || src AS url, list({'kind': kind, 'url': target} ORDER BY k) AS out FROM links GROUP BY src),
 step AS (
-  SELECT page_id AS site, ['p' || page_id] AS visited, ['website'] AS labels, [{'kind': '', 'url': ''}][:0] AS queue, ['']::VARCHAR[] AS kinds, 'p' || page_id AS at FROM pages WHERE page_id % 10 = 0
+  SELECT page_id AS site, ['p' || page_id] AS visited, ['website'] AS labels, [{'kind': '', 'url': ''}][:0] AS queue, ['']::VARCHAR[] AS kinds, 'p' || page_id AS at FROM pages 
   UNION ALL
   SELECT site, CASE WHEN len(rest) > 0 THEN list_append(visited, rest[1].url) ELSE visited END, CASE WHEN len(rest) > 0 THEN list_append(labels, rest[1].kind) ELSE labels END,
          rest, kinds2, CASE WHEN len(rest) > 0 THEN rest[1].url END
@@ -223,15 +234,15 @@ def oracle_sql() -> dict[str, str]:
         "throughput_eta": f"""SELECT machine, processed, total, seconds, remaining, round(rate, 6) AS rate_per_second, round(remaining / rate, 6) AS eta_seconds
             FROM (SELECT machine, processed, total, remaining, machine[2:]::DOUBLE * 10 AS seconds, processed / greatest(machine[2:]::DOUBLE * 10, 0.001) AS rate FROM {STATES} s) t""",
         "shard_completion": f"SELECT count(*) AS shards, bool_and(status = 'complete' AND processed = expected) AS complete, sum(processed)::BIGINT AS processed, sum(expected)::BIGINT AS expected FROM {STATES} s",
-        "jsonl_permissive_counts": f"SELECT count(*) FILTER (json_valid(value)) AS processed, count(*) FILTER (NOT json_valid(value)) AS errors FROM {LINES} l WHERE trim(value) <> ''",
-        "jsonl_strict_decode": "SELECT event_id, props IS NOT NULL AS present, coalesce(json_valid(props), false) AS decoded FROM events",
+        "jsonl_permissive_counts": f"SELECT count(*) FILTER (json_valid(value)) AS processed, count(*) FILTER (NOT json_valid(value)) AS errors FROM (SELECT value FROM {LINES} l UNION ALL SELECT props FROM events) m WHERE trim(value) <> ''",
+        "jsonl_strict_decode": "SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract(props, '$.n')::BIGINT AS n FROM events",
         "extract_emails": _emails(),
         "extract_phones": _phones(),
         "extract_postcodes": _postcodes(),
         "extract_company_numbers": _numbers(),
         "language_detect": _language(),
         "page_titles": f"SELECT page_id, {TITLE} AS title FROM pages",
-        "page_headings": f"SELECT page_id, 0 AS n, {_squeezed(_decoded('regexp_extract(html, ' + chr(39) + '(?s)<h1>(.*?)</h1>' + chr(39) + ', 1)'))} AS heading FROM pages",
+        "page_headings": f"SELECT page_id, 0 AS n, {HEADING} AS heading FROM pages",
         "page_anchors": f"""SELECT page_id, (i - 1)::INTEGER AS n, {_decoded('hrefs[i]')} AS href, {_decoded('names[i]')} AS text FROM (SELECT *, unnest(range(1, len(hrefs) + 1)) AS i FROM (
             SELECT page_id, regexp_extract_all(html, '(?s)<a href="([^"]*)">(.*?)</a>', 1) AS hrefs, regexp_extract_all(html, '(?s)<a href="([^"]*)">(.*?)</a>', 2) AS names FROM pages) a) b""",
         "footer_text": f"SELECT page_id, {FOOTER} AS footer_text FROM pages",
@@ -249,10 +260,15 @@ def oracle_sql() -> dict[str, str]:
         "board_best": f"""SELECT site, provider, identifier, url FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY (source_kind = 'website')::INTEGER, (discovery = 'raw')::INTEGER,
             len(list_filter(string_split({PATH}, '/'), lambda s: s <> '')), contains(raw_url, '?')::INTEGER, strlen(url), url) AS r FROM {VERIFIED} v WHERE error IS NULL) t WHERE r = 1""",
         "fetch_choice": _fetch_choice(),
-        "identity_overlap": f"""SELECT page_id, array_to_string(list_sort(list_distinct(own)), ' ') AS tokens, list_has_any(own, {IDENTITY.format(PATH)}) AS overlap
-            FROM (SELECT page_id, url, {IDENTITY.format(HOST)} AS own FROM pages) p""",
+        "identity_overlap": f"""SELECT page_id, array_to_string(list_sort(list_distinct(own)), ' ') AS tokens, list_has_any(own, {IDENTITY.format(PATH)}) AS overlap,
+            list_has_any({IDENTITY.format(f"{HOST} || ' ' || {PATH}")}, {IDENTITY.format(f"{TITLE} || ' ' || {HEADING}")}) AS overlap_of_texts
+            FROM (SELECT page_id, url, html, {IDENTITY.format(HOST)} AS own FROM pages) p""",
+        "board_match": "SELECT n, link, provider, identifier, url FROM " + values_sql([(i, *b) for i, b in enumerate(views.BOARDS)], "n, link, provider, identifier, url") + " b",
+        "structured_data": "SELECT site, key, (row_number() OVER (PARTITION BY site, key ORDER BY place) - 1)::INTEGER AS n, value FROM " + values_sql([(i, *f) for i, f in enumerate(views.STRUCTURED_FACTS)], "place, site, key, value") + " f",
+        "url_functions": f"""SELECT page_id, {HOST} AS host, {_page_kind()} AS kind, regexp_replace(regexp_replace(url, '^(https://[^/?#]*):443($|[/?#])', '\\1\\2'), '^(http://[^/?#]*):80($|[/?#])', '\\1\\2') AS bare,
+            CASE WHEN ends_with({HOST}, '.uk') THEN 'GB' END AS location FROM {SITES_SQL} s""",
         "crawl_bfs": CRAWL,
-        "registry_upsert": """WITH fresh AS (SELECT s_suppkey * 2 AS key, s_name || ' (new)' AS label FROM supplier WHERE s_suppkey % 5 = 0)
+        "registry_upsert": """WITH fresh AS (SELECT s_suppkey * 2 AS key, s_name || ' (new)' AS label FROM supplier)
             SELECT s_suppkey AS key, s_name AS label FROM supplier WHERE s_suppkey NOT IN (SELECT key FROM fresh) UNION ALL SELECT * FROM fresh""",
         "checksum_rows": "SELECT s_suppkey, sha256(s_suppkey || '|' || s_name) AS sha256 FROM supplier",
         "stream_state": f"SELECT coalesce(http_status::VARCHAR, 'none') AS status, count(*) AS processed, count(*) FILTER (http_active) AS active, count(error) AS errors FROM {SCAN} s GROUP BY 1",

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.results import truthy
 from ..sources.readers import SCAN_RESULT, decode_tolerant
-from ..sources.writers import write_document
+from ..sources.writers import shared_dir, write_document
 
 
 def result_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -57,3 +60,36 @@ def watch(spark: SparkSession, path: str, state_path: str, checkpoint: str, tota
 
     writer = counters(result_stream(spark, path)).writeStream.outputMode("complete").foreachBatch(publish).option("checkpointLocation", f"{checkpoint}/{total}")
     return (writer.trigger(availableNow=True) if seconds is None else writer.trigger(processingTime=f"{max(0.5, seconds)} seconds")).start()
+
+
+def counted_by_stream(results: DataFrame) -> DataFrame:
+    """The counters of a stream once it has read all that is there, as a table in the shared folder."""
+    spark = results.sparkSession
+    folder = f"{shared_dir(spark)}/counters-{uuid.uuid4().hex}"
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/table")
+
+    query = counters(results).writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", f"{folder}/checkpoint")
+    query.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/table")
+
+
+def append_records(records: DataFrame, path: str, checkpoint: str, tries: int = 3) -> StreamingQuery:
+    """Append a stream's rows to a table of Parquet folders, one a batch: a batch that is tried again, by us (up to so many
+    times) or after a restart, replaces its own folder, so every row is there once. A batch that keeps failing ends the query
+    with its error, and the folder ``blocked`` names it; a restart goes on with that batch."""
+    spark = records.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for attempt in range(1, tries + 1):
+            try:
+                batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+                return
+            except Exception as error:
+                if attempt == tries:
+                    write_document(spark, f"{checkpoint}/blocked.json", {"status": "blocked", "batch": batch_id, "last_error": str(error)[:500]})
+                    raise
+                time.sleep(min(30, 2 ** (attempt - 1)))
+
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start()

@@ -160,3 +160,22 @@ def test_pushes(spark):
     pushes = spark.createDataFrame(rows, "machine string, payload string, at string").withColumn("at", F.to_timestamp("at"))
     got = results.latest_push(pushes, F.lit("2026-01-01 00:00:25").cast("timestamp")).collect()
     assert {r.machine: (r.payload, r.fresh) for r in got} == {"m": ("{2}", True), "o": ("{3}", False)}
+
+
+def test_a_stream_appends_each_row_once(spark, tmp_path):
+    folder, out, place = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    folder.mkdir()
+    for n in (1, 2, 3):
+        (folder / f"{n}.jsonl").write_text("\n".join(v for _, v in views.RESULT_LINES))
+        liveness.append_records(liveness.result_stream(spark, str(folder)), out, place).awaitTermination()
+        assert spark.read.parquet(out).count() == 3 * n
+    spark.read.parquet(out).limit(1).write.mode("overwrite").parquet(f"{out}/batch=7")  # what a batch that died has left
+    assert spark.read.parquet(out).select("batch").distinct().count() == 4
+    (tmp_path / "file").write_text("x")
+    (folder / "4.jsonl").write_text(views.RESULT_LINES[0][1])
+    query = liveness.append_records(liveness.result_stream(spark, str(folder)), str(tmp_path / "file"), place, tries=2)
+    with pytest.raises(Exception):
+        query.awaitTermination()
+    assert json.loads((tmp_path / "checkpoint" / "blocked.json").read_text())["status"] == "blocked"
+    liveness.append_records(liveness.result_stream(spark, str(folder)), out, place).awaitTermination()
+    assert spark.read.parquet(out).where("batch = 3").count() == 1
