@@ -3,12 +3,11 @@
 Examples are placed under three limits at once: tokens, segments and loss-bearing tokens of a sequence. A
 sequence is filled by the dot-product heuristic: among the waiting examples that fit under all limits, it takes
 the one whose demand has the largest dot product with what is left of the limits (both as fractions of the
-limits). When none fits whole, the best one is cut so that the sequence is full. A sequence that the segment or
-loss limit leaves short, or that ends its partition, is cut back to a power of two, which needs no padding, and
-what was cut off waits for the next one.
+limits). When none fits whole, the one that can give the longest head is cut so that the sequence is full; heads of
+less than ``LEAST_HEAD`` ids are not cut off. A sequence that the segment or loss limit leaves short, or that ends its
+partition, is cut back to a power of two, which needs no padding, and what was cut off waits for the next one.
 
-Documents are packed like instructions: the first ids of each, its prompt, bear no loss (a prefix language model),
-and all others do but a piece's first, which nothing precedes.
+The first ids of a piece of a document bear no loss, since too little of the document stands before them.
 
 Each task packs the rows it reads, in one pass, with a pool of bounded size; nothing is shuffled.
 """
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_ID = 2
+LEAST_HEAD = 64
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
 
@@ -82,24 +82,24 @@ def word_ids(path: str) -> WordIds:
 
 class Packer:
     """Packs the examples of one stream. ``add`` and ``finish`` yield full sequences: lists of (example, start,
-    length, loss). An example is (key, ids, loss): if loss is a number, so many ids at the start bear none, and every
-    other id but a piece's first does; otherwise loss[i] is the number of loss-bearing ids before i."""
+    length, loss). An example is (key, ids, loss): if loss is a number, so many ids at the start of each piece bear none,
+    and all others do; otherwise loss[i] is the number of loss-bearing ids before i."""
 
     def __init__(self, tokens: int, segments: int, loss: int, pool: int):
         self.limits = np.array([tokens, segments, loss], float)
         self.tokens, self.segments, self.loss, self.pool = tokens, segments, loss, pool
         self.waiting: list[tuple[tuple, int, int]] = []  # example, start, end
-        self.demand = np.zeros((0, 2))  # tokens and loss of those waiting
+        self.demand = np.zeros((0, 3))  # tokens and loss of those waiting, and ids at their start that bear no loss
         self.total = 0
 
     @staticmethod
     def losses(example: tuple, start: int, end: int) -> int:
         bears = example[2]
-        return max(0, end - max(start + 1, bears)) if isinstance(bears, int) else int(bears[end] - bears[start])
+        return max(0, end - start - bears) if isinstance(bears, int) else int(bears[end] - bears[start])
 
     def wait(self, items: list[tuple[tuple, int, int]]) -> None:
         if items:
-            self.demand = np.vstack([self.demand, [(e - s, self.losses(x, s, e)) for x, s, e in items]])
+            self.demand = np.vstack([self.demand, [(e - s, self.losses(x, s, e), self.cut((x, s, e), e - s, 0)) for x, s, e in items]])
             self.waiting += items
             self.total += sum(e - s for _, s, e in items)
 
@@ -118,7 +118,7 @@ class Packer:
         example, start, end = item
         bears = example[2]
         if isinstance(bears, int):
-            return min(most, end - start, max(start + 1, bears) + loss - start)
+            return min(most, end - start, bears + loss)
         return min(most, end - start, int(np.searchsorted(bears, bears[start] + loss, "right")) - 1 - start)
 
     def fill(self) -> list[tuple[tuple, int, int, int]]:
@@ -130,8 +130,9 @@ class Packer:
             score = self.demand[:, 0] * weight[0] + weight[1] + self.demand[:, 1] * weight[2]
             fits = (self.demand[:, 0] <= left[0]) & (self.demand[:, 1] <= left[2])
             whole = bool(fits.any())
-            i = int(np.where(fits, score, -1).argmax() if whole else score.argmax())
-            if not whole and (head := self.cut(self.waiting[i], int(left[0]), int(left[2]))) < 1:
+            heads = np.minimum(np.minimum(self.demand[:, 0], left[0]), self.demand[:, 2] + left[2])
+            i = int(np.where(fits, score, -1).argmax() if whole else heads.argmax())
+            if not whole and (head := self.cut(self.waiting[i], int(left[0]), int(left[2]))) < (min(LEAST_HEAD, left[0]) if placed else 1):
                 break
             example, start, end = self.take(i)
             if not whole:
@@ -204,15 +205,15 @@ def pack_documents(
     text_col: str = "text",
     max_tokens: int = 4096,
     max_segments: int = 256,
-    max_loss: int = 3840,
-    prompt_share: float = 0.125,
+    max_loss: int = 3904,
+    context: int = 128,
     pool_sequences: int = 64,
 ) -> DataFrame:
     """One row for each piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     loss_tokens.
 
-    A document's ids are those of its text and END_ID; the first prompt_share of them bear no loss. A sequence has at
-    most max_segments pieces and max_loss ids that bear loss. tokenizer: path of the vocabulary, on every executor. A
+    A document's ids are those of its text and END_ID; the first ``context`` ids of each piece bear no loss. A sequence has
+    at most max_segments pieces and max_loss ids that bear loss. tokenizer: path of the vocabulary, on every executor. A
     null or empty text has END_ID alone. Null and repeated doc_ids are documents of their own. Other columns
     are not read; an empty table gives no rows. Sequences have max_tokens ids, or else a power of two.
     max_tokens must be a power of two. Memory: pool_sequences * max_tokens ids, and one batch of rows.
@@ -225,8 +226,7 @@ def pack_documents(
 
         def examples(batch: pa.RecordBatch) -> Iterator[tuple]:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = ids.of(text.as_py() or "") + end
-                yield key, own, int(len(own) // 4 * prompt_share)
+                yield key, ids.of(text.as_py() or "") + end, context
 
         yield from _pack_stream(batches, examples, limits)
 
