@@ -39,7 +39,7 @@ class WordIds(dict):
     hold the beginning of a special token's string, which is one id there, go through the tokenizer itself.
     """
 
-    MOST = 250_000
+    MOST = 400_000
 
     def __init__(self, path: str):
         import regex
@@ -59,14 +59,16 @@ class WordIds(dict):
                 ends = token.endswith("</w>") and token != "</w>"
                 ranks[bytes(byte[c] for c in (token[:-4] if ends else token)) + b"\xff" * ends] = number
         self.piece = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.codes = [i.to_bytes(4, "little") for i in range(max(ranks.values()) + 1)]
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.odd = regex.compile("[^\t\n\r\x20-\x7e¡-įı-ſ–-…€]").search
 
     def __missing__(self, string: str) -> bytes:
         if len(self) >= self.MOST:
             self.clear()
-        ids = [i for word in self.words(string.lower()) for i in self.piece(word.encode() + b"\xff")]
-        self[string] = found = np.array(ids, "<u4").tobytes()
+        low = string.lower()
+        words = (low,) if low.isalpha() else self.words(low)  # a run of letters is one word
+        self[string] = found = b"".join([self.codes[i] for word in words for i in self.piece(word.encode() + b"\xff")])
         return found
 
     def of(self, text: str) -> bytes:
@@ -130,7 +132,7 @@ class Packer:
             score = self.demand[:, 0] * weight[0] + weight[1] + self.demand[:, 1] * weight[2]
             fits = (self.demand[:, 0] <= left[0]) & (self.demand[:, 1] <= left[2])
             whole = bool(fits.any())
-            heads = np.minimum(np.minimum(self.demand[:, 0], left[0]), self.demand[:, 2] + left[2])
+            heads = score if whole else np.minimum(np.minimum(self.demand[:, 0], left[0]), self.demand[:, 2] + left[2])
             i = int(np.where(fits, score, -1).argmax() if whole else heads.argmax())
             if not whole and (head := self.cut(self.waiting[i], int(left[0]), int(left[2]))) < (min(LEAST_HEAD, left[0]) if placed else 1):
                 break
