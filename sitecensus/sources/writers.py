@@ -16,14 +16,28 @@ def shared_dir(spark: SparkSession) -> str:
     return (found or "file://" + tempfile.mkdtemp(prefix="sitecensus-")).rstrip("/")
 
 
+_staged: list[tuple[SparkSession, str]] = []
+
+
 def staged(rows: DataFrame, label: str) -> DataFrame:
     """rows as a Parquet table in the shared folder, read back: every use sees the same ones, and a lost executor costs
-    nothing that was computed before."""
+    nothing that was computed before. ``drop_staged`` removes the tables."""
     path = f"{shared_dir(rows.sparkSession)}/{label}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
+    _staged.append((rows.sparkSession, path))
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def drop_staged() -> None:
+    """Delete the tables of ``staged``; call it when no result that reads them is needed any more."""
+    while _staged:
+        spark, path = _staged.pop()
+        if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+            continue
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_parts(parted: DataFrame, path: str, prefix: str, parts: int) -> None:
     """One folder of text a part (part, pos, domain), in the order of pos; parts without rows are empty folders.
 

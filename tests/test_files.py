@@ -116,6 +116,14 @@ def test_documents_and_registry(spark, tmp_path):
     assert readers.change_signatures(spark, str(tmp_path / "blob")).first().size == 3
 
 
+def test_staged_tables_are_dropped(spark):
+    rows = writers.staged(spark.range(5), "five")
+    path = rows.inputFiles()[0].rsplit("/", 1)[0]
+    assert rows.count() == 5 and readers.exists(spark, path)
+    writers.drop_staged()
+    assert not readers.exists(spark, path) and writers._staged == []
+
+
 def test_unique_sorted(spark, tmp_path):
     writers.write_unique_sorted(spark.createDataFrame([("b",), ("a",), ("b",), (None,), ("C",)], "d string"), "d", f"{tmp_path}/list")
     assert [r.value for r in spark.read.text(f"{tmp_path}/list").orderBy(F.input_file_name(), F.monotonically_increasing_id()).collect()] == ["C", "a", "b"]
