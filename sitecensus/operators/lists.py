@@ -72,6 +72,13 @@ def balanced_part(pos: Column, total: int, parts: int) -> Column:
     return F.when(pos < head, F.floor(pos / (size + 1))).otherwise(more + F.floor((pos - head) / max(size, 1))).cast("int")
 
 
+def zipped(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of equal pos side by side. A pos that only one side has is an error, as unequal counts are."""
+    both = left.withColumn("in_left", F.lit(True)).join(right.withColumn("in_right", F.lit(True)), "pos", "full")
+    pos = F.when(F.col("in_left") & F.col("in_right"), F.col("pos")).otherwise(F.raise_error(F.lit("the lists differ in length")).cast("long"))
+    return both.withColumn("pos", pos).drop("in_left", "in_right")
+
+
 def tail(rows: DataFrame, total: int, n: int) -> DataFrame:
     """The last n rows by pos; ``head`` has the others."""
     return rows.where(F.col("pos") >= total - n)

@@ -54,9 +54,12 @@ def truthy(value: Column) -> Column:
 
 def run_counters(records: DataFrame, *by: str) -> DataFrame:
     """Counters of extraction records (input_url, active, error, ats_traceable, email, new_emails, extra_info, careers_page,
-    http_status, pos), in one row or one for each value of ``by``."""
+    http_status, pos), in one row or one for each value of ``by``. A company number is in extra_info or, where there is such a
+    column, in company_number."""
     flag = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
-    number = F.from_json("extra_info", "company_number array<string>")["company_number"]
+    number = truthy(F.get_json_object("extra_info", "$.company_number"))
+    if "company_number" in records.columns:
+        number = number | truthy(F.col("company_number"))
     return records.groupBy(*by).agg(
         F.count("*").alias("processed"),
         flag(F.col("active")).alias("active"),
@@ -64,7 +67,7 @@ def run_counters(records: DataFrame, *by: str) -> DataFrame:
         flag(truthy(F.col("error"))).alias("errors"),
         flag(F.col("ats_traceable")).alias("ats_traceable"),
         flag(truthy(F.col("email")) | truthy(F.col("new_emails"))).alias("has_email"),
-        flag(F.size(number) > 0).alias("company_number"),
+        flag(number).alias("company_number"),
         flag(truthy(F.col("careers_page"))).alias("careers_page"),
         F.max_by("input_url", "pos").alias("last_domain"),
     )

@@ -85,7 +85,7 @@ def retry_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(again).select("pos", "domain", C.fetch_retry(F.col("error")).alias("fetch_retry"), C.http_downgrade(F.concat(F.lit("https://"), "domain", F.lit(":443/x")), F.col("error")).alias("downgrade"))
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_results(spark, sf_dir).selectExpr(
         "pos", "machine", "domain AS input_url", "http_active AS active", "error", "http_status", "CASE WHEN http_status = 200 THEN pos % 3 = 0 END AS ats_traceable",
         "CASE pos % 4 WHEN 0 THEN concat('info@', domain) WHEN 1 THEN ' ' END AS email", "CASE pos % 5 WHEN 0 THEN '[]' WHEN 1 THEN '[1]' END AS new_emails",
@@ -97,15 +97,15 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_state_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return results.run_counters(_records(spark, sf_dir), "machine")
+    return results.run_counters(records(spark, sf_dir), "machine")
 
 
 def platform_histogram_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return results.platform_histogram(_records(spark, sf_dir))
+    return results.platform_histogram(records(spark, sf_dir))
 
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = results.run_counters(_records(spark, sf_dir), "machine")
+    counted = results.run_counters(records(spark, sf_dir), "machine")
     return counted.selectExpr(
         "machine", "machine <> 'm3' AS available", "CASE WHEN machine = 'm1' THEN 'running' ELSE 'complete' END AS status", "processed + 10 AS total", "processed", "CAST(10 AS BIGINT) AS remaining",
         "active", "inactive", "errors", "processed / 100.0D AS rate_per_second", "concat('2026-01-0', substr(machine, 2), 'T00:00:00Z') AS started_at", "processed AS expected",

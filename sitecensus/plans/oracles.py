@@ -104,6 +104,7 @@ def _squeezed(text: str) -> str:
 TITLE = "trim(" + _decoded("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)") + ")"
 FOOTER = _squeezed(_decoded("regexp_replace(regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1), '<[^>]*>', ' ', 'g')"))
 HEADING = _squeezed(_decoded("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"))
+ANCHOR_HREFS = "list_transform(regexp_extract_all(html, '(?s)<a href=\"([^\"]*)\">(.*?)</a>', 1), lambda h: " + _decoded("h") + ")"
 HOST = "lower(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)', 1), ':[0-9]*$', ''))"
 PATH = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 

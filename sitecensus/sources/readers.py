@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,16 +23,26 @@ LONGEST_LINE = 1 << 20
 LONGEST_BODY = 2_000_000
 
 
+def capped_line() -> Column:
+    """value; a line of 1 MiB or more is an error."""
+    return F.when(F.octet_length("value") < LONGEST_LINE, F.col("value")).otherwise(F.raise_error(F.lit("a line is longer than 1 MiB")).cast("string"))
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """value: the lines of text files; a line of 1 MiB or more is an error."""
-    value = F.when(F.octet_length("value") < LONGEST_LINE, F.col("value")).otherwise(F.raise_error(F.lit("a line is longer than 1 MiB")).cast("string"))
-    return spark.read.text(path).select(value.alias("value"))
+    return spark.read.text(path).select(capped_line().alias("value"))
+
+
+def argument_list(spark: SparkSession, urls: list[str]) -> DataFrame:
+    """pos, url: URLs that were given one by one, in their order; blank ones do not count."""
+    given = [u.strip() for u in urls if u.strip()]
+    return spark.createDataFrame(list(enumerate(given)), "pos long, url string")
 
 
 def domain_list(spark: SparkSession, path: str) -> DataFrame:
     """domain, pos: the trimmed lines that are not blank, numbered within (file, place in file) order from 0."""
     place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    read = spark.read.text(path).select(strip(F.col("value")).alias("domain"), place.alias("place"))
+    read = spark.read.text(path).select(strip(capped_line()).alias("domain"), place.alias("place"))
     from ..operators.lists import numbered
 
     return numbered(read.where("domain <> ''"), "place").drop("place")
@@ -65,7 +75,7 @@ def count_output(spark: SparkSession, path: str) -> int:
 
 def scan_results(spark: SparkSession, path: str) -> DataFrame:
     """Strict: the first line that is not a result, or blank, ends the read with an error."""
-    return decode_strict(spark.read.text(path), SCAN_RESULT)
+    return decode_strict(lines(spark, path), SCAN_RESULT)
 
 
 def decode_strict(values: DataFrame, schema: str = SCAN_RESULT) -> DataFrame:

@@ -19,12 +19,18 @@ def shared_dir(spark: SparkSession) -> str:
 _staged: list[tuple[SparkSession, str]] = []
 
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A path of its own in the shared folder, which ``drop_staged`` removes."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _staged.append((spark, path))
+    return path
+
+
 def staged(rows: DataFrame, label: str) -> DataFrame:
     """rows as a Parquet table in the shared folder, read back: every use sees the same ones, and a lost executor costs
     nothing that was computed before. ``drop_staged`` removes the tables."""
-    path = f"{shared_dir(rows.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = fresh_path(rows.sparkSession, label)
     rows.write.parquet(path)
-    _staged.append((rows.sparkSession, path))
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

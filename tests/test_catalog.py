@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from sitecensus.plans import catalog, oracles
+from sitecensus.plans import catalog, storage
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -32,12 +32,12 @@ def rows_of(table, columns):
     return Counter(tuple(plain(row[c]) for c in columns) for row in table.to_pylist())
 
 
-@pytest.mark.parametrize("name", catalog.NAMES)
+@pytest.mark.parametrize("name", catalog.NAMES + storage.NAMES)
 def test_query(spark, duck, name):
     frame = entry.queries()[name](spark, SF)
     columns = sorted(frame.columns)
     found = frame.select(*columns).toArrow()
-    sql = oracles.oracle_sql().get(name)
+    sql = entry.oracle_sql().get(name)
     if sql:
         wanted = duck.sql(sql).to_arrow_table()
         assert sorted(wanted.column_names) == columns
