@@ -208,7 +208,8 @@ def probe_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def url_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References of all kinds as each page sees them, and whether they stay on its host."""
-    each = table(spark, sf_dir, "pages").select("page_id", "url").crossJoin(F.broadcast(inline(spark, REFERENCES, "n int, href string")))
+    kinds = F.array(*(F.struct(F.lit(n).alias("n"), F.lit(href).alias("href")) for n, href in REFERENCES))
+    each = table(spark, sf_dir, "pages").select("page_id", "url", F.inline(kinds))
     seen = each.withColumn("target", site.absolute_url(F.col("href"), F.col("url")))
     return seen.select("page_id", "n", "target", C.same_host(F.col("target"), F.col("url")).alias("same_host"))
 
