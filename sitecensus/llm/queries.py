@@ -100,6 +100,28 @@ WITH fine AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+OP7_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingled AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM worded
+), sets AS (
+  SELECT s, min(doc_id) AS node, len(s) AS n FROM shingled WHERE len(s) > 0 GROUP BY s
+), items AS (
+  SELECT node, n, unnest(s) AS shingle FROM sets
+), met AS (
+  SELECT x.node AS a, y.node AS b, count(*) AS common, any_value(x.n + y.n) AS total FROM items x JOIN items y ON x.shingle = y.shingle AND x.node <> y.node GROUP BY x.node, y.node
+), links AS (
+  SELECT a, b FROM met WHERE 100 * common >= 80 * (total - common)
+), reached AS (
+  SELECT node, node AS other FROM sets UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other
+), components AS (
+  SELECT s.s, min(r.other) AS component_id FROM reached r JOIN sets s ON s.node = r.node GROUP BY s.s
+)
+SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id FROM shingled d LEFT JOIN components c ON c.s = d.s
+"""
+
 OP10_SQL = """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -108,4 +130,4 @@ FROM documents
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_cascade": OP4_SQL, "op5_cover_tree_topk": OP5_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op4_url_cascade": OP4_SQL, "op5_cover_tree_topk": OP5_SQL, "op7_count_vector_jaccard": OP7_SQL, "op10_exact_dedup": OP10_SQL}
