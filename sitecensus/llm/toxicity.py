@@ -351,25 +351,28 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_labe
     return model
 
 
-def score(docs: DataFrame, model: Model, columns: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model, columns: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """columns of docs (as they are; default: all but the text) with score and log_ratio (toxic to ordinary, a letter).
 
-    Null and empty texts have ratio 0 and the score of a text without words. docs needs a column text;
-    columns must not be called like the two added ones.
+    Null and empty texts have ratio 0 and the score of a text without words. The text may be among the columns, and goes to
+    the tasks once in any case; rows come back a chunk of texts at a time. columns must not be called like the two added ones.
     """
-    columns = [c for c in docs.columns if c != "text"] if columns is None else columns
+    columns = [c for c in docs.columns if c != text_col] if columns is None else columns
+    sent = columns if text_col in columns else [*columns, text_col]
+    text = sent.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*(F.col(f"`{c}`") for c in columns)).schema.add("score", "double").add("log_ratio", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            found = [own.features(chunk) for _, chunk in chunks(batch.column(batch.num_columns - 1))]
-            features = np.vstack(found) if found else np.zeros((0, 1 + TOP))
-            added = [pa.array(x) for x in (own.scores(features), features[:, 0])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], [*columns, "score", "log_ratio"])
+            for first, chunk in chunks(batch.column(text)):
+                features = own.features(chunk)
+                added = [pa.array(x) for x in (own.scores(features), features[:, 0])]
+                rows = batch.slice(first, len(chunk)).columns[: len(columns)]
+                yield pa.RecordBatch.from_arrays([*rows, *added], [*columns, "score", "log_ratio"])
 
-    return docs.select(*(F.col(f"`{c}`") for c in columns), F.col("text")).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in sent)).mapInArrow(run, schema)
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1):
@@ -391,6 +394,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **bound
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **bounds: int) -> DataFrame:
     """docs without the rows that score ``threshold`` or more, all columns as they were."""
     model = fit(docs, labels.where(~held_out()).select("doc_id", F.col("toxic").alias("label")), **bounds)
-    renamed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))).withColumn("text", F.col(f"c{docs.columns.index('text')}"))
-    scored = score(renamed, model, renamed.columns[:-1])
+    renamed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    scored = score(renamed, model, renamed.columns, f"c{docs.columns.index('text')}")
     return scored.where(F.col("score") < threshold).drop("score", "log_ratio").toDF(*docs.columns)
