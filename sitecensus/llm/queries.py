@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, jaccard_join, license_scan, mixing, packing, quality, topk_search, toxicity, url_filter
+from . import exact_dedup, filter_audit, html_extract, jaccard_join, license_scan, mixing, packing, quality, secret_scan, topk_search, toxicity, url_filter, vector_codes
 from .common import table
 
 
@@ -60,6 +60,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_subset_zeta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_exponion_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents")).drop("blob")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -128,6 +140,101 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, co
 FROM documents
 """
 
+OP11_SQL = r"""
+WITH worded AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), known AS (
+  SELECT doc_id, coalesce(max((quality = 1)::INTEGER), 0) AS good, coalesce(max((toxic = 1)::INTEGER), 0) AS toxic FROM labels GROUP BY doc_id
+), masked AS (
+  SELECT part, doc_id, (len(w) < 50)::INTEGER + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INTEGER
+    + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t))::INTEGER + 8 * regexp_matches(t, '[#$%&*|]')::INTEGER
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INTEGER AS mask
+  FROM worded
+), counted AS (
+  SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM masked LEFT JOIN known USING (doc_id) GROUP BY part, mask
+), letters(l, bit) AS (
+  VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, list_sum(bits[1:step])::INTEGER AS after FROM orders, range(1, 6) s(step)
+), told AS (
+  SELECT part, filter_order, step::INTEGER AS step, bit,
+         coalesce(sum(n) FILTER (mask & after = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & (after - bit) = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & (after - bit) <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & (after - bit) = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & (after - bit) = 0), 0)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, bit
+)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM told
+"""
+
+
+def _op12_round(number: int) -> str:
+    """Assignment to the codebooks c<number>, and the codebooks that follow from it."""
+    means = ", ".join(f"floor(sum(x[{i}]) / count(*))::BIGINT" for i in range(1, 5))
+    return f"""a{number} AS MATERIALIZED (
+  SELECT vec_id, q, min({{'d': (x[1] - y[1]) ** 2 + (x[2] - y[2]) ** 2 + (x[3] - y[3]) ** 2 + (x[4] - y[4]) ** 2, 'e': e}}) AS best
+  FROM cut JOIN c{number} USING (q) GROUP BY vec_id, q
+), c{number + 1} AS MATERIALIZED (
+  SELECT c.q, c.e, coalesce(m.y, c.y) AS y FROM c{number} c LEFT JOIN (
+    SELECT q, best.e AS e, [{means}] AS y FROM a{number} JOIN cut USING (vec_id, q) GROUP BY q, best.e) m ON m.q = c.q AND m.e = c.e
+)"""
+
+
+OP12_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT vec_id, label, q, v[4 * q + 1 : 4 * q + 4] AS x FROM kept, range(0, 16) s(q)
+), c0 AS MATERIALIZED (
+  SELECT q, (row_number() OVER (PARTITION BY q ORDER BY vec_id) - 1)::INTEGER AS e, x AS y FROM cut QUALIFY e < 64
+), {_op12_round(0)}, {_op12_round(1)}, {_op12_round(2)}, told AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY q) AS code, sum(best.d)::BIGINT AS error FROM a2 GROUP BY vec_id
+), books AS (
+  SELECT sha256(string_agg(y[1] || ',' || y[2] || ',' || y[3] || ',' || y[4], ',' ORDER BY q, e)) AS codebooks_sha256 FROM c2
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM told JOIN kept USING (vec_id), books
+"""
+
+
+def _op13_kind(number: int, rule: secret_scan.Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    value = f"regexp_extract(m, '{pattern}', {rule.group})" if rule.group else "m"
+    return f"""SELECT doc_id, {number} AS rank, '{rule.kind}' AS kind, begins + length(m) AS finish, begins AS start FROM (
+  SELECT doc_id, f[i] AS m, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS begins
+  FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS f, string_split_regex(t, '{pattern}') AS g FROM texts), unnest(range(1, len(f) + 1)) u(i)
+) WHERE length({value}) >= {rule.least}"""
+
+
+#: Of all kinds, base ones first.
+OP13_SQL = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), spans AS (
+  {" UNION ALL ".join(_op13_kind(i, r) for i, r in enumerate(secret_scan.RULES))}
+), told AS (
+  SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || finish, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+         string_agg(kind || ':' || start || ':' || finish, ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN told USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_cascade": OP4_SQL, "op5_cover_tree_topk": OP5_SQL, "op7_count_vector_jaccard": OP7_SQL, "op10_exact_dedup": OP10_SQL}
+    return {
+        "op4_url_cascade": OP4_SQL,
+        "op5_cover_tree_topk": OP5_SQL,
+        "op7_count_vector_jaccard": OP7_SQL,
+        "op10_exact_dedup": OP10_SQL,
+        "op11_subset_zeta": OP11_SQL,
+        "op12_exponion_codes": OP12_SQL,
+        "op13_blob_ledger": OP13_SQL,
+    }

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_gives_the_rows_of_its_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "labels", "pages"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     frame = queries.queries()[name](spark, SF)
     columns = sorted(frame.columns)
