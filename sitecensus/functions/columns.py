@@ -178,23 +178,28 @@ def parked(body: Column, url: Column) -> Column:
     return once(F.lower(F.coalesce(body, F.lit(""))), lambda low: _parked(low, url))
 
 
-def _parked(low: Column, url: Column) -> Column:
-    host = F.regexp_replace(host_of(url), r"\.$", "")
+def parking_redirect(low: Column) -> Column:
+    """Whether a lower-cased page's script goes on to a page for parked domains."""
     lander = low.rlike(r"(window\.)?location(\.href)?[\t\n\f\r ]*=[\t\n\f\r ]*[\"']/?(lander|parking|domain([-_ ]for[-_ ]sale)?)([/\t\n\f\r '\"?]|$)")
     replaced = low.rlike(r"location\.replace\([\t\n\f\r ]*[\"']/?(lander|parking|domain)([/\t\n\f\r '\"?]|$)")
-    registrar = low.contains("godaddy") & contains_any(low, ["lander", "parking", "expired", "renew"])
-    return F.coalesce(
+    return lander | replaced
+
+
+def parked_address(url: Column) -> Column:
+    """Whether path or host are those of parked domains."""
+    host = F.regexp_replace(host_of(url), r"\.$", "")
+    return (
         path_of(url).rlike(r"(?i)(^|/)(lander|parking|parked|domain-for-sale)(/|$)")
         | host.rlike(r"^ww[0-9]+\.")
         | in_domains(F.regexp_replace(host, r"^www\.", ""), fixed.BROKER_HOSTS)
-        | contains_any(low, fixed.PARKING_MARKERS)
-        | lander
-        | replaced
-        | registrar,
-        F.lit(False),
     )
 
 
+def _parked(low: Column, url: Column) -> Column:
+    registrar = low.contains("godaddy") & contains_any(low, fixed.REGISTRAR_WORDS)
+    return F.coalesce(parked_address(url) | contains_any(low, fixed.PARKING_MARKERS) | parking_redirect(low) | registrar, F.lit(False))
+
+
 def content_active(body: Column, has_parts: Column) -> Column:
     """Whether a page without a status looks alive. has_parts: it has an anchor, address or image."""
     size = F.octet_length(body)
@@ -217,7 +222,11 @@ def platform_scores(body: Column) -> Column:
 
 def platforms(body: Column, least: int = 5) -> Column:
     """Platforms with enough points, most points first, else in their fixed order."""
-    ranked = F.transform(platform_scores(body), lambda x, i: F.struct((-x["score"]).alias("s"), i.alias("i"), x["platform"].alias("p")))
+    return ranked_platforms(platform_scores(body), least)
+
+
+def ranked_platforms(scores: Column, least: int) -> Column:
+    ranked = F.transform(scores, lambda x, i: F.struct((-x["score"]).alias("s"), i.alias("i"), x["platform"].alias("p")))
     return F.transform(F.array_sort(F.filter(ranked, lambda x: x.s <= -least)), lambda x: x.p)
 
 

@@ -14,6 +14,7 @@ PARKING_MARKERS = [
     "available for sale", "domain parking", "domain is parked", "this domain is parked", "this web page is parked", "parked by", "parked free", "domain has expired",
     "this domain has expired", "renew this domain",
 ]
+REGISTRAR_WORDS = ["lander", "parking", "expired", "renew"]
 JUNK_EMAILS = (
     "email@email.com email@email.co.uk email@mail.com admin@admin.com john@doe.com jane@doe.com abc@xyz.com abc@mail.com abc@gmail.com xyz@xyz.com xyz@abc.com "
     "xyz@gmail.com null@null.null your@email.com your@email.here name@company.com name@company.co.uk name@domain.com email@domain.com test@test.com test@mail.com "
@@ -25,6 +26,7 @@ JUNK_EMAIL_DOMAINS = (
 ).split()
 RETRY_MARKERS = ["timeout", "deadline exceeded", "eof", "connection reset", "connection refused", "temporary", "tls handshake", "remote error: tls", "tls:", "operation timed out"]
 DOWNGRADE_MARKERS = ["tls", "connection refused", "connection reset", "eof", "server gave http response to https client"]
+REDIRECT_STATUS = [301, 302, 303, 307, 308]
 NAME_ERROR_MARKERS = ["no such host", "name resolution"]
 
 #: Kind of page and the path fragments that point to it, in the order in which a crawl visits them.

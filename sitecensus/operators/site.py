@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import time
 from collections.abc import Callable, Iterator
 
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructType
 
-from ..functions import boards, fixed, pages
+from ..functions import boards, fixed, markers, pages
 from ..functions import columns as C
 from ..sources.writers import staged
 
@@ -50,9 +49,9 @@ def parsed(sites: DataFrame, body: str = "html") -> DataFrame:
     return _mapped(sites, lambda rows: [pages.parse_page(r[0]) for r in rows], [body], PAGE)
 
 
-def with_unescaped(sites: DataFrame, body: str = "html", name: str = "decoded") -> DataFrame:
-    """sites with the body's character references decoded."""
-    return _mapped(sites, lambda rows: [{name: html.unescape(r[0] or "")} for r in rows], [body], f"{name} string")
+def with_marks(sites: DataFrame, body: str = "html") -> DataFrame:
+    """sites with the body decoded (character references) and the markers that it has, in one pass of its batches."""
+    return _mapped(sites, markers.marked, [body], markers.SCHEMA)
 
 
 @F.pandas_udf(StringType())
@@ -247,7 +246,7 @@ def extract_records(sites: DataFrame) -> DataFrame:
 
     The page itself is read, not its further pages, and its boards are not verified: ``extract_sites`` does both."""
     located = sites.withColumn("final_url", C.without_default_port(F.coalesce(F.nullif("final_url", F.lit("")), "input_url")))
-    page = staged(with_unescaped(parsed(located, "body"), "body"), "pages")
+    page = staged(with_marks(parsed(located, "body"), "body"), "pages")
     boards_ = board_candidates(page.select("site", F.lit(0).alias("seq"), F.col("final_url").alias("base"), "body", F.lit("website").alias("source_kind")))
     best = best_board(boards_.withColumns({"availability_checked": F.lit(False), "active": F.lit(False)}))
     links = page_links(page.select("site", F.col("final_url").alias("base"), "anchors"))
@@ -274,8 +273,8 @@ def _records(full: DataFrame, links: DataFrame, best: DataFrame) -> DataFrame:
     active = F.when(F.col("status") != 0, C.site_active(F.col("status"))).otherwise(F.col("error").isNull() & C.content_active(F.coalesce("body", F.lit("")), parts))
     # in steps: each value is computed once, and no projection becomes too large to compile
     full = full.select("*", C.host_of(url).alias("host"), C.path_of(url).alias("path"), low.contains("[email protected]").alias("email_protected"), F.lower("footer_text").contains("copyright").alias("footer_evidence"))
-    full = full.select("*", C.parked(F.col("decoded"), url).alias("is_hosting"), active.alias("is_alive"), absolute_url(F.col("logo_link"), url).alias("logo"))
-    full = full.select("*", C.platforms(F.col("decoded")).alias("website_platforms"), C.language(F.col("text")).alias("website_language"))
+    full = full.select("*", markers.parked(F.col("marks"), F.col("decoded"), url).alias("is_hosting"), active.alias("is_alive"), absolute_url(F.col("logo_link"), url).alias("logo"))
+    full = full.select("*", markers.platforms(F.col("marks"), F.col("decoded")).alias("website_platforms"), C.language(F.col("text")).alias("website_language"))
     full = full.select("*", mails.alias("all_emails"), numbers.alias("all_phones"))
     full = full.select("*", C.company_numbers(F.col("text")).alias("numbers"), C.postcodes(F.col("text")).alias("codes"))
     network = lambda n: F.try_element_at("social", F.lit(n)).alias(n)
@@ -340,7 +339,7 @@ def extract_sites(sites: DataFrame, fetched: DataFrame) -> DataFrame:
     missing = F.when(F.col("a").isNull(), "not fetched").otherwise(F.col("a.error"))
     root = root.select("site", "input_url", F.coalesce("a.landed", "asked").alias("final_url"), F.coalesce("a.status", F.lit(0)).alias("status"), missing.alias("error"))
     root = root.join(read.select(F.col("key").alias("final_url"), "body", "title", "description", "images"), "final_url", "left")
-    root = staged(with_unescaped(root, "body").withColumn("gated", C.parked(F.col("decoded"), F.col("final_url"))), "roots")
+    root = staged(with_marks(root, "body").withColumn("gated", markers.parked(F.col("marks"), F.col("decoded"), F.col("final_url"))), "roots")
 
     order = {kind: i for i, kind in enumerate(fixed.PAGE_LINKS)}
     links = best_links(page_links(read.select(F.col("key").alias("site"), "base", "anchors")))
@@ -425,6 +424,12 @@ def external_boards(sources: DataFrame, external: DataFrame) -> DataFrame:
     return theirs.join(own, "site").withColumn("accepted", F.arrays_overlap("own", "theirs")).drop("own", "theirs")
 
 
+def poor_fetch(result: Column) -> Column:
+    """Whether a result (struct of status, body, error) is worth a browser: none, an error, 202, 403, 429, 503, or blank."""
+    blank = F.trim(F.coalesce(result["body"], F.lit(""))) == ""
+    return result.isNull() | result["error"].isNotNull() | F.coalesce(result["status"], F.lit(0)).isin(202, 403, 429, 503) | blank
+
+
 def chosen_fetches(tries: DataFrame) -> DataFrame:
     """The outcome of each URL (url, via, status, final_url, body, error, tries) from the tries that were made.
 
@@ -445,32 +450,57 @@ def chosen_fetches(tries: DataFrame) -> DataFrame:
     got = F.coalesce(F.col("plain.status"), F.lit(0)) != 0
     plain = C.http_downgrade(C.with_scheme(F.col("url")), F.col("direct.error")).isNotNull() & F.col("plain").isNotNull() & (got | F.col("plain.error").isNull())
     first = by_url.select("url", "browser", "tries", F.when(plain, F.col("plain")).otherwise(F.col("direct")).alias("r"))
-    poor = F.col("r").isNull() | F.col("r.error").isNotNull() | F.coalesce(F.col("r.status"), F.lit(0)).isin(202, 403, 429, 503) | (F.trim(F.coalesce(F.col("r.body"), F.lit(""))) == "")
+    poor = poor_fetch(F.col("r"))
     better = F.col("browser").isNotNull() & (F.col("browser.error").isNull() | (F.coalesce(F.col("browser.body"), F.lit("")) != ""))
-    return first.select("url", F.when(poor & better, F.col("browser")).otherwise(F.col("r")).alias("r"), "tries").select("url", *(f"r.{c}" for c in fields), "tries")
+    chosen = F.when(poor & better, F.col("browser")).otherwise(F.coalesce("r", "browser"))
+    return first.select("url", chosen.alias("r"), "tries").select("url", *(f"r.{c}" for c in fields), "tries")
 
 
 LIVENESS = "dns_active boolean, http_active boolean, http_status int, final_url string, redirect_count int, redirect_chain array<string>, checked_at string, response_ms double, error string, attempts int"
 
 
-def probe(domains: DataFrame, fetch: Callable[[str], dict], attempts: int = 2) -> DataFrame:
-    """domains (domain) with the fields of a liveness result, by a function that fetches a URL (status, final_url, error,
-    dns_active, redirect_chain: all URLs asked, the first included): https, then http; again if the first try says so. The
-    function runs in the tasks, for one domain after the other. An error of https stays, even if http has an answer."""
+def _asked(fetch: Callable[[str], dict], url: str, most: int = 10) -> dict:
+    """What fetch says of url. An answer with a location is followed, ``most`` times at most: the last location is then
+    only noted, and the answer that gave it counts."""
+    chain = [url]
+    while True:
+        got = fetch(chain[-1])
+        if got.get("status") not in fixed.REDIRECT_STATUS or not got.get("location"):
+            break
+        chain.append(pages.absolute(got["location"], chain[-1]) or got["location"])
+        if len(chain) > most:
+            return got | {"final_url": chain[-2], "redirect_chain": chain}
+    own = {"final_url": got.get("final_url") or chain[-1], "redirect_chain": chain} if len(chain) > 1 and got.get("status") else {}
+    return got | own
+
+
+def probe(domains: DataFrame, fetch: Callable[[str], dict], attempts: int = 2, back_off: float = 0.25) -> DataFrame:
+    """domains (domain) with the fields of a liveness result, by a function that fetches a URL: https, then http.
+
+    fetch gives one response (status, location, error, dns_active), whose redirects are followed here, or the end of its own
+    chain (status, final_url, redirect_chain: all URLs asked, the first included). A try without a status, or with 408, 425,
+    429 or 5xx, is made again after back_off seconds times the tries so far; response_ms covers all of it, checked_at and
+    error are the last try's. Of an https and an http error the later stays; an https error stays if http has an answer.
+    The function runs in the tasks, for one domain after the other."""
 
     def one(domain: str) -> dict:
-        began, checked = time.perf_counter(), time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
+        began = time.perf_counter()
         for attempt in range(1, attempts + 1):
-            got = fetch(f"https://{domain}")
+            checked = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
+            got = _asked(fetch, f"https://{domain}")
             error = got.get("error")
             if got.get("dns_active", True) and not got.get("status"):
-                got = fetch(f"http://{domain}")
+                got = _asked(fetch, f"http://{domain}")
+                error = got.get("error") or error
             status = got.get("status")
             if got.get("dns_active", True) and status and status not in (408, 425, 429) and status < 500:
                 break
-        chain = got.get("redirect_chain") or []
+            if attempt < attempts:
+                time.sleep(back_off * attempt)
+        chain = (got.get("redirect_chain") or []) if status else []
         active = bool(status) and (200 <= status < 400 or status in (401, 403))
-        found = {"dns_active": bool(got.get("dns_active", True)), "http_active": active, "http_status": status, "final_url": got.get("final_url"), "error": error, "attempts": attempt}
+        final = got.get("final_url") if status else None
+        found = {"dns_active": bool(got.get("dns_active", True)), "http_active": active, "http_status": status, "final_url": final, "error": error, "attempts": attempt}
         return found | {"redirect_count": max(0, len(chain) - 1), "redirect_chain": chain or None, "checked_at": checked, "response_ms": round((time.perf_counter() - began) * 1000, 3)}
 
     return _mapped(domains, lambda rows: [one(domain) for (domain,) in rows], ["domain"], LIVENESS)

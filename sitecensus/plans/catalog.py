@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions import markers
 from ..operators import lists, results, site
 from ..sources import readers
 from ..streaming import liveness
@@ -218,8 +219,8 @@ def description_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hosting_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = site.with_unescaped(sites(spark, sf_dir))
-    return page.select("page_id", C.parked(F.col("decoded"), F.col("url")).alias("hosting"))
+    page = site.with_marks(sites(spark, sf_dir))
+    return page.select("page_id", markers.parked(F.col("marks"), F.col("decoded"), F.col("url")).alias("hosting"))
 
 
 def content_active(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,13 +230,13 @@ def content_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def platform_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = site.with_unescaped(sites(spark, sf_dir))
-    return page.select("page_id", F.explode(C.platform_scores(F.col("decoded"))).alias("s")).select("page_id", "s.platform", "s.score").where("score > 0")
+    page = site.with_marks(sites(spark, sf_dir))
+    return page.select("page_id", F.explode(markers.platform_scores(F.col("marks"), F.col("decoded"))).alias("s")).select("page_id", "s.platform", "s.score").where("score > 0")
 
 
 def website_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = site.with_unescaped(sites(spark, sf_dir))
-    return page.select("page_id", F.array_join(C.platforms(F.col("decoded")), ",").alias("platforms"))
+    page = site.with_marks(sites(spark, sf_dir))
+    return page.select("page_id", F.array_join(markers.platforms(F.col("marks"), F.col("decoded")), ",").alias("platforms"))
 
 
 def board_match(spark: SparkSession, sf_dir: str) -> DataFrame:

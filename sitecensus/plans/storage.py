@@ -187,23 +187,33 @@ def positional_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _answer(url: str) -> dict:
-    """What a made-up server says, by the number in its name."""
-    kind = int(url.split("://c")[1].split(".")[0]) % 6
+    """What a made-up server says, by the number in its name: of the kinds, 1 answers by http only, 6 by neither, 7 sends
+    round in a circle and 8 nine times to the next path."""
+    scheme, _, rest = url.partition("://c")
+    kind = int(rest.split(".")[0]) % 9
     if kind == 1:
-        return {"status": None, "error": "tls: bad"} if url.startswith("https") else {"status": 301, "final_url": url + "/"}
+        return {"status": None, "error": "tls: bad"} if scheme == "https" else {"status": 301, "final_url": url + "/"}
     if kind == 3:
         return {"dns_active": False, "error": "no such host"}
     if kind == 4:
         return {"status": 404, "final_url": url + "/b", "redirect_chain": [url, url + "/a", url + "/b"]}
+    if kind == 6:
+        return {"status": None, "error": "tls: bad" if scheme == "https" else "connection refused"}
+    if kind == 7:
+        return {"status": 302, "location": "/y" if url.endswith("/x") else "/x"}
+    if kind == 8:
+        at = int(url.rsplit("/", 1)[1]) if url.count("/") > 2 else 0
+        return {"status": 307, "location": f"/{at + 1}"} if at < 9 else {"status": 200}
     return {"status": {0: 200, 2: 503, 5: 403}[kind], "final_url": url}
 
 
 def probe_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The probe of all customers' domains, against made-up servers."""
     domains = table(spark, sf_dir, "customer").select(F.format_string("c%d.uk", "c_custkey").alias("domain"))
-    found = site.probe(domains, _answer)
+    found = site.probe(domains, _answer, back_off=0)
     timed = (F.col("response_ms") >= 0) & F.col("checked_at").rlike("^[0-9-]{10}T[0-9:]{8}Z$")
-    return found.select("domain", "dns_active", "http_active", "http_status", "final_url", "redirect_count", "error", "attempts", timed.alias("timed"))
+    last = F.element_at("redirect_chain", -1).alias("last_location")
+    return found.select("domain", "dns_active", "http_active", "http_status", "final_url", "redirect_count", last, "error", "attempts", timed.alias("timed"))
 
 
 def url_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:

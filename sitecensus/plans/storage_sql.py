@@ -12,7 +12,6 @@ _COUNTS = f"(SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM (SELECT coale
 
 def oracle_sql() -> dict[str, str]:
     queue = f"SELECT pos, domain FROM {QUEUE} q"
-    kind = "c_custkey % 6"
     return {
         "domain_list_read": queue,
         "line_counts": "SELECT count(*) AS domains, 2 * count(*) AS lines, count(*) AS output, 0::BIGINT AS missing FROM customer",
@@ -34,10 +33,12 @@ def oracle_sql() -> dict[str, str]:
         "fetched_bodies": f"SELECT url, 200 AS status, strlen(html)::INTEGER AS n_bytes FROM pages UNION ALL SELECT '{storage.LONG_BODY[0]}', 200, 2000000",
         "argument_urls": "SELECT pos::BIGINT AS pos, url FROM " + values_sql([(0, "https://kestrel.example"), (1, "https://osprey.example/jobs"), (2, "http://heron.example/")], "pos, url") + " a",
         "positional_zip": "SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, lower(c_name) AS domain, c_acctbal AS result FROM customer",
-        "probe_outcomes": f"""SELECT domain, {kind} <> 3 AS dns_active, {kind} IN (0, 1, 5) AS http_active, (CASE {kind} WHEN 0 THEN 200 WHEN 1 THEN 301 WHEN 2 THEN 503 WHEN 4 THEN 404 WHEN 5 THEN 403 END)::INTEGER AS http_status,
-            CASE {kind} WHEN 1 THEN 'http://' || domain || '/' WHEN 3 THEN NULL WHEN 4 THEN 'https://' || domain || '/b' ELSE 'https://' || domain END AS final_url,
-            (CASE WHEN {kind} = 4 THEN 2 ELSE 0 END)::INTEGER AS redirect_count, CASE {kind} WHEN 1 THEN 'tls: bad' WHEN 3 THEN 'no such host' END AS error,
-            (CASE WHEN {kind} IN (2, 3) THEN 2 ELSE 1 END)::INTEGER AS attempts, true AS timed FROM (SELECT c_custkey, 'c' || c_custkey || '.uk' AS domain FROM customer) c""",
+        "probe_outcomes": f"""SELECT domain, k <> 3 AS dns_active, k IN (0, 1, 5, 7, 8) AS http_active, (CASE k WHEN 0 THEN 200 WHEN 1 THEN 301 WHEN 2 THEN 503 WHEN 4 THEN 404 WHEN 5 THEN 403 WHEN 7 THEN 302 WHEN 8 THEN 200 END)::INTEGER AS http_status,
+            CASE k WHEN 1 THEN 'http://' || domain || '/' WHEN 3 THEN NULL WHEN 4 THEN 'https://' || domain || '/b' WHEN 6 THEN NULL WHEN 7 THEN 'https://' || domain || '/x' WHEN 8 THEN 'https://' || domain || '/9'
+            ELSE 'https://' || domain END AS final_url, (CASE k WHEN 4 THEN 2 WHEN 7 THEN 10 WHEN 8 THEN 9 ELSE 0 END)::INTEGER AS redirect_count,
+            CASE k WHEN 4 THEN 'https://' || domain || '/b' WHEN 7 THEN 'https://' || domain || '/y' WHEN 8 THEN 'https://' || domain || '/9' END AS last_location,
+            CASE k WHEN 1 THEN 'tls: bad' WHEN 3 THEN 'no such host' WHEN 6 THEN 'connection refused' END AS error, (CASE WHEN k IN (2, 3, 6) THEN 2 ELSE 1 END)::INTEGER AS attempts, true AS timed
+            FROM (SELECT c_custkey % 9 AS k, 'c' || c_custkey || '.uk' AS domain FROM customer) c""",
         "url_resolution": f"""SELECT page_id, n, target, {HOST} = {HOST.replace('url', 'target')} AS same_host FROM (SELECT page_id, url, n::INTEGER AS n, CASE n
             WHEN 0 THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || href WHEN 1 THEN href WHEN 2 THEN regexp_extract(url, '^[a-z]+:') || href
             ELSE regexp_extract(url, '^[^?#]*') || href END AS target FROM pages CROSS JOIN {values_sql(storage.REFERENCES, 'n, href')} r) t""",
