@@ -240,29 +240,47 @@ def website_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def board_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urls = inline(spark, [(i, link) for i, (link, *_) in enumerate(views.BOARDS)], "n int, link string")
-    return site.with_board(urls, "link").select("n", "link", "board.provider", "board.identifier", "board.url")
+    """The boards of all links: of all pages, of the customers' boards, and the inline ones."""
+    own = inline(spark, [(i, link) for i, (link, *_) in enumerate(views.BOARDS)], "n long, link string")
+    planted = table(spark, sf_dir, "customer").selectExpr("1000 + c_custkey AS n", f"{views.board_link('c_custkey')} AS link")
+    anchors = site.parsed(table(spark, sf_dir, "pages").select("page_id", "html")).select((-1 - F.col("page_id")).alias("n"), F.explode("anchors.href").alias("link"))
+    return site.with_board(own.unionByName(planted).unionByName(anchors), "link").select("n", "link", "board.provider", "board.identifier", "board.url")
 
 
 def board_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site.board_candidates(inline(spark, views.BOARD_PAGES, "site string, seq int, base string, body string, source_kind string"))
+    """Boards on all pages, each with a link behind its end."""
+    link = F.expr(views.board_link("page_id"))
+    body = F.concat("html", F.lit('<p><a href="'), link, F.lit('">All our jobs</a></p>'))
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("site"), F.lit(0).alias("seq"), F.col("url").alias("base"), body.alias("body"), F.lit("website").alias("source_kind"))
+    return site.board_candidates(pages)
 
 
 def fetch_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site.chosen_fetches(inline(spark, views.TRIES, "url string, seq int, via string, status int, final_url string, body string, error string"))
-
-
-def _verified(spark: SparkSession) -> DataFrame:
+    """The outcomes of all customers' tries, and of the inline ones."""
+    own = inline(spark, views.TRIES, "url string, seq int, via string, status int, final_url string, body string, error string")
+    made = inline(spark, [(i, *a) for i, a in enumerate(views.ANSWERS)], "seq int, kind int, via string, n int, status int, body string, error string")
+    customers = table(spark, sf_dir, "customer").join(F.broadcast(made), F.expr("kind = c_custkey % 8"))
+    final = F.concat(F.when(F.col("via") == "plain", "http").otherwise("https"), F.lit("://c"), F.col("c_custkey").cast("string"), F.lit(".uk/"))
+    url = F.format_string("https://c%d.uk", F.col("c_custkey"))
+    tries = customers.select(url.alias("url"), "seq", "via", "status", F.when(F.col("status") != 0, final).alias("final_url"), "body", "error")
+    return site.chosen_fetches(own.unionByName(tries))
+
+
+def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates of all customers and the inline ones."""
+    customer = table(spark, sf_dir, "customer")
     candidates = inline(spark, views.CANDIDATES, "site string, provider string, identifier string, url string, raw_url string, discovery string, source_kind string")
-    return site.verified(candidates, inline(spark, views.FETCHED, "url string, status int, final_url string, body string"))
+    fetched = inline(spark, views.FETCHED, "url string, status int, final_url string, body string")
+    of = lambda sql: spark.sql(sql.replace("FROM customer", "FROM {customer}"), customer=customer)
+    return site.verified(candidates.unionByName(of(views.CUSTOMER_CANDIDATES.replace("{", "{{").replace("}", "}}"))), fetched.unionByName(of(views.CUSTOMER_FETCHED.replace("{", "{{").replace("}", "}}"))))
 
 
 def board_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _verified(spark).select("site", "url", "active", "http_status", "error")
+    return _verified(spark, sf_dir).select("site", "url", "active", "http_status", "error")
 
 
 def board_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site.best_board(_verified(spark)).select("site", "provider", "identifier", "url")
+    return site.best_board(_verified(spark, sf_dir)).select("site", "provider", "identifier", "url")
 
 
 def structured_data(spark: SparkSession, sf_dir: str) -> DataFrame:

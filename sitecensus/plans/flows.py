@@ -17,17 +17,6 @@ from .views import table
 PUSH_TTL = 300
 #: The policy of the fetch queries.
 POLICY = {"attempts": 2, "timeout_ms": 8_000, "browser": "fallback"}
-#: What a server says, by the number in its name: kind, via, n, status, body, error.
-ANSWERS = [
-    (0, "direct", 0, 200, "ok", None),
-    (1, "direct", 0, 0, None, "read: connection reset"), (1, "direct", 1, 200, "ok", None),
-    (2, "direct", 0, 0, None, "remote error: tls: bad"), (2, "direct", 1, 0, None, "timeout: tls handshake"), (2, "plain", 0, 200, "plain", None),
-    (3, "direct", 0, 0, None, "no such host"), (3, "browser", 0, 0, None, "closed"),
-    (4, "direct", 0, 403, "no", None), (4, "browser", 0, 200, "seen", None),
-    (5, "direct", 0, 0, None, "timeout"), (5, "direct", 1, 0, None, "timeout"), (5, "browser", 0, 0, "part", "closed"),
-    (6, "direct", 0, 0, None, "connection refused"), (6, "direct", 1, 0, None, "connection refused"), (6, "plain", 0, 0, None, "connection refused"),
-    (7, "direct", 0, 200, "  ", None), (7, "browser", 0, 200, "seen", None),
-]
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +60,7 @@ def _customer_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _answers(urls: DataFrame) -> DataFrame:
-    kinds = views.inline(urls.sparkSession, ANSWERS, "kind int, via string, n int, status int, body string, error string")
+    kinds = views.inline(urls.sparkSession, views.ANSWERS, "kind int, via string, n int, status int, body string, error string")
     request = F.when(F.col("via") == "plain", F.regexp_replace("url", "^https", "http")).otherwise(F.col("url"))
     asked = urls.withColumn("kind", (F.col("c_custkey") % 8).cast("int")).join(F.broadcast(kinds), "kind")
     return asked.select("c_custkey", "url", request.alias("request_url"), "via", "n", "status", F.when(F.col("status") != 0, F.concat(request, F.lit("/"))).alias("final_url"), "body", "error")

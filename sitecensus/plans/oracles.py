@@ -14,8 +14,28 @@ PAGE_HREFS = """(SELECT page_id, url, regexp_extract_all(html, '(?s)<a href="([^
 LINKS = f"""(SELECT 'p' || page_id AS site, (i - 1)::INTEGER AS pos, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || href ELSE href END AS url
   FROM (SELECT page_id, url, i, hrefs[i] AS href FROM (SELECT *, unnest(range(1, len(hrefs) + 1)) AS i FROM {PAGE_HREFS} a) b) c
   UNION ALL SELECT * FROM {values_sql(views.LINKS, "site, pos, url")} i)"""
-CANDIDATES = values_sql(views.CANDIDATES, "site, provider, identifier, url, raw_url, discovery, source_kind")
-FETCHED = values_sql(views.FETCHED, "url, status, final_url, body")
+CANDIDATES = f"(SELECT * FROM {values_sql(views.CANDIDATES, 'site, provider, identifier, url, raw_url, discovery, source_kind')} v UNION ALL {views.CUSTOMER_CANDIDATES})"
+FETCHED = f"(SELECT * FROM {values_sql(views.FETCHED, 'url, status, final_url, body')} v UNION ALL {views.CUSTOMER_FETCHED})"
+#: Providers of the planted boards, the part of a link that names the board, and the board's URL.
+BOARD_RULES = values_sql(
+    [
+        ("bamboohr", r"^https://([a-z0-9-]+)\.bamboohr\.com/", "https://{}.bamboohr.com/"),
+        ("lever", r"^https://jobs\.lever\.co/([^/?#]+)", "https://jobs.lever.co/{}"),
+        ("greenhouse", r"^https://boards\.greenhouse\.io/([^/?#]+)", "https://boards.greenhouse.io/{}"),
+        ("ashby", r"^https://jobs\.ashbyhq\.com/([^/?#]+)", "https://jobs.ashbyhq.com/{}"),
+        ("recruitee", r"^https://([a-z0-9-]+)\.recruitee\.com/", "https://{}.recruitee.com/"),
+        ("jobvite", r"^https://jobs\.jobvite\.com/([^/?#]+)", "https://jobs.jobvite.com/{}"),
+    ],
+    "provider, pattern, shape",
+)
+
+
+def _matched(links: str) -> str:
+    """links (with a column link) with provider, identifier and url of the planted kinds of boards."""
+    return f"""(SELECT l.*, b.provider, b.identifier, replace(b.shape, '{{}}', b.identifier) AS url FROM {links} l
+      LEFT JOIN (SELECT DISTINCT l.link, r.provider, r.shape, regexp_extract(l.link, r.pattern, 1) AS identifier FROM {links} l JOIN {BOARD_RULES} r ON regexp_matches(l.link, r.pattern)) b
+      ON b.link = l.link AND b.identifier <> 'www')"""
+
 
 RECORDS = f"""(SELECT pos, machine, domain AS input_url, http_active AS active, error, http_status, CASE WHEN http_status = 200 THEN pos % 3 = 0 END AS ats_traceable,
   pos % 4 = 0 OR pos % 5 = 1 AS has_email, pos % 3 = 0 AS has_number, pos % 6 IN (0, 2) AS has_careers,
@@ -170,7 +190,10 @@ VERIFIED = f"""(SELECT c.*, coalesce(f.status, 0)::INTEGER AS http_status,
      WHEN 'greenhouse' THEN 'https://boards-api.greenhouse.io/v1/boards/' || split_part(c.url, '/', -1) || '/jobs' ELSE c.url END)"""
 
 def _fetch_choice() -> str:
-    tries = values_sql(views.TRIES, "url, seq, via, status, final_url, body, error")
+    made = values_sql([(i, *a) for i, a in enumerate(views.ANSWERS)], "place, kind, via, n, status, body, error")
+    request = "CASE WHEN via = 'plain' THEN 'http' ELSE 'https' END || '://c' || c_custkey || '.uk'"
+    tries = f"""(SELECT * FROM {values_sql(views.TRIES, "url, seq, via, status, final_url, body, error")} v
+      UNION ALL SELECT 'https://c' || c_custkey || '.uk', place, via, status, CASE WHEN status <> 0 THEN {request} || '/' END, body, error FROM customer JOIN {made} a ON a.kind = c_custkey % 8)"""
     retry = f"coalesce({_any('lower(error)', fixed.RETRY_MARKERS)}, false)"
     down = f"{_any('lower(d.error)', fixed.DOWNGRADE_MARKERS)} AND NOT {_any('lower(d.error)', fixed.NAME_ERROR_MARKERS)}"
     fields = ["via", "status", "final_url", "body", "error"]
@@ -264,7 +287,11 @@ def oracle_sql() -> dict[str, str]:
         "identity_overlap": f"""SELECT page_id, array_to_string(list_sort(list_distinct(own)), ' ') AS tokens, list_has_any(own, {IDENTITY.format(PATH)}) AS overlap,
             list_has_any({IDENTITY.format(f"{HOST} || ' ' || {PATH}")}, {IDENTITY.format(f"{TITLE} || ' ' || {HEADING}")}) AS overlap_of_texts
             FROM (SELECT page_id, url, html, {IDENTITY.format(HOST)} AS own FROM pages) p""",
-        "board_match": "SELECT n, link, provider, identifier, url FROM " + values_sql([(i, *b) for i, b in enumerate(views.BOARDS)], "n, link, provider, identifier, url") + " b",
+        "board_match": "SELECT n, link, provider, identifier, url FROM " + values_sql([(i, *b) for i, b in enumerate(views.BOARDS)], "n, link, provider, identifier, url") + f""" b
+            UNION ALL SELECT n, link, provider, identifier, url FROM {_matched(f"(SELECT 1000 + c_custkey AS n, {views.board_link('c_custkey')} AS link FROM customer)")} c
+            UNION ALL SELECT n, link, provider, identifier, url FROM {_matched(f"(SELECT -1 - page_id AS n, unnest(hrefs) AS link FROM {PAGE_HREFS} a)")} p""",
+        "board_candidates": f"""SELECT 'p' || n AS site, 0 AS seq, 0 AS pos, provider, identifier, url, link AS raw_url, 'href' AS discovery, 'website' AS source_kind
+            FROM {_matched(f"(SELECT page_id AS n, {views.board_link('page_id')} AS link FROM pages)")} p WHERE provider IS NOT NULL""",
         "structured_data": "SELECT site, key, (row_number() OVER (PARTITION BY site, key ORDER BY place) - 1)::INTEGER AS n, value FROM " + values_sql([(i, *f) for i, f in enumerate(views.STRUCTURED_FACTS)], "place, site, key, value") + " f",
         "url_functions": f"""SELECT page_id, {HOST} AS host, {_page_kind()} AS kind, regexp_replace(regexp_replace(url, '^(https://[^/?#]*):443($|[/?#])', '\\1\\2'), '^(http://[^/?#]*):80($|[/?#])', '\\1\\2') AS bare,
             CASE WHEN ends_with({HOST}, '.uk') THEN 'GB' END AS location FROM {SITES_SQL} s""",

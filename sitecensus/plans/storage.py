@@ -175,8 +175,9 @@ def fetched_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def argument_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """URLs given as arguments, with a scheme and without a default port."""
-    return readers.argument_list(spark, ARGUMENTS).withColumn("url", C.without_default_port(C.with_scheme(F.col("url"))))
+    """URLs given as arguments, with a scheme and without a default port: some of one's own, and the nations'."""
+    nations = [f"{r.n_name.lower().replace(' ', '-')}.example:443/{r.n_nationkey}" for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()]  # 25 rows at any scale
+    return readers.argument_list(spark, [*ARGUMENTS, *nations]).withColumn("url", C.without_default_port(C.with_scheme(F.col("url"))))
 
 
 def positional_zip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,8 @@ def oracle_sql() -> dict[str, str]:
         "latest_pushes": """SELECT 'm' || event_id % 4 AS machine, max_by(props, event_id) AS payload, max(event_id) >= (SELECT max(event_id) FROM events) - 2 AS fresh FROM events GROUP BY 1""",
         "file_checksums": """SELECT n_regionkey::INTEGER AS n_regionkey, sha256(string_agg(n_name || chr(10), '' ORDER BY n_name)) AS sha256, sum(strlen(n_name) + 1)::BIGINT AS size FROM nation GROUP BY n_regionkey""",
         "fetched_bodies": f"SELECT url, 200 AS status, strlen(html)::INTEGER AS n_bytes FROM pages UNION ALL SELECT '{storage.LONG_BODY[0]}', 200, 2000000",
-        "argument_urls": "SELECT pos::BIGINT AS pos, url FROM " + values_sql([(0, "https://kestrel.example"), (1, "https://osprey.example/jobs"), (2, "http://heron.example/")], "pos, url") + " a",
+        "argument_urls": "SELECT pos::BIGINT AS pos, url FROM " + values_sql([(0, "https://kestrel.example"), (1, "https://osprey.example/jobs"), (2, "http://heron.example/")], "pos, url") + """ a
+            UNION ALL SELECT 2 + row_number() OVER (ORDER BY n_nationkey), 'https://' || replace(lower(n_name), ' ', '-') || '.example/' || n_nationkey FROM nation""",
         "positional_zip": "SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, lower(c_name) AS domain, c_acctbal AS result FROM customer",
         "probe_outcomes": f"""SELECT domain, k <> 3 AS dns_active, k IN (0, 1, 5, 7, 8) AS http_active, (CASE k WHEN 0 THEN 200 WHEN 1 THEN 301 WHEN 2 THEN 503 WHEN 4 THEN 404 WHEN 5 THEN 403 WHEN 7 THEN 302 WHEN 8 THEN 200 END)::INTEGER AS http_status,
             CASE k WHEN 1 THEN 'http://' || domain || '/' WHEN 3 THEN NULL WHEN 4 THEN 'https://' || domain || '/b' WHEN 6 THEN NULL WHEN 7 THEN 'https://' || domain || '/x' WHEN 8 THEN 'https://' || domain || '/9'

@@ -121,6 +121,38 @@ TRIES = [
     ("https://e.uk", 0, "direct", 0, None, None, "no such host"), ("https://e.uk", 1, "plain", 200, "http://e.uk/", "x", None), ("https://e.uk", 2, "browser", 0, None, None, "closed"),
     ("https://f.uk", 0, "direct", 200, "https://f.uk/", "  ", None), ("https://f.uk", 1, "browser", 0, None, "part", "closed"),
 ]
+#: What a server says, by the number in its name: kind, via, n, status, body, error.
+ANSWERS = [
+    (0, "direct", 0, 200, "ok", None),
+    (1, "direct", 0, 0, None, "read: connection reset"), (1, "direct", 1, 200, "ok", None),
+    (2, "direct", 0, 0, None, "remote error: tls: bad"), (2, "direct", 1, 0, None, "timeout: tls handshake"), (2, "plain", 0, 200, "plain", None),
+    (3, "direct", 0, 0, None, "no such host"), (3, "browser", 0, 0, None, "closed"),
+    (4, "direct", 0, 403, "no", None), (4, "browser", 0, 200, "seen", None),
+    (5, "direct", 0, 0, None, "timeout"), (5, "direct", 1, 0, None, "timeout"), (5, "browser", 0, 0, "part", "closed"),
+    (6, "direct", 0, 0, None, "connection refused"), (6, "direct", 1, 0, None, "connection refused"), (6, "plain", 0, 0, None, "connection refused"),
+    (7, "direct", 0, 200, "  ", None), (7, "browser", 0, 200, "seen", None),
+]
+
+
+def board_link(key: str) -> str:
+    """SQL of the link of a board (for two of eight keys: of none) that belongs to a key."""
+    made = {0: "'https://c', {0}, '.bamboohr.com/jobs/view.php?id=', {0}", 1: "'https://jobs.lever.co/C', {0}, '/1b2c/apply'", 2: "'https://boards.greenhouse.io/C', {0}, '/jobs/9'", 3: "'https://jobs.ashbyhq.com/c', {0}, '/8a?utm=x'"}
+    made |= {4: "'https://c', {0}, '.recruitee.com/o/chef'", 5: "'https://jobs.jobvite.com/c', {0}, '/job/o1'", 6: "'https://www.bamboohr.com/c', {0}", 7: "'https://careers.example/c', {0}"}
+    return f"CASE {key} % 8 " + " ".join(f"WHEN {i} THEN concat({x.format(key)})" for i, x in made.items()) + " END"
+
+
+#: Two candidates a customer: a list of jobs of its own, and a board that goes by the key.
+CUSTOMER_CANDIDATES = """SELECT concat('s', c_custkey) AS site, 'bamboohr' AS provider, concat('c', c_custkey) AS identifier, concat('https://c', c_custkey, '.bamboohr.com/') AS url,
+    concat('https://c', c_custkey, '.bamboohr.com/jobs/3') AS raw_url, 'href' AS discovery, 'website' AS source_kind FROM customer
+  UNION ALL SELECT concat('s', c_custkey), CASE c_custkey % 3 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'ashby' ELSE 'recruitee' END, concat('c', c_custkey),
+    CASE c_custkey % 3 WHEN 0 THEN concat('https://job-boards.greenhouse.io/c', c_custkey) WHEN 1 THEN concat('https://jobs.ashbyhq.com/c', c_custkey) ELSE concat('https://c', c_custkey, '.recruitee.com/') END,
+    CASE c_custkey % 3 WHEN 0 THEN concat('https://job-boards.greenhouse.io/c', c_custkey, '/jobs/2') WHEN 1 THEN concat('https://jobs.ashbyhq.com/c', c_custkey, '?utm=x') ELSE concat('https://c', c_custkey, '.recruitee.com/o/x') END,
+    'raw', CASE WHEN c_custkey % 2 = 0 THEN 'careers_page' ELSE 'website' END FROM customer"""
+CUSTOMER_FETCHED = """SELECT concat('https://c', c_custkey, '.bamboohr.com/careers/list') AS url, CASE WHEN c_custkey % 5 = 0 THEN 404 ELSE 200 END AS status,
+    CASE WHEN c_custkey % 7 = 0 THEN 'https://www.bamboohr.com/' ELSE concat('https://c', c_custkey, '.bamboohr.com/careers/list') END AS final_url, 'x' AS body FROM customer
+  UNION ALL SELECT CASE c_custkey % 3 WHEN 0 THEN concat('https://boards-api.greenhouse.io/v1/boards/c', c_custkey, '/jobs') WHEN 1 THEN concat('https://api.ashbyhq.com/posting-api/job-board/c', c_custkey) ELSE concat('https://c', c_custkey, '.recruitee.com/') END,
+    CASE c_custkey % 4 WHEN 0 THEN 301 WHEN 1 THEN 500 ELSE 200 END, concat('https://c', c_custkey, '.example/'), CASE WHEN c_custkey % 5 < 3 THEN '{"jobs": [1]}' WHEN c_custkey % 5 = 3 THEN '{"jobs": {}}' ELSE '[]' END
+    FROM customer WHERE c_custkey % 11 <> 0"""
 #: Candidates of sites, and what was fetched.
 CANDIDATES = [
     ("a", "bamboohr", "moved", "https://moved.bamboohr.com/", "https://moved.bamboohr.com/jobs/3", "href", "website"),

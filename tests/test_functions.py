@@ -213,3 +213,9 @@ def test_links_to_other_hosts_are_found_on_the_root_alone(spark):
 def test_same_host(spark):
     same = lambda a, b: one(spark, C.same_host(F.col("a"), F.col("b")), a=a, b=b)
     assert same("https://A.uk:8443/x", "http://a.uk") and not same("https://a.uk", "https://www.a.uk") and not same("", "") and not same("/x", "/x")
+
+
+def test_candidates_of_a_site_are_one_for_each_board(spark):
+    pages_ = spark.createDataFrame(views.BOARD_PAGES, "site string, seq int, base string, body string, source_kind string")
+    found = [(r.seq, r.pos, r.provider, r.url, r.discovery) for r in site.board_candidates(pages_).where("site = 'c'").orderBy("seq", "pos").collect()]
+    assert found == [(0, 0, "bamboohr", "https://kestrel.bamboohr.com/", "href"), (0, 1, "lever", "https://jobs.lever.co/kestrel", "raw")]
