@@ -1,7 +1,7 @@
 """License scans by diagonal voting.
 
-The hashes of a document's k-grams that are a template's are joined to those of the license templates (a small fixed
-table, broadcast). A hit at word p of the document and word q of a template is on the diagonal p - q, and the words
+The hashes of a document's rolling word k-grams are joined to those of the license templates (a small fixed table,
+broadcast); only k-grams of which every word is in some template are hashed, as no other can be one of theirs. A hit at word p of the document and word q of a template is on the diagonal p - q, and the words
 around it are compared with the template's along that diagonal. Diagonals at most ``gap`` words apart are merged,
 since inserted or missing words shift a passage to a neighbouring diagonal; and the merged span is verified: the
 different words of the template that it has must be a good share of the template and of the span. Of spans that
@@ -32,25 +32,28 @@ CREATIVE_COMMONS = [
     ("cc-by-nc-sa", ["attribution noncommercial sharealike", "attribution non commercial share alike", "attribution noncommercial share alike"]),
     ("cc-by-nc-nd", ["attribution noncommercial noderivatives", "attribution non commercial no derivatives", "attribution noncommercial no derivatives", "attribution noncommercial noderivs"]),
 ]
-#: Fixed public license notices: label, words.
+#: Fixed public license notices: label, words; those with a star tell the license from others, and have to be there.
 TEMPLATES = [
-    *((label, f"licensed under a creative commons {spelt} 4 0 international license") for label, spellings in CREATIVE_COMMONS for spelt in spellings),
-    *((label, f"licensed under {label.replace('-', ' ')} 4 0") for label, _ in CREATIVE_COMMONS),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("lgpl", "this work is licensed under the gnu lesser general public license version 3"),
-    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
-    ("agpl", "this work is licensed under the gnu affero general public license version 3"),
-    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    *((label, "licensed under a creative commons " + " ".join(f"*{w}" for w in spelt.split(" ")) + " 4 0 international license") for label, spellings in CREATIVE_COMMONS for spelt in spellings),
+    *((label, "licensed under " + " ".join(f"*{w}" for w in label.split("-")) + " 4 0") for label, _ in CREATIVE_COMMONS),
+    ("apache", "licensed under the *apache license version 2 0"),
+    ("apache", "released under the *apache license"),
+    ("apache", "you may not use this file except in compliance with the license you *may *obtain a copy of the license at"),
+    ("apache", "unless required by *applicable *law or *agreed to in *writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
+    ("bsd", "*redistribution and use in source and *binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "released under the *bsd license"),
+    ("gpl", "this work is licensed under the gnu *general *public license version 3"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu *general *public license as published by the free software foundation"),
+    ("gpl", "released under the *gpl license"),
+    ("lgpl", "this work is licensed under the gnu *lesser general public license version 3"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu *lesser general public license as published by the free software foundation"),
+    ("agpl", "this work is licensed under the gnu *affero general public license version 3"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu *affero general public license as published by the free software foundation"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose *with or *without *fee is hereby granted"),
+    ("mit", "released under the *mit license"),
+    ("mit", "permission is hereby granted *free of *charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mpl", "this source code form is subject to the terms of the *mozilla public license v 2 0"),
+    ("unlicense", "this is free and *unencumbered software released into the *public *domain"),
 ]
 
 
@@ -70,12 +73,14 @@ def _phrase_starts(words: Column, phrase: list[str]) -> Column:
 
 
 def template_grams(docs: DataFrame, templates: list[tuple[str, str]], k: int) -> DataFrame:
-    """(gram, template, at, template_words): the hash of every k-gram of every template."""
-    rows = json.dumps([{"template": number, "template_words": text.split(" ")} for number, (_, text) in enumerate(templates)])
-    each = docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<template:int,template_words:array<string>>>")))
+    """(gram, template, at, template_words, needed): the hash of every k-gram of every template, and the places of the
+    template's words that have to be there."""
+    starred = [text.split(" ") for _, text in templates]
+    rows = json.dumps([{"template": i, "template_words": [w.lstrip("*") for w in words], "needed": [q for q, w in enumerate(words) if w[0] == "*"]} for i, words in enumerate(starred)])
+    each = docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<template:int,template_words:array<string>,needed:array<int>>>")))
     at = F.explode(F.sequence(F.lit(0), F.size("template_words") - k)).alias("at")
-    placed = each.where(F.size("template_words") >= k).select("template", at, "template_words")
-    return placed.select(F.xxhash64(F.slice("template_words", F.col("at") + 1, k)).alias("gram"), "template", "at", "template_words")
+    placed = each.where(F.size("template_words") >= k).select("template", at, "template_words", "needed")
+    return placed.select(F.xxhash64(F.slice("template_words", F.col("at") + 1, k)).alias("gram"), "template", "at", "template_words", "needed")
 
 
 def _disjoint(spans: Column) -> Column:
@@ -102,9 +107,10 @@ def scan_licenses(
     spans (array of label, first_word, last_word, coverage).
 
     Base labels are those of the phrases, wherever their words stand in sequence; the method adds those of
-    templates of which a span has enough words: coverage, the template's words found of the template's words or (if
-    more) of the span's, is at least ``least_coverage``. score: the best coverage, 1 with a base label. Null and empty texts have no words: counts 0, positions null, labels empty, score 0. Repeated
-    rows and null ids are rows of their own. Other columns are not read; an empty table gives no rows.
+    templates of which a span has the starred words and enough others: coverage, the template's words found of the template's
+    words or (if more) of the span's, is at least ``least_coverage``. score: the best coverage, 1 with a base label. Null and empty texts have no words: counts 0, positions null, labels empty, score 0. Repeated
+    rows and null ids are rows of their own. Other columns are not read; an empty table gives no rows. The time is linear in
+    a text's length: spans are compared with those of the same stretch, and stretches end where no span goes on.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), words_of(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))
     starts = [_phrase_starts(F.col("words"), phrase.split(" ")) for phrase, _ in phrases]
@@ -127,12 +133,12 @@ def scan_licenses(
         "words",
     )
     document = rows.columns[:-1]
-    gram = lambda i: F.array_join(F.slice("words", i, k), " ")
-    known = sorted({" ".join(w[i : i + k]) for w in (text.split(" ") for _, text in templates) for i in range(len(w) - k + 1)})
-    first = sorted({g.split(" ")[0] for g in known})
-    around = max(len(text.split(" ")) for _, text in templates)
-    # most words begin no template's k-gram, and no k-gram is built for them
-    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size("words") - (k - 1), F.lit(1))), lambda i: F.get("words", i - 1).isin(first) & gram(i).isin(known))
+    plain = [text.replace("*", "").split(" ") for _, text in templates]
+    vocabulary = sorted({w for words in plain for w in words})
+    around = max(map(len, plain))
+    rows = rows.withColumn("known", F.transform("words", lambda w: w.isin(vocabulary)))
+    all_known = lambda i: F.reduce(F.array(*(F.get("known", i + j - 1) for j in range(k))), F.lit(True), lambda a, b: a & b)
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size("words") - (k - 1), F.lit(1))), lambda i: F.get("known", i - 1) & F.coalesce(all_known(i), F.lit(False)))
     context = lambda i: F.slice("words", F.greatest(i - around, F.lit(1)), 2 * around)
     found = F.transform(places, lambda i: F.struct((i - 1).alias("word"), F.xxhash64(F.slice("words", i, k)).alias("doc_gram"), F.greatest(i - around - 1, F.lit(0)).alias("start"), context(i).alias("context")))
     at = lambda q: F.col("hit.word") - F.col("at") + q - F.col("hit.start")
@@ -143,12 +149,13 @@ def scan_licenses(
         .select(
             *document,
             "template",
+            "needed",
             F.size("template_words").alias("size"),
             (F.col("hit.word") - F.col("at")).alias("diagonal"),
             F.when(F.col("template").isNotNull(), F.filter(F.sequence(F.lit(0), F.size("template_words") - 1), agree)).alias("same"),
         )
     )
-    diagonals = hits.groupBy(*document, "template", "size", "diagonal").agg(F.first("same").alias("same"))
+    diagonals = hits.groupBy(*document, "template", "size", "diagonal").agg(F.first("same").alias("same"), F.first("needed").alias("needed"))
     by_template = Window.partitionBy("row", "template").orderBy("diagonal")
     far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by_template) > gap, F.lit(True))
     merged = (
@@ -156,18 +163,26 @@ def scan_licenses(
         .withColumn("span", F.sum("far").over(by_template))
         .groupBy(*document, "template", "size", "span")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("same")))).alias("covered"),
+            F.array_distinct(F.flatten(F.collect_list("same"))).alias("places"),
+            F.first("needed").alias("needed"),
             F.min(F.col("diagonal") + F.array_min("same")).alias("first"),
             F.max(F.col("diagonal") + F.array_max("same")).alias("last"),
         )
+        .withColumn("covered", F.size("places"))
         .withColumn("length", F.col("last") - F.col("first") + 1)
         .withColumn("coverage", F.col("covered") / F.greatest("size", "length"))
     )
     label = F.element_at(F.array(*(F.lit(name) for name, _ in templates)), F.col("template") + 1)
-    verified = (F.col("coverage") >= least_coverage) & (F.col("length") <= F.col("size") * slack + gap)
+    verified = (F.col("coverage") >= least_coverage) & (F.col("length") <= F.col("size") * slack + gap) & (F.size(F.array_except("needed", "places")) == 0)
     fields = {"covered": F.col("covered"), "coverage": F.col("coverage"), "label": label, "first_word": F.col("first").cast("long"), "last_word": F.col("last").cast("long")}
-    span = F.when(verified, F.struct(*(x.alias(name) for name, x in fields.items())))
-    per_doc = merged.groupBy(*document).agg(F.collect_list(span).alias("spans")).withColumn("spans", _disjoint(F.col("spans")))
+    spans = merged.select(*document, F.when(verified, F.struct(*(x.alias(name) for name, x in fields.items()))).alias("span"))
+    # stretches of spans that follow each other without a gap; what overlaps is in one
+    in_order = Window.partitionBy("row").orderBy("span.first_word", "span.last_word")
+    reached = F.max("span.last_word").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce(F.col("span.first_word") > reached, F.lit(True)).cast("int")
+    stretches = spans.withColumn("begins", begins).withColumn("stretch", F.sum("begins").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    per_stretch = stretches.groupBy(*document, "stretch").agg(F.collect_list("span").alias("spans")).withColumn("spans", _disjoint(F.col("spans")))
+    per_doc = per_stretch.groupBy(*document).agg(F.flatten(F.collect_list("spans")).alias("spans"))
     shown = lambda s: F.struct(s["label"].alias("label"), s["first_word"].alias("first_word"), s["last_word"].alias("last_word"), s["coverage"].alias("coverage"))
     per_doc = per_doc.withColumn("spans", F.array_sort(F.transform("spans", shown)))
     base = F.when(F.col("base_labels") == "", F.array().cast("array<string>")).otherwise(F.split("base_labels", ","))

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from sitecensus.llm import license_scan
 
@@ -50,6 +51,17 @@ def test_labels_of_changed_and_overlapping_notices(spark):
         "Licensed under CC BY 3.0": "cc-by",
         "This work is licensed under the GNU Lesser General Public License version 3": "gpl,lgpl",
         "creative commons attribution creative commons attribution creative commons attribution creative commons attribution": "",
+        "Released under the GPL license": "gpl",
+        "released under the BSD license": "bsd",
+        "released under the same license": "",
+        "released under the apache license": "apache",
+        "GNU Free Documentation License version 3": "",
+        "This work is licensed under the GNU Free Documentation License version 3": "",
+        "This work is licensed under the GNU General Documentation License version 3": "",
+        "subject to the terms of the Eclipse Public License v 2.0": "",
+        "This source code form is subject to the terms of the Eclipse Public License, v. 2.0": "",
+        "Licensed under CC BY-XX 4.0": "",
+        "licensed under a Creative Commons Zero 4.0 International License": "",
         "released under the MIT licence. Then: licensed under CC BY-SA 4.0": "cc-by-sa,mit",
     }
     frame = spark.createDataFrame([(i, "x y z. " + t + ", and more words here") for i, t in enumerate(texts)], "doc_id long, text string")
@@ -62,7 +74,8 @@ def brute_force(text, least=0.75, k=3, gap=3, slack=1.5):
     words = re.findall(license_scan.WORD, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     spans = []
     for label, notice in license_scan.TEMPLATES:
-        t = notice.split(" ")
+        t = notice.replace("*", "").split(" ")
+        needed = {q for q, w in enumerate(notice.split(" ")) if w[0] == "*"}
         diagonals = sorted({p - q for p in range(len(words) - k + 1) for q in range(len(t) - k + 1) if words[p : p + k] == t[q : q + k]})
         runs = []
         for d in diagonals:
@@ -76,7 +89,7 @@ def brute_force(text, least=0.75, k=3, gap=3, slack=1.5):
             first, last = min(d + q for d, q in same), max(d + q for d, q in same)
             covered, length = len({q for _, q in same}), last - first + 1
             coverage = covered / max(len(t), length)
-            if coverage >= least and length <= len(t) * slack + gap:
+            if coverage >= least and length <= len(t) * slack + gap and needed <= {q for _, q in same}:
                 spans.append((covered, coverage, label, first, last))
     kept = []
     for s in sorted(spans, reverse=True):
@@ -93,10 +106,10 @@ def test_labels_and_scores_match_brute_force(spark):
         words = []
         for _ in range(rng.randrange(4)):
             words += [rng.choice(["the", "of", "software", "license", "x", "y"]) for _ in range(rng.randrange(12))]
-            notice = rng.choice(license_scan.TEMPLATES)[1].split(" ")
+            notice = rng.choice(license_scan.TEMPLATES)[1].replace("*", "").split(" ")
             for _ in range(rng.choice([0, 0, 1, 2, 3, 5])):
                 at = rng.randrange(len(notice))
-                notice[at : at + rng.randrange(2)] = rng.choice([[], ["z"], ["free", "of"]])
+                notice[at : at + rng.randrange(2)] = rng.choice([[], ["z"], ["free", "of"], ["bsd"], ["mit"], ["general"]])
             words += notice[rng.choice([0, 0, 3]) :]
         texts.append(" ".join(words))
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
@@ -104,3 +117,27 @@ def test_labels_and_scores_match_brute_force(spark):
     wanted = {i: (labels, round(score, 9)) for i, (labels, score) in enumerate(map(brute_force, texts))}
     assert got == wanted
     assert wanted[0] == ("", 0.0) and sum(bool(labels) for labels, _ in wanted.values()) > 100
+
+
+def test_a_word_in_place_of_the_telling_ones_is_no_license(spark):
+    """Every template with each of its telling words replaced has no label of its own."""
+    texts = []
+    for label, notice in license_scan.TEMPLATES:
+        words = notice.split(" ")
+        texts += [(label, " ".join("zork" if i == at else w.lstrip("*") for i, w in enumerate(words))) for at, w in enumerate(words) if w[0] == "*"]
+    frame = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.labels.split(",") for r in license_scan.scan_licenses(frame).collect()}
+    wrong = [t for i, t in enumerate(texts) if t[0] in got[i] and t[0] not in base(t[1])[4].split(",")]
+    assert not wrong, wrong
+
+
+def test_a_long_text_of_notices_takes_linear_time(spark):
+    seconds = {}
+    for n in (2_000, 30_000):
+        text = "released under the MIT license. " * n + "x y z. " + "Licensed under CC BY-SA 4.0 " * n
+        frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.time()
+        (row,) = license_scan.scan_licenses(frame).collect()
+        seconds[n] = time.time() - began
+        assert (row.labels, row.score, len(row.spans)) == ("cc-by-sa,mit", 1.0, 2 * n)
+    assert seconds[30_000] < 60, seconds
