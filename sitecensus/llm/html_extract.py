@@ -3,7 +3,9 @@
 Every page is parsed into a tree of elements, and each block element's subtree (tag and text, all the way down) is
 hashed; a list of links, whose text is all in links, also by its tags alone, since menus differ from page to page. Spark counts the hashes per host over different pages; subtrees that recur on a good share of a host's pages are
 its template. A second reading of the pages deletes them, as well as what a tag, class or role marks as a menu, header,
-footer, sidebar, notice, advert, form or reader comment, and gives the text of what is left of the article.
+footer, sidebar, notice, advert, form or reader comment, and gives the text of what is left of the article: of the articles
+that hold more text than links, together with the main element's own title and text beside them, or of the main element
+alone, whichever has more text.
 
 Pages that are equal within a host count once, so copies of a page do not make it a template. Lists of links of one shape
 have to recur on most pages of the host. Inside the article (or main)
@@ -32,9 +34,12 @@ from .common import ascii_lower, written
 
 # Names of HTML elements, and the words that mark boilerplate in a class, id or role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr "
+    "math mfrac mi mn mo mroot mrow ms msqrt msub msubsup msup mtext semantics".split()
+)
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre article main body html".split())
-UNSEEN = frozenset("head title script style noscript template svg math iframe object canvas audio video map noembed noframes".split())
+UNSEEN = frozenset("annotation head title script style noscript template svg iframe object canvas audio video map noembed noframes".split())
 ASIDE = frozenset("nav footer aside form button select textarea dialog menu fieldset".split())
 ENDS_PARAGRAPH = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -259,8 +264,42 @@ def main_text(page: str | Node, is_template, is_common=None, use_marks: bool = T
                 stack += [c for c in reversed(n.children) if isinstance(c, Node) and not dropped(c, False)]
         return out
 
-    parts = found(lambda n: n.tag == "article") or found(lambda n: n.tag == "main" or "role-main" in n.marks)
-    inside = bool(parts)
+    def prose(n: Node, inside: bool) -> tuple[int, int]:
+        """Characters of n's text outside of links and in them, without what is dropped and (not inside) articles."""
+        plain = linked = 0
+        stack = [(n, n.tag == "a")]
+        while stack:
+            x, in_link = stack.pop()
+            for c in x.children:
+                if isinstance(c, str):
+                    size = len("".join(c.split()))
+                    plain, linked = plain + size * (not in_link), linked + size * in_link
+                elif not dropped(c, inside) and (inside or c.tag != "article"):
+                    stack.append((c, in_link or c.tag == "a"))
+        return plain, linked
+
+    def outside_links(n: Node, within: bool) -> bool:
+        """A list of links beside the articles of a main element."""
+        return not within and bool(mains) and n.is_list_of_links()
+
+    is_main = lambda n: n.tag == "main" or "role-main" in n.marks
+    articles, teasers = [], set()
+    for n in found(lambda n: n.tag == "article"):
+        plain, linked = prose(n, True)
+        articles.append((n, plain)) if plain > linked else teasers.add(id(n))
+    mains = found(is_main)
+    whole = [n for n, _ in articles]
+    in_mains = sum(n.articles for n in mains) - sum(n.articles for n in mains if n.tag == "article")
+    parts, inside = whole or mains or [root], bool(whole or mains)
+    if mains and whole and not any(is_main(n) for n in whole):
+        own = sum(prose(m, False)[0] for m in mains)
+        if not in_mains:  # beside each other: what has more text
+            parts = mains if own > sum(plain for _, plain in articles) else whole
+        elif in_mains == root.articles and own:  # the main element's own text beside its articles, by the rules outside
+            parts, inside = mains, False
+    elif whole and not any(n.titles for n in whole):  # the title stands before the article
+        before = found(lambda n: n.tag in ("h1", "article"))
+        parts = before[: next(i for i, n in enumerate(before) if n.tag == "article")] + whole
     blocks: list[str] = []
     current: list[str] = []
 
@@ -269,23 +308,23 @@ def main_text(page: str | Node, is_template, is_common=None, use_marks: bool = T
             blocks.append(text)
         current.clear()
 
-    for part in parts or [root]:
-        stack: list = [part]
+    for part in parts:
+        stack: list = [(part, inside)]
         while stack:
-            n = stack.pop()
+            n, within = stack.pop()
             if n is None:
                 flush()
             elif isinstance(n, str):
                 current.append(n)
             elif n.tag == "br" or n.tag in ("td", "th"):
                 current.append(" ")
-                stack += reversed(n.children)
-            elif n is part or not dropped(n, inside):
+                stack += [(c, within) for c in reversed(n.children)]
+            elif n is part or not (dropped(n, within) or id(n) in teasers or outside_links(n, within)):
                 block = n.tag not in INLINE
                 if block:
                     flush()
-                    stack.append(None)
-                stack += reversed(n.children)
+                    stack.append((None, within))
+                stack += [(c, within or n.tag == "article") for c in reversed(n.children)]
         flush()
     return "\n\n".join(blocks)
 
@@ -324,6 +363,7 @@ def templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
 
     # keys of equal pages are equal: any row of them will do
     parsed = pages.select("html", "host").mapInArrow(run, "host long, page long, keys array<long>").dropDuplicates(["host", "page"])
+    parsed = written(parsed, "page-keys")  # read twice
     counted = parsed.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
     return counted.join(sizes, "host").where(F.col("n") >= F.col("pages") * min_share).select("key", (F.col("n") * 2 > F.col("pages")).alias("common"))

@@ -173,3 +173,22 @@ def test_menus_of_other_links_are_one_template(spark):
         got = {r.page_id: r.text for r in html_extract.extract_main_text(frame, **options).collect()}
         assert got[2] == "Own 2\n\nsee 2\n\nx2"  # a paragraph of links is a list of links, too
         assert got[11] == "to 1\n\nalso 1\n\nOwn 1"  # on fewer than half of the pages
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<main><h1>Title</h1><p>Lead</p><article><p>Body</p></article></main>", "Title\n\nLead\n\nBody"),
+        ("<main><h1>Title</h1><p>Body of the page</p></main><section><article><a>Teaser</a></article></section>", "Title\n\nBody of the page"),
+        ("<main><h1>Title</h1><p>Body of the page</p><article><a>Teaser of it</a> x</article></main>", "Title\n\nBody of the page"),
+        ("<main><p>A</p><article><p>One</p></article><article><p>Two</p></article><ul><li><a>x</a></li><li><a>y</a></li></ul></main>", "A\n\nOne\n\nTwo"),
+        ("<header><h1>Site</h1></header><h1>Title</h1><article><p>Body text</p></article><h1>After</h1>", "Title\n\nBody text"),
+        ("<h1>Site</h1><article><h1>Title</h1><p>Body text</p></article>", "Title\n\nBody text"),
+        ("<main><p>short</p></main><article><p>A long article text</p></article>", "A long article text"),
+        ("<article><main><p>Body</p></main></article>", "Body"),
+        ("<main><div class='sidebar'>Aside</div><article><p>Body</p></article></main>", "Body"),
+        ("<p>Let <math><mi>x</mi><annotation>\\x</annotation></math> be.</p>", "Let x be."),
+    ],
+)
+def test_the_content_root_is_what_has_the_text(page, text):
+    assert html_extract.main_text(page, lambda key: False) == text
