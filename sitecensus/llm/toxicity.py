@@ -26,10 +26,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import power_of_two, written
+from .common import power_of_two, spare_name, written
 
 ORDER = 7
 START, END = 1, 2
@@ -205,12 +206,13 @@ def backoff(types: DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]
 
 
 class Lookup:
-    """Values by code, 0 for other codes: hashed tables, each with what had no place in the one before."""
+    """Values by code, 0 for other codes: hashed tables, each with what had no place in the one before. A table has less than
+    one slot a code and more than half of one, so all together have about one and a half."""
 
     def __init__(self, codes: np.ndarray, values: np.ndarray):
         self.tables = []
         while len(codes):
-            size = power_of_two(2 * len(codes))
+            size = power_of_two(len(codes) / 2 + 1)
             keys, held = np.full(size, -1, np.int64), np.zeros(size, np.float32)
             at = hashed(codes, size)
             keys[at] = codes
@@ -328,21 +330,24 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_labe
     types = written(counted.groupBy("code").agg(*(F.sum(c).alias(c) for c in COUNTS)), "types")
     codes, shared, (t0, t1, o0, o1) = backoff(types)
     model = Model.of(codes, shared, t0 + t1, o0 + o1)
-    unseen = [Model.of(codes, shared, t1, o1), Model.of(codes, shared, t0, o0)]  # by fold: from the other one
-    sent = docs.sparkSession.sparkContext.broadcast(unseen)
-
-    def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds = np.array(batch.column(1).to_pylist(), np.int64)
-            for first, chunk in chunks(batch.column(0)):
-                kind = kinds[first : first + len(chunk)]
-                both = [m.features(chunk) for m in sent.value]
-                features = np.where((kind % 2 == 0)[:, None], *both)
-                yield pa.RecordBatch.from_arrays([pa.array(kind), *(pa.array(c) for c in features.T)], ["kind", *(f"f{i}" for i in range(TOP + 1))])
-
-    labelled = texts.where("kind is not null")
-    seen = labelled.mapInArrow(calibrate, "kind long, " + ", ".join(f"f{i} double" for i in range(TOP + 1))).toArrow()
-    sent.unpersist()
+    labelled, schema = texts.where("kind is not null"), "kind long, " + ", ".join(f"f{i} double" for i in range(TOP + 1))
+
+    def calibrate(sent: Broadcast):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for first, chunk in chunks(batch.column(0)):
+                    columns = [batch.column(1).slice(first, len(chunk)), *map(pa.array, sent.value.features(chunk).T)]
+                    yield pa.RecordBatch.from_arrays(columns, ["kind", *(f"f{i}" for i in range(TOP + 1))])
+
+        return run
+
+    tables = []
+    for fold, own in enumerate(((t1, o1), (t0, o0))):  # rows of a fold by the model of the other one; executors hold one at a time
+        sent = docs.sparkSession.sparkContext.broadcast(Model.of(codes, shared, *own))
+        rows = labelled.where(F.col("kind") % 2 == fold).select("text", F.col("kind").cast("long"))
+        tables.append(rows.mapInArrow(calibrate(sent), schema).toArrow())
+        sent.destroy()
+    seen = pa.concat_tables(tables)
     toxic = seen.column("kind").to_numpy() < 2
     model.rate = float((toxic.sum() + 0.5) / (len(toxic) + 1))
     if toxic.any() and not toxic.all():
@@ -354,25 +359,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_labe
 def score(docs: DataFrame, model: Model, columns: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """columns of docs (as they are; default: all but the text) with score and log_ratio (toxic to ordinary, a letter).
 
-    Null and empty texts have ratio 0 and the score of a text without words. The text may be among the columns, and goes to
-    the tasks once in any case; rows come back a chunk of texts at a time. columns must not be called like the two added ones.
+    Null and empty texts have ratio 0 and the score of a text without words. The text may be among the columns; only
+    texts go to Python, and only two numbers for each come back. columns must not be called like the two added ones.
     """
     columns = [c for c in docs.columns if c != text_col] if columns is None else columns
-    sent = columns if text_col in columns else [*columns, text_col]
-    text = sent.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*(F.col(f"`{c}`") for c in columns)).schema.add("score", "double").add("log_ratio", "double")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<score: double, log_ratio: double>")
+    def judged(texts: pa.Array) -> pa.Array:
         own = shared.value
-        for batch in batches:
-            for first, chunk in chunks(batch.column(text)):
-                features = own.features(chunk)
-                added = [pa.array(x) for x in (own.scores(features), features[:, 0])]
-                rows = batch.slice(first, len(chunk)).columns[: len(columns)]
-                yield pa.RecordBatch.from_arrays([*rows, *added], [*columns, "score", "log_ratio"])
-
-    return docs.select(*(F.col(f"`{c}`") for c in sent)).mapInArrow(run, schema)
+        parts = [own.features(chunk) for _, chunk in chunks(texts)]
+        features = np.concatenate([np.zeros((0, 1 + TOP)), *parts])
+        return pa.StructArray.from_arrays([pa.array(own.scores(features)), pa.array(features[:, 0])], ["score", "log_ratio"])
+
+    name = spare_name(docs.columns, "judged")
+    scored = docs.withColumn(name, judged(F.col(f"`{text_col}`").cast("string")))
+    return scored.select(*(F.col(f"`{c}`") for c in columns), f"{name}.score", f"{name}.log_ratio")
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1):
