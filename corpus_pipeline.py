@@ -7,6 +7,9 @@ its sources; and that order is packed. Labels are read from sf_dir only to fit t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sitecensus.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
@@ -14,22 +17,43 @@ from sitecensus.llm.common import table, written
 from sitecensus.llm.queries import vocabulary
 
 
+#: Rows in a batch that goes to Python: whole texts, of which the usual 10,000 take hundreds of MB in two processes.
+BATCH_ROWS = 2_000
+
+
+def bounded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """stage, in a session whose batches for Python have BATCH_ROWS rows at most."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        spark.conf.set(name, min(BATCH_ROWS, int(spark.conf.get(name))))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@bounded
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+@bounded
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_copies(docs)
 
 
+@bounded
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard_join.drop_near_copies(docs)
 
 
+@bounded
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.interleave(docs, mixing.target_weights(docs))
 
 
+@bounded
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Files do not keep the order of rows, so the mixture's order is made again: it follows from the rows alone."""
     return packing.pack_documents(mixing.interleave(docs, mixing.target_weights(docs)), vocabulary())
