@@ -60,12 +60,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def count_domains(spark: SparkSession, path: str) -> int:
-    return spark.read.text(path).where(strip(F.col("value")) != "").count()
+    return lines(spark, path).where(strip(F.col("value")) != "").count()
 
 
 def count_lines(spark: SparkSession, path: str) -> int:
     """All lines, blank ones too."""
-    return spark.read.text(path).count()
+    return lines(spark, path).agg(F.count("value")).first()[0]
 
 
 def count_output(spark: SparkSession, path: str) -> int:

@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or (unset, as in tests) one made here."""
+    """The folder that all executors share: spark.checkpoint.dir, or (unset, on one machine) one made for this session."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    return (found or "file://" + tempfile.mkdtemp(prefix="sitecensus-")).rstrip("/")
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="sitecensus-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
 
 
 _staged: list[tuple[SparkSession, str]] = []

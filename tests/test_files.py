@@ -18,8 +18,13 @@ def test_domain_lists_and_counts(spark, tmp_path):
     assert [(r.pos, r.domain) for r in rows] == [(0, "b.uk"), (1, "a.uk"), (2, "c.uk")]
     assert (readers.count_domains(spark, str(path)), readers.count_lines(spark, str(path)), readers.count_output(spark, str(tmp_path / "none"))) == (3, 5, 0)
     path.write_text("x" * (1 << 20))
-    with pytest.raises(Exception, match="1 MiB"):
-        readers.lines(spark, str(path)).collect()
+    for read in (lambda: readers.lines(spark, str(path)).collect(), lambda: readers.count_domains(spark, str(path)), lambda: readers.count_lines(spark, str(path)), lambda: readers.count_output(spark, str(path))):
+        with pytest.raises(Exception, match="1 MiB"):
+            read()
+
+
+def test_one_shared_folder_a_session(spark):
+    assert writers.shared_dir(spark) == writers.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
 def test_split_rules(spark):
