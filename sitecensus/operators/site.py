@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from ..functions import boards, fixed, markers, pages
 from ..functions import columns as C
-from ..sources.writers import staged
+from ..sources.writers import bucketed, staged
 
 PAGE = (
     "title string, description string, og_image string, text string, footer_text string, headings array<string>, anchors array<struct<href:string,text:string>>, "
@@ -118,7 +118,8 @@ def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES) ->
     roots: site, url. links: url, kind_order, kind, target, and optionally follow: the best link of each kind of each page;
     those without follow (to another host) are found on the root, but not visited. A site's kinds are fixed by the first page
     that has them; a page is visited once, and at most ``most`` pages are. One join of the frontier to the links a step,
-    ``most`` steps at most; a site's state is one row."""
+    ``most`` steps at most; a site's state is one row. The links of a page are stored once, in buckets of its URL (for
+    more than one step), so that they do not move in any step; only the states do."""
     found, queue = "array<struct<kind:string,target:string,follow:boolean>>", "array<struct<url:string,label:string>>"
     state = roots.select(
         "site",
@@ -131,6 +132,8 @@ def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES) ->
     ordered = F.array_sort(F.collect_list(F.struct("kind_order", "kind", "target", "follow")))
     by_page = links.groupBy("url").agg(F.transform(ordered, lambda x: F.struct(x["kind"].alias("kind"), x["target"].alias("target"), x["follow"].alias("follow"))).alias("out"))
     by_page = by_page.withColumnRenamed("url", "at")
+    if most > 1:
+        by_page = bucketed(by_page, "links", "at")
     for step in range(most):
         is_new = lambda x: ~F.exists("found", lambda f: f["kind"] == x["kind"]) & (x["follow"] | F.lit(step == 0))  # noqa: E731, B023
         grown = state.join(by_page, "at", "left").withColumn("out", F.filter(F.coalesce("out", F.array().cast(found)), is_new))

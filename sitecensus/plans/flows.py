@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fetching, lists, site
+from ..functions import columns
+from ..operators import fetching, lists, site, suffixes
 from ..sources import incremental, readers, tail, versions, writers
 from ..streaming import pushes
 from . import storage, views
@@ -127,7 +128,45 @@ def stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.snapshot()[1]["registry"]
 
 
-NAMES = "pushed_states tailed_counters redirect_chains fetch_replay next_requests incremental_counters queue_moves stored_upsert".split()
+def _written_lines(rows: DataFrame, label: str) -> str:
+    """A folder with one file of lines for each value of file, in the order of seq (rows: file, seq, value)."""
+    path = writers.fresh_path(rows.sparkSession, label)
+    rows.repartition(5, "file").sortWithinPartitions("file", "seq").select("file", "value").write.partitionBy("file").text(path)
+    return path
+
+
+def result_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a strict reader would stop in seven files of results, one a line for each event; some lines are broken or blank."""
+    e = F.col("event_id")
+    good = F.format_string('{"domain":"e%d.uk","http_active":%s}', e, (e % 2 == 0).cast("string"))
+    value = F.when((e % 997 == 5) & (e % 7 != 3), '{"domain": ').when((e % 1009 == 8) & (e % 7 != 3), "  ").when((e % 1013 == 9) & (e % 7 == 4), '{"domain":"x","http_status":"ok"}').otherwise(good)
+    lines = table(spark, sf_dir, "events").select(F.format_string("f%d", e % 7).alias("file"), e.alias("seq"), value.alias("value"))
+    found = readers.line_faults(spark, f"{_written_lines(lines, 'faults')}/*/part-*")
+    return found.withColumn("file", F.regexp_extract("file", "file=(f[0-9])", 1))
+
+
+def ordered_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All results in the order of their files, one a machine, and of the lines in each."""
+    rows = views.scan_results(spark, sf_dir)
+    line = F.to_json(F.struct("domain", "dns_active", "http_active", "http_status", "response_ms", "error"), {"ignoreNullFields": "false"})
+    path = _written_lines(rows.select(F.col("machine").alias("file"), F.col("pos").alias("seq"), line.alias("value")), "ordered")
+    return readers.ordered_results(spark, f"{path}/*/part-*").select("pos", "domain", "http_active", "http_status")
+
+
+def host_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest listed domain of each customer's host, and of all pages' hosts: a domain a supplier, some with one below it."""
+    k = F.col("c_custkey") % 400
+    forms = {0: "S%d.uk", 1: "www.s%d.uk", 2: "a.b.s%d.uk.", 3: "xs%d.uk", 4: "b.s%d.uk"}
+    host = F.coalesce(*(F.when(F.col("c_custkey") % 6 == i, F.format_string(form, k)) for i, form in forms.items()), F.lit("uk"))
+    hosts = table(spark, sf_dir, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), host.alias("host"))
+    hosts = hosts.unionByName(table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), columns.host_of(F.col("url")).alias("host")))
+    s = F.col("s_suppkey")
+    listed = F.array(F.format_string("s%d.uk", s), F.when(s % 3 == 0, F.format_string("B.s%d.uk", s)), F.when(s % 5 == 0, F.lit("com")))
+    domains = table(spark, sf_dir, "supplier").select(F.explode(listed).alias("domain"))
+    return suffixes.with_domain(hosts, domains).select("kind", "id", "host", "matched")
+
+
+NAMES = "pushed_states tailed_counters redirect_chains fetch_replay next_requests incremental_counters queue_moves stored_upsert result_faults ordered_results host_domains".split()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

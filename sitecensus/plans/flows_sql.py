@@ -47,5 +47,25 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 OR {kind} IN (1, 2, 5, 6) THEN 'direct' WHEN {kind} IN (3, 4, 7) THEN 'browser' END AS via FROM customer) c WHERE via IS NOT NULL""",
         "incremental_counters": f"""SELECT machine, count(*) AS processed, count(*) FILTER (http_active) AS active, count(error) AS errors, 1::BIGINT AS files_read, 3::BIGINT AS files_kept FROM {SCAN} s GROUP BY machine""",
         "queue_moves": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderpriority = '1-URGENT' THEN 'running' ELSE 'queue' END AS place FROM orders",
+        "result_faults": """WITH lines AS (
+              SELECT event_id % 7 AS f, row_number() OVER (PARTITION BY event_id % 7 ORDER BY event_id) AS line,
+                CASE WHEN event_id % 997 = 5 AND event_id % 7 <> 3 THEN 'not a result' WHEN event_id % 1009 = 8 AND event_id % 7 <> 3 THEN 'blank'
+                  WHEN event_id % 1013 = 9 AND event_id % 7 = 4 THEN 'not a result' END AS reason FROM events
+            )
+            SELECT 'f' || f AS file, count(*) AS lines, count(reason) AS bad_lines, min(line) FILTER (reason IS NOT NULL) AS first_bad_line, arg_min(reason, line) FILTER (reason IS NOT NULL) AS reason
+            FROM lines GROUP BY f""",
+        "ordered_results": f"SELECT row_number() OVER (ORDER BY machine, s.pos) - 1 AS pos, domain, http_active, http_status FROM {SCAN} s",
+        "host_domains": f"""WITH hosts AS (
+              SELECT 'customer' AS kind, c_custkey AS id, CASE c_custkey % 6 WHEN 0 THEN 'S' || k || '.uk' WHEN 1 THEN 'www.s' || k || '.uk' WHEN 2 THEN 'a.b.s' || k || '.uk.' WHEN 3 THEN 'xs' || k || '.uk'
+                WHEN 4 THEN 'b.s' || k || '.uk' ELSE 'uk' END AS host FROM (SELECT c_custkey, c_custkey % 400 AS k FROM customer) c
+              UNION ALL SELECT 'page', page_id, {oracles.HOST} FROM pages
+            ), listed AS (
+              SELECT 's' || s_suppkey || '.uk' AS d FROM supplier UNION SELECT 'b.s' || s_suppkey || '.uk' FROM supplier WHERE s_suppkey % 3 = 0 UNION SELECT 'com' FROM supplier WHERE s_suppkey % 5 = 0
+            ), plain AS (
+              SELECT DISTINCT host, rtrim(lower(host), '.') AS h FROM hosts
+            ), met AS (
+              SELECT p.host, arg_max(d, length(d)) AS matched FROM plain p JOIN listed l ON p.h = d OR ends_with(p.h, '.' || d) GROUP BY p.host
+            )
+            SELECT kind, id, host, matched FROM hosts LEFT JOIN met USING (host)""",
         "stored_upsert": oracles.oracle_sql()["registry_upsert"],
     }

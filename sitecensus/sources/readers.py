@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -78,6 +78,57 @@ def scan_results(spark: SparkSession, path: str) -> DataFrame:
     return decode_strict(lines(spark, path), SCAN_RESULT)
 
 
+class BadLine(ValueError):
+    """The first line of the first file, in the order of paths, that is no result."""
+
+    def __init__(self, file: str, line: int, reason: str) -> None:
+        super().__init__(f"line {line} of {file}: {reason}")
+        self.file, self.line, self.reason = file, line, reason
+
+
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """value, file, start, seq: the lines of text files. seq grows by one a line within a split (file, start) of a file."""
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return spark.read.text(path).select("value", file.alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("seq"))
+
+
+def line_faults(spark: SparkSession, path: str, schema: str = SCAN_RESULT) -> DataFrame:
+    """file, lines, bad_lines, first_bad_line (from 1; null if none), reason: what a strict reader would stop at in each file.
+
+    Lines stay where they are read: a split gives its number of lines and the place of its first bad one, and a file adds up
+    its splits. A file without lines has no row."""
+    item = F.from_json("value", schema + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    reason = (
+        F.when(F.octet_length("value") >= LONGEST_LINE, F.lit("longer than 1 MiB"))
+        .when(strip(F.col("value")) == "", F.lit("blank"))
+        .when(item["_bad"].isNotNull(), F.lit("not a result"))
+    )
+    judged = placed_lines(spark, path).select("file", "start", "seq", reason.alias("reason"))
+    bad = F.col("reason").isNotNull()
+    splits = judged.groupBy("file", "start").agg(
+        F.count("*").alias("lines"), F.count("reason").alias("bad_lines"), F.min("seq").alias("low"), F.min(F.when(bad, F.struct("seq", "reason"))).alias("first")
+    )
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.withColumn("before", F.coalesce(F.sum("lines").over(earlier), F.lit(0)))
+    place = F.when(F.col("first").isNotNull(), F.struct((F.col("before") + F.col("first.seq") - F.col("low") + 1).alias("line"), F.col("first.reason").alias("reason")))
+    files = before.groupBy("file").agg(F.sum("lines").alias("lines"), F.sum("bad_lines").alias("bad_lines"), F.min(place).alias("first"))
+    return files.select("file", "lines", "bad_lines", F.col("first.line").alias("first_bad_line"), F.col("first.reason").alias("reason"))
+
+
+def ordered_results(spark: SparkSession, path: str) -> DataFrame:
+    """pos and the fields of the results, numbered (from 0) by path and place in the file. No file is an error; a bad line
+    is a ``BadLine`` that names the first one, whichever task meets one first."""
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no result files match {path}")
+    fault = line_faults(spark, path).where("bad_lines > 0").orderBy("file").first()
+    if fault:
+        raise BadLine(fault.file, fault.first_bad_line, fault.reason)
+    from ..operators.lists import numbered
+
+    rows = numbered(placed_lines(spark, path).select("value", F.struct("file", "start", "seq").alias("place")), "place")
+    return rows.select("pos", F.from_json("value", SCAN_RESULT, {"mode": "FAILFAST"}).alias("item")).select("pos", "item.*")
+
+
 def decode_strict(values: DataFrame, schema: str = SCAN_RESULT) -> DataFrame:
     """values: value. Absent flags and counts are false and 0, as a missing key is."""
     value = F.when(strip(F.col("value")) == "", F.raise_error(F.lit("blank line in results")).cast("string")).otherwise(F.col("value"))
