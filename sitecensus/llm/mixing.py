@@ -158,3 +158,14 @@ def interleave(docs: DataFrame, weights: dict[str, float], id_col: str = "doc_id
     by = {c: f"c{i}" for i, c in enumerate(columns)}
     placed = _placed(renamed, weights, by[id_col], by[source_col], block_docs, period)
     return placed.orderBy("mix.slot", "mix.rank").drop("mix").toDF(*columns)
+
+
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """docs, read from the Parquet files of one write, in the order in which they were written: files are named by the task
+    that wrote them, and rows have places in them. One sort restores what ``interleave`` has made; a source that is not
+    read from files is an error."""
+    names = docs.columns
+    file, row = spare_name(names, "mix_file"), spare_name(names, "mix_row")
+    number = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    placed = docs.select(*(F.col(f"`{c}`") for c in names), number.alias(file), F.col("_metadata.row_index").alias(row))
+    return placed.orderBy(file, row).select(*(F.col(f"`{c}`") for c in names))

@@ -99,3 +99,17 @@ def test_deviation_stays_below_one_block_for_100_periods():
             else:
                 break
         assert sum(had.values()) > 90_000
+
+
+def test_file_order_is_the_written_order(spark, tmp_path, docs):
+    rows = [(i, "t" * (i % 50), "en", f"s{i % 4 % 3}", i) for i in range(2000)]
+    frame = spark.createDataFrame(rows, DOCS).withColumnRenamed("lang", "mix_row")
+    mixed = mixing.interleave(frame, {"s0": 3.0, "s1": 1.0, "s2": 1.0}, block_docs=4).collect()
+    parts = 7
+    ordered = spark.createDataFrame([(n, *r) for n, r in enumerate(mixed)], "n long, " + DOCS.replace("lang", "mix_row")).repartitionByRange(parts, "n").sortWithinPartitions("n").drop("n")
+    ordered.write.option("maxRecordsPerFile", 100_000).parquet(f"{tmp_path}/mixed")
+    read = spark.read.parquet(f"{tmp_path}/mixed")
+    assert read.inputFiles() and mixing.in_file_order(read).columns == read.columns
+    assert mixing.in_file_order(read).collect() == mixed
+    with pytest.raises(Exception, match="_metadata"):
+        mixing.in_file_order(docs).collect()
