@@ -55,8 +55,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @bounded
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Files do not keep the order of rows, so the mixture's order is made again: it follows from the rows alone."""
-    return packing.pack_documents(mixing.interleave(docs, mixing.target_weights(docs)), vocabulary())
+    """The mixture's order is that of the files which the stage before has written, and of the rows in them."""
+    return packing.pack_documents(mixing.in_file_order(docs), vocabulary())
 
 
 STAGES = [
