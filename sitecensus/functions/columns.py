@@ -92,6 +92,15 @@ def without_default_port(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, r"^(https://[^/?#]*):443(?=[/?#]|$)", "$1"), r"^(http://[^/?#]*):80(?=[/?#]|$)", "$1")
 
 
+def url_key(url: Column) -> Column:
+    """What the same page's URLs have in common: scheme and host in lower case, no default port, no fragment, and '/' for an
+    empty path. A value without scheme and host stays as it is."""
+    authority = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
+    origin, rest = F.regexp_extract(url, authority, 0), F.regexp_extract(url, authority + "([^#]*)", 1)
+    path = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
+    return F.when(origin != "", F.concat(without_default_port(F.lower(origin)), path)).otherwise(url)
+
+
 def in_domains(host: Column, domains: list[str]) -> Column:
     """Whether the host is one of the domains or below it: its suffixes are looked up, so one test serves any number."""
     labels = F.split(host, r"\.")

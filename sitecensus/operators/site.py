@@ -112,12 +112,13 @@ def crawl(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES) -> DataFra
     return crawl_states(roots, links, most).select("site", F.posexplode("visited").alias("visit", "v")).select("site", "v.url", "v.label", "visit")
 
 
-def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES) -> DataFrame:
+def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES, key: Callable[[Column], Column] = lambda url: url) -> DataFrame:
     """site; visited: pages (url, label) in the order of a bounded breadth-first visit; found: kinds and their links.
 
     roots: site, url. links: url, kind_order, kind, target, and optionally follow: the best link of each kind of each page;
     those without follow (to another host) are found on the root, but not visited. A site's kinds are fixed by the first page
-    that has them; a page is visited once, and at most ``most`` pages are. One join of the frontier to the links a step,
+    that has them; a page is visited once, and at most ``most`` pages are. ``key`` of a URL is what tells pages apart, and
+    the links' url are keys; visited pages keep the URL by which they were found. One join of the frontier to the links a step,
     ``most`` steps at most; a site's state is one row. The links of a page are stored once, in buckets of its URL (for
     more than one step), so that they do not move in any step; only the states do."""
     found, queue = "array<struct<kind:string,target:string,follow:boolean>>", "array<struct<url:string,label:string>>"
@@ -126,7 +127,7 @@ def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES) ->
         F.array(F.struct(F.col("url").alias("url"), F.lit("website").alias("label"))).alias("visited"),
         F.array().cast(queue).alias("queue"),
         F.array().cast(found).alias("found"),
-        F.col("url").alias("at"),
+        key(F.col("url")).alias("at"),
     )
     links = links if "follow" in links.columns else links.withColumn("follow", F.lit(True))
     ordered = F.array_sort(F.collect_list(F.struct("kind_order", "kind", "target", "follow")))
@@ -138,7 +139,7 @@ def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES) ->
         is_new = lambda x: ~F.exists("found", lambda f: f["kind"] == x["kind"]) & (x["follow"] | F.lit(step == 0))  # noqa: E731, B023
         grown = state.join(by_page, "at", "left").withColumn("out", F.filter(F.coalesce("out", F.array().cast(found)), is_new))
         fresh = F.transform(F.filter("out", lambda x: x["follow"]), lambda x: F.struct(x["target"].alias("url"), x["kind"].alias("label")))
-        unseen = F.filter(F.concat("queue", fresh), lambda x: ~F.exists("visited", lambda v: v["url"] == x["url"]))
+        unseen = F.filter(F.concat("queue", fresh), lambda x: ~F.exists("visited", lambda v: key(v["url"]) == key(x["url"])))
         state = grown.select("site", "visited", unseen.alias("queue"), F.concat("found", "out").alias("found"))
         next_ = F.when(F.size("visited") < most, F.get("queue", F.lit(0)))
         state = state.withColumn("next", next_).select(
@@ -146,7 +147,7 @@ def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES) ->
             F.when(F.col("next").isNotNull(), F.concat("visited", F.array("next"))).otherwise(F.col("visited")).alias("visited"),
             "queue",
             "found",
-            F.col("next.url").alias("at"),
+            key(F.col("next.url")).alias("at"),
         )
     return state.select("site", "visited", "found")
 
@@ -186,8 +187,8 @@ def meta_value(body: Column, name: str) -> Column:
 def verified(candidates: DataFrame, fetches: DataFrame) -> DataFrame:
     """candidates with availability_checked, active, http_status and error. fetches: url, status, final_url, body; a URL that
     was not fetched has status 0."""
-    answer = fetches.select(F.col("url").alias("probe"), F.coalesce("status", F.lit(0)).alias("status"), "final_url", F.coalesce("body", F.lit("")).alias("body")).dropDuplicates(["probe"])
-    probed = candidates.withColumn("probe", probe_url(F.col("provider"), F.col("url"))).join(answer, "probe", "left").withColumn("status", F.coalesce("status", F.lit(0)))
+    answer = fetches.select(C.url_key(F.col("url")).alias("probe"), F.coalesce("status", F.lit(0)).alias("status"), "final_url", F.coalesce("body", F.lit("")).alias("body")).dropDuplicates(["probe"])
+    probed = candidates.withColumn("probe", C.url_key(probe_url(F.col("provider"), F.col("url")))).join(answer, "probe", "left").withColumn("status", F.coalesce("status", F.lit(0)))
     # a second question for Avature: its portal's job search
     meta = F.trim(meta_value(F.col("body"), "avature.portal.urlPath"))
     segments = F.filter(F.split(C.path_of(F.col("raw_url")), "/"), lambda s: s != "")
@@ -195,7 +196,7 @@ def verified(candidates: DataFrame, fetches: DataFrame) -> DataFrame:
     portal = F.coalesce(F.nullif(F.regexp_replace(meta, "^/+|/+$", ""), F.lit("")), F.get(segments, local), F.lit(""))
     search = F.concat(F.regexp_extract("raw_url", "^([a-z]+)://", 1), F.lit("://"), C.host_of(F.col("raw_url")), F.lit("/"), portal, F.lit("/SearchJobs/"))
     is_avature = F.col("provider") == "avature"
-    asked = probed.withColumns({"portal": F.when(is_avature, portal), "search": F.when(is_avature, search)})
+    asked = probed.withColumns({"portal": F.when(is_avature, portal), "search": F.when(is_avature, C.url_key(search))})
     second = answer.select(F.col("probe").alias("search"), F.col("status").alias("search_status"), F.col("final_url").alias("search_url"))
     asked = asked.join(second, "search", "left").withColumn("search_status", F.coalesce("search_status", F.lit(0)))
     live, host = C.board_live(F.col("status")), C.host_of(F.coalesce("final_url", F.lit("")))
@@ -330,18 +331,20 @@ def extract_sites(sites: DataFrame, fetched: DataFrame) -> DataFrame:
     hosts, whose words are not those of the site).
 
     sites: site, input_url. fetched: url, status, final_url, body, error of everything that was fetched, boards' lists of jobs
-    included; what is not among it could not be reached. A page that only holds or sells its domain is not crawled."""
+    included; what is not among it could not be reached. URLs are compared by ``columns.url_key``, so a missing slash, the
+    default port, a fragment or a capital in the host hides no page. A page that only holds or sells its domain is not crawled."""
     outcome = fetched.withColumns({"status": F.coalesce("status", F.lit(0)), "landed": C.without_default_port(F.coalesce(F.nullif("final_url", F.lit("")), "url"))})
-    both = F.explode(F.array_distinct(F.array("url", "landed"))).alias("key")
-    first = F.min_by(F.struct("landed", "body"), F.struct(F.col("url") != F.col("key"), F.col("url"))).alias("p")
+    outcome = outcome.withColumn("asked", C.url_key(F.col("url")))
+    both = F.explode(F.array_distinct(F.array(F.col("asked"), C.url_key(F.col("landed"))))).alias("key")
+    first = F.min_by(F.struct("landed", "body"), F.struct(F.col("asked") != F.col("key"), F.col("url"))).alias("p")
     bodies = outcome.where("body <> ''").select("*", both).groupBy("key").agg(first).select("key", F.col("p.landed").alias("base"), "p.body")
     read = staged(parsed(bodies, "body"), "pages")
 
-    answers = outcome.groupBy(F.col("url").alias("asked")).agg(F.min_by(F.struct("status", "landed", "error"), F.struct(F.col("status") == 0, "status")).alias("a"))
-    root = sites.withColumn("asked", C.with_scheme(F.col("input_url"))).join(answers, "asked", "left")
+    answers = outcome.groupBy("asked").agg(F.min_by(F.struct("status", "landed", "error"), F.struct(F.col("status") == 0, "status", "url")).alias("a"))
+    root = sites.withColumn("wanted", C.with_scheme(F.col("input_url"))).withColumn("asked", C.url_key(F.col("wanted"))).join(answers, "asked", "left")
     missing = F.when(F.col("a").isNull(), "not fetched").otherwise(F.col("a.error"))
-    root = root.select("site", "input_url", F.coalesce("a.landed", "asked").alias("final_url"), F.coalesce("a.status", F.lit(0)).alias("status"), missing.alias("error"))
-    root = root.join(read.select(F.col("key").alias("final_url"), "body", "title", "description", "images"), "final_url", "left")
+    root = root.select("site", "input_url", F.coalesce("a.landed", "wanted").alias("final_url"), F.coalesce("a.status", F.lit(0)).alias("status"), missing.alias("error"))
+    root = root.withColumn("key", C.url_key(F.col("final_url"))).join(read.select("key", "body", "title", "description", "images"), "key", "left").drop("key")
     root = staged(with_marks(root, "body").withColumn("gated", markers.parked(F.col("marks"), F.col("decoded"), F.col("final_url"))), "roots")
 
     order = {kind: i for i, kind in enumerate(fixed.PAGE_LINKS)}
@@ -349,8 +352,8 @@ def extract_sites(sites: DataFrame, fetched: DataFrame) -> DataFrame:
     number = F.element_at(F.create_map(*(F.lit(x) for pair in order.items() for x in pair)), F.col("kind"))
     links = staged(links.select(F.col("site").alias("url"), number.alias("kind_order"), "kind", F.col("url").alias("target"), C.same_host(F.col("url"), F.col("site")).alias("follow")), "links")
     start = lambda gated: root.where(gated).select("site", F.col("final_url").alias("url"))
-    state = staged(crawl_states(start("not gated"), links).unionByName(crawl_states(start("gated"), links, most=1)), "crawl")
-    visits = state.select("site", F.posexplode("visited").alias("visit", "v")).select("site", "visit", F.col("v.label").alias("label"), F.col("v.url").alias("key")).join(read, "key")
+    state = staged(crawl_states(start("not gated"), links, key=C.url_key).unionByName(crawl_states(start("gated"), links, most=1, key=C.url_key)), "crawl")
+    visits = state.select("site", F.posexplode("visited").alias("visit", "v")).select("site", "visit", F.col("v.label").alias("label"), C.url_key(F.col("v.url")).alias("key")).join(read, "key")
     merged = staged(merge_pages(visits), "merged")
 
     career = [F.lit("careers_page"), F.lit("vacancies_page")]
@@ -363,11 +366,11 @@ def extract_sites(sites: DataFrame, fetched: DataFrame) -> DataFrame:
     own = root.where("not gated").select("site", F.col("final_url").alias("own_url"))
     outside = careers.where("board is null").join(own, "site").where(~C.same_host(F.col("url"), F.col("own_url")))
     outside = outside.groupBy("site", "url").agg(F.min(F.when(F.col("kind") == career[0], 100).otherwise(110)).alias("seq"))
-    beyond = links.where(F.col("kind").isin("careers_page", "vacancies_page")).withColumnRenamed("url", "from").join(outside.select("site", F.col("url").alias("from"), "seq"), "from")
+    beyond = links.where(F.col("kind").isin("careers_page", "vacancies_page")).withColumnRenamed("url", "from").join(outside.select("site", C.url_key(F.col("url")).alias("from"), "seq"), "from")
     landed = read.select(F.col("key").alias("from"), F.col("base").alias("from_base"))
     beyond = beyond.join(landed, "from").where(C.same_host(F.col("target"), F.col("from_base"))).groupBy("site", F.col("target").alias("url")).agg(F.min(F.col("seq") + 1 + F.when(F.col("kind") == career[1], 1).otherwise(0)).alias("seq"))
-    hops = outside.unionByName(beyond).groupBy("site", "url").agg(F.min("seq").alias("seq"))
-    hops = hops.join(read.withColumnRenamed("key", "url"), "url").select("site", "seq", F.col("url").alias("page_url"), "base", "body", "title", "headings")
+    hops = outside.unionByName(beyond).groupBy("site", C.url_key(F.col("url")).alias("key")).agg(F.min("seq").alias("seq"), F.min_by("url", F.struct("seq", "url")).alias("url"))
+    hops = hops.join(read, "key").select("site", "seq", F.col("url").alias("page_url"), "base", "body", "title", "headings")
     hops = staged(hops, "hops")
     words = merged.join(root.select("site", F.col("final_url").alias("url"), "title"), "site").select("site", "url", "title", "headings")
     judged = external_boards(words, hops.select("site", "seq", "page_url", "title", "headings")).select("site", "seq", "page_url", "accepted")

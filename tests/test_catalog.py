@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from sitecensus.plans import catalog, flows, storage
+from sitecensus.plans import catalog, census, flows, storage
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -32,7 +32,7 @@ def rows_of(table, columns):
     return Counter(tuple(plain(row[c]) for c in columns) for row in table.to_pylist())
 
 
-@pytest.mark.parametrize("name", catalog.NAMES + storage.NAMES + flows.NAMES)
+@pytest.mark.parametrize("name", catalog.NAMES + storage.NAMES + flows.NAMES + census.NAMES)
 def test_query(spark, duck, name):
     frame = entry.queries()[name](spark, SF)
     columns = sorted(frame.columns)

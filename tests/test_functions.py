@@ -219,3 +219,32 @@ def test_candidates_of_a_site_are_one_for_each_board(spark):
     pages_ = spark.createDataFrame(views.BOARD_PAGES, "site string, seq int, base string, body string, source_kind string")
     found = [(r.seq, r.pos, r.provider, r.url, r.discovery) for r in site.board_candidates(pages_).where("site = 'c'").orderBy("seq", "pos").collect()]
     assert found == [(0, 0, "bamboohr", "https://kestrel.bamboohr.com/", "href"), (0, 1, "lever", "https://jobs.lever.co/kestrel", "raw")]
+
+
+def test_url_key(spark):
+    key = lambda url: one(spark, C.url_key(F.col("url")), url=url)
+    assert {key(u) for u in ("https://a.uk", "HTTPS://A.uk:443/", "https://a.uk#top", "https://a.uk/#top")} == {"https://a.uk/"}
+    assert key("https://a.uk?q=A#f") == "https://a.uk/?q=A" and key("http://a.uk:443/B") == "http://a.uk:443/B" and key("/x#y") == "/x#y" and key("") == ""
+    assert spark.range(1).select(C.url_key(F.lit(None).cast("string"))).first()[0] is None
+
+
+def test_pages_are_found_by_any_spelling_of_their_url(spark):
+    root = '<a href="/contact#form">Contact</a><a href="https://JOBS.test/jobs#now">Jobs</a>'
+    fetched = [
+        ("https://a.uk/", 200, None, f"<title>Finch</title>{root}", None),
+        ("HTTPS://a.uk:443/contact", 200, None, '<p>020 7946 0012</p><a href="https://A.uk">home</a>', None),
+        ("https://jobs.test/jobs", 200, None, '<title>Finch roles</title><a href="https://jobs.lever.co/finch">All</a>', None),
+        ("https://jobs.lever.co:443/finch#x", 200, None, "", None),
+    ]
+    fetched = spark.createDataFrame(fetched, "url string, status int, final_url string, body string, error string")
+    found = site.extract_sites(spark.createDataFrame([("a", "A.uk")], "site string, input_url string"), fetched).first()
+    assert (found.n_pages, found.error, found.phone, found.contact_page) == (2, None, "02079460012", "https://a.uk/contact#form")
+    assert [(c.url, c.active) for c in found.ats_candidates] == [("https://jobs.lever.co/finch", True)]
+
+
+def test_a_crawl_without_keys_tells_all_urls_apart(spark):
+    roots = spark.createDataFrame([("s", "https://a.uk")], "site string, url string")
+    links = spark.createDataFrame([("https://a.uk", 0, "about", "https://a.uk/")], "url string, kind_order int, kind string, target string")
+    assert [v.url for v in site.crawl_states(roots, links).first().visited] == ["https://a.uk", "https://a.uk/"]
+    keyed = links.withColumn("url", C.url_key(F.col("url")))
+    assert [v.url for v in site.crawl_states(roots, keyed, key=C.url_key).first().visited] == ["https://a.uk"]
