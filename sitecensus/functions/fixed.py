@@ -102,3 +102,11 @@ LEGAL_CONTEXT_WORDS = frozenset(
 )
 BUSINESS_TYPES = frozenset("organization corporation localbusiness company ngo".split())
 BLOCKED_BOARD_FRAGMENTS = ["careers.smartrecruiters.com/yellltd", "jobs.smartrecruiters.com/yellltd", "business.yell.com/features/yell-ads-and-jobs"]
+#: Fixed patterns, without regard to case: a feed of jobs, and what pages of boards under a company's own host load (its font,
+#: its company number at the provider, its site's assets).
+CUSTOM_BOARD_PATTERNS = [
+    r"<link\b[^>]+rel=[\"'][^\"']*alternate[^\"']*[\"'][^>]+type=[\"']application/rss\+xml[\"'][^>]+href=[\"'][^\"']*/jobs\.rss[\"']",
+    r"fonts\.teamtailor-cdn\.com/teamtailor-production/[a-z0-9][a-z0-9-]*?(?:-\d+)?/custom-fonts\.css",
+    r"https?://app\.teamtailor\.com/companies/([a-z0-9_-]+@[a-z0-9_-]+)(?:[/'?\s]|$)",
+    r"assets(?:-[a-z0-9-]+)?\.teamtailor-cdn\.com/[^\"'<> ]*careersite-[^\"'<> ]+\.css|data-careersite--ready",
+]

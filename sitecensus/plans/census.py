@@ -67,7 +67,36 @@ def document_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site.legal_form_names(table(spark, sf_dir, "documents").selectExpr("concat('d', CAST(doc_id AS STRING)) AS site", f"{NAMED_TEXT} AS text"))
 
 
-NAMES = ["site_census", "document_names"]
+_FEED = '<link rel="alternate" type="application/rss+xml" href="https://feeds.test/jobs.rss">'
+_FONT = "//fonts.teamtailor-cdn.com/teamtailor-production/oak-12/custom-fonts.css"
+_COMPANY = "https://app.teamtailor.com/companies/oak_{n}@eu"
+_PARENTS = '<a href="https://careers.other{n}.test/about">a</a><a href="https://careers.oak{n}.test/cookie-policy/">b</a><a href="https://careers.elm{n}.test/cookie-policy">c</a>'
+#: What pages load, by the remainder of 10 of their ids: feeds and evidence of boards under a company's own host, or too little.
+LOADED = [
+    (0, f"{_FEED}<i data-f='{_FONT}'>"),
+    (1, f"{_FEED}<i data-f='{_COMPANY}/x'>"),
+    (2, f"{_FEED}<i data-careersite--ready>{_PARENTS}"),
+    (3, f"<i data-f='{_FONT}'>"),
+    (4, f"{_FEED}<p>Jobs by PinpointHQ</p>"),
+    (5, f"<i data-f='{_COMPANY}?a'>{_FEED}<i data-f='{_FONT}'>PINPOINTHQ"),
+    (6, "<p>pinpointhq and teamtailor</p>"),
+    (7, f"{_FEED}<p>teamtailor</p>"),
+    (8, f"{_FEED}<link href='https://ASSETS-eu.teamtailor-cdn.com/a/careersite-9.css'>pinpointhq"),
+]
+#: Some of these pages are at a provider's own host, whose boards are no custom ones.
+BASE = "CASE WHEN page_id % 10 = 0 AND page_id % 3 = 0 THEN concat('https://oak', CAST(page_id AS STRING), '.teamtailor.com/') WHEN page_id % 10 = 4 AND page_id % 3 = 0 THEN concat('https://oak', CAST(page_id AS STRING), '.pinpointhq.com/jobs') ELSE url END"
+
+
+def custom_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boards under companies' own hosts, on all pages with what they load behind their end."""
+    loaded = inline(spark, LOADED, "kind int, loaded string")
+    pages = table(spark, sf_dir, "pages").withColumn("kind", (F.col("page_id") % 10).cast("int")).join(F.broadcast(loaded), "kind", "left")
+    body = F.concat(F.coalesce("html", F.lit("")), F.replace(F.coalesce("loaded", F.lit("")), F.lit("{n}"), F.col("page_id").cast("string")))
+    found = site.board_candidates(pages.select(F.col("page_id").alias("site"), F.lit(0).alias("seq"), F.expr(BASE).alias("base"), body.alias("body"), F.lit("website").alias("source_kind")))
+    return found.where("discovery = 'custom'").select(F.col("site").alias("page_id"), "provider", "identifier", "url", "raw_url")
+
+
+NAMES = ["site_census", "document_names", "custom_boards"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -82,7 +82,21 @@ def _legal_names(texts: str) -> str:
  SELECT site, rank::INTEGER AS rank, name, count FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY count DESC, first) AS rank FROM counted) r WHERE rank <= 25"""
 
 
+def _custom_boards() -> str:
+    feed, font, company, assets = ("'" + p.replace("'", "''") + "'" for p in fixed.CUSTOM_BOARD_PATTERNS)
+    return f"""WITH seen AS (SELECT page_id, base, {_host('base')} AS host, coalesce(html, '') || replace(coalesce(loaded, ''), '{{n}}', page_id::VARCHAR) AS body
+   FROM (SELECT *, {census.BASE} AS base FROM pages) p LEFT JOIN {values_sql(census.LOADED, 'kind, loaded')} l ON kind = page_id % 10),
+ told AS (SELECT *, regexp_matches(body, {feed}, 'is') AS feed, regexp_matches(body, {font}, 'is') AS font, regexp_extract(body, {company}, 1, 'is') AS company, regexp_matches(body, {assets}, 'is') AS assets,
+   regexp_extract(body, 'https?://(careers\\.[a-z0-9.-]+)/cookie-policy/?"', 1) AS parent FROM seen),
+ teamtailor AS (SELECT page_id, 'teamtailor' AS provider, CASE WHEN parent <> '' THEN parent WHEN company <> '' AND NOT font THEN company ELSE host END AS identifier,
+   CASE WHEN parent <> '' THEN 'https://' || parent || '/jobs' ELSE 'https://' || host || '/' END AS url, base AS raw_url
+   FROM told WHERE host <> '' AND NOT suffix(host, '.teamtailor.com') AND contains(lower(body), 'teamtailor') AND feed AND (font OR company <> '' OR assets)),
+ pinpoint AS (SELECT page_id, 'pinpoint' AS provider, host AS identifier, 'https://' || host || '/' AS url, base AS raw_url
+   FROM told WHERE host <> '' AND NOT suffix(host, '.pinpointhq.com') AND contains(lower(body), 'pinpointhq') AND contains(lower(body), 'jobs.rss'))
+ SELECT * FROM teamtailor UNION ALL SELECT * FROM pinpoint p WHERE NOT EXISTS (SELECT 1 FROM teamtailor t WHERE t.page_id = p.page_id AND lower(t.url) = lower(p.url))"""
+
+
 def oracle_sql() -> dict[str, str]:
     inline = f"SELECT 'd' || doc_id AS site, coalesce(text, '') AS text FROM documents UNION ALL SELECT * FROM {values_sql(views.LEGAL_TEXTS, 'site, text')} v"
     planted = f"SELECT 'd' || doc_id AS site, {census.NAMED_TEXT} AS text FROM documents"
-    return {"site_census": CENSUS, "legal_form_names": _legal_names(inline), "document_names": _legal_names(planted)}
+    return {"site_census": CENSUS, "legal_form_names": _legal_names(inline), "document_names": _legal_names(planted), "custom_boards": _custom_boards()}
