@@ -92,6 +92,14 @@ def without_default_port(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, r"^(https://[^/?#]*):443(?=[/?#]|$)", "$1"), r"^(http://[^/?#]*):80(?=[/?#]|$)", "$1")
 
 
+def instant(value: Column) -> Column:
+    """The time that an ISO 8601 text names (a day, or with hours and minutes at least, and a zone); null for all other texts.
+    A time without a zone is one of the session's zone."""
+    shape = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"
+    seconds = F.regexp_replace(value, r"^(.{10}[T ][0-9]{2}:[0-9]{2})(?=$|Z|[+-])", "$1:00")  # a cast wants them
+    return F.when(value.rlike(shape), seconds).try_cast("timestamp")
+
+
 def url_key(url: Column) -> Column:
     """What the same page's URLs have in common: scheme and host in lower case, no default port, no fragment, and '/' for an
     empty path. A value without scheme and host stays as it is."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,8 +81,26 @@ def zipped(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.withColumn("pos", pos).drop("in_left", "in_right")
 
 
+#: A batch's name: a small letter, then 2 to 50 small letters, digits and hyphens.
+BATCH_NAME = "[a-z][a-z0-9-]{2,50}"
+
+
+def is_batch_name(name: Column) -> Column:
+    """Whether the name can be a batch's; a null name cannot."""
+    return F.coalesce(name.rlike(f"\\A{BATCH_NAME}\\z"), F.lit(False))
+
+
+def batch_name(name: str) -> str:
+    """name, if it can be a batch's; else an error."""
+    if not re.fullmatch(BATCH_NAME, name):
+        raise ValueError("a batch's name has lowercase letters, digits and hyphens")
+    return name
+
+
 def tail(rows: DataFrame, total: int, n: int) -> DataFrame:
-    """The last n rows by pos; ``head`` has the others."""
+    """The last n rows by pos; ``head`` has the others. Fewer than one are an error."""
+    if n < 1:
+        raise ValueError("tail must be positive")
     return rows.where(F.col("pos") >= total - n)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.columns import site_active
+from ..functions.columns import instant, site_active
 
 COUNTERS = ["total", "processed", "remaining", "active", "inactive", "errors", "ats_traceable", "has_email", "company_number", "careers_page"]
 
@@ -109,6 +109,15 @@ def with_rates(states: DataFrame, processed: str, total: str, seconds: str) -> D
     return states.withColumns({"remaining": left, "rate_per_second": rate, "eta_seconds": F.when((left > 0) & (rate > 0), left / rate)})
 
 
+def with_timing(states: DataFrame, now: Column) -> DataFrame:
+    """states (started_at: text, rate_per_second, remaining) with elapsed_seconds (0 before the start, or if it is unknown),
+    eta_seconds and eta_at (a timestamp; both null when nothing is left or nothing moves)."""
+    at, rate, left = now.cast("double"), F.coalesce("rate_per_second", F.lit(0.0)), F.coalesce("remaining", F.lit(0))
+    elapsed = F.coalesce(F.greatest(at - instant(F.col("started_at")).cast("double"), F.lit(0.0)), F.lit(0.0))
+    timed = states.withColumns({"elapsed_seconds": elapsed, "eta_seconds": F.when((rate > 0) & (left > 0), left / rate)})
+    return timed.withColumn("eta_at", (at + F.col("eta_seconds")).cast("timestamp"))
+
+
 def shards_complete(states: DataFrame) -> DataFrame:
     """One row: shards, complete (all of them, with the expected sizes), processed, expected."""
     fine = F.coalesce((F.col("status") == "complete") & (F.col("processed") == F.col("expected")), F.lit(False))

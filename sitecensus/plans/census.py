@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import site
+from ..functions import columns as C
+from ..operators import lists, results, site
 from .views import inline, table
 
 #: What is fetched of a customer's site, by the key's remainder of 8: kind, url, status, final_url, body, error; {n} is the key.
@@ -96,7 +97,32 @@ def custom_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("discovery = 'custom'").select(F.col("site").alias("page_id"), "provider", "identifier", "url", "raw_url")
 
 
-NAMES = ["site_census", "document_names", "custom_boards"]
+#: Starts as states name them, by the remainder of 8 of an event's id: sound, in another zone, of a day, in the future, and none.
+STARTS = [
+    (0, "2026-01-0{d}T0{d}:30:00Z"), (1, "2026-01-0{d} 1{d}:00:00.250000+05:30"), (2, "2026-01-0{d}"), (3, "2026-13-0{d}T00:00:00Z"),
+    (4, "yesterday"), (5, "2027-01-0{d}T00:00:00Z"), (6, "2026-01-0{d}T0{d}:15-02:00"), (7, None),
+]
+NOW = "2026-01-12T00:00:00Z"
+
+
+def state_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each event, as a state, says of the time that it has taken and still needs."""
+    made = inline(spark, STARTS, "kind int, started string")
+    events = table(spark, sf_dir, "events").withColumn("kind", (F.col("event_id") % 8).cast("int")).join(F.broadcast(made), "kind")
+    digit = (1 + F.col("event_id") % 7).cast("string")
+    states = events.select("event_id", F.replace("started", F.lit("{d}"), digit).alias("started_at"), (F.col("event_id") % 5 / 4).alias("rate_per_second"), (F.col("event_id") % 3 * 100).alias("remaining"))
+    timed = results.with_timing(states, C.instant(F.lit(NOW)))
+    return timed.select("event_id", F.round("elapsed_seconds", 3).alias("elapsed_seconds"), F.round("eta_seconds", 3).alias("eta_seconds"), F.unix_millis("eta_at").alias("eta_ms"))
+
+
+def batch_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which names of nations and customers, as they are and in small letters with hyphens, can name a batch."""
+    names = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")).union(table(spark, sf_dir, "customer").select("c_name"))
+    both = names.select(F.explode(F.array("name", F.lower("name"), F.regexp_replace(F.lower("name"), "[^a-z0-9]+", "-"), F.substring(F.lower("name"), 1, 2), F.repeat(F.lower("name"), 4))).alias("name"))
+    return both.select("name", lists.is_batch_name(F.col("name")).alias("sound"))
+
+
+NAMES = ["site_census", "document_names", "custom_boards", "state_timing", "batch_names"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -96,7 +96,19 @@ def _custom_boards() -> str:
  SELECT * FROM teamtailor UNION ALL SELECT * FROM pinpoint p WHERE NOT EXISTS (SELECT 1 FROM teamtailor t WHERE t.page_id = p.page_id AND lower(t.url) = lower(p.url))"""
 
 
+TIMING = f"""WITH told AS (SELECT event_id, replace(started, '{{d}}', (1 + event_id % 7)::VARCHAR) AS started, event_id % 5 / 4.0 AS rate, event_id % 3 * 100 AS remaining
+   FROM events JOIN {values_sql(census.STARTS, 'kind, started')} s ON kind = event_id % 8),
+ timed AS (SELECT event_id, epoch_ms(TIMESTAMPTZ '{census.NOW}') AS base, CASE WHEN len(started) = 10 THEN started || 'T00:00:00Z' WHEN len(started) > 10 THEN started END AS full_start,
+   CASE WHEN rate > 0 AND remaining > 0 THEN remaining / rate END AS eta FROM told)
+ SELECT event_id, coalesce(greatest((base - epoch_ms(try_cast(full_start AS TIMESTAMPTZ))) / 1000.0, 0.0), 0.0)::DOUBLE AS elapsed_seconds, round(eta, 3)::DOUBLE AS eta_seconds,
+  (base + floor(eta * 1000))::BIGINT AS eta_ms FROM timed"""
+
+BATCH_NAMES = """WITH names AS (SELECT n_name AS name FROM nation UNION ALL SELECT c_name FROM customer)
+ SELECT name, regexp_full_match(name, '[a-z][a-z0-9-]*') AND len(name) BETWEEN 3 AND 51 AS sound
+ FROM (SELECT unnest([name, lower(name), regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), lower(name)[1:2], repeat(lower(name), 4)]) AS name FROM names) n"""
+
+
 def oracle_sql() -> dict[str, str]:
     inline = f"SELECT 'd' || doc_id AS site, coalesce(text, '') AS text FROM documents UNION ALL SELECT * FROM {values_sql(views.LEGAL_TEXTS, 'site, text')} v"
     planted = f"SELECT 'd' || doc_id AS site, {census.NAMED_TEXT} AS text FROM documents"
-    return {"site_census": CENSUS, "legal_form_names": _legal_names(inline), "document_names": _legal_names(planted), "custom_boards": _custom_boards()}
+    return {"site_census": CENSUS, "legal_form_names": _legal_names(inline), "document_names": _legal_names(planted), "custom_boards": _custom_boards(), "state_timing": TIMING, "batch_names": BATCH_NAMES}

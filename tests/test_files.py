@@ -152,6 +152,22 @@ def test_watch_resumes_from_its_checkpoint(spark, tmp_path):
     assert (second["processed"], second["http_status_counts"], second["status"]) == (6, {"200": 2, "404": 2, "none": 2}, "complete")
 
 
+def test_a_run_with_another_total_is_another_run(spark, tmp_path):
+    folder = tmp_path / "results"
+    folder.mkdir()
+    (folder / "1.jsonl").write_text("\n".join(v for _, v in views.RESULT_LINES))
+
+    def run(total):
+        liveness.watch(spark, str(folder), str(tmp_path / "state.json"), str(tmp_path / "checkpoint"), total).awaitTermination()
+        return json.loads((tmp_path / "state.json").read_text())
+
+    assert [run(6)[k] for k in ("total", "processed", "batch")] == [6, 3, 0]
+    # all results count again towards the new total, from the first batch; the old run goes on where it was
+    assert [run(3)[k] for k in ("total", "processed", "batch", "status")] == [3, 3, 0, "complete"]
+    (folder / "2.jsonl").write_text('{"domain": "z.uk", "dns_active": true}')
+    assert [run(6)[k] for k in ("total", "processed", "batch")] == [6, 4, 1]
+
+
 def test_roll_up_of_machines(spark):
     rows = [("a", True, "complete", 5, 1, 2.0, "2026-01-02"), ("b", True, "complete", 6, 0, 1.0, "2026-01-03"), ("c", False, "running", 100, 9, 9.0, "2026-01-01")]
     states = spark.createDataFrame(rows, "machine string, available boolean, status string, processed long, remaining long, rate_per_second double, started_at string")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sitecensus.functions import boards, pages
 from sitecensus.functions import columns as C
-from sitecensus.operators import site
+from sitecensus.operators import lists, results, site
 from sitecensus.plans import views
 
 
@@ -248,3 +248,30 @@ def test_a_crawl_without_keys_tells_all_urls_apart(spark):
     assert [v.url for v in site.crawl_states(roots, links).first().visited] == ["https://a.uk", "https://a.uk/"]
     keyed = links.withColumn("url", C.url_key(F.col("url")))
     assert [v.url for v in site.crawl_states(roots, keyed, key=C.url_key).first().visited] == ["https://a.uk"]
+
+
+def test_instants(spark):
+    seconds = lambda text: one(spark, C.instant(F.col("t")).cast("double"), t=text)
+    assert seconds("1970-01-01T00:01:00.5Z") == 60.5 == seconds("1970-01-01 02:01:00.500000+02:00") and seconds("1970-01-02") == 86400
+    assert seconds("1970-01-01T00:01Z") == 60 == seconds("1970-01-01T00:01") == seconds("1970-01-01T02:01+02:00")
+    assert [seconds(t) for t in ("1970-01-01T01Z", "1970-02-30", "1970", "12:00", "now", "", "1970-01-01T00:00:00Z ")] == [None] * 7
+    assert spark.range(1).select(C.instant(F.lit(None).cast("string"))).first()[0] is None
+
+
+def test_timing_of_states(spark):
+    rows = [("a", "2026-01-01T00:00:00Z", 2.0, 10), ("b", "bad", 0.0, 10), ("c", "2026-01-03", 1.0, 0), ("d", None, None, None)]
+    states = spark.createDataFrame(rows, "machine string, started_at string, rate_per_second double, remaining long")
+    timed = {r.machine: r for r in results.with_timing(states, F.expr("timestamp '2026-01-02 00:00:00'")).selectExpr("*", "unix_seconds(eta_at) - unix_seconds(timestamp '2026-01-02 00:00:00') AS more").collect()}
+    assert [(timed[m].elapsed_seconds, timed[m].eta_seconds, timed[m].more) for m in "abcd"] == [(86400.0, 5.0, 5), (0.0, None, None), (0.0, None, None), (0.0, None, None)]
+
+
+def test_batch_names(spark):
+    names = {"abc": True, "a-1": True, "ab": False, "Abc": False, "1bc": False, "a_b": False, "abc\n": False, "a" * 51: True, "a" * 52: False, "": False}
+    frame = spark.createDataFrame([(n,) for n in names] + [(None,)], "name string")
+    assert {r.name: r.sound for r in frame.select("name", lists.is_batch_name(F.col("name")).alias("sound")).collect()} == {**names, None: False}
+    assert lists.batch_name("run-7") == "run-7"
+    for bad in ("Run", "a", "abc\n"):
+        with pytest.raises(ValueError, match="lowercase"):
+            lists.batch_name(bad)
+    with pytest.raises(ValueError, match="positive"):
+        lists.tail(frame, 11, 0)
