@@ -196,7 +196,9 @@ def verified(candidates: DataFrame, fetches: DataFrame) -> DataFrame:
     portal = F.coalesce(F.nullif(F.regexp_replace(meta, "^/+|/+$", ""), F.lit("")), F.get(segments, local), F.lit(""))
     search = F.concat(F.regexp_extract("raw_url", "^([a-z]+)://", 1), F.lit("://"), C.host_of(F.col("raw_url")), F.lit("/"), portal, F.lit("/SearchJobs/"))
     is_avature = F.col("provider") == "avature"
-    asked = probed.withColumns({"portal": F.when(is_avature, portal), "search": F.when(is_avature, C.url_key(search))})
+    # without a second question: a key of its own, which meets nothing; one null for all would put them into one task
+    none = F.concat(F.lit("none "), F.xxhash64(*candidates.columns).cast("string"))
+    asked = probed.withColumns({"portal": F.when(is_avature, portal), "search": F.coalesce(F.when(is_avature, C.url_key(search)), none)})
     second = answer.select(F.col("probe").alias("search"), F.col("status").alias("search_status"), F.col("final_url").alias("search_url"))
     asked = asked.join(second, "search", "left").withColumn("search_status", F.coalesce("search_status", F.lit(0)))
     live, host = C.board_live(F.col("status")), C.host_of(F.coalesce("final_url", F.lit("")))

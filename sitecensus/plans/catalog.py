@@ -13,7 +13,7 @@ from ..operators import lists, results, site
 from ..sources import readers
 from ..streaming import liveness
 from . import views
-from .views import inline, scan_results, sites, table, texts
+from .views import inline, scan_results, sites, spread, table, texts
 
 PARTS = 7
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,7 +268,7 @@ def fetch_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The candidates of all customers and the inline ones."""
-    customer = table(spark, sf_dir, "customer")
+    customer = spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
     candidates = inline(spark, views.CANDIDATES, "site string, provider string, identifier string, url string, raw_url string, discovery string, source_kind string")
     fetched = inline(spark, views.FETCHED, "url string, status int, final_url string, body string")
     of = lambda sql: spark.sql(sql.replace("FROM customer", "FROM {customer}"), customer=customer)

@@ -250,3 +250,8 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SITES_SQL = f"(SELECT page_id, url, html FROM pages UNION ALL SELECT * FROM {values_sql(MARKED_PAGES, 'page_id, url, html')})"
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """rows, dealt by a key over as many tasks as a shuffle has: a file of keys is few tasks, but what is made of them is long."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
