@@ -42,30 +42,35 @@ class FreshPush(StatefulProcessor):
         self.shown = handle.getValueState("shown", "version bigint, source string, payload string, us bigint")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        # each call of a state goes through a socket: a batch's rows are folded here, and each state is read and written once
+        old = pushed, pulled = self.pushed.get(), self.pulled.get()
+        pushes = 0
         for row in rows:
-            state = self.pushed if row.is_push else self.pulled
-            kept = state.get() if state.exists() else None
-            if kept is None or row.us >= kept[1]:
-                state.update((row.payload, row.us))
-                if row.is_push:
-                    for timer in list(self.handle.listTimers()):
-                        self.handle.deleteTimer(timer)
-                    self.handle.registerTimer(row.us // 1000 + 1 if self.by_event_time else timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
-        yield from self.changed(key)
+            if row.is_push and (pushed is None or row.us >= pushed[1]):
+                pushed, pushes = (row.payload, row.us), pushes + 1
+            elif not row.is_push and (pulled is None or row.us >= pulled[1]):
+                pulled = row.payload, row.us
+        for state, was, now in ((self.pushed, old[0], pushed), (self.pulled, old[1], pulled)):
+            if now != was:
+                state.update(now)
+        if pushes:
+            for timer in list(self.handle.listTimers()) if old[0] is not None else ():
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(pushed[1] // 1000 + 1 if self.by_event_time else timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
+        yield from self.changed(key, pushed, pulled)
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         self.pushed.clear()
-        yield from self.changed(key)
+        yield from self.changed(key, None, self.pulled.get())
 
-    def changed(self, key: tuple) -> Iterator[Row]:
+    def changed(self, key: tuple, pushed: tuple | None, pulled: tuple | None) -> Iterator[Row]:
         """The state that now holds, if it is not the one shown last."""
-        source, state = ("push", self.pushed) if self.pushed.exists() else ("pull", self.pulled)
-        payload, us = state.get() if state.exists() else (None, None)
-        shown = self.shown.get() if self.shown.exists() else (0, None, None, None)
-        now = (source if state.exists() else "none", payload, us)
+        source, state = ("push", pushed) if pushed is not None else ("pull", pulled) if pulled is not None else ("none", (None, None))
+        shown = self.shown.get() or (0, None, None, None)
+        now = (source, *state)
         if now != tuple(shown[1:]):
             self.shown.update((shown[0] + 1, *now))
-            yield Row(machine=key[0], version=shown[0] + 1, source=now[0], payload=payload, us=us)
+            yield Row(machine=key[0], version=shown[0] + 1, source=now[0], payload=now[1], us=now[2])
 
     def close(self) -> None:
         pass

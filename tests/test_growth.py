@@ -33,3 +33,41 @@ def test_candidates_without_a_second_question_are_spread(spark, plain_joins):
     found = site.verified(candidates, fetched)
     assert largest_part(found) < 200
     assert found.where("active and http_status = 200").count() == 392
+
+
+class Counted:
+    """A value of a state that counts its calls."""
+
+    def __init__(self, calls):
+        self.value, self.calls = None, calls
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+
+def test_a_machine_asks_for_its_state_once_a_batch():
+    calls, timers = [], []
+    handle = SimpleNamespace(getValueState=lambda *_: Counted(calls), listTimers=lambda: iter(timers[:]), deleteTimer=timers.remove, registerTimer=timers.append)
+    processor = pushes.FreshPush(1000, True)
+    processor.init(handle)
+    report = lambda us, push: SimpleNamespace(is_push=push, payload=f"{us}", us=us)
+    shown = list(processor.handleInputRows(("m",), iter([report(i * 1000, i % 3 == 0) for i in (5, 3, 9, 1, 8, *range(10, 200))]), None))
+    assert [(r.version, r.source, r.payload) for r in shown] == [(1, "push", "198000")]
+    assert timers == [199] and len(calls) < 10
+    again = list(processor.handleInputRows(("m",), iter([report(300_000, True), report(301_000, False), report(250_000, True)]), None))
+    assert [(r.version, r.source, r.payload) for r in again] == [(2, "push", "300000")] and timers == [301]
+    expired = list(processor.handleExpiredTimer(("m",), None, None))
+    assert [(r.version, r.source, r.payload) for r in expired] == [(3, "pull", "301000")]
