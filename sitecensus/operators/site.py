@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -119,7 +120,7 @@ def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES, key
     those without follow (to another host) are found on the root, but not visited. A site's kinds are fixed by the first page
     that has them; a page is visited once, and at most ``most`` pages are. ``key`` of a URL is what tells pages apart, and
     the links' url are keys; visited pages keep the URL by which they were found. One join of the frontier to the links a step,
-    ``most`` steps at most; a site's state is one row. The links of a page are stored once, in buckets of its URL (for
+    ``most`` steps at most; a site's state is one row, and a site without a next page takes part in no further step. The links of a page are stored once, in buckets of its URL (for
     more than one step), so that they do not move in any step; only the states do."""
     found, queue = "array<struct<kind:string,target:string,follow:boolean>>", "array<struct<url:string,label:string>>"
     state = roots.select(
@@ -135,6 +136,7 @@ def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES, key
     by_page = by_page.withColumnRenamed("url", "at")
     if most > 1:
         by_page = bucketed(by_page, "links", "at")
+    ended: list[DataFrame] = []
     for step in range(most):
         is_new = lambda x: ~F.exists("found", lambda f: f["kind"] == x["kind"]) & (x["follow"] | F.lit(step == 0))  # noqa: E731, B023
         grown = state.join(by_page, "at", "left").withColumn("out", F.filter(F.coalesce("out", F.array().cast(found)), is_new))
@@ -149,6 +151,15 @@ def crawl_states(roots: DataFrame, links: DataFrame, most: int = MOST_PAGES, key
             "found",
             key(F.col("next.url")).alias("at"),
         )
+        if step == most - 1:
+            ended.append(state)
+            break
+        state = staged(state, "step")
+        ended.append(state.where("at is null"))
+        state = state.where("at is not null")
+        if state.isEmpty():
+            break
+    state = reduce(DataFrame.unionByName, ended or [state])
     return state.select("site", "visited", "found")
 
 
@@ -336,7 +347,7 @@ def extract_sites(sites: DataFrame, fetched: DataFrame) -> DataFrame:
     included; what is not among it could not be reached. URLs are compared by ``columns.url_key``, so a missing slash, the
     default port, a fragment or a capital in the host hides no page. A page that only holds or sells its domain is not crawled."""
     outcome = fetched.withColumns({"status": F.coalesce("status", F.lit(0)), "landed": C.without_default_port(F.coalesce(F.nullif("final_url", F.lit("")), "url"))})
-    outcome = outcome.withColumn("asked", C.url_key(F.col("url")))
+    outcome = staged(outcome.withColumn("asked", C.url_key(F.col("url"))), "outcome")
     both = F.explode(F.array_distinct(F.array(F.col("asked"), C.url_key(F.col("landed"))))).alias("key")
     first = F.min_by(F.struct("landed", "body"), F.struct(F.col("asked") != F.col("key"), F.col("url"))).alias("p")
     bodies = outcome.where("body <> ''").select("*", both).groupBy("key").agg(first).select("key", F.col("p.landed").alias("base"), "p.body")
@@ -376,12 +387,12 @@ def extract_sites(sites: DataFrame, fetched: DataFrame) -> DataFrame:
     hops = staged(hops, "hops")
     words = merged.join(root.select("site", F.col("final_url").alias("url"), "title"), "site").select("site", "url", "title", "headings")
     judged = external_boards(words, hops.select("site", "seq", "page_url", "title", "headings")).select("site", "seq", "page_url", "accepted")
-    found = board_candidates(hops.withColumn("source_kind", F.lit("external_careers"))).join(judged, ["site", "seq"])
+    found = staged(board_candidates(hops.withColumn("source_kind", F.lit("external_careers"))).join(judged, ["site", "seq"]), "external")
     refused = found.where("not accepted").groupBy("site", "page_url").agg(F.min("seq").alias("seq"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "url"))), lambda x: x["url"]).alias("ats"))
     refused = refused.groupBy("site").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.col("page_url").alias("page"), "ats"))), lambda x: F.struct(x["page"].alias("page"), x["ats"].alias("ats"))).alias("ats_rejections"))
 
     candidates = on_page.unionByName(found.where("accepted").drop("page_url", "accepted")).unionByName(by_link)
-    candidates = staged(verified(staged(distinct_boards(candidates), "candidates"), fetched), "candidates")
+    candidates = staged(verified(staged(distinct_boards(candidates), "candidates"), outcome.select("url", "status", "final_url", "body")), "candidates")
     fields = ["provider", "identifier", "url", "raw_url", "discovery", "source_kind", "availability_checked", "active", "http_status", "error"]
     listed = candidates.groupBy("site").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "pos", *fields))), lambda x: F.struct(*(x[c].alias(c) for c in fields))).alias("ats_candidates"))
 

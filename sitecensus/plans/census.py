@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import lists, results, site
-from .views import inline, table
+from .views import inline, spread, table
 
 #: What is fetched of a customer's site, by the key's remainder of 8: kind, url, status, final_url, body, error; {n} is the key.
 PLANTED = [
@@ -38,7 +38,7 @@ PLANTED_COLUMNS = "kind, url, status, final_url, body, error"
 
 
 def _planted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("n"), (F.col("c_custkey") % 8).cast("int").alias("kind"))
+    customer = spread(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("n"), (F.col("c_custkey") % 8).cast("int").alias("kind")), "n")
     of = lambda c: F.replace(c, F.lit("{n}"), F.col("n").cast("string")).alias(c)
     made = inline(spark, PLANTED, "kind int, url string, status int, final_url string, body string, error string")
     given = inline(spark, GIVEN, "kind int, input_url string")

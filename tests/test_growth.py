@@ -71,3 +71,11 @@ def test_a_machine_asks_for_its_state_once_a_batch():
     assert [(r.version, r.source, r.payload) for r in again] == [(2, "push", "300000")] and timers == [301]
     expired = list(processor.handleExpiredTimer(("m",), None, None))
     assert [(r.version, r.source, r.payload) for r in expired] == [(3, "pull", "301000")]
+
+
+def test_sites_whose_crawl_has_ended_move_no_more(spark, plain_joins):
+    roots = spark.range(400).selectExpr("id AS site", "concat('p', id) AS url")
+    links = spark.createDataFrame([("p3", 1, "k", "q3"), ("q3", 1, "l", "r3")], "url string, kind_order int, kind string, target string")
+    found = site.crawl_states(roots, links)
+    assert largest_part(found) < 200
+    assert {r.site: [v.url for v in r.visited] for r in found.collect()} == {i: [f"p{i}"] if i != 3 else ["p3", "q3", "r3"] for i in range(400)}
