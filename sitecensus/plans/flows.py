@@ -129,9 +129,10 @@ def stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written_lines(rows: DataFrame, label: str) -> str:
-    """A folder with one file of lines for each value of file, in the order of seq (rows: file, seq, value)."""
+    """A folder with one folder of lines for each value of file, in the order of seq (rows: file, seq, value) through its part
+    files in the order of their names, so that no task holds a whole file."""
     path = writers.fresh_path(rows.sparkSession, label)
-    rows.repartition(5, "file").sortWithinPartitions("file", "seq").select("file", "value").write.partitionBy("file").text(path)
+    rows.repartitionByRange("file", "seq").sortWithinPartitions("file", "seq").select("file", "value").write.partitionBy("file").text(path)
     return path
 
 
@@ -141,8 +142,7 @@ def result_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = F.format_string('{"domain":"e%d.uk","http_active":%s}', e, (e % 2 == 0).cast("string"))
     value = F.when((e % 997 == 5) & (e % 7 != 3), '{"domain": ').when((e % 1009 == 8) & (e % 7 != 3), "  ").when((e % 1013 == 9) & (e % 7 == 4), '{"domain":"x","http_status":"ok"}').otherwise(good)
     lines = table(spark, sf_dir, "events").select(F.format_string("f%d", e % 7).alias("file"), e.alias("seq"), value.alias("value"))
-    found = readers.line_faults(spark, f"{_written_lines(lines, 'faults')}/*/part-*")
-    return found.withColumn("file", F.regexp_extract("file", "file=(f[0-9])", 1))
+    return readers.line_faults(spark, f"{_written_lines(lines, 'faults')}/*/part-*", whole=lambda path: F.regexp_extract(path, "file=(f[0-9])", 1))
 
 
 def ordered_results(spark: SparkSession, sf_dir: str) -> DataFrame:

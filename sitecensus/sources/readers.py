@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -92,11 +94,12 @@ def placed_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", file.alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("seq"))
 
 
-def line_faults(spark: SparkSession, path: str, schema: str = SCAN_RESULT) -> DataFrame:
+def line_faults(spark: SparkSession, path: str, schema: str = SCAN_RESULT, whole: Callable[[Column], Column] = lambda path: path) -> DataFrame:
     """file, lines, bad_lines, first_bad_line (from 1; null if none), reason: what a strict reader would stop at in each file.
 
     Lines stay where they are read: a split gives its number of lines and the place of its first bad one, and a file adds up
-    its splits. A file without lines has no row."""
+    its splits. A file without lines has no row. ``whole`` names the file that a path is a part of; parts are in the order of
+    their paths."""
     item = F.from_json("value", schema + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     reason = (
         F.when(F.octet_length("value") >= LONGEST_LINE, F.lit("longer than 1 MiB"))
@@ -105,10 +108,11 @@ def line_faults(spark: SparkSession, path: str, schema: str = SCAN_RESULT) -> Da
     )
     judged = placed_lines(spark, path).select("file", "start", "seq", reason.alias("reason"))
     bad = F.col("reason").isNotNull()
-    splits = judged.groupBy("file", "start").agg(
+    splits = judged.groupBy(F.col("file").alias("path"), "start").agg(
         F.count("*").alias("lines"), F.count("reason").alias("bad_lines"), F.min("seq").alias("low"), F.min(F.when(bad, F.struct("seq", "reason"))).alias("first")
     )
-    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("file", whole(F.col("path")))
+    earlier = Window.partitionBy("file").orderBy("path", "start").rowsBetween(Window.unboundedPreceding, -1)
     before = splits.withColumn("before", F.coalesce(F.sum("lines").over(earlier), F.lit(0)))
     place = F.when(F.col("first").isNotNull(), F.struct((F.col("before") + F.col("first.seq") - F.col("low") + 1).alias("line"), F.col("first.reason").alias("reason")))
     files = before.groupBy("file").agg(F.sum("lines").alias("lines"), F.sum("bad_lines").alias("bad_lines"), F.min(place).alias("first"))

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitecensus.operators import site
+from sitecensus.plans import flows
+from sitecensus.sources import readers
 from sitecensus.streaming import pushes
 
 
@@ -79,3 +81,14 @@ def test_sites_whose_crawl_has_ended_move_no_more(spark, plain_joins):
     found = site.crawl_states(roots, links)
     assert largest_part(found) < 200
     assert {r.site: [v.url for v in r.visited] for r in found.collect()} == {i: [f"p{i}"] if i != 3 else ["p3", "q3", "r3"] for i in range(400)}
+
+
+def test_a_file_of_lines_is_written_by_many_tasks(spark, plain_joins):
+    line = F.format_string('{"domain":"d%d.uk"}', "id")
+    rows = spark.range(4000).select(F.lit("m0").alias("file"), F.col("id").alias("seq"), F.when(F.col("id") == 3000, "{").otherwise(line).alias("value"))
+    path = f"{flows._written_lines(rows, 'lines')}/*/part-*"
+    assert spark.read.text(path).groupBy(F.col("_metadata.file_path")).count().agg(F.max("count")).first()[0] < 2000
+    found = readers.line_faults(spark, path, whole=lambda path: F.regexp_extract(path, "file=(m[0-9])", 1)).collect()
+    assert [tuple(r) for r in found] == [("m0", 4000, 1, 3001, "not a result")]
+    good = readers.ordered_results(spark, f"{flows._written_lines(rows.where('seq <> 3000'), 'lines')}/*/part-*")
+    assert {r.pos: r.domain for r in good.collect()} == {i: f"d{i if i < 3000 else i + 1}.uk" for i in range(3999)}
