@@ -19,15 +19,18 @@ from sitecensus.llm.queries import vocabulary
 
 #: Rows in a batch that goes to Python: whole texts, of which the usual 10,000 take hundreds of MB in two processes.
 BATCH_ROWS = 2_000
+#: Bytes after which such a batch ends: rows do not bound it, as a text may have 100 KB and a pair of near copies two of them.
+BATCH_BYTES = 4 << 20
 
 
 def bounded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """stage, in a session whose batches for Python have BATCH_ROWS rows at most."""
+    """stage, in a session whose batches for Python have BATCH_ROWS rows and end after BATCH_BYTES."""
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         name = "spark.sql.execution.arrow.maxRecordsPerBatch"
         spark.conf.set(name, min(BATCH_ROWS, int(spark.conf.get(name))))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
         return stage(spark, docs, sf_dir)
 
     return run
