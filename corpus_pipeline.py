@@ -21,6 +21,9 @@ from sitecensus.llm.queries import vocabulary
 BATCH_ROWS = 2_000
 #: Bytes after which such a batch ends: rows do not bound it, as a text may have 100 KB and a pair of near copies two of them.
 BATCH_BYTES = 4 << 20
+#: For the Python processes: what a large array has taken is given back when it is freed, instead of being kept for the next
+#: stage, which runs in the same processes.
+MALLOC = {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def bounded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
@@ -31,6 +34,7 @@ def bounded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Calla
         name = "spark.sql.execution.arrow.maxRecordsPerBatch"
         spark.conf.set(name, min(BATCH_ROWS, int(spark.conf.get(name))))
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        spark.sparkContext.environment.update(MALLOC)
         return stage(spark, docs, sf_dir)
 
     return run
